@@ -8,9 +8,10 @@ Links are found without listing all pairs of a group:
 
 1. texts with equal sets form a class, represented once;
 2. in every bucket of equal bands each class is compared with the bucket's smallest class;
-3. buckets whose members then still lie in different components are compared across
-   components, but only pairs that set sizes and the triangle inequality of the Jaccard
-   distance (through the bucket's smallest class) leave possible.
+3. classes of one bucket that then still lie in different components are compared in
+   tiles of bounded size, which the triangle inequality of the Jaccard distance (through
+   the bucket's smallest class) keeps to those that can be close; a tile emits only a
+   spanning forest of the links it confirms.
 
 All links rest on full sets.  With 24 bands of 5 rows a pair at the threshold of 0.85 is
 missed by every band with probability 8e-7; the smaller threshold of 0.8 uses the same
@@ -31,6 +32,8 @@ from .common import cut, table
 from .components import connected_components
 
 BANDS, ROWS, WORDS = 24, 5, 5
+#: Classes of either side of a tile.
+TILE = 512
 #: Places of the permuted universe, a power of two.
 UNIVERSE_BITS = 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -148,6 +151,102 @@ def _linked(percent: int):
     return 100 * F.col("both").cast("long") >= percent * (F.col("n") + F.col("m") - F.col("both")).cast("long")
 
 
+def _across(measured: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between classes that share a bucket but lie in different components after the stars.
+
+    Both have been measured against the bucket's smallest class, their leader, so all are
+    found among the classes of a leader.  These are cut along the distance to the leader
+    into bins as wide as the largest distance of a link: partners lie in the same bin or in
+    adjacent ones.  Bins are joined in tiles of bounded size, and a tile emits only a
+    spanning forest of the links it confirms.
+    """
+    width = 1 - percent / 100
+    names = found.withColumnRenamed("node", "class")
+    group = (
+        measured.join(names, "class", "left")
+        .join(names.select(F.col("class").alias("other"), F.col("component").alias("own")), "other", "left")
+        .select("class", F.col("other").alias("leader"), "distance", F.coalesce("component", "class").alias("component"), F.coalesce("own", "other").alias("own"))
+    )
+    group = cut(group)
+    apart = F.col("component") != F.col("own")
+    open_ = (
+        group.groupBy("leader")
+        .agg(F.count(F.lit(1)).alias("size"), F.min(F.when(apart, F.col("distance"))).alias("least"))
+        .where("size > 1 and least is not null")
+    )
+    placed = (
+        group.join(open_, "leader")
+        .where(F.col("distance") >= F.col("least") - width - 1e-9)
+        .withColumn("bin", F.floor(F.col("distance") / (width + 1e-9)).cast("int"))
+        .withColumn("splits", F.ceil(F.col("size") / TILE).cast("int"))
+        .withColumn("split", F.pmod(F.xxhash64("class"), F.col("splits")).cast("int"))
+    )
+    every = F.sequence(F.lit(0), F.col("splits") - 1)
+    tile = lambda b, i, j: F.struct(b.cast("int").alias("bin"), i.cast("int").alias("i"), j.cast("int").alias("j"))
+    tiles = F.array_union(
+        F.transform(every, lambda k: tile(F.col("bin"), F.col("split"), k)),
+        F.array_union(
+            F.transform(every, lambda k: tile(F.col("bin"), k, F.col("split"))),
+            F.transform(every, lambda k: tile(F.col("bin") - 1, k, F.col("split"))),
+        ),
+    )
+    placed = placed.select("class", "leader", "component", F.col("bin").alias("own_bin"), "split", F.explode(tiles).alias("t")).where("t.bin >= 0")
+    keys = ["leader", "bin", "i", "j"]
+    rows = placed.select(
+        "class", "leader", "component", "t.bin", "t.i", "t.j",
+        ((F.col("own_bin") == F.col("t.bin")) & (F.col("split") == F.col("t.i"))).alias("native"),
+        (F.col("split") == F.col("t.j")).alias("guest"),
+    )
+    # A tile needs a native and someone of another component.
+    useful = (
+        rows.groupBy(*keys)
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("native").alias("any"), F.count(F.lit(1)).alias("n"))
+        .where("low != high and any and n > 1")
+        .select(*keys)
+    )
+    filled = rows.join(useful, keys).join(sets, "class")
+    return filled.groupBy(*keys).applyInArrow(_tile_links(percent), "a binary, b binary")
+
+
+def _tile_links(percent: int):
+    def run(tile: pa.Table) -> pa.Table:
+        names = tile.column("class").to_pylist()
+        component = np.unique(np.array(tile.column("component").to_pylist(), object), return_inverse=True)[1]
+        native, guest = (tile.column(c).to_numpy() for c in ("native", "guest"))
+        raw = tile.column("set").combine_chunks()
+        raw = raw.chunk(0) if isinstance(raw, pa.ChunkedArray) else raw
+        flat = raw.flatten().to_numpy()
+        sizes = np.diff(raw.offsets.to_numpy())
+        owner = np.repeat(np.arange(len(names)), sizes)
+        # Shingles of one class alone are in no intersection.
+        _, code, times = np.unique(flat, return_inverse=True, return_counts=True)
+        shared = times[code] > 1
+        code, owner = np.unique(code[shared], return_inverse=True)[1], owner[shared]
+        x, y = np.flatnonzero(native), np.flatnonzero(guest)
+        both = np.zeros((len(x), len(y)), np.float32)
+        order = np.argsort(code, kind="stable")
+        code, owner = code[order], owner[order]
+        for start in range(0, int(code[-1]) + 1 if len(code) else 0, 8192):
+            lo, hi = np.searchsorted(code, [start, start + 8192])
+            part = np.zeros((len(names), 8192), np.float32)
+            part[owner[lo:hi], code[lo:hi] - start] = 1
+            both += part[x] @ part[y].T
+        i, j = np.nonzero(100 * both >= percent * (sizes[x][:, None] + sizes[y][None, :] - both))
+        i, j = x[i], y[j]
+        label, a, b = component, [], []
+        while True:
+            differ = label[i] != label[j]
+            i, j = i[differ], j[differ]
+            if not len(i):
+                break
+            a.append(names[i[0]])
+            b.append(names[j[0]])
+            label = np.where(label == label[i[0]], label[j[0]], label)
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, width: int = WORDS) -> DataFrame:
     """``(id_col, n_shingles, component_id, kept)``, one row per input row.
 
@@ -177,28 +276,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = measured.where(_linked(percent)).select(F.col("class").alias("a"), F.col("other").alias("b"))
     found = cut(connected_components(links))
 
-    # Buckets that the stars left in several components.
-    far = 1 - percent / 100
-    named = (
-        members.join(found.withColumnRenamed("node", "class"), "class", "left")
-        .join(measured.select("class", F.col("other").alias("leader"), "distance"), ["class", "leader"], "left")
-        .select("bucket", "class", "n", F.coalesce("component", "class").alias("component"), F.coalesce("distance", F.lit(0.0)).alias("distance"))
-    )
-    named = table(named)
-    several = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("bucket")
-    rest = table(named.join(several, "bucket"))
-    x, y = rest.alias("x"), rest.alias("y")
-    pairs = (
-        x.join(y, F.col("x.bucket") == F.col("y.bucket"))
-        .where((F.col("x.class") < F.col("y.class")) & (F.col("x.component") != F.col("y.component")))
-        .where(F.abs(F.col("x.distance") - F.col("y.distance")) <= far + 1e-9)
-        .where(100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
-        .select(F.col("x.class").alias("class"), F.col("y.class").alias("other"))
-        .distinct()
-        .join(measured.select("class", "other"), ["class", "other"], "left_anti")
-        .join(measured.select(F.col("class").alias("other"), F.col("other").alias("class")), ["class", "other"], "left_anti")
-    )
-    more = cut(_overlaps(cut(pairs), sets).where(_linked(percent)).select(F.col("class").alias("a"), F.col("other").alias("b")))
+    more = cut(_across(measured, found, sets, percent))
     if not more.isEmpty():
         found = connected_components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     return _named(profiles, classes, found, id_col)
