@@ -5,17 +5,57 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import minhash
-from .common import read
+from . import embeddings, minhash, packing, secrets, sharding, syncmers, toxicity
+from .common import fold, read
+
+
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model, keep_text=False)
+    return scored.select(
+        "doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(read(spark, sf_dir, "documents"))
+
+
+def op8_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.edit_report(read(spark, sf_dir, "documents"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    findings, _ = secrets.scan(read(spark, sf_dir, "documents"))
+    return secrets.digest(findings)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_minhash_near_dedup,)
+    f.__name__: f
+    for f in (
+        op2_embedding_near_dedup,
+        op3_minhash_near_dedup,
+        op4_toxicity,
+        op5_sharding,
+        op8_syncmer_fingerprints,
+        op9_packing,
+        op10_secret_scan,
+    )
 }
 
 #: DuckDB SQL for the operators that it can express on whole tables.
