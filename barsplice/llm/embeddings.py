@@ -98,7 +98,7 @@ def _near(d: np.ndarray, home: np.ndarray, radii: np.ndarray, reach: float) -> n
 def _tile_links(least: float):
     """Weighted link counts of a tile's members among its natives, and a spanning forest of the links."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(pdf):
         natives, members = pdf[pdf["native"]], pdf[~pdf["native"]]
         empty = pd.DataFrame({"point": pd.Series(dtype=object), "links": pd.Series(dtype="int64"), "other": pd.Series(dtype=object)})
         if not len(natives) or not len(members):

@@ -209,7 +209,7 @@ def _across(measured: DataFrame, found: DataFrame, sets: DataFrame, percent: int
 
 
 def _tile_links(percent: int):
-    def run(tile: pa.Table) -> pa.Table:
+    def run(tile):
         names = tile.column("class").to_pylist()
         component = np.unique(np.array(tile.column("component").to_pylist(), object), return_inverse=True)[1]
         native, guest = (tile.column(c).to_numpy() for c in ("native", "guest"))
