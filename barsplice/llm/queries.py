@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, minhash, packing, secrets, sharding, syncmers, toxicity
+from . import embeddings, language_model, licenses, minhash, packing, secrets, sentencepiece, sharding, syncmers, toxicity
 from .common import fold, read
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.encode(read(spark, sf_dir, "documents"))
+
+
 def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
 
@@ -32,6 +36,14 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"))
 
 
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(read(spark, sf_dir, "documents"))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 def op8_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.edit_report(read(spark, sf_dir, "documents"))
 
@@ -48,10 +60,13 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_sentencepiece,
         op2_embedding_near_dedup,
         op3_minhash_near_dedup,
         op4_toxicity,
         op5_sharding,
+        op6_language_model,
+        op7_license_scan,
         op8_syncmer_fingerprints,
         op9_packing,
         op10_secret_scan,

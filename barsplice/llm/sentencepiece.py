@@ -125,7 +125,8 @@ class DoubleArray:
         free = np.ones(size, bool)
         free[0] = False
         self.check[0] = 0
-        low, queue = 1, [(0, 0)]
+        # Branching nodes go where ``cursor`` has come to, single children fill the gaps from ``low`` on.
+        low, cursor, queue = 1, 1, [(0, 0)]
         while queue:
             following = []
             for node, at in queue:
@@ -133,9 +134,12 @@ class DoubleArray:
                 codes = np.array(sorted(children[node]), np.int64)
                 if not len(codes):
                     continue
-                while low < len(free) and not free[low]:
-                    low += 1
-                base = max(1, low - int(codes[0]))
+                if len(codes) == 1:
+                    while not free[low]:
+                        low += 1
+                    base = low - int(codes[0])
+                else:
+                    base = cursor
                 while True:
                     if base + int(codes[-1]) >= len(free):
                         more = len(free)
@@ -145,6 +149,7 @@ class DoubleArray:
                     if free[base + codes].all():
                         break
                     base += 1
+                cursor = cursor if len(codes) == 1 else base
                 self.base[at] = base
                 free[base + codes] = False
                 self.check[base + codes] = at
@@ -154,25 +159,27 @@ class DoubleArray:
         self.base = np.concatenate([self.base, np.zeros(pad, np.int32)])
         self.check, self.value = (np.concatenate([x, np.full(pad, -1, np.int32)]) for x in (self.check, self.value))
 
-    def codes(self, text: str) -> np.ndarray:
-        """Code of each character; 0 if no word holds it."""
-        get = self.code.get
-        return np.fromiter((get(c, 0) for c in text), np.int32, len(text))
+        self.code_of = np.zeros(max(map(ord, letters), default=0) + 2, np.int32)
+        self.code_of[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+
+    def codes(self, points: np.ndarray) -> np.ndarray:
+        """Code of each code point; 0 if no word holds it."""
+        return self.code_of[np.minimum(points, len(self.code_of) - 1)]
 
 
-def segment(vocabulary: Vocabulary, words: list[str]) -> list[tuple[tuple[int, ...], float]]:
-    """Ids and score of the best path of each word (not empty)."""
+def segment(vocabulary: Vocabulary, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Best paths of words (none empty): all ids in one array, ids of each word, and scores."""
     trie = vocabulary.trie
     sizes = np.fromiter(map(len, words), np.int64, len(words))
-    text = "".join(words)
-    codes = np.concatenate([trie.codes(text), np.zeros(trie.longest, np.int32)])
+    points = np.frombuffer("".join(words).encode("utf-32-le"), "<u4")
+    codes = np.concatenate([trie.codes(points), np.zeros(trie.longest, np.int32)])
     begins = np.cumsum(sizes) - sizes
     word_of = np.repeat(np.arange(len(words)), sizes)
     ends = (begins + sizes)[word_of]
     # All matches, from all places at once.
-    at, state = np.arange(len(text)), np.zeros(len(text), np.int64)
+    at, state = np.arange(len(points)), np.zeros(len(points), np.int64)
     starts, stops, ids = [], [], []
-    single = np.zeros(len(text), bool)
+    single = np.zeros(len(points), bool)
     for depth in range(trie.longest):
         go = at + depth < ends[at]
         at, state = at[go], state[go]
@@ -196,60 +203,70 @@ def segment(vocabulary: Vocabulary, words: list[str]) -> list[tuple[tuple[int, .
     gain = np.where(ident == vocabulary.unknown_id, vocabulary.unknown, vocabulary.scores[ident]).astype(np.float32)
     # The lattice, one step for each distance from a word's begin; ties go to the longest piece.
     reach = stop - begins[word_of[start]]
-    order = np.lexsort((start, stop, reach))
+    order = np.argsort((reach * (len(points) + 1) + stop) * (trie.longest + 1) - np.minimum(stop - start, trie.longest))
     start, stop, ident, gain, reach = (x[order] for x in (start, stop, ident, gain, reach))
-    best, back = np.zeros(len(text) + 1, np.float32), np.zeros(len(text) + 1, np.int64)
-    cuts = np.searchsorted(reach, np.arange(1, int(sizes.max()) + 2))
-    open_score = np.zeros(len(text) + 1, np.float32)
-    first = np.zeros(len(text) + 1, bool)
+    # A word's end is the next one's begin: ``score`` of a begin is always 0.
+    score, back = np.zeros(len(points) + 1, np.float32), np.zeros(len(points) + 1, np.int64)
+    first = np.zeros(len(points) + 1, bool)
     first[begins] = True
+    cuts = np.searchsorted(reach, np.arange(1, int(sizes.max()) + 2))
     for lo, hi in zip(cuts, cuts[1:], strict=False):
         s, e = start[lo:hi], stop[lo:hi]
-        value = np.where(first[s], np.float32(0), open_score[s]) + gain[lo:hi]
+        value = np.where(first[s], np.float32(0), score[s]) + gain[lo:hi]
         heads = np.flatnonzero(np.concatenate([[True], e[1:] != e[:-1]]))
         top = np.maximum.reduceat(value, heads)
         owner = np.repeat(np.arange(len(heads)), np.diff([*heads, len(e)]))
         won = np.flatnonzero(value == top[owner])
-        pick = won[np.unique(owner[won], return_index=True)[1]]
+        pick = won[np.concatenate([[True], owner[won[1:]] != owner[won[:-1]]])]
         back[e[pick]] = lo + pick
-        best[e[pick]] = top
-        open_score[e[pick]] = top
-    # A stop may be the next word's begin: ``first`` keeps their scores apart, ``back`` is read from behind.
-    out = []
-    begin_list, back_list, start_list, id_list = begins.tolist(), back.tolist(), start.tolist(), ident.tolist()
-    for w, begin in enumerate(begin_list):
-        place = end = begin + len(words[w])
-        path = []
-        while place > begin:
-            edge = back_list[place]
-            piece = id_list[edge]
-            a = start_list[edge]
-            if piece == vocabulary.unknown_id and vocabulary.byte_id:
-                path += [vocabulary.byte_id[b] for b in reversed(text[a:place].encode())]
-            else:
-                path.append(piece)
-            place = a
-        out.append((tuple(reversed(path)), float(best[end])))
-    return out
+        score[e[pick]] = top
+    # Back from all ends at once.
+    who, place, step = np.arange(len(words)), begins + sizes, 0
+    seen = []
+    while len(who):
+        edge = back[place]
+        seen.append((who, np.full(len(who), step), edge))
+        place = start[edge]
+        more = place > begins[who]
+        who, place, step = who[more], place[more], step + 1
+    who, steps, edges = (np.concatenate([x[i] for x in seen]) for i in range(3))
+    order = np.lexsort((-steps, who))
+    who, edges = who[order], edges[order]
+    path = ident[edges]
+    unknown = np.flatnonzero(path == vocabulary.unknown_id) if vocabulary.byte_id else np.empty(0, np.int64)
+    if len(unknown):
+        raw = [chr(c).encode() for c in points[start[edges[unknown]]].tolist()]
+        repeat = np.ones(len(path), np.int64)
+        repeat[unknown] = [len(b) for b in raw]
+        to = np.cumsum(repeat) - repeat
+        who, path = np.repeat(who, repeat), np.repeat(path, repeat)
+        for i, b in zip(to[unknown].tolist(), raw, strict=True):
+            path[i : i + len(b)] = [vocabulary.byte_id[x] for x in b]
+    return path.astype(np.int32), np.bincount(who, minlength=len(words)), score[begins + sizes].astype(np.float64)
 
 
 class Encoder:
     """Texts to ids, with the segmentations of words seen lately."""
 
-    limit = 300_000
+    limit = 400_000
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         line = "" if "\n" in vocabulary.trie.code else "\n"
         self.words = re.compile(f"{MARK}*[^{MARK}{line}]+|{MARK}+" + (f"|{line}" if line else "")).findall
-        self.known: dict[str, tuple[tuple[int, ...], float]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.ids, self.size, self.score = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0)
 
     def split(self, text: str) -> list[str]:
         if not text:
             return []
         return self.words((MARK if self.vocabulary.prefix else "") + text.replace(" ", MARK))
 
-    def encode(self, texts: list[str], step: int = 1 << 20) -> Iterator[tuple[np.ndarray, float]]:
+    def encode(self, texts: list[str], step: int = 1 << 21) -> Iterator[tuple[np.ndarray, float]]:
+        """Ids and score of each text, worked out for about ``step`` characters at a time."""
         i = 0
         while i < len(texts):
             split, size = [], 0
@@ -257,14 +274,18 @@ class Encoder:
                 split.append(self.split(texts[i]))
                 size += len(texts[i])
                 i += 1
-            if len(self.known) > self.limit:
-                self.known.clear()
-            new = list(set(chain.from_iterable(split)) - self.known.keys())
+            if len(self.place) > self.limit:
+                self._forget()
+            new = list(set(chain.from_iterable(split)).difference(self.place))
             if new:
-                self.known.update(zip(new, segment(self.vocabulary, new), strict=True))
+                self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
+                parts = segment(self.vocabulary, new)
+                self.ids, self.size, self.score = (np.concatenate(x) for x in zip((self.ids, self.size, self.score), parts, strict=True))
+            begins = np.cumsum(self.size) - self.size
             for words in split:
-                found = [self.known[w] for w in words]
-                yield np.fromiter(chain.from_iterable(f[0] for f in found), np.int32), sum(f[1] for f in found)
+                at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+                n = self.size[at]
+                yield self.ids[np.repeat(begins[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())], float(self.score[at].sum())
 
 
 class Decoder:
