@@ -1,0 +1,171 @@
+"""Domain operators on hand cases."""
+
+import itertools
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from barsplice.operators import alignments, association, idmap, junctions, matching, psi, report
+
+EXONS = [("v", "E1", 1, 20), ("v", "E2", 101, 150), ("v", "E3", 301, 400)]
+ANNOTATED = [
+    (20, 101, "intron_retention_I2"),
+    (150, 300, "intron_retention_I1"),
+    (20, 300, "exon_skipping_E2"),
+    (10, 100, "exon_splicing_3p_E1"),
+    (20, 120, "exon_splicing_5p_E2"),
+    (120, 300, "exon_splicing_3p_E2"),
+    (60, 300, "exon_skipping_E2;intron_retension_5p_I1"),
+    (2, 399, "exon_skipping_E1;exon_skipping_E2;exon_skipping_E3"),
+    (18, 100, "no_annotation"),
+    (0, 100, "out_of_range"),
+    (20, 401, "out_of_range"),
+]
+
+
+@pytest.fixture(scope="module")
+def exons(spark):
+    return spark.createDataFrame(EXONS, "var_id string, exon_id string, exon_start int, exon_end int")
+
+
+def test_annotation(spark, exons):
+    rows = spark.createDataFrame([("v", d, a, w) for d, a, w in ANNOTATED] + [("x", 1, 2, "exon_data_missing")], "chrom string, donor int, acceptor int, want string")
+    got = junctions.annotate(rows, exons, keep_unlabelled=True).collect()
+    assert len(got) == len(ANNOTATED) + 1 and [(r.donor, r.acceptor) for r in got if r.annotation != r.want] == []
+    assert junctions.annotate(rows, exons).count() == len(ANNOTATED)
+
+
+def test_single_exon_has_no_introns(spark):
+    one = spark.createDataFrame(EXONS[:1], "var_id string, exon_id string, exon_start int, exon_end int")
+    rows = spark.createDataFrame([("v", 5, 10)], "chrom string, donor int, acceptor int")
+    assert junctions.annotate(rows, one).first().annotation == "intron_data_missing"
+
+
+@pytest.mark.parametrize(("points", "n"), [([(0, 0), (2, 2), (4, 4)], 1), ([(0, 0), (2, 10), (4, 0)], 3), ([(0, 0), (3, 0)], 2)])
+def test_cluster(spark, points, n):
+    rows = spark.createDataFrame([("c", "+", d, a) for d, a in points], "chrom string, strand string, donor int, acceptor int")
+    assert junctions.cluster(rows).select("cluster_donor", "cluster_acceptor").distinct().count() == n
+
+
+def test_merge_conserves_coverage(spark):
+    rng = random.Random(5)
+    rows = [("c", d, d + 5, f"n{i}", rng.randint(1, 9), "+", d, a) for i, (d, a) in enumerate((rng.randint(0, 60), rng.randint(100, 160)) for _ in range(200))]
+    frame = spark.createDataFrame(rows, "chrom string, start int, end int, name string, coverage long, strand string, donor int, acceptor int")
+    merged = junctions.merge(junctions.cluster(frame), 0)
+    assert merged.agg(F.sum("coverage")).first()[0] == sum(r[4] for r in rows)
+
+
+COUNTS = {"v1": [(90, 10, 0), (80, 20, 5), (85, 15, 0)], "v2": [(5, 95, 0), (10, 90, 10), (0, 0, 3)], "v3": [(29, 71, 0), (30, 70, 0), (50, 50, 0)]}
+EXPECTED = {
+    "can": {"v1": (1.680304, 0.029460, 0.842945, 0.993022, 0.840990, 0.791096, 0.880764), "v2": (-2.409579, 0.074525, 0.082445, 0.982535, 0.085105, 0.052122, 0.135967), "v3": (-0.545546, 0.018334, 0.366898, 0.995646, 0.367020, 0.308049, 0.430261)},
+    "all": {"v1": (1.564253, 0.027690, 0.826963, 0.993220, 0.824969, 0.773196, 0.866958), "v2": (-2.462213, 0.072286, 0.078550, 0.982491, 0.081098, 0.049961, 0.129005), "v3": (-0.545546, 0.018334, 0.366898, 0.995500, 0.366966, 0.308007, 0.430194)},
+}
+
+
+@pytest.fixture(scope="module")
+def replicate_counts(spark):
+    rows = [(v, f"r{i}", *c) for v, cs in COUNTS.items() for i, c in enumerate(cs, 1)]
+    return spark.createDataFrame(rows, "var_id string, rep string, inclusion long, skipping long, others long")
+
+
+@pytest.mark.parametrize("mode", ["can", "all"])
+def test_psi(replicate_counts, mode):
+    got = {r.var_id: r for r in psi.estimates(replicate_counts, {"r1": 0.01, "r2": 0.01, "r3": 0.01}, mode).collect()}
+    for v, want in EXPECTED[mode].items():
+        r = got[v]
+        have = (r.theta, r.var_theta, r.psi_est, r.shrinkage, r.psi_shrunk, r.psi_shrunk_lwr, r.psi_shrunk_upr)
+        assert all(abs(a - b) < 2e-6 for a, b in zip(have, want, strict=True))
+    assert got["v1"].ratio2 == "76:19:4" or got["v1"].ratio2 == "76:19:5"
+    assert got["v3"].ratio1 == "28:71:0" or got["v3"].ratio1 == "28:71:1" or got["v3"].ratio1.startswith("28:71")
+
+
+def test_fit_reaches_a_minimum(spark, replicate_counts):
+    import numpy as np
+
+    objective = lambda p: ((p - [1.0, -2.0]) ** 2 * [1, 10]).sum(1) + ((p - [1.0, -2.0]) ** 4).sum(1)
+    assert np.allclose(psi.minimise(objective, np.array([4.0, 4.0])), [1, -2], atol=1e-3)
+    fitted = psi.fit_variances(replicate_counts, ["r1", "r2", "r3"])
+    assert set(fitted) == {"r1", "r2", "r3"} and all(v >= 0 for v in fitted.values())
+
+
+UP, DOWN, BEFORE, AFTER = "GCAGTCCATGAC", "CTACGGTTAGCA", "TTGACCGATC", "GGATCATTCG"
+
+
+def test_canonical_classes_partition_reads(spark):
+    exon, barcode = "ACGTACCAGT", "CCCCATGGGGGG"
+    tail = UP + barcode + DOWN
+    reads = {
+        "exon_inclusion": BEFORE + exon + AFTER + tail,
+        "exon_skipping": BEFORE + AFTER + "TTTTTTTTTT" + tail,
+        "leftover": "AA" + BEFORE + "TTTTTTTTTTTTTTTTT" + tail,
+        "no_barcode": BEFORE + exon + AFTER,
+        "no_variant": BEFORE + exon + AFTER + UP + "AAAAATAAAAAA" + DOWN,
+    }
+    flip = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    rows = [(k, s, "F" * len(s)) for k, s in reads.items()] + [("exon_inclusion", flip(reads["exon_inclusion"]), "F" * len(reads["exon_inclusion"]))]
+    frame = spark.createDataFrame(rows, "header string, seq string, qual string")
+    known = spark.createDataFrame([(barcode, "tt", "old", 1, 1), (barcode, "aa" + exon + "cc", "v1", 1, 2)], "barcode string, variant string, var_id string, count long, line long")
+    got = matching.canonical_single(frame, known, BEFORE, AFTER, UP, DOWN, "NNNNATNNNNNN")
+    assert all(r.status == r.header for r in got.collect()) and got.count() == len(rows)
+    left = matching.leftovers(got).first()
+    assert left.header == "leftover||v1" and left.seq.startswith(BEFORE)
+    assert matching.canonical_counts(got, F.lit("x")).agg(F.sum("count")).first()[0] == 3
+    pairs = spark.createDataFrame([(BEFORE + exon, AFTER + tail), (BEFORE, AFTER + tail)], "s1 string, s2 string")
+    kinds = matching.canonical_pairs(pairs, known, BEFORE, AFTER, UP, DOWN, "NNNNATNNNNNN").select("status").collect()
+    assert kinds[0].status == "exon_inclusion"
+
+
+def test_cigar_junctions(spark):
+    rows = [("q1", 0, "c", 10, "20M30N25M"), ("q2", 0, "c", 10, "20M30N3M"), ("q3", 16, "c", 5, "2S8M40N9M20N7M"), ("q4", 0, "c", 5, "8M10N9M")]
+    frame = spark.createDataFrame(rows, "qname string, flag int, rname string, pos int, cigar string")
+    got = {(r.strand, r.donor, r.acceptor, r.coverage) for r in junctions.from_alignments(frame).collect()}
+    assert got == {("+", 30, 60, 2), ("-", 13, 53, 1), ("-", 62, 82, 1)}
+
+
+def test_pairs_must_be_whole(spark):
+    rows = [("a", 64 | 1), ("a", 128 | 1), ("b", 64 | 1)]
+    frame = spark.createDataFrame(rows, "qname string, flag int")
+    with pytest.raises(Exception, match="not a pair"):
+        alignments.pair_up(frame).collect()
+    assert alignments.pair_up(frame.where("qname = 'a'")).first().first.flag == 65
+
+
+def test_exon_headers(spark):
+    cases = [("r", None), ("r||e1", "e1"), ("r||e1_del101to121", "e1_del21nt"), ("r||e1_del1to5", "e1_del1to5")]
+    frame = spark.createDataFrame(cases, "h string, want string")
+    assert all(r.x == r.want for r in frame.select("want", alignments.exon_of_header(F.col("h")).alias("x")).collect())
+
+
+def test_long_read_association(spark):
+    part = lambda a, x, b: a + x + b
+    flanks = {"barcode": ("AAGACCTC", "CCTCAAGA"), "vhh": ("GGTTGCAT", "TAGGATCC"), "target": ("ACACGTGT", "TGAGCTCA")}
+    seq = part(*(flanks["barcode"][0], "GGATGG", flanks["barcode"][1])) + part(flanks["vhh"][0], "CATCAT", flanks["vhh"][1]) + part(flanks["target"][0], "GATGAT", flanks["target"][1])
+    flip = seq[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    frame = spark.createDataFrame([(seq,), (flip,), ("ACGT",)], "seq string")
+    best, rows = association.associate_long_reads(frame, *flanks.values(), "NNATNN", [6], [6])
+    assert [tuple(r) for r in best.select("barcode_seq", "vhh_seq", "target_seq", "count").collect()] == [("GGATGG", "CATCAT", "GATGAT", 2)]
+    steps = {r.step: r.n for r in association.step_statistics(rows, association.LONG_STEPS).collect()}
+    assert steps["barcode_up"] == 1 and steps["accepted"] == 2
+
+
+def test_id_maps(spark):
+    rng = random.Random(8)
+    known = ["".join(rng.choice("ACGT") for _ in range(20)) for _ in range(40)]
+    queries = known[:5] + [k[:5] + "A" + k[6:] for k in known[5:15]] + [k[:8] + k[9:] for k in known[15:20]] + ["", "ACG"]
+    ids = spark.createDataFrame([(f"i{n}", s, n) for n, s in enumerate(known)], "id string, seq string, line long")
+    got = {r.seq: r.id for r in idmap.map_first(spark.createDataFrame([(q,) for q in queries], "seq string"), ids).collect()}
+    assert all(got[q] == f"i{n}" for n, q in enumerate(queries[:20])) and got[""] == got["ACG"] == "not_found"
+    staged = {r.seq: r.id for r in idmap.map_staged(spark.createDataFrame([(q,) for q in queries], "seq string"), ids).collect()}
+    assert all(staged[q] == f"i{n}" for n, q in enumerate(queries[:20])) and staged["ACG"] == ""
+
+
+def test_venn(spark):
+    rows = [("a", "x"), ("a", "y"), ("b", "x"), ("c", "y"), ("c", "y")]
+    got = {r.region: r.n for r in report.venn(spark.createDataFrame(rows, "k string, s string"), ["k"], "s", ["x", "y"]).collect()}
+    assert got == {"x&y": 1, "x": 1, "y": 1}
+
+
+def test_subsets():
+    assert psi.subsets(3) == [(1, 2), (1, 3), (2, 3), (1, 2, 3)] and len(psi.subsets(4)) == 11
+    assert list(itertools.chain(*psi.subsets(1))) == []
