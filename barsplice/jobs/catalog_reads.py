@@ -248,3 +248,44 @@ def stat_add(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reads_summary_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "counts").groupBy("var_id").agg(*(F.sum(c).alias(c) for c in ("inclusion", "skipping")), F.sum(F.expr("inclusion + skipping + others")).alias("total"))
     return R.read_percentages(rows, "total", ["inclusion", "skipping"], "var_id")
+
+
+@query("""WITH m AS (SELECT barcode AS k, 'canonical' AS s FROM {canonical} UNION ALL SELECT barcode, 'known' FROM {barcode_map} UNION ALL SELECT barcode, 'inclusion' FROM {canonical} WHERE ref_type = 'exon_inclusion')
+    SELECT region, count(*) AS n FROM (SELECT k, concat_ws('&', CASE WHEN bool_or(s = 'canonical') THEN 'canonical' END, CASE WHEN bool_or(s = 'known') THEN 'known' END, CASE WHEN bool_or(s = 'inclusion') THEN 'inclusion' END) AS region FROM m GROUP BY k) GROUP BY region""")
+def barcode_venn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen, known = table(spark, sf_dir, "canonical"), table(spark, sf_dir, "barcode_map")
+    rows = seen.select("barcode", F.lit("canonical").alias("s")).unionByName(known.select("barcode", F.lit("known").alias("s")))
+    rows = rows.unionByName(seen.where("ref_type = 'exon_inclusion'").select("barcode", F.lit("inclusion").alias("s")))
+    return R.venn(rows, ["barcode"], "s", ["canonical", "known", "inclusion"])
+
+
+@query("SELECT var_id, barcode, ref_type, count, 'se' AS layout FROM {canonical} WHERE count > 45 UNION ALL SELECT var_id, barcode, ref_type, count, 'pe' FROM {canonical} WHERE count <= 2")
+def union_se_pe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "canonical")
+    return rows.where("count > 45").withColumn("layout", F.lit("se")).unionByName(rows.where("count <= 2").withColumn("layout", F.lit("pe")))
+
+
+@query(f"""WITH a AS (SELECT seq, length(header) % 13 AS pos, length(header) % 13 + length(seq) AS pos_end, CASE WHEN length(header) % 2 = 0 THEN 'exon_inclusion_x' ELSE 'exon_skipping_x' END AS rname FROM {{reads}}),
+    f AS (SELECT * RENAME (raw AS raw1) FROM (SELECT * EXCLUDE (u, d) FROM {_extracted('a')})),
+    r AS (SELECT * FROM {_extracted(f"(SELECT *, {rc('seq')} AS other FROM f)", "other")}),
+    b AS (SELECT rname, coalesce(raw1, raw) AS barcode, {_checked('coalesce(raw1, raw)')} IS NOT NULL AND (CASE WHEN rname = 'exon_inclusion_x' THEN 15 - pos > 5 AND pos_end - 27 > 5 ELSE 15 - pos > 5 AND pos_end - 15 > 5 END) AS kept FROM r)
+    SELECT CASE WHEN rname = 'exon_inclusion_x' THEN 'exon_inclusion' ELSE 'exon_skipping' END AS ref_type, barcode, count(*) AS count FROM b WHERE kept GROUP BY ALL""")
+def canonical_align_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.length("header")
+    rows = table(spark, sf_dir, "reads").select(
+        "seq", (n % 13).alias("pos"), (n % 13 + F.length("seq")).alias("pos_end"), F.when(n % 2 == 0, "exon_inclusion_x").otherwise("exon_skipping_x").alias("rname")
+    )
+    lengths = spark.createDataFrame([("exon_inclusion_x", [15, 12, 10]), ("exon_skipping_x", [15, 10])], "reference string, lengths array<int>")
+    kept = M.aligned_single(rows, lengths, UP, DOWN, TEMPLATE).where("kept")
+    return kept.groupBy("ref_type", "barcode").agg(F.count(F.lit(1)).alias("count"))
+
+
+@query(f"""WITH k AS (SELECT upper(seq) AS seq, max_by(id, line) AS id, min(line) AS ord FROM {{ids}} GROUP BY upper(seq)),
+    q AS (SELECT DISTINCT upper(seq) AS seq FROM {{queries}}), x AS (SELECT min(length(seq)) AS lo, max(length(seq)) AS hi FROM k),
+    f AS (SELECT q.seq, unnest([0, 1]) AS rc, unnest([q.seq, {rc('q.seq')}]) AS s FROM q, x WHERE length(q.seq) BETWEEN lo - 2 AND hi + 2),
+    d AS (SELECT f.seq, f.rc, k.ord, k.id, levenshtein(f.s, k.seq) AS d, CASE WHEN length(f.s) = length(k.seq) THEN hamming(f.s, k.seq) END AS h FROM f, k WHERE levenshtein(f.s, k.seq) <= 4),
+    h AS (SELECT seq, rc, ord, id, CASE WHEN d = 0 THEN rc WHEN h <= 2 THEN 2 + rc ELSE 4 END AS stage, d FROM d),
+    b AS (SELECT seq, arg_min(id, [stage, CASE WHEN stage = 4 THEN d ELSE 0 END, ord, rc]) AS id FROM h GROUP BY seq)
+    SELECT q.seq, coalesce(b.id, '') AS id FROM q LEFT JOIN b USING (seq)""")
+def id_map_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.map_staged(table(spark, sf_dir, "queries"), table(spark, sf_dir, "ids"))
