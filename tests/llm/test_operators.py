@@ -345,7 +345,7 @@ def test_toxicity(spark, docs, empty):
     held = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 == 0]
     scores = {r.doc_id: r.score for r in toxicity.score(frame, model).collect()}
     assert sum((scores[i] >= 0.5) == (i % 4 == 0) for i in held) >= 0.85 * len(held)
-    assert model.scorer().score("hello idioot there") > model.scorer().score("hello there my")
+    assert model.scorer().scores(["hello idioot there"]) > model.scorer().scores(["hello there my"])
     got = toxicity.score(docs, model)
     assert got.count() == len(corpus()) and set(docs.columns) == set(got.columns)
     assert got.where("score is null or score < 0 or score > 1").count() == 0
