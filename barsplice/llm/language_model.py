@@ -45,6 +45,27 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+def _pack_counts(counts: np.ndarray) -> bytes:
+    """One byte each where that is enough, else four; the first byte tells."""
+    small = not len(counts) or counts.max() < 256
+    return (b"\1" if small else b"\4") + counts.astype("u1" if small else "<u4").tobytes()
+
+
+def _unpack_counts(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, "u1" if raw[:1] == b"\1" else "<u4", offset=1).astype(np.int64)
+
+
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Differences of sorted keys by byte position: the high positions are zeros that the shuffle's compression removes."""
+    gaps = np.diff(keys, prepend=np.uint64(0))
+    return gaps.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpack_keys(raw: bytes) -> np.ndarray:
+    gaps = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+    return np.cumsum(gaps, dtype=np.uint64)
+
+
 class _Block:
     """Tokens of a block's texts: hashes of words, one end token a text, and their contexts."""
 
@@ -78,12 +99,12 @@ def _ask(shift: int):
         held = np.repeat((block.fold == WEIGHT_FOLD), block.sizes)
         out = {n: [] for n in ("block", "part", "kind", "keys", "everything", "held", "texts", "held_texts")}
         for kind, keys, at in block.grams():
-            everything = np.bincount(at[train], minlength=len(keys)).astype("<u4")
-            deleted = np.bincount(at[held], minlength=len(keys)).astype("<u4")
+            everything = np.bincount(at[train], minlength=len(keys))
+            deleted = np.bincount(at[held], minlength=len(keys))
             part = (keys >> np.uint64(shift)).astype(np.int64) if shift < 64 else np.zeros(len(keys), np.int64)
             names, begins = np.unique(part, return_index=True)
             for p, a, b in zip(names, begins, [*begins[1:], len(keys)], strict=True):
-                for n, v in (("block", key[0].as_py()), ("part", int(p)), ("kind", kind), ("keys", keys[a:b].astype("<u8").tobytes()), ("everything", everything[a:b].tobytes()), ("held", deleted[a:b].tobytes())):
+                for n, v in (("block", key[0].as_py()), ("part", int(p)), ("kind", kind), ("keys", _pack_keys(keys[a:b])), ("everything", _pack_counts(everything[a:b])), ("held", _pack_counts(deleted[a:b]))):
                     out[n].append(v)
                 first = kind == UNIGRAM and not out["texts"]
                 out["texts"].append(int((block.fold != TEST_FOLD).sum()) if first else 0)
@@ -102,9 +123,9 @@ def _answer(key, rows):
         asked = rows.filter(pa.compute.equal(rows.column("kind"), kind)).to_pylist()
         if not asked:
             continue
-        keys = [np.frombuffer(r["keys"], "<u8") for r in asked]
+        keys = [_unpack_keys(r["keys"]) for r in asked]
         names, at = np.unique(np.concatenate(keys), return_inverse=True)
-        counts = [np.bincount(at, np.concatenate([np.frombuffer(r[c], "<u4") for r in asked]), len(names)).astype(np.int64) for c in ("everything", "held")]
+        counts = [np.bincount(at, np.concatenate([_unpack_counts(r[c]) for r in asked]), len(names)).astype(np.int64) for c in ("everything", "held")]
         everything, held = counts
         if kind == UNIGRAM:
             texts, held_texts = (sum(r[c] for r in asked) for c in ("texts", "held_texts"))
@@ -114,10 +135,10 @@ def _answer(key, rows):
         end = 0
         for r, k in zip(asked, keys, strict=True):
             mine, end = at[end : end + len(k)], end + len(k)
-            own = np.frombuffer(r["held"], "<u4") > 0
-            out.append((r["block"], part, kind, everything[mine].astype("<u4").tobytes(), None, 0, 0, 0))
+            own = _unpack_counts(r["held"]) > 0
+            out.append((r["block"], part, kind, _pack_counts(everything[mine]), None, 0, 0, 0))
             if own.any():
-                out.append((r["block"], part, kind + 2, everything[mine[own]].astype("<u4").tobytes(), held[mine[own]].astype("<u4").tobytes(), 0, 0, 0))
+                out.append((r["block"], part, kind + 2, _pack_counts(everything[mine[own]]), _pack_counts(held[mine[own]]), 0, 0, 0))
     types = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
     names = [c.split()[0] for c in _ANSWERS.split(", ")]
     return pa.table({n: pa.array([r[i] for r in out], t) for i, (n, t) in enumerate(zip(names, types, strict=True))})
@@ -125,7 +146,7 @@ def _answer(key, rows):
 
 def _joined(answers: pa.Table, kind: int, column: str) -> np.ndarray:
     rows = sorted((p, b) for p, k, b in zip(answers.column("part").to_pylist(), answers.column("kind").to_pylist(), answers.column(column).to_pylist(), strict=True) if k == kind)
-    return np.frombuffer(b"".join(b for _, b in rows), "<u4").astype(np.int64)
+    return np.concatenate([_unpack_counts(b) for _, b in rows]) if rows else np.empty(0, np.int64)
 
 
 def _estimates(block: _Block, uni: np.ndarray, bi: np.ndarray, totals: dict):
