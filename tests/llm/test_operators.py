@@ -352,3 +352,11 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.score(empty, model).count() == 0
     nothing = toxicity.train(frame, marks.limit(0))
     assert toxicity.score(frame, nothing).where("score > 0.01").count() == 0
+
+
+def test_toxicity_forgets_words_safely():
+    model = toxicity.Model(np.linspace(-1, 1, toxicity.BUCKETS), 0.0, 1.0, 0.0, 0.1)
+    texts = [f"w{i} w{i + 1} common" for i in range(20)]
+    small, large = model.scorer(), model.scorer()
+    small.limit = 4
+    assert [small.scores([t]) for t in texts] == [large.scores([t]) for t in texts]
