@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barsplice.llm import minhash, packing, secrets, toxicity
-from barsplice.llm.common import read, table
+from barsplice.llm.common import cut, read, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,10 +21,23 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each near-duplicate group; rows without an id all stay."""
-    groups = minhash.near_duplicates(docs)
-    gone = groups.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group linked at a similarity of 0.8: that of the smallest id, then of the smallest text hash.
+
+    Rows are told apart by id and text, so a row is not lost for another one of its id; of
+    rows that repeat both one stays.  Rows without an id or without words all stay.
+    """
+    key = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.xxhash64("text").alias("text_hash")))
+    keyed = docs.withColumn("__row", key)
+    groups = minhash.near_duplicates(keyed, "__row", percent=80)
+    settled = groups.where(F.col("__row").isNotNull() & (F.col("n_shingles") > 0)).groupBy("__row").agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    settled = cut(settled.where(~F.col("kept") | (F.col("n") > 1)).select("__row", "kept"))
+    rest = keyed.join(settled, "__row", "left_anti").select(*docs.columns)
+    repeated = settled.where("kept")
+    if repeated.isEmpty():
+        return rest
+    others = F.to_json(F.struct("__row", *(c for c in docs.columns if c != "text")))
+    once = keyed.join(repeated, "__row").groupBy("__row").agg(F.min_by(F.struct(*docs.columns), others).alias("row"))
+    return rest.unionByName(once.select("row.*"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,3 +40,27 @@ def test_stages_on_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
     assert toxicity.fit(__import__("numpy").array([]), __import__("numpy").array([]), []).prior == 0.0
+
+
+def test_near_duplicates_stage_by_rows(spark):
+    """Links from 0.8 on, and one row of each group whatever ids repeat."""
+    base = [f"w{i}" for i in range(200)]
+
+    def edited(*places):
+        return " ".join(f"e{i}" if i in places else w for i, w in enumerate(base))
+
+    def similarity(a, b):
+        a, b = ({tuple(x.split()[k : k + 5]) for k in range(len(x.split()) - 4)} for x in (a, b))
+        return len(a & b) / len(a | b)
+
+    near, far = edited(20, 60, 100, 140), edited(20, 50, 80, 110, 140)
+    assert 0.8 <= similarity(edited(), near) < 0.85 and similarity(edited(), far) < 0.8
+    alone = "a clean row of its own under an id that repeats"
+    twice = "the same words twice under one id without another copy"
+    rows = [(1, edited(), "en", "s", 1), (2, near, "en", "s", 1), (3, far, "de", "s", 1), (4, edited(), "en", "s", 1), (4, alone, "en", "s", 1)]
+    rows += [(5, twice, "en", "s", 1), (5, twice, "en", "s", 1), (5, twice, "de", None, 1), (6, "", "en", "s", 1), (6, "", "en", "s", 1), (None, twice, "en", "s", 1), (None, twice, "en", "s", 1)]
+    docs = spark.createDataFrame(rows, DDL).repartition(3)
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=key) == [(1, edited()), (3, far), (4, alone), (5, twice), (6, ""), (6, ""), (None, twice), (None, twice)]
