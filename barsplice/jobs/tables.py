@@ -84,11 +84,11 @@ TABLES = {
                       CASE WHEN l_returnflag = 'A' THEN concat(cast(10 + l_partkey % 40 as string), 'N', cast(3 + l_orderkey % 30 as string), 'M') ELSE '' END,
                       CASE WHEN l_returnflag = 'R' THEN '2I7M3D4M6S' ELSE '' END) AS cigar
         FROM {lineitem}""",
-    "ids": f"SELECT concat('id', cast(p_partkey as string)) AS id, substr({dna('k', 'p_partkey % 1900')}, 1, cast(24 + p_partkey % 3 as int)) AS seq, p_partkey AS line FROM {{part}}",
+    "ids": f"SELECT concat('id', cast(p_partkey as string)) AS id, substr({dna('k', 'p_partkey - CASE WHEN p_partkey % 20 = 0 THEN 3 ELSE 0 END')}, 1, cast(24 + p_partkey % 3 as int)) AS seq, p_partkey AS line FROM {{part}}",
     "queries": f"""
         SELECT CASE o_orderkey % 4 WHEN 0 THEN seq WHEN 1 THEN {rc('seq')}
                     WHEN 2 THEN concat(substr(seq, 1, 6), 'A', substr(seq, 8, 5), 'C', substr(seq, 14, 30)) ELSE concat(substr(seq, 1, 9), substr(seq, 11, 30), 'G') END AS seq
-        FROM (SELECT o_orderkey, substr({dna('k', 'o_custkey % 2500')}, 1, 25) AS seq FROM {{orders}} WHERE o_custkey % 10 = 3) q""",
+        FROM (SELECT o_orderkey, substr({dna('k', 'o_custkey')}, 1, 25) AS seq FROM {{orders}}) q""",
     "pairs": f"""
         SELECT concat('{BEFORE}', substr({dna('x', 'l_partkey % 60')}, 1, cast(9 + l_partkey % 5 as int)), '{AFTER}', substr({dna('f', 'l_orderkey')}, 1, 6)) AS s1,
                concat(substr({dna('f', 'l_orderkey')}, 1, 5), CASE WHEN l_linenumber = 6 THEN 'ACGTAACGTAAC' ELSE '{UP}' END,

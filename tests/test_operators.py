@@ -1,11 +1,13 @@
 """Domain operators on hand cases."""
 
 import itertools
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from barsplice.jobs import tables
 from barsplice.operators import alignments, association, idmap, junctions, matching, psi, report
 
 EXONS = [("v", "E1", 1, 20), ("v", "E2", 101, 150), ("v", "E3", 301, 400)]
@@ -169,3 +171,64 @@ def test_venn(spark):
 def test_subsets():
     assert psi.subsets(3) == [(1, 2), (1, 3), (2, 3), (1, 2, 3)] and len(psi.subsets(4)) == 11
     assert list(itertools.chain(*psi.subsets(1))) == []
+
+
+def test_id_map_tables_are_whole(spark):
+    """Every customer with orders asks, and every part is known."""
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("no tables here")
+    read = lambda t: spark.read.parquet(f"{folder}/{t}.parquet")
+    assert tables.table(spark, folder, "queries").count() == read("orders").count()
+    kinds = read("orders").select("o_custkey", (F.col("o_orderkey") % 4).alias("kind")).distinct().count()
+    assert tables.table(spark, folder, "queries").distinct().count() >= 0.99 * kinds
+    assert tables.table(spark, folder, "ids").select("seq").distinct().count() >= 0.94 * read("part").count()
+
+
+def test_id_maps_by_brute_force(spark):
+    """All pairs on a small fixture, with repeated known sequences and both strands."""
+    rng = random.Random(12)
+    flip = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    def edited(s):
+        for _ in range(rng.randint(0, 5)):
+            k = rng.randrange(len(s))
+            s = s[:k] + rng.choice(["", "A", "C", s[k] + "G"]) + s[k + 1 :]
+        return s
+
+    base = ["".join(rng.choice("ACGT") for _ in range(rng.randint(18, 22))) for _ in range(30)]
+    known = base + [edited(s) for s in base[:10]] + base[5:9]
+    queries = sorted({q for s in known for q in (s, flip(s), edited(s), flip(edited(s)))})
+    order, name = {}, {}
+    for n, s in enumerate(known):
+        order.setdefault(s, n)
+        name[s] = f"i{n}"
+    low, high = min(map(len, known)), max(map(len, known))
+
+    def first(q):
+        found = [(0 if q == s else 1 if flip(q) == s else 2, order[s], name[s]) for s in order if min(edits(q, s), edits(flip(q), s)) <= 4]
+        return min(found)[2] if found and low - 4 <= len(q) <= high + 4 else "not_found"
+
+    def staged(q):
+        found = []
+        for s in order:
+            for turned, x in enumerate((q, flip(q))):
+                d = edits(x, s)
+                close = len(x) == len(s) and sum(a != b for a, b in zip(x, s, strict=True)) <= 2
+                if d <= 4:
+                    stage = turned if d == 0 else 2 + turned if close else 4
+                    found.append((stage, d if stage == 4 else 0, order[s], turned, name[s]))
+        return min(found)[4] if found and low - 2 <= len(q) <= high + 2 else ""
+
+    ids = spark.createDataFrame([(f"i{n}", s, n) for n, s in enumerate(known)], "id string, seq string, line long")
+    asked = spark.createDataFrame([(q,) for q in queries], "seq string")
+    assert {r.seq: r.id for r in idmap.map_first(asked, ids).collect()} == {q: first(q) for q in queries}
+    assert {r.seq: r.id for r in idmap.map_staged(asked, ids).collect()} == {q: staged(q) for q in queries}
