@@ -27,6 +27,10 @@ from .common import fold
 WINDOW, STRIDE = 8, 4
 BUCKET_BITS, DIM, GRAMS = 16, 4, (3, 4, 5)
 BUCKETS = 1 << BUCKET_BITS
+#: Runs of more characters than LONG are cut into overlapping pieces; each n-gram of a run lies in one of them.
+LONG, PIECE, STEP = 80, 12, 6
+#: Words whose subwords are worked out together.
+TOGETHER = 50_000
 _EDGES = ".,;:!?\"'()[]{}<>|*#$%&-_/\\"
 
 
@@ -59,9 +63,16 @@ def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def normal(word: str) -> str:
-    """Lower case without punctuation at the edges; long runs are cut to 40 characters at each end."""
-    w = word.lower().strip(_EDGES) or word.lower()
-    return w if len(w) <= 80 else w[:40] + w[-40:]
+    """Lower case without punctuation at the edges."""
+    return word.lower().strip(_EDGES) or word.lower()
+
+
+def words_of(text: str | None) -> list[str]:
+    """Words of a text; a run without spaces that is too long for a word counts as its overlapping pieces."""
+    words = (text or "").split()
+    if not words or max(map(len, words)) <= LONG:
+        return words
+    return [p for w in words for p in ([w] if len(w) <= LONG else [w[i : i + PIECE] for i in range(0, len(w) - PIECE + STEP, STEP)])]
 
 
 def windows_of(n: int, stride: int = STRIDE) -> list[tuple[int, int]]:
@@ -101,8 +112,9 @@ class _Scorer:
             self.known.clear()
             self.plain.clear()
         names = {w: normal(w) for w in words.difference(self.known)}
-        new = list(set(names.values()).difference(self.plain))
-        if new:
+        every = list(set(names.values()).difference(self.plain))
+        for i in range(0, len(every), TOGETHER):
+            new = every[i : i + TOGETHER]
             bucket, owner = subwords(new)
             means = np.bincount(owner, self.model.u[bucket], len(new)) / np.bincount(owner, minlength=len(new))
             self.plain.update(zip(new, means.tolist(), strict=True))
@@ -110,7 +122,7 @@ class _Scorer:
 
     def logits(self, texts: list[str | None]) -> list[float | None]:
         """The most toxic window's logit of each text; none for a text without words."""
-        split = [(t or "").split() for t in texts]
+        split = [words_of(t) for t in texts]
         self.learn(set(chain.from_iterable(split)))
         return [self._logit(words) if words else None for words in split]
 
@@ -131,7 +143,7 @@ def _training_windows(max_windows: int):
         for batch in batches:
             ids, labels, texts = [], [], []
             for i, y, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = (t or "").split()
+                words = words_of(t)
                 edges = windows_of(len(words), WINDOW)
                 step = max(1, -(-len(edges) // max_windows))
                 for a, b in edges[::step]:

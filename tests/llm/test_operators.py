@@ -360,3 +360,19 @@ def test_toxicity_forgets_words_safely():
     small, large = model.scorer(), model.scorer()
     small.limit = 4
     assert [small.scores([t]) for t in texts] == [large.scores([t]) for t in texts]
+
+
+def test_toxicity_in_unspaced_texts():
+    """Every character of a text counts, with or without spaces."""
+    toxic = [f"plain words {i} you idiot scum here {i}" for i in range(40)]
+    clean = [f"plain words {i} you friend walk here {i}" for i in range(40)]
+    model = toxicity.fit(np.arange(80), np.array([1] * 40 + [0] * 40), toxic + clean)
+    filler = "plainwordsyoufriendwalkhere" * 40
+    for joined in ("idiotscumidiotscum", "_idiot_scum_idiot_"):
+        bad, good = model.scorer().scores([filler + joined + filler, filler + "friendwalkfriendwalk" + filler])
+        assert bad >= 0.5 > good
+    for n in (81, 82, 85, 86, 87, 1000):
+        run = "".join(chr(0x4E00 + i) for i in range(n))
+        pieces = toxicity.words_of(f"a {run} b")
+        assert pieces[0] == "a" and pieces[-1] == "b" and all(any(run[i : i + 5] in p for p in pieces) for i in range(n - 4))
+    assert toxicity.words_of("x" * 80) == ["x" * 80]
