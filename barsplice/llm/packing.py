@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -35,20 +37,44 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Added tokens of the tokenizers file beside a vocabulary; none where there is no such file."""
+    beside = f"{os.path.splitext(path)[0]}.json"
+    if not os.path.exists(beside):
+        return {}
+    with open(beside, encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+
+
 @functools.lru_cache(maxsize=2)
 def _encoding(path: str):
     import tiktoken
 
+    added = added_tokens(path)
+
     with open(path, "rb") as f:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-    if max(ranks.values()) >= 1 << 16:
+    if max([*ranks.values(), *added.values()]) >= 1 << 16:
         raise ValueError("ids must fit two bytes")
-    return tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
+
+
+def encoder(path: str):
+    """A text's ids: those of added tokens where they stand, and of the parts between them by ranks."""
+    encoding = _encoding(path)
+    added = tuple(encoding.special_tokens_set)
+
+    def encode(text: str) -> list[int]:
+        if any(t in text for t in added):
+            return encoding.encode(text, allowed_special="all")
+        return encoding.encode_ordinary(text)
+
+    return encode
 
 
 def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(path).encode_ordinary
+        encode = encoder(path)
         part, place = TaskContext.get().partitionId(), 0
         for batch in batches:
             for i in range(0, batch.num_rows, 1000):

@@ -376,3 +376,17 @@ def test_toxicity_in_unspaced_texts():
         pieces = toxicity.words_of(f"a {run} b")
         assert pieces[0] == "a" and pieces[-1] == "b" and all(any(run[i : i + 5] in p for p in pieces) for i in range(n - 4))
     assert toxicity.words_of("x" * 80) == ["x" * 80]
+
+
+def test_packing_added_tokens(spark):
+    """Added tokens of the tokenizers file get their own ids wherever they stand."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n\n  y ", "it's  <|endoftext|>  's", "<|endoftext| >", "<|endoftext|", "ä 日本 <|endoftext|>🎉"]
+    rows = {r.doc_id: r for r in packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, text in enumerate(texts):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, packing.END]
+        assert (rows[i].doc_tokens, rows[i].ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+    assert packing.encoder(packing.default_vocabulary())(texts[0]) == [64, 220, 50256, 275]
