@@ -1,19 +1,28 @@
 """The sequence kernel: complements, approximate search, flanked extraction, templates, exons.
 
-Searches take the first window within the allowed number of mismatches, not the best one.
-They run as Arrow UDFs that compare all windows of a batch at once; everything else is
-built-in functions.
+Searches take the first window within the allowed distance, not the best one.  They run as
+Arrow UDFs that compare all windows of many rows at once, each row with its own pattern;
+everything else is built-in functions.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 UP_MISSING, DOWN_MISSING = "upstream not found", "downstream not found"
-_STEP = 4096
+#: Cells (rows by width) that are compared at once, which bounds a task's memory.
+_CELLS = 1 << 19
+
+Texts = tuple[np.ndarray, np.ndarray]
+Near = Callable[[np.ndarray, np.ndarray, int], np.ndarray]
+_COMPLEMENT = np.arange(256, dtype=np.uint8)
+_COMPLEMENT[np.frombuffer(b"ACGTacgt", np.uint8)] = np.frombuffer(b"TGCAtgca", np.uint8)
 
 
 def revcomp(seq: Column) -> Column:
@@ -21,54 +30,175 @@ def revcomp(seq: Column) -> Column:
     return F.reverse(F.translate(seq, "ACGTacgt", "TGCAtgca"))
 
 
-def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Latin-1 codes, padded by 0, and lengths."""
-    raw = [t.encode("latin-1", "replace") for t in texts]
-    width = max(map(len, raw), default=0)
-    table = np.frombuffer(b"".join(r.ljust(width, b"\0") for r in raw), np.uint8).reshape(len(raw), width)
-    return table, np.array([len(r) for r in raw])
+def _texts(column: pa.Array) -> Texts:
+    """Latin-1 codes padded by 0, and lengths; nulls are empty."""
+    values = pc.fill_null(column.cast(pa.large_string()), "")
+    ends = np.frombuffer(values.buffers()[1], np.int64, len(values) + 1, values.offset * 8)
+    data = np.frombuffer(values.buffers()[2] or b"", np.uint8)[: ends[-1]]
+    if data.size and data[ends[0] :].max() > 127:
+        raw = [t.encode("latin-1", "replace") for t in values.to_pylist()]
+        ends = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+        data = np.frombuffer(b"".join(raw), np.uint8)
+    sizes = np.diff(ends)
+    width = int(sizes.max(initial=0))
+    table = np.zeros((len(sizes), width), np.uint8)
+    table[np.arange(width) < sizes[:, None]] = data[ends[0] :]
+    return table, sizes
+
+
+def _turned(texts: Texts) -> Texts:
+    """Reverse complements, padded behind."""
+    table, sizes = texts
+    out = np.zeros_like(table)
+    there = np.arange(table.shape[1]) < sizes[:, None]
+    out[there] = _COMPLEMENT[table[:, ::-1]][there[:, ::-1]]
+    return out, sizes
+
+
+def _hamming(table: np.ndarray, patterns: np.ndarray, most: int) -> np.ndarray:
+    """Which windows differ from their row's pattern in at most ``most`` places."""
+    size = patterns.shape[1]
+    windows = table.shape[1] - size + 1
+    wrong = np.zeros((len(table), windows), np.uint8 if size < 256 else np.uint32)
+    for j in range(size):
+        wrong += table[:, j : j + windows] != patterns[:, j : j + 1]
+    return wrong <= most
+
+
+def _edits(table: np.ndarray, patterns: np.ndarray, most: int) -> np.ndarray:
+    """Which windows of the pattern's length lie within ``most`` edits of it (a band of the edit table, all windows at once)."""
+    size = patterns.shape[1]
+    windows = table.shape[1] - size + 1
+    shape, cap = (len(table), windows), min(most, 250) + 1
+    row = [np.full(shape, min(j, cap), np.uint8) for j in range(min(size, cap) + 1)] + [None] * (size - min(size, cap))
+    for i in range(1, size + 1):
+        low, high = max(1, i - cap), min(size, i + cap)
+        corner = row[low - 1]
+        left = row[low - 1] = np.full(shape, min(i, cap) if low == 1 else cap, np.uint8)
+        for j in range(low, high + 1):
+            best = corner + (table[:, j - 1 : j - 1 + windows] != patterns[:, i - 1 : i])
+            np.minimum(best, left + 1, out=best)
+            corner = row[j]
+            if corner is not None:
+                np.minimum(best, corner + 1, out=best)
+            else:
+                corner = np.full(shape, cap, np.uint8)
+            left = row[j] = np.minimum(best, cap)
+    return row[size] <= most
+
+
+def _search(texts: Texts, patterns: Texts, most: int, begin: np.ndarray | None = None, rows: np.ndarray | None = None, near: Near = _hamming) -> np.ndarray:
+    """Leftmost 0-based window of each row at or after ``begin`` near the row's pattern; -1 if none, or for rows not asked for."""
+    (table, sizes), (wanted, lengths) = texts, patterns
+    out = np.full(len(sizes), -1, np.int32)
+    rows = np.flatnonzero(lengths <= sizes) if rows is None else rows[lengths[rows] <= sizes[rows]]
+    for n in np.unique(lengths[rows]):
+        group = rows[lengths[rows] == n]
+        width = int(sizes[group].max())
+        step = max(1, _CELLS // max(1, width))
+        for part in (group[i : i + step] for i in range(0, len(group), step)):
+            ok = near(table[part, :width], wanted[part, :n], most)
+            at = np.arange(width - n + 1)
+            ok &= at + n <= sizes[part, None]
+            if begin is not None:
+                ok &= at >= begin[part, None]
+            out[part] = np.where(ok.any(1), ok.argmax(1), -1)
+    return out
 
 
 def first_match(texts: list[str], pattern: str, mismatches: int, begin: np.ndarray | None = None) -> np.ndarray:
     """Leftmost 0-based window at or after ``begin`` within ``mismatches`` of ``pattern``; -1 if none."""
-    out = np.full(len(texts), -1)
-    p = np.frombuffer(pattern.encode("latin-1", "replace"), np.uint8)
-    for i in range(0, len(texts), _STEP):
-        table, sizes = _codes(texts[i : i + _STEP])
-        windows = table.shape[1] - len(p) + 1
-        if windows <= 0:
-            continue
-        wrong = np.zeros((len(table), windows), np.uint16)
-        for j, c in enumerate(p):
-            wrong += table[:, j : j + windows] != c
-        at = np.arange(windows)
-        ok = (wrong <= mismatches) & (at[None, :] + len(p) <= sizes[:, None])
-        if begin is not None:
-            ok &= at[None, :] >= begin[i : i + _STEP, None]
-        out[i : i + _STEP] = np.where(ok.any(1), ok.argmax(1), -1)
+    return _search(_texts(pa.array(texts, pa.string())), _texts(pa.array([pattern] * len(texts), pa.string())), mismatches, begin)
+
+
+def _known(*columns: pa.Array) -> np.ndarray:
+    out = np.ones(len(columns[0]), bool)
+    for c in columns:
+        out &= pc.is_valid(c).to_numpy(zero_copy_only=False)
     return out
 
 
+def _locating(mismatches: int, near: Near):
+    @F.arrow_udf("int")
+    def run(s: pa.Array, p: pa.Array) -> pa.Array:
+        there = _known(s, p)
+        at = _search(_texts(s), _texts(p), mismatches, rows=np.flatnonzero(there), near=near)
+        return pa.array(at, pa.int32(), mask=~there)
+
+    return run
+
+
 def locate(seq: Column, pattern: Column, mismatches: int) -> Column:
     """Leftmost window of ``seq`` within a Hamming distance of ``pattern``, from 0; -1 if none, null for nulls."""
+    return _locating(mismatches, _hamming)(seq, pattern)
 
-    @F.pandas_udf("int")
-    def run(s: pd.Series, p: pd.Series) -> pd.Series:
-        out = pd.Series([None] * len(s), dtype="Int32")
-        there = s.notna() & p.notna()
-        for pat, rows in p[there].groupby(p[there]).groups.items():
-            out.loc[rows] = first_match(s.loc[rows].tolist(), pat, mismatches).astype("int32")
-        return out
 
-    return run(seq, pattern)
+def locate_edit(seq: Column, pattern: Column, distance: int) -> Column:
+    """Leftmost window of the pattern's length within an edit distance; -1 if none, null for nulls."""
+    return _locating(distance, _edits)(seq, pattern)
 
 
-def locate_edit(seq: Column, pattern: Column, distance: int) -> Column:
-    """Leftmost window of the pattern's length within an edit distance; -1 if none."""
-    n = F.length(pattern)
-    starts = F.when(F.length(seq) >= n, F.sequence(F.lit(0), F.greatest(F.length(seq) - n, F.lit(0)))).otherwise(F.array().cast("array<int>"))
-    hits = F.filter(starts, lambda i: F.levenshtein(F.substring(seq, i + 1, n), pattern, distance) >= 0)
-    return F.when(seq.isNotNull() & pattern.isNotNull(), F.coalesce(F.get(hits, F.lit(0)), F.lit(-1)))
+def locate_near(seq: Column, pattern: Column, most: int, distance: str = "hamming") -> Column:
+    """``locate`` or ``locate_edit`` by the name of the distance; other names are an error."""
+    kinds = {"hamming": locate, "levenshtein": locate_edit}
+    if distance not in kinds:
+        raise ValueError(f"unknown distance {distance!r}, not one of {', '.join(kinds)}")
+    return kinds[distance](seq, pattern, most)
+
+
+def first_of(seq: Column, patterns: Sequence[Column], most: int, edits: bool = False) -> Column:
+    """Number (from 0) of the first pattern that occurs in ``seq``, -1 if none does, null for null texts.
+
+    A pattern is only searched where the former ones do not occur.  With ``edits`` a
+    Hamming search comes first, which settles most rows cheaply: few mismatches are as few edits.
+    """
+
+    @F.arrow_udf("int")
+    def run(s: pa.Array, *wanted: pa.Array) -> pa.Array:
+        there, texts = _known(s), _texts(s)
+        out = np.full(len(s), -1, np.int32)
+        for i, w in enumerate(wanted):
+            known, pattern = _known(w), _texts(w)
+            for near in (_hamming, _edits) if edits else (_hamming,):
+                rest = np.flatnonzero(there & known & (out < 0))
+                out[_search(texts, pattern, most, rows=rest, near=near) >= 0] = i
+        return pa.array(out, pa.int32(), mask=~there)
+
+    return run(seq, *patterns)
+
+
+def _between(s: Texts, u: Texts, d: Texts, most: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the upstream flank and of the first downstream flank behind it, -1 if missing."""
+    up = _search(s, u, most, rows=rows)
+    found = np.flatnonzero(up >= 0)
+    return up, _search(s, d, most, begin=up + u[1], rows=found)
+
+
+def _flank_udf(mismatches: int, retry: bool):
+    @F.arrow_udf("up int, down int, flipped boolean")
+    def run(s: pa.Array, u: pa.Array, d: pa.Array) -> pa.Array:
+        there = _known(s, u, d)
+        texts, before, behind = _texts(s), _texts(u), _texts(d)
+        up, down = _between(texts, before, behind, mismatches, np.flatnonzero(there))
+        flipped = np.zeros(len(there), bool)
+        rest = np.flatnonzero(there & (down < 0))
+        if retry and len(rest):
+            up2, down2 = _between(_turned(texts), before, behind, mismatches, rest)
+            flipped = down2 >= 0
+            up, down = np.where(flipped, up2, up), np.where(flipped, down2, down)
+        kinds = (pa.int32(), pa.int32(), pa.bool_())
+        return pa.StructArray.from_arrays([pa.array(x, t) for x, t in zip((up, down, flipped), kinds, strict=True)], ["up", "down", "flipped"])
+
+    return run
+
+
+def flanks(seq: Column, up: Column, down: Column, mismatches: int, retry: bool = False) -> Column:
+    """struct(up, down, flipped): places of the leftmost ``up`` and of the first ``down`` behind it, -1 if missing.
+
+    With ``retry`` a text without both is searched again as its reverse complement; if both
+    are found there, ``flipped`` is set and the places are those of the complement.
+    """
+    return _flank_udf(mismatches, retry)(seq, up, down)
 
 
 def extract(seq: Column, up: Column, down: Column, mismatches: int) -> Column:
@@ -76,25 +206,14 @@ def extract(seq: Column, up: Column, down: Column, mismatches: int) -> Column:
 
     ``status`` is ``ok`` or says which flank is missing; ``begin`` is where ``up`` starts.
     """
+    at = flanks(seq, up, down, mismatches)
+    status = F.when(at["up"] < 0, UP_MISSING).when(at["down"] < 0, DOWN_MISSING).otherwise("ok")
+    return F.struct(F.when(at["down"] >= 0, inner(seq, at, up)).alias("value"), status.alias("status"), at["up"].alias("begin"))
+
 
-    @F.pandas_udf("value string, status string, begin int")
-    def run(s: pd.Series, u: pd.Series, d: pd.Series) -> pd.DataFrame:
-        out = pd.DataFrame({"value": [None] * len(s), "status": UP_MISSING, "begin": -1}, index=s.index, dtype=object)
-        there = s.notna() & u.notna() & d.notna()
-        flanks = u[there] + "\n" + d[there]
-        for key, rows in flanks.groupby(flanks).groups.items():
-            a, b = key.split("\n")
-            texts = s.loc[rows].tolist()
-            at = first_match(texts, a, mismatches)
-            behind = at + len(a)
-            end = first_match(texts, b, mismatches, behind)
-            value = [t[x:y] if i >= 0 and y >= 0 else None for t, i, x, y in zip(texts, at, behind, end, strict=True)]
-            status = np.where(at < 0, UP_MISSING, np.where(end < 0, DOWN_MISSING, "ok"))
-            out.loc[rows] = pd.DataFrame({"value": value, "status": status, "begin": at}, index=rows).astype(object)
-        out["begin"] = out["begin"].astype("int32")
-        return out
-
-    return run(seq, up, down)
+def inner(seq: Column, at: Column, up: Column) -> Column:
+    """The text between two flanks found by ``flanks``."""
+    return F.substring(seq, at["up"] + F.length(up) + 1, at["down"] - at["up"] - F.length(up))
 
 
 def check_barcode(barcode: Column, template: Column, mismatches: int) -> Column:
@@ -143,6 +262,12 @@ def skipping_reference(seq: Column) -> Column:
     return F.when(F.size(runs) >= 3, F.array_join(F.filter(runs, lambda r, i: i != middle), ""))
 
 
+def reference_exons(seq: Column) -> Column:
+    """struct(before, middle, after): the first three runs of upper-case letters, each cut at its first N."""
+    runs = exon_runs(seq)
+    return F.struct(*(F.substring_index(F.get(runs, F.lit(i)), "N", 1).alias(n) for i, n in enumerate(("before", "middle", "after"))))
+
+
 def cigar_ops(cigar: Column) -> Column:
     """array<struct(n, op)>."""
     ops = F.regexp_extract_all(cigar, F.lit(r"(\d+[MIDNSHP=X])"), F.lit(1))

@@ -28,7 +28,7 @@ def query(text: str | None = None):
     return add
 
 
-def _psi_sql(n: str, source: str = "{counts}", reps: tuple[str, ...] = REPS, raw: bool = True) -> str:
+def _psi_sql(n: str, source: str = "{counts}", reps: tuple[str, ...] = REPS, raw: bool = True, group: str = "") -> str:
     by_rep = "".join(
         f", round(max(CASE WHEN rep = '{r}' THEN inclusion / total END), 4) AS psi{i}, max(CASE WHEN rep = '{r}' THEN concat(cast(trunc(inclusion / total * 100) as int), ':', cast(trunc(skipping / total * 100) as int), ':', cast(trunc(others / total * 100) as int)) END) AS ratio{i}"
         f", max(CASE WHEN rep = '{r}' THEN cast(total as bigint) END) AS n_total{i}"
@@ -36,15 +36,16 @@ def _psi_sql(n: str, source: str = "{counts}", reps: tuple[str, ...] = REPS, raw
     )
     names = ", ".join(f"{c}{i}" for c in ("psi", "ratio", "n_total") for i in range(1, len(reps) + 1)) if raw else ""
     logistic = lambda x: f"1 / (1 + exp(-({x})))"
+    own, by, using = (f"{group}, ", f" GROUP BY {group}", f" JOIN g USING ({group})") if group else ("", "", ", g")
     return f"""
     WITH o AS (SELECT *, cast({n} as double) AS n, cast(inclusion + skipping + others as double) AS total FROM {source} WHERE {n} > 0),
     p AS (SELECT *, (inclusion + 0.5) / (n + 1) AS p FROM o),
     v AS (SELECT *, ln(p / (1 - p)) AS y, 1 / (n * p * (1 - p)) + 0.01 AS v FROM p),
-    e AS (SELECT var_id, sum(y / v) / sum(1 / v) AS theta, 1 / sum(1 / v) AS var_theta{by_rep} FROM v GROUP BY var_id),
-    g AS (SELECT avg(theta) AS mu, var_samp(theta) AS tau2 FROM e),
-    s AS (SELECT e.*, tau2 / (tau2 + var_theta) AS sh, mu FROM e, g),
+    e AS (SELECT {own}var_id, sum(y / v) / sum(1 / v) AS theta, 1 / sum(1 / v) AS var_theta{by_rep} FROM v GROUP BY {own}var_id),
+    g AS (SELECT {own}avg(theta) AS mu, var_samp(theta) AS tau2 FROM e{by}),
+    s AS (SELECT e.*, tau2 / (tau2 + var_theta) AS sh, mu FROM e{using}),
     t AS (SELECT *, sh * theta + (1 - sh) * mu AS ts, sh * sh * var_theta AS vs FROM s)
-    SELECT var_id{', ' + names if raw else ''}, round(theta, 4) AS theta, round(var_theta, 4) AS var_theta, round({logistic('theta')}, 4) AS psi_est, round(sh, 4) AS shrinkage,
+    SELECT {own}var_id{', ' + names if raw else ''}, round(theta, 4) AS theta, round(var_theta, 4) AS var_theta, round({logistic('theta')}, 4) AS psi_est, round(sh, 4) AS shrinkage,
            round(ts, 4) AS theta_shrunk, round(vs, 4) AS var_theta_shrunk, round({logistic('ts')}, 4) AS psi_shrunk,
            round({logistic('ts - 1.96 * sqrt(vs)')}, 4) AS psi_shrunk_lwr, round({logistic('ts + 1.96 * sqrt(vs)')}, 4) AS psi_shrunk_upr FROM t"""
 
@@ -160,7 +161,7 @@ _EXON_LABELS = "concat_ws(';', CASE WHEN d > s + 2 AND d < e - 2 THEN concat('ex
 _INTRON_LABELS = "concat_ws(';', CASE WHEN d > s + 2 AND d < e - 2 THEN concat('intron_retension_5p_', id) END, CASE WHEN a > s + 2 AND a < e - 2 THEN concat('intron_retension_3p_', id) END)"
 
 
-@query(f"""
+_ANNOTATED = f"""
     WITH j AS (SELECT chrom, strand, start + 10 AS d, start + cast(split_part(blockStarts, ',', 2) as int) AS a, coverage FROM {{bed}}),
     i AS ({_INTRONS}),
     x AS (SELECT j.chrom, j.strand, j.d, j.a, string_agg(nullif({_EXON_LABELS}, ''), ';' ORDER BY s) AS l, min(s) AS lo, max(e) AS hi
@@ -172,7 +173,10 @@ _INTRON_LABELS = "concat_ws(';', CASE WHEN d > s + 2 AND d < e - 2 THEN concat('
                 WHEN y.hit = 'I1' THEN 'intron_retention_I2' WHEN y.hit = 'I2' THEN 'intron_retention_I1'
                 ELSE coalesce(nullif(concat_ws(';', x.l, y.l), ''), 'no_annotation') END AS annotation
     FROM j LEFT JOIN x ON x.chrom = j.chrom AND x.strand = j.strand AND x.d = j.d AND x.a = j.a LEFT JOIN y ON y.chrom = j.chrom AND y.strand = j.strand AND y.d = j.d AND y.a = j.a)
-    WHERE annotation <> 'no_annotation'""")
+    WHERE annotation <> 'no_annotation'"""
+
+
+@query(_ANNOTATED)
 def junction_annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = J.coordinates(table(spark, sf_dir, "bed")).select("chrom", "strand", "donor", "acceptor", "coverage")
     return J.annotate(rows, table(spark, sf_dir, "exons"))

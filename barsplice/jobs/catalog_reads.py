@@ -91,9 +91,9 @@ def _classified(spark, sf_dir):
     return M.canonical_single(table(spark, sf_dir, "reads"), table(spark, sf_dir, "barcode_map"), **LAYOUT)
 
 
-@query(_CLASSIFIED + " SELECT 'exon' AS read_ref, var_id, barcode, status AS ref_type, count(*) AS count FROM c WHERE status IN ('exon_inclusion', 'exon_skipping') GROUP BY ALL")
+@query(_CLASSIFIED + " SELECT var_id AS read_ref, var_id, barcode, status AS ref_type, count(*) AS count FROM c WHERE status IN ('exon_inclusion', 'exon_skipping') GROUP BY ALL")
 def canonical_se(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.canonical_counts(_classified(spark, sf_dir), F.lit("exon"))
+    return M.canonical_counts(_classified(spark, sf_dir), F.col("var_id"))
 
 
 @query(_CLASSIFIED + " SELECT count(*) FILTER (status = 'no_barcode') AS reads_without_barcodes, count(*) FILTER (status = 'no_variant') AS reads_without_variants FROM c")
@@ -103,7 +103,7 @@ def canonical_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_CLASSIFIED + " SELECT unnest(['exon_inclusion', 'exon_skipping']) AS event, unnest([count(*) FILTER (status = 'exon_inclusion'), count(*) FILTER (status = 'exon_skipping')]) AS total FROM c")
 def canonical_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.event_totals(M.canonical_counts(_classified(spark, sf_dir), F.lit("exon")))
+    return M.event_totals(M.canonical_counts(_classified(spark, sf_dir), F.col("var_id")))
 
 
 @query(_CLASSIFIED + f""", l AS (SELECT *, {loc('o', f"'{BEFORE}'")} AS cut FROM c WHERE status = 'leftover')
@@ -112,15 +112,24 @@ def canonical_leftovers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.leftovers(_classified(spark, sf_dir)).select("header", "seq")
 
 
-@query(f"""WITH a AS (SELECT seq, header, CASE length(header) % 2 WHEN 0 THEN '20M30N10M' ELSE '20M5N10M' END AS cigar FROM {{reads}}),
-    e AS (SELECT *, {_checked()} AS barcode FROM {_extracted('a')}),
-    m AS (SELECT barcode, max_by(var_id, line) AS var_id FROM {{barcode_map}} GROUP BY barcode)
-    SELECT 'ref' AS read_ref, m.var_id, e.barcode, CASE WHEN raw IS NOT NULL THEN CASE WHEN cigar = '20M30N10M' THEN substr(seq, 1, cast(u as int)) ELSE 'unavail' END END AS spliced_sequence, count(*) AS count
-    FROM e LEFT JOIN m USING (barcode) WHERE e.barcode IS NOT NULL GROUP BY ALL""")
+_PRODUCTS = f"""WITH e AS (SELECT *, {_checked()} AS barcode, {loc('seq', chr(39) + DOWN + chr(39))} AS dw FROM {_extracted('{spliced_reads}')}),
+    m AS (SELECT barcode, max_by(var_id, line) AS var_id FROM {{barcode_map}} GROUP BY barcode),
+    x AS (SELECT 'ref' AS read_ref, m.var_id, e.barcode, CASE WHEN dw >= 0 AND dw - 12 > 0 AND cigar IN ('20M30N10M', '20M20N10M') THEN substr(seq, 1, cast(dw as int) - 12) ELSE 'unavail' END AS spliced_sequence
+          FROM e LEFT JOIN m USING (barcode) WHERE e.barcode IS NOT NULL)"""
+
+
+def _rescued(spark, sf_dir):
+    return M.novel_single(table(spark, sf_dir, "spliced_reads"), table(spark, sf_dir, "barcode_map"), UP, DOWN, TEMPLATE)
+
+
+@query(_PRODUCTS + " SELECT read_ref, var_id, barcode, count(*) AS count FROM x GROUP BY ALL")
 def novel_barcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cigar = F.when(F.length("header") % 2 == 0, "20M30N10M").otherwise("20M5N10M")
-    rows = table(spark, sf_dir, "reads").select("seq", F.lit("ref").alias("rname"), cigar.alias("cigar"))
-    return M.novel_counts(M.novel_single(rows, table(spark, sf_dir, "barcode_map"), UP, DOWN, TEMPLATE), products=True)
+    return M.novel_counts(_rescued(spark, sf_dir))
+
+
+@query(_PRODUCTS + " SELECT read_ref, var_id, barcode, spliced_sequence, count(*) AS count FROM x GROUP BY ALL")
+def spliced_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.novel_counts(_rescued(spark, sf_dir), products=True)
 
 
 @query("""SELECT unnest(['unmapped', 'primary_mapped', 'proper', 'improper']) AS name,
@@ -265,19 +274,27 @@ def union_se_pe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where("count > 45").withColumn("layout", F.lit("se")).unionByName(rows.where("count <= 2").withColumn("layout", F.lit("pe")))
 
 
-@query(f"""WITH a AS (SELECT seq, length(header) % 13 AS pos, length(header) % 13 + length(seq) AS pos_end, CASE WHEN length(header) % 2 = 0 THEN 'exon_inclusion_x' ELSE 'exon_skipping_x' END AS rname FROM {{reads}}),
-    f AS (SELECT * RENAME (raw AS raw1) FROM (SELECT * EXCLUDE (u, d) FROM {_extracted('a')})),
-    r AS (SELECT * FROM {_extracted(f"(SELECT *, {rc('seq')} AS other FROM f)", "other")}),
-    b AS (SELECT rname, coalesce(raw1, raw) AS barcode, {_checked('coalesce(raw1, raw)')} IS NOT NULL AND (CASE WHEN rname = 'exon_inclusion_x' THEN 15 - pos > 5 AND pos_end - 27 > 5 ELSE 15 - pos > 5 AND pos_end - 15 > 5 END) AS kept FROM r)
-    SELECT CASE WHEN rname = 'exon_inclusion_x' THEN 'exon_inclusion' ELSE 'exon_skipping' END AS ref_type, barcode, count(*) AS count FROM b WHERE kept GROUP BY ALL""")
-def canonical_align_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+_ALIGNED = f"""WITH a AS (SELECT seq, length(header) % 13 AS pos, length(header) % 13 + length(seq) AS pos_end, CASE WHEN length(header) % 2 = 0 THEN 'exon_inclusion_x' ELSE 'exon_skipping_x' END AS rname FROM {{reads}}),
+    b AS (SELECT substr(rname, 1, length(rname) - 2) AS ref_type, 'x' AS read_ref, raw AS barcode, 15 - pos > 5 AND pos_end - CASE WHEN rname = 'exon_inclusion_x' THEN 27 ELSE 15 END > 5 AS spans, {_checked()} IS NOT NULL AS fits FROM {_extracted('a')})"""
+
+
+def _aligned(spark, sf_dir):
     n = F.length("header")
     rows = table(spark, sf_dir, "reads").select(
         "seq", (n % 13).alias("pos"), (n % 13 + F.length("seq")).alias("pos_end"), F.when(n % 2 == 0, "exon_inclusion_x").otherwise("exon_skipping_x").alias("rname")
     )
-    lengths = spark.createDataFrame([("exon_inclusion_x", [15, 12, 10]), ("exon_skipping_x", [15, 10])], "reference string, lengths array<int>")
-    kept = M.aligned_single(rows, lengths, UP, DOWN, TEMPLATE).where("kept")
-    return kept.groupBy("ref_type", "barcode").agg(F.count(F.lit(1)).alias("count"))
+    return M.aligned_single(rows, table(spark, sf_dir, "aligned_exons"), UP, DOWN, TEMPLATE)
+
+
+@query(_ALIGNED + " SELECT ref_type, spans, barcode, count(*) AS count FROM (SELECT ref_type, spans, CASE WHEN fits THEN barcode END AS barcode FROM b) GROUP BY ALL")
+def canonical_align_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _aligned(spark, sf_dir).groupBy("ref_type", "spans", "barcode").agg(F.count(F.lit(1)).alias("count"))
+
+
+@query(_ALIGNED + """, c AS (SELECT read_ref, barcode, ref_type, count(*) AS count FROM b WHERE spans AND fits GROUP BY ALL)
+    SELECT read_ref, m.var_id, c.barcode, ref_type, cast(sum(c.count) as bigint) AS count FROM c LEFT JOIN {barcode_map} m ON c.barcode = m.barcode GROUP BY ALL""")
+def canonical_align_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.aligned_counts(_aligned(spark, sf_dir), table(spark, sf_dir, "barcode_map"))
 
 
 @query(f"""WITH k AS (SELECT upper(seq) AS seq, max_by(id, line) AS id, min(line) AS ord FROM {{ids}} GROUP BY upper(seq)),

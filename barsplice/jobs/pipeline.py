@@ -1,6 +1,7 @@
-"""From canonical barcodes and junctions of all replicates to corrected PSI and report tables.
+"""The whole job: from the reads of all samples and replicates to counts, corrected PSI and report tables.
 
-Samples and replicates are columns of one table, not separate runs.
+Samples are rows.  Each brings its flanks, template and reference exons as columns, joined
+by ``sample_id``; samples without a configuration drop out.
 """
 
 from __future__ import annotations
@@ -8,21 +9,87 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import counts, junctions, psi, report
+from ..functions import sequence as S
+from ..operators import counts, junctions, matching, psi, report
+
+BY = ["sample_id"]
+
+
+def layouts(sheet: DataFrame, references: DataFrame) -> DataFrame:
+    """One row per ``sample_id``: flanks and template of the sheet, exons of the reference (``sample_id, seq``)."""
+    exons = references.select("sample_id", S.reference_exons(F.col("seq")).alias("e"))
+    flanks = [F.col("barcode_up").alias("up"), F.col("barcode_down").alias("down"), F.col("barcode_temp").alias("template")]
+    return sheet.select("sample_id", *flanks).join(exons.select("sample_id", "e.*"), "sample_id")
+
+
+_LAYOUT = ("before", "after", "up", "down", "template")
+
+
+def _classified(match, reads: DataFrame, layout: DataFrame, barcodes: DataFrame, intron_library: bool) -> DataFrame:
+    rows = reads.join(layout, "sample_id")
+    return match(rows, barcodes, **{c: F.col(c) for c in _LAYOUT}, middle=F.col("middle") if intron_library else None, by=BY)
+
+
+def canonical_step(layout: DataFrame, barcodes: DataFrame, reads: DataFrame, pairs: DataFrame | None = None, intron_library: bool = False) -> dict[str, DataFrame]:
+    """Canonical barcodes, unknown reads, totals and leftovers of all samples; merged reads and pairs count together."""
+    single = _classified(matching.canonical_single, reads, layout, barcodes, intron_library)
+    found = matching.canonical_counts(single, F.col("var_id"), BY)
+    unknown = matching.unknown_counts(single, BY)
+    out = {"leftovers": matching.leftovers(single, by=BY)}
+    if pairs is not None:
+        double = _classified(matching.canonical_pairs, pairs, layout, barcodes, intron_library)
+        found = found.unionByName(matching.canonical_counts(double, F.col("var_id"), BY))
+        both = unknown.unionByName(matching.unknown_counts(double, BY))
+        unknown = both.groupBy(*BY).agg(*(F.sum(c).alias(c) for c in unknown.columns if c not in BY))
+        out["pair_leftovers"] = matching.pair_leftovers(double, BY)
+    return out | {"canonical": found, "unknown": unknown, "totals": matching.event_totals(found, BY)}
+
+
+def novel_step(layout: DataFrame, barcodes: DataFrame, alignments: DataFrame, products: bool = False) -> dict[str, DataFrame]:
+    """Barcodes and junctions of spliced alignments, renamed to the variants of their barcodes."""
+    rows = alignments.join(layout, "sample_id")
+    named = matching.novel_single(rows, barcodes, F.col("up"), F.col("down"), F.col("template"), BY)
+    return {"novel": matching.novel_counts(named, products, BY), "renamed": named}
+
+
+def counts_step(sheet: DataFrame, variants: DataFrame, canonical: DataFrame, bed: DataFrame, exons: DataFrame, tolerance: int = 2, overlap: int = 2, least_coverage: int = 2) -> DataFrame:
+    """Event counts of every variant in every replicate, with ``sample`` and ``rep`` of the sheet.
+
+    ``variants``, ``canonical``, ``bed`` and ``exons`` carry ``sample_id``.
+    """
+    found = junctions.classify(bed, exons, tolerance, overlap, least_coverage, by=BY, exons_by=BY)
+    table = counts.splicing_counts(variants, canonical, found, BY)
+    names = sheet.select("sample_id", "sample", F.col("replicate").alias("rep"))
+    return counts.with_totals(table).join(names, "sample_id")
+
+
+def psi_step(table: DataFrame, replicates: int = 3, mode: str = "can", variances: dict | None = None) -> DataFrame:
+    """Corrected PSI of every sample that has exactly so many replicates.
+
+    The error model is fitted sample by sample (a few numbers each) unless ``variances``
+    gives them by sample and replicate; everything else is one plan over all samples.
+    """
+    runs = sorted(tuple(r) for r in table.select("sample", "rep").distinct().collect())
+    whole = {s: sorted(r for t, r in runs if t == s) for s, _ in runs}
+    whole = {s: reps for s, reps in whole.items() if len(reps) == replicates}
+    if not whole:
+        raise ValueError(f"no sample has {replicates} replicates")
+    if variances is None:
+        variances = {}
+        for sample, reps in whole.items():
+            fitted = psi.fit_variances(table.where(F.col("sample") == sample), reps, mode)
+            variances |= {(sample, r): v for r, v in fitted.items()}
+    kept = table.where(F.col("sample").isin(*whole)).select("sample", "var_id", "rep", "inclusion", "skipping", "others")
+    return psi.estimates(kept, {k: v for k, v in variances.items() if k[0] in whole}, mode, by=["sample"])
 
 
 def corrected_psi(canonical: DataFrame, bed: DataFrame, variants: DataFrame, exons: DataFrame, mode: str = "can", tolerance: int = 2, overlap: int = 2, least_coverage: int = 2) -> DataFrame:
     """Corrected PSI of one sample from its replicates (column ``rep`` in ``canonical`` and ``bed``)."""
-    reps = sorted(r[0] for r in canonical.select("rep").distinct().collect())
-    parts = []
-    for rep in reps:  # three replicates, one lazy plan
-        found = junctions.classify(bed.where(F.col("rep") == rep), exons, tolerance, overlap, least_coverage)
-        table = counts.splicing_counts(variants, canonical.where(F.col("rep") == rep), found)
-        parts.append(counts.with_totals(table).select("var_id", F.lit(rep).alias("rep"), "inclusion", "skipping", "others"))
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    return psi.round_all(psi.corrected_psi(every, reps, mode))
+    reps = canonical.select("rep").distinct()
+    found = junctions.classify(bed, exons, tolerance, overlap, least_coverage, by=["rep"])
+    table = counts.with_totals(counts.splicing_counts(variants.crossJoin(F.broadcast(reps)), canonical, found, ["rep"]))
+    names = sorted(r[0] for r in reps.collect())
+    return psi.round_all(psi.corrected_psi(table.select("var_id", "rep", "inclusion", "skipping", "others"), names, mode))
 
 
 def junction_report(classified: DataFrame, replicates: list[str]) -> dict[str, DataFrame]:

@@ -27,6 +27,13 @@ def _barcode(key: str, prefix: str = "b") -> str:
     return f"concat(substr({dna(prefix, key)}, 1, 4), 'AT', substr({dna(prefix, key)}, 5, 6))"
 
 
+PAIR_BEFORE, PAIR_AFTER = f"{BEFORE}AAGGCT", f"{AFTER}CCTAAG"
+_BARCODE_OF_ORDER = _barcode("o_custkey % 1500")
+_EXON_OF_ORDER = f"substr({dna('x', 'o_custkey % 1500')}, 1, 12)"
+_NOISE = dna("n", "o_orderkey")
+_OTHER = dna("m", "o_orderkey")
+VHH, TARGET = ("GGTTGCATCA", "TAGGATCCTA"), ("ACACGTGTAC", "TGAGCTCATT")
+
 LABELS = ("intron_retention_I1", "intron_retension_5p_I2", "exon_splicing_3p_E1", "exon_splicing_5p_E2", "exon_skipping_E2", "out_of_range", "exon_splicing_3p_E3")
 _label = lambda key: f"split_part('{','.join(LABELS)}', ',', cast({key} % {len(LABELS)} + 1 as int))"
 
@@ -76,7 +83,7 @@ TABLES = {
         FROM {{lineitem}}""",
     "reads": f"""
         SELECT concat('read', cast(k as string)) AS header, CASE WHEN n = 4 THEN {rc('seq')} ELSE seq END AS seq, translate(seq, 'ACGT', 'FFGG') AS qual
-        FROM (SELECT k, n, CASE WHEN s = 'F' THEN concat(substr(seq, 1, cast(k % 60 as int)), 'A', substr(seq, cast(k % 60 as int) + 2, 100)) ELSE seq END AS seq FROM ({{plain_reads}}) p) m""",
+        FROM (SELECT k, n, CASE WHEN s = 'F' THEN concat(substr(seq, 1, cast(k % 60 as int)), 'A', substr(seq, cast(k % 60 as int) + 2, 100)) ELSE seq END AS seq FROM {{plain_reads}} p) m""",
     "alignments": """
         SELECT concat('q', cast(l_orderkey as string)) AS qname, cast(CASE l_linenumber WHEN 1 THEN 0 WHEN 2 THEN 16 WHEN 3 THEN 4 WHEN 4 THEN 256 WHEN 5 THEN 2064 WHEN 6 THEN 99 ELSE 147 END as int) AS flag,
                concat('c', cast(l_suppkey as string)) AS rname, cast(l_orderkey % 50 as int) AS pos,
@@ -94,18 +101,94 @@ TABLES = {
                concat(substr({dna('f', 'l_orderkey')}, 1, 5), CASE WHEN l_linenumber = 6 THEN 'ACGTAACGTAAC' ELSE '{UP}' END,
                       CASE WHEN l_linenumber = 5 THEN substr({dna('z', 'l_orderkey')}, 1, 12) ELSE {_barcode('l_partkey % 70')} END, '{DOWN}') AS s2
         FROM {{lineitem}}""",
+    # Pairs of orders: events across both reads, a lost base, half of the second reads turned round.
+    "plain_pairs": f"""
+        SELECT o_orderkey AS k,
+               CASE o_orderkey % 5 WHEN 2 THEN concat(substr({_NOISE}, 1, 4), '{PAIR_BEFORE}')
+                 WHEN 3 THEN concat(substr({_NOISE}, 1, cast(o_orderkey % 9 as int)), '{PAIR_BEFORE}', substr({_OTHER}, 1, 10))
+                 WHEN 4 THEN substr({_OTHER}, 1, 30)
+                 ELSE concat(substr({_NOISE}, 1, 4), '{PAIR_BEFORE}', substr({_EXON_OF_ORDER}, 1, 6)) END AS s1,
+               concat(CASE o_orderkey % 5 WHEN 2 THEN '{PAIR_AFTER}' WHEN 3 THEN substr({_NOISE}, 9, 12) WHEN 4 THEN substr({_NOISE}, 5, 12) ELSE concat(substr({_EXON_OF_ORDER}, 7, 6), '{PAIR_AFTER}') END,
+                      CASE WHEN o_orderkey % 11 = 0 THEN 'ACGTAACGTAAC' ELSE '{UP}' END, {_BARCODE_OF_ORDER}, '{DOWN}') AS s2
+        FROM {{orders}}""",
+    "read_pairs": f"""
+        SELECT k, concat('p', cast(k as string), '/1') AS h1, s1, translate(s1, 'ACGT', 'FFGG') AS q1, concat('p', cast(k as string), '/2') AS h2, s2, translate(s2, 'ACGT', 'FFGG') AS q2
+        FROM (SELECT k, CASE WHEN k % 7 = 0 THEN concat(substr(s1, 1, 8), substr(s1, 10, 100)) ELSE s1 END AS s1, CASE WHEN k % 2 = 1 THEN {rc('s2')} ELSE s2 END AS s2 FROM {{plain_pairs}} x) y""",
+    "aligned_mates": """
+        SELECT k, qname, flag, rname, pos, cigar, seq FROM (
+            SELECT k, concat('p', cast(k as string)) AS qname, 99 AS flag, CASE WHEN k % 3 = 0 THEN 'exon_skipping_x' ELSE 'exon_inclusion_x' END AS rname,
+                   cast(k % 13 as int) AS pos, concat('9M', CASE WHEN k % 8 = 0 THEN '' ELSE concat(cast(k % 8 as string), 'S') END) AS cigar, s1 AS seq FROM {read_pairs}
+            UNION ALL
+            SELECT k, concat('p', cast(k as string)), 147, CASE WHEN k % 17 = 0 THEN 'exon_inclusion_y' WHEN k % 3 = 0 THEN 'exon_skipping_x' ELSE 'exon_inclusion_x' END,
+                   cast(8 + k % 19 as int), CASE WHEN k % 4 = 0 THEN '7M22N8M' WHEN k % 4 = 1 THEN '7M12N8M' ELSE concat(cast(k % 7 as string), 'S15M') END, s2 FROM {read_pairs}) m""",
+    "aligned_exons": "SELECT * FROM (VALUES ('x', 'E1', 1, 15), ('x', 'E2', 101, 112), ('x', 'E3', 201, 260), ('y', 'E1', 1, 15), ('y', 'E2', 101, 112), ('y', 'E3', 201, 260)) AS t(var_id, exon_id, exon_start, exon_end)",
+    # Some reads hold a downstream flank before their barcode.
+    "spliced_reads": f"""
+        SELECT concat(CASE cast(substr(header, 5, 20) as bigint) % 9 WHEN 0 THEN '{DOWN}' WHEN 1 THEN concat(substr(seq, 1, 5), '{DOWN}') WHEN 2 THEN concat(substr(seq, 1, 15), '{DOWN}') ELSE '' END, seq) AS seq,
+               CASE cast(substr(header, 5, 20) as bigint) % 4 WHEN 0 THEN '20M30N10M' WHEN 1 THEN '20M20N10M' WHEN 2 THEN '20M19N10M' ELSE '50M' END AS cigar, 'ref' AS rname FROM {{reads}}""",
+    "long_reads": f"""
+        SELECT k, CASE WHEN k % 2 = 1 THEN {rc('seq')} ELSE seq END AS seq FROM (
+            SELECT o_orderkey AS k, concat(substr({_NOISE}, 1, 5), CASE WHEN o_orderkey % 13 = 0 THEN 'AAAACCCCAAAA' ELSE '{UP}' END,
+                   CASE WHEN o_orderkey % 10 = 3 THEN substr({_NOISE}, 7, 12) ELSE {_barcode('o_custkey % 40')} END, '{DOWN}',
+                   CASE WHEN o_orderkey % 17 = 0 THEN 'AAAACCCCAA' ELSE '{VHH[0]}' END, substr({dna('v', 'o_custkey % 20')}, 1, cast(10 + o_custkey % 3 as int)), '{VHH[1]}',
+                   substr({_OTHER}, 1, 6), '{TARGET[0]}', substr({dna('t', 'o_custkey % 25')}, 1, cast(8 + o_custkey % 2 as int)),
+                   CASE WHEN o_orderkey % 19 = 0 THEN 'AAAACCCCAA' ELSE '{TARGET[1]}' END) AS seq FROM {{orders}}) q""",
+    "tagged": "SELECT *, CASE pos % 4 WHEN 0 THEN '10' WHEN 1 THEN '2' ELSE '1' END AS nh FROM {alignments}",
+    "logs": """
+        SELECT concat('s', cast(s_nationkey as string)) AS run, s_suppkey AS k, v.i AS i,
+               CASE v.i WHEN 0 THEN concat('reads passed filter: ', cast(s_suppkey * 10 as string)) WHEN 1 THEN concat('[FLASH]   Combined pairs:   ', cast(s_suppkey * 3 as string))
+                 WHEN 2 THEN concat('[FLASH]   Uncombined pairs: ', cast(s_suppkey * 2 as string)) WHEN 3 THEN concat('    Total ', CASE WHEN s_suppkey % 2 = 0 THEN 'reads' ELSE 'pairs' END, ': ', cast(s_suppkey * 5 as string))
+                 WHEN 4 THEN concat('        Aligned 0 time: ', cast(s_suppkey as string), ' (20.00%)')
+                 WHEN 5 THEN concat('        Aligned ', CASE WHEN s_suppkey % 2 = 0 THEN '' ELSE 'concordantly ' END, '1 time: ', cast(s_suppkey * 3 as string), ' (60.00%)')
+                 WHEN 6 THEN concat('        Aligned ', CASE WHEN s_suppkey % 2 = 0 THEN '' ELSE 'concordantly ' END, '>1 times: ', cast(s_suppkey as string), ' (20.00%)')
+                 ELSE '    Overall alignment rate: 80.00%' END AS value
+        FROM {supplier} CROSS JOIN (SELECT 0 AS i UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4 UNION ALL SELECT 5 UNION ALL SELECT 6 UNION ALL SELECT 7) v""",
+    # Four samples of three replicates and one of two, each with its own flanks and template.
+    "sheet": f"""
+        SELECT concat(s, '_', r) AS sample_id, s AS sample, r AS replicate, concat('{UP}', substr({dna('su', 's')}, 1, 4)) AS barcode_up, concat('{DOWN}', substr({dna('sd', 's')}, 1, 4)) AS barcode_down,
+               CASE WHEN s = 'n1' THEN 'NNNNATNNNNNN' ELSE 'NNNNNNNNNNNN' END AS barcode_temp
+        FROM (SELECT concat('n', cast(n_nationkey % 5 as string)) AS s, CASE WHEN n_nationkey % 15 = 4 THEN 'r1' ELSE concat('r', cast(n_nationkey % 3 + 1 as string)) END AS r FROM {{nation}} GROUP BY 1, 2) x""",
+    "sample_references": f"SELECT sample_id, concat('{BEFORE}', substr({dna('se', 'sample')}, 1, 3), 'NNNNaacc', 'ACGTTGCA', 'ggtt', '{AFTER}') AS seq FROM {{sheet}}",
+    "sample_barcodes": f"""
+        SELECT sample_id, {_barcode("concat(sample, cast(p_partkey % 300 as string))")} AS barcode, concat('aa', substr({dna('x', 'p_partkey % 300')}, 1, 12), 'cc') AS variant,
+               concat('v', cast(p_partkey % 300 as string)) AS var_id, cast(1 as bigint) AS count, p_partkey AS line FROM {{sheet}} CROSS JOIN {{part}}""",
+    "sample_reads": f"""
+        SELECT sample_id, concat('o', cast(o_orderkey as string)) AS header, seq, translate(seq, 'ACGT', 'FFGG') AS qual FROM (
+            SELECT sample_id, o_orderkey, concat('{BEFORE}', substr({dna('se', 'sample')}, 1, 3), CASE WHEN o_orderkey % 5 < 3 THEN substr({dna('x', 'o_custkey % 310')}, 1, 12) WHEN o_orderkey % 5 = 3 THEN '' ELSE 'TTTTTTTTTTTTTTTTTT' END, '{AFTER}',
+                   barcode_up, {_barcode("concat(sample, cast(o_custkey % 310 as string))")}, barcode_down) AS seq
+            FROM {{sheet}} JOIN {{orders}} ON cast(substr(sample, 2, 1) as int) = o_orderkey % 5 AND cast(substr(replicate, 2, 1) as int) = o_custkey % 3 + 1) q""",
+    "sample_bed": """
+        SELECT sample_id, chrom, donor - 10 AS start, acceptor + 12 AS "end", concat('J', cast(donor as string), '_', cast(acceptor as string)) AS name, coverage, strand, '10,12' AS blockSizes,
+               concat('0,', cast(acceptor - donor + 10 as string)) AS blockStarts
+        FROM (SELECT sample_id, concat('v', cast(l_partkey % 300 as string)) AS chrom, '+' AS strand, cast(l_orderkey % 60 as int) AS donor, cast(60 + l_suppkey % 90 as int) AS acceptor, cast(sum(l_quantity) as bigint) AS coverage
+              FROM {sheet} JOIN {lineitem} ON cast(substr(sample, 2, 1) as int) = l_orderkey % 5 AND cast(substr(replicate, 2, 1) as int) = l_linenumber % 3 + 1 GROUP BY 1, 2, 3, 4, 5)""",
+    "sample_exons": """
+        SELECT sample_id, concat('v', cast(v as string)) AS var_id, concat('E', cast(i as string)) AS exon_id, CASE i WHEN 1 THEN 1 WHEN 2 THEN 61 ELSE 121 END AS exon_start, CASE i WHEN 1 THEN 20 WHEN 2 THEN 80 ELSE 149 END + v % 3 AS exon_end
+        FROM {sheet} CROSS JOIN (SELECT DISTINCT cast(p_partkey % 300 as int) AS v FROM {part}) p CROSS JOIN (SELECT 1 AS i UNION ALL SELECT 2 UNION ALL SELECT 3) e""",
 }
 
 
 def sql(name: str, quote: str = '"') -> str:
     """The table's SQL with names of derived tables filled in; base tables keep their braces."""
-    text = re.sub(r"\{(\w+)\}", lambda m: sql(m[1], quote) if m[1] in TABLES else m[0], TABLES[name])
+    text = re.sub(r"\{(\w+)\}", lambda m: f"({sql(m[1], quote)})" if m[1] in TABLES else m[0], TABLES[name])
     return text.replace('"', quote)
 
 
+#: Tables whose rows go through the sequence kernel.
+READS = ("reads", "pairs", "spliced_reads", "read_pairs", "long_reads", "aligned_mates", "sample_reads")
+
+
+def _spread(scan: DataFrame) -> DataFrame:
+    """A scan of few unsplittable parts is dealt to all cores before the kernel; a scan of many parts stays as it is."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = sql(name, "`")
     used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in set(re.findall(r"\{(\w+)\}", text))}
+    if name in READS:
+        used = {t: _spread(scan) for t, scan in used.items()}
     return spark.sql(text, **used)
 
 

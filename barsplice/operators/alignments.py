@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,6 +68,11 @@ def reference_counts(df: DataFrame) -> DataFrame:
     return primary_mapped(df).groupBy("rname").agg(F.count(F.lit(1)).alias("mapped"))
 
 
+def with_source(tables: dict[str, DataFrame], column: str = "source") -> DataFrame:
+    """All rows of all tables with the name of theirs."""
+    return functools.reduce(DataFrame.unionByName, (df.select(F.lit(name).alias(column), *df.columns) for name, df in tables.items()))
+
+
 def add_statistics(*tables: DataFrame) -> DataFrame:
     """Sums of equally named values over several tables (name, value)."""
     every = tables[0]

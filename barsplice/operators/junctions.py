@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .components import connected_components
+
 
 def coordinates(bed: DataFrame) -> DataFrame:
     """Donor and acceptor of BED12 junctions, from the first block's size and the second one's start."""
@@ -15,11 +17,12 @@ def coordinates(bed: DataFrame) -> DataFrame:
     return bed.withColumn("donor", F.col("start") + size).withColumn("acceptor", F.col("start") + second)
 
 
-def introns(exons: DataFrame) -> DataFrame:
+def introns(exons: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Introns between a variant's exons in order of their starts, numbered I1, I2, ..."""
-    order = Window.partitionBy("var_id").orderBy("exon_start")
+    order = Window.partitionBy(*by, "var_id").orderBy("exon_start")
     rows = exons.withColumn("before", F.lag("exon_end").over(order)).where("before is not null")
     return rows.select(
+        *by,
         "var_id",
         F.concat(F.lit("I"), F.row_number().over(order)).alias("intron_id"),
         (F.col("before") + 1).alias("intron_start"),
@@ -27,56 +30,38 @@ def introns(exons: DataFrame) -> DataFrame:
     )
 
 
-def _cluster_points(tolerance: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        d, a = pdf["donor"].to_numpy(), pdf["acceptor"].to_numpy()
-        parent = np.arange(len(d))
-
-        def root(i: int) -> int:
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
-
-        grid: dict[tuple[int, int], list[int]] = {}
-        side = tolerance + 1
-        for i, key in enumerate(zip((d // side).tolist(), (a // side).tolist(), strict=True)):
-            for x in (-1, 0, 1):
-                for y in (-1, 0, 1):
-                    for j in grid.get((key[0] + x, key[1] + y), ()):
-                        if abs(d[i] - d[j]) <= tolerance and abs(a[i] - a[j]) <= tolerance:
-                            p, q = root(i), root(j)
-                            parent[max(p, q)] = min(p, q)
-            grid.setdefault(key, []).append(i)
-        roots = np.array([root(i) for i in range(len(d))], int)
-        return pdf.assign(cluster_donor=d[roots], cluster_acceptor=a[roots])
-
-    return run
-
-
-def cluster(junctions: DataFrame, tolerance: int = 2) -> DataFrame:
+def cluster(junctions: DataFrame, tolerance: int = 2, by: Sequence[str] = ()) -> DataFrame:
     """Names each junction's cluster by its smallest (donor, acceptor).
 
-    Junctions of one chromosome and strand whose donors and acceptors both differ by at most
-    ``tolerance`` are linked, and links chain.  Distinct positions are clustered (their number
-    is bounded by the construct's length, not by the reads), rows are joined back.
+    Junctions of one chromosome and strand (and ``by``) whose donors and acceptors both differ
+    by at most ``tolerance`` are linked, and links chain.  Distinct positions meet in the
+    cells of a grid, which is an equi-join; links become clusters by joins as well, so no
+    group of positions has to fit in one task.
     """
-    points = junctions.select("chrom", "strand", "donor", "acceptor").distinct()
-    ordered = points.groupBy("chrom", "strand").applyInPandas(
-        lambda pdf: _cluster_points(tolerance)(pdf.sort_values(["donor", "acceptor"], ignore_index=True)),
-        "chrom string, strand string, donor int, acceptor int, cluster_donor int, cluster_acceptor int",
-    )
-    return junctions.join(ordered, ["chrom", "strand", "donor", "acceptor"])
-
-
-def merge(clustered: DataFrame, least_coverage: int = 2) -> DataFrame:
+    keys = [*by, "chrom", "strand"]
+    cell = lambda c: F.floor(F.col(c) / (tolerance + 1)).cast("int")
+    points = junctions.select(*keys, "donor", "acceptor").distinct()
+    # A partner behind in order lies in the same or the next column of cells.
+    around = F.array(*(F.struct((cell("donor") + x).alias("x"), (cell("acceptor") + y).alias("y")) for x in (0, 1) for y in (-1, 0, 1)))
+    reach = points.select(*keys, "donor", "acceptor", F.explode(around).alias("at")).select("*", "at.x", "at.y").drop("at")
+    own = points.select(*keys, F.col("donor").alias("d2"), F.col("acceptor").alias("a2"), cell("donor").alias("x"), cell("acceptor").alias("y"))
+    near = (F.abs(F.col("d2") - F.col("donor")) <= tolerance) & (F.abs(F.col("a2") - F.col("acceptor")) <= tolerance)
+    behind = (F.col("d2") > F.col("donor")) | (F.col("d2") == F.col("donor")) & (F.col("a2") > F.col("acceptor"))
+    node = lambda d, a: F.struct(*keys, F.col(d).alias("donor"), F.col(a).alias("acceptor"))
+    links = reach.join(own, [*keys, "x", "y"]).where(near & behind).select(node("donor", "acceptor").alias("a"), node("d2", "a2").alias("b"))
+    found = connected_components(links).select("node.*", F.col("component.donor").alias("cluster_donor"), F.col("component.acceptor").alias("cluster_acceptor"))
+    rows = junctions.join(found, [*keys, "donor", "acceptor"], "left")
+    return rows.withColumns({f"cluster_{c}": F.coalesce(f"cluster_{c}", c) for c in ("donor", "acceptor")})
+
+
+def merge(clustered: DataFrame, least_coverage: int = 2, by: Sequence[str] = ()) -> DataFrame:
     """One row per cluster: summed coverage and the position of its best covered junction.
 
     Ties go to the smallest donor, acceptor, start and name.  The threshold holds for the sum.
     """
     best = F.min_by(F.struct("start", "end", "name", "donor", "acceptor"), F.struct(-F.col("coverage"), "donor", "acceptor", "start", "name"))
-    merged = clustered.groupBy("chrom", "strand", "cluster_donor", "cluster_acceptor").agg(best.alias("b"), F.sum("coverage").alias("coverage"))
-    return merged.where(F.col("coverage") >= least_coverage).select("chrom", "b.start", "b.end", "b.name", "coverage", "strand", "b.donor", "b.acceptor")
+    merged = clustered.groupBy(*by, "chrom", "strand", "cluster_donor", "cluster_acceptor").agg(best.alias("b"), F.sum("coverage").alias("coverage"))
+    return merged.where(F.col("coverage") >= least_coverage).select(*by, "chrom", "b.start", "b.end", "b.name", "coverage", "strand", "b.donor", "b.acceptor")
 
 
 def base_variant(chrom: Column, mutated: bool = False) -> Column:
@@ -86,9 +71,9 @@ def base_variant(chrom: Column, mutated: bool = False) -> Column:
     return F.concat(F.regexp_replace(F.regexp_replace(chrom, "/.*$", ""), "_[^_]*$", ""), F.lit("_wt"))
 
 
-def _spans(table: DataFrame, kind: str) -> DataFrame:
+def _spans(table: DataFrame, kind: str, by: Sequence[str]) -> DataFrame:
     rows = F.sort_array(F.collect_list(F.struct(F.col(f"{kind}_start").alias("start"), F.col(f"{kind}_end").alias("end"), F.col(f"{kind}_id").alias("id"))))
-    return table.groupBy("var_id").agg(rows.alias(f"{kind}s"))
+    return table.groupBy(*by, "var_id").agg(rows.alias(f"{kind}s"))
 
 
 def annotation(donor: Column, acceptor: Column, exons: Column, introns_: Column, overlap: int = 2) -> Column:
@@ -119,18 +104,26 @@ def annotation(donor: Column, acceptor: Column, exons: Column, introns_: Column,
     )
 
 
-def annotate(junctions: DataFrame, exons: DataFrame, overlap: int = 2, mutated: bool = False, keep_unlabelled: bool = False) -> DataFrame:
-    """Adds ``annotation``; junctions that match nothing go, those out of range or without positions stay."""
-    spans = _spans(exons, "exon").join(_spans(introns(exons), "intron"), "var_id", "left").withColumnRenamed("var_id", "__base")
-    rows = junctions.withColumn("__base", base_variant(F.col("chrom"), mutated)).join(spans, "__base", "left")
+def annotate(
+    junctions: DataFrame, exons: DataFrame, overlap: int = 2, mutated: bool = False, keep_unlabelled: bool = False, by: Sequence[str] = ()
+) -> DataFrame:
+    """Adds ``annotation``; junctions that match nothing go, those out of range or without positions stay.
+
+    ``by`` names columns (the sample) that junctions and exons share.
+    """
+    spans = _spans(exons, "exon", by).join(_spans(introns(exons, by), "intron", by), [*by, "var_id"], "left").withColumnRenamed("var_id", "__base")
+    rows = junctions.withColumn("__base", base_variant(F.col("chrom"), mutated)).join(spans, [*by, "__base"], "left")
     labelled = rows.withColumn("annotation", annotation(F.col("donor"), F.col("acceptor"), F.col("exons"), F.col("introns"), overlap)).drop("__base", "exons", "introns")
     return labelled if keep_unlabelled else labelled.where("annotation <> 'no_annotation'")
 
 
-def classify(bed: DataFrame, exons: DataFrame, tolerance: int = 2, overlap: int = 2, least_coverage: int = 2, mutated: bool = False) -> DataFrame:
-    """BED12 junctions to classified junctions."""
-    merged = merge(cluster(coordinates(bed), tolerance), least_coverage)
-    return annotate(merged, exons, overlap, mutated)
+def classify(
+    bed: DataFrame, exons: DataFrame, tolerance: int = 2, overlap: int = 2, least_coverage: int = 2, mutated: bool = False,
+    by: Sequence[str] = (), exons_by: Sequence[str] = (),
+) -> DataFrame:
+    """BED12 junctions to classified junctions, those of each ``by`` (such as the replicate) on their own; exons may differ by ``exons_by``."""
+    merged = merge(cluster(coordinates(bed), tolerance, by), least_coverage, by)
+    return annotate(merged, exons, overlap, mutated, by=exons_by)
 
 
 def from_alignments(alignments: DataFrame, anchor: int = 5, least_intron: int = 20) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,99 +14,115 @@ FLANK, BARCODE, SPLICED = 2, 1, 20
 PAIR_GAP = "NNNN"
 
 
-def last_by_barcode(barcodes: DataFrame, order: str = "line") -> DataFrame:
-    """One row per barcode: that of the last line."""
-    keep = [c for c in barcodes.columns if c not in ("barcode", order)]
+def _value(x: Column | str) -> Column:
+    return F.lit(x) if isinstance(x, str) else x
+
+
+def last_by_barcode(barcodes: DataFrame, order: str = "line", by: Sequence[str] = ()) -> DataFrame:
+    """One row per barcode (and ``by``, such as the sample): that of the last line."""
+    keep = [c for c in barcodes.columns if c not in ("barcode", order, *by)]
     last = F.max_by(F.struct(*keep), F.col(order)).alias("v")
-    return barcodes.groupBy("barcode").agg(last).select("barcode", "v.*")
+    return barcodes.groupBy(*by, "barcode").agg(last).select(*by, "barcode", "v.*")
 
 
-def with_barcode(reads: DataFrame, up: str, down: str, template: str, seq: str = "seq", retry: bool = True, correct: bool = True) -> DataFrame:
-    """Adds ``barcode`` (null if none fits), ``oriented`` and whether the read was ``flipped``.
+def _known(barcodes: DataFrame, by: Sequence[str]) -> DataFrame:
+    return last_by_barcode(barcodes, by=by).select(*by, "barcode", "var_id", S.upper_only(F.col("variant")).alias("__exon"))
 
-    A read without both flanks is tried as its reverse complement.  ``correct`` stores the
-    barcode with the template's bases, else as read.
-    """
-    found = reads.withColumn("__f", S.extract(F.col(seq), F.lit(up), F.lit(down), FLANK))
-    ok = F.col("__f.status") == "ok"
-    if retry:
-        # Only the rest is searched again: the UDF sees nulls for reads that are done.
-        found = found.withColumn("__r", S.extract(F.when(~ok, S.revcomp(F.col(seq))), F.lit(up), F.lit(down), FLANK))
-        again = ~ok & (F.col("__r.status") == "ok")
-        found = found.withColumn("flipped", again).withColumn("__b", F.when(ok, F.col("__f.value")).when(again, F.col("__r.value"))).drop("__r")
-    else:
-        found = found.withColumn("flipped", F.lit(False)).withColumn("__b", F.when(ok, F.col("__f.value")))
-    checked = S.check_barcode(F.col("__b"), F.lit(template.upper()), BARCODE)
-    value = checked if correct else F.when(checked.isNotNull(), F.col("__b"))
-    oriented = F.when(F.col("flipped"), S.revcomp(F.col(seq))).otherwise(F.col(seq))
-    return found.withColumn("barcode", value).withColumn("oriented", oriented).drop("__f", "__b")
-
-
-def canonical_single(reads: DataFrame, barcodes: DataFrame, before: str, after: str, up: str, down: str, template: str, middle: str | None = None) -> DataFrame:
-    """Single-end reads with ``status``: no_barcode, no_variant, exon_inclusion, exon_skipping or leftover.
 
-    The exon is ``middle`` for intron libraries, else the variant's upper-case bases.  A
-    leftover read that holds the exon before gets ``cut``, the place where it starts.
+def with_barcode(
+    reads: DataFrame, up: Column | str, down: Column | str, template: Column | str, seq: Column | str = "seq", retry: bool = True, correct: bool = True
+) -> DataFrame:
+    """Adds ``barcode`` (null if none fits), ``oriented`` and whether the read was ``flipped``.
+
+    With ``retry`` a read without both flanks is tried as its reverse complement.
+    ``correct`` stores the barcode with the template's bases, else as read.  Flanks and
+    template may be columns, so that every sample brings its own.
     """
-    known = last_by_barcode(barcodes).select("barcode", "var_id", S.upper_only(F.col("variant")).alias("exon"))
-    rows = with_barcode(reads, up, down, template).join(known, "barcode", "left")
-    hit = F.col("barcode").isNotNull() & F.col("var_id").isNotNull()
-    read = F.when(hit, F.col("oriented"))
-    exon = F.lit(middle) if middle is not None else F.col("exon")
-    rows = rows.withColumn("__in", S.locate(read, F.concat(F.lit(before), exon, F.lit(after)), FLANK))
-    out = F.coalesce(F.col("__in"), F.lit(-1)) < 0
-    rows = rows.withColumn("__out", S.locate(F.when(out, read), F.lit(before + after), FLANK))
-    rest = out & (F.coalesce(F.col("__out"), F.lit(-1)) < 0)
-    rows = rows.withColumn("cut", S.locate(F.when(rest, read), F.lit(before), FLANK))
+    read = F.col(seq) if isinstance(seq, str) else seq
+    up, down, template = map(_value, (up, down, template))
+    found = reads.withColumn("__at", S.flanks(read, up, down, FLANK, retry)).withColumn("flipped", F.col("__at.flipped"))
+    found = found.withColumn("oriented", F.when(F.col("flipped"), S.revcomp(read)).otherwise(read))
+    raw = F.when(F.col("__at.down") >= 0, S.inner(F.col("oriented"), F.col("__at"), up))
+    checked = S.check_barcode(raw, F.upper(template), BARCODE)
+    return found.withColumn("barcode", checked if correct else F.when(checked.isNotNull(), raw)).drop("__at")
+
+
+def _status(rows: DataFrame, read: Column, before: Column, exon: Column, after: Column, most: int, edits: bool) -> DataFrame:
+    """Adds ``status``; the read is searched for its variant's inclusion, then for skipping."""
+    known = F.col("barcode").isNotNull() & F.col("var_id").isNotNull()
+    rows = rows.withColumn("__event", S.first_of(F.when(known, read), [F.concat(before, exon, after), F.concat(before, after)], most, edits))
     status = (
         F.when(F.col("barcode").isNull(), "no_barcode")
         .when(F.col("var_id").isNull(), "no_variant")
-        .when(F.col("__in") >= 0, "exon_inclusion")
-        .when(F.col("__out") >= 0, "exon_skipping")
+        .when(F.col("__event") == 0, "exon_inclusion")
+        .when(F.col("__event") == 1, "exon_skipping")
         .otherwise("leftover")
     )
-    return rows.withColumn("status", status).withColumn("cut", F.when(F.col("status") == "leftover", F.col("cut"))).drop("__in", "__out", "exon")
-
-
-def canonical_pairs(pairs: DataFrame, barcodes: DataFrame, before: str, after: str, up: str, down: str, template: str, middle: str | None = None) -> DataFrame:
-    """Read pairs with ``status``: the barcode lies in read 2, events in both reads joined, by edit distance 4 * mismatches."""
-    known = last_by_barcode(barcodes).select("barcode", "var_id", S.upper_only(F.col("variant")).alias("exon"))
-    rows = with_barcode(pairs, up, down, template, seq="s2").join(known, "barcode", "left")
-    both = F.concat("s1", "s2")
-    exon = F.lit(middle) if middle is not None else F.col("exon")
-    # Whole numbers for both searches, each run only where the former failed.
-    inclusion = S.locate_edit(both, F.concat(F.lit(before), exon, F.lit(after)), 4 * FLANK) >= 0
-    skipping = S.locate_edit(both, F.lit(before + after), 4 * FLANK) >= 0
-    status = (
-        F.when(F.col("barcode").isNull(), "no_barcode")
-        .when(F.col("var_id").isNull(), "no_variant")
-        .when(inclusion, "exon_inclusion")
-        .when(skipping, "exon_skipping")
-        .otherwise("leftover")
-    )
-    return rows.withColumn("status", status).drop("exon")
+    return rows.withColumn("status", status).drop("__event", "__exon")
+
+
+def canonical_single(
+    reads: DataFrame, barcodes: DataFrame, before: Column | str, after: Column | str, up: Column | str, down: Column | str,
+    template: Column | str, middle: Column | str | None = None, by: Sequence[str] = (),
+) -> DataFrame:
+    """Single-end reads with ``status``: no_barcode, no_variant, exon_inclusion, exon_skipping or leftover.
+
+    The exon is ``middle`` for intron libraries, else the variant's upper-case bases.  A
+    leftover read that holds the exon before gets ``cut``, the place where it starts.
+    Columns named by ``by`` (the sample) belong to the barcode's key; the layout may be
+    columns of the reads.
+    """
+    before, after = _value(before), _value(after)
+    rows = with_barcode(reads, up, down, template).join(_known(barcodes, by), [*by, "barcode"], "left")
+    rows = _status(rows, F.col("oriented"), before, F.col("__exon") if middle is None else _value(middle), after, FLANK, False)
+    return rows.withColumn("cut", S.locate(F.when(F.col("status") == "leftover", F.col("oriented")), before, FLANK))
 
 
-def canonical_counts(classified: DataFrame, read_ref: Column) -> DataFrame:
+def canonical_pairs(
+    pairs: DataFrame, barcodes: DataFrame, before: Column | str, after: Column | str, up: Column | str, down: Column | str,
+    template: Column | str, middle: Column | str | None = None, by: Sequence[str] = (),
+) -> DataFrame:
+    """Read pairs with ``status`` as for single reads; the barcode lies in read 2.
+
+    Events are searched in read 1 followed by read 2 as turned for its barcode, within four
+    times as many edits as a single read may have mismatches.  ``cut`` is the place of the
+    exon before in read 1 of a leftover pair.
+    """
+    before, after = _value(before), _value(after)
+    rows = with_barcode(pairs, up, down, template, seq="s2").join(_known(barcodes, by), [*by, "barcode"], "left")
+    both = F.concat("s1", "oriented")
+    rows = _status(rows, both, before, F.col("__exon") if middle is None else _value(middle), after, 4 * FLANK, True)
+    return rows.withColumn("cut", S.locate(F.when(F.col("status") == "leftover", F.col("s1")), before, FLANK))
+
+
+def canonical_counts(classified: DataFrame, read_ref: Column, by: Sequence[str] = ()) -> DataFrame:
     """Reads by reference, variant, barcode and event."""
     hits = classified.where(F.col("status").isin("exon_inclusion", "exon_skipping"))
-    return hits.groupBy(read_ref.alias("read_ref"), "var_id", "barcode", F.col("status").alias("ref_type")).agg(F.count(F.lit(1)).alias("count"))
+    return hits.groupBy(*by, read_ref.alias("read_ref"), "var_id", "barcode", F.col("status").alias("ref_type")).agg(F.count(F.lit(1)).alias("count"))
 
 
-def unknown_counts(classified: DataFrame) -> DataFrame:
+def unknown_counts(classified: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Reads without a barcode and with a barcode of no variant."""
     count = lambda s: F.count(F.when(F.col("status") == s, 1))
-    return classified.agg(count("no_barcode").alias("reads_without_barcodes"), count("no_variant").alias("reads_without_variants"))
+    return classified.groupBy(*by).agg(count("no_barcode").alias("reads_without_barcodes"), count("no_variant").alias("reads_without_variants"))
 
 
-def event_totals(counts: DataFrame) -> DataFrame:
-    """Always two rows: inclusion and skipping."""
+def event_totals(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Always two rows (for each ``by``): inclusion and skipping."""
     total = lambda k: F.coalesce(F.sum(F.when(F.col("ref_type") == k, F.col("count"))), F.lit(0)).cast("bigint")
-    one = counts.agg(*(total(k).alias(k) for k in ("exon_inclusion", "exon_skipping")))
-    return one.unpivot([], ["exon_inclusion", "exon_skipping"], "event", "total")
+    one = counts.groupBy(*by).agg(*(total(k).alias(k) for k in ("exon_inclusion", "exon_skipping")))
+    return one.unpivot(list(by), ["exon_inclusion", "exon_skipping"], "event", "total")
+
+
+def _cut(c: Column | str) -> Column:
+    return F.when(F.col("cut") >= 0, F.substring(c, F.col("cut") + 1, F.length(c))).otherwise(c)
 
 
-def leftovers(classified: DataFrame, follow_orientation: bool = False) -> DataFrame:
+def _named(header: str) -> Column:
+    return F.when(F.col("cut") >= 0, F.concat_ws("||", header, "var_id")).otherwise(F.col(header))
+
+
+def leftovers(classified: DataFrame, follow_orientation: bool = False, by: Sequence[str] = ()) -> DataFrame:
     """Unexplained reads for the spliced aligner: cut at the exon before, their header naming the variant.
 
     The cut is found on the oriented read but applied to the read as stored; set
@@ -113,24 +131,55 @@ def leftovers(classified: DataFrame, follow_orientation: bool = False) -> DataFr
     rows = classified.where("status = 'leftover'")
     seq = F.col("oriented") if follow_orientation else F.col("seq")
     qual = F.when(F.col("flipped") & F.lit(follow_orientation), F.reverse("qual")).otherwise(F.col("qual"))
-    found = F.col("cut") >= 0
-    tail = lambda c: F.when(found, F.substring(c, F.col("cut") + 1, F.length(c))).otherwise(c)
-    header = F.when(found, F.concat_ws("||", "header", "var_id")).otherwise(F.col("header"))
-    return rows.select(header.alias("header"), tail(seq).alias("seq"), tail(qual).alias("qual"))
+    return rows.select(*by, _named("header").alias("header"), _cut(seq).alias("seq"), _cut(qual).alias("qual"))
+
+
+def pair_leftovers(classified: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Unexplained pairs: read 1 cut and named like a single read, read 2 as stored."""
+    rows = classified.where("status = 'leftover'")
+    return rows.select(*by, _named("h1").alias("h1"), _cut(F.col("s1")).alias("s1"), _cut(F.col("q1")).alias("q1"), "h2", "s2", "q2")
+
+
+def exon_spans(exons: DataFrame) -> DataFrame:
+    """``var_id, first_end, one, two``: where the first exon ends and the lengths of the first two, exons in order of their starts."""
+    rows = F.sort_array(F.collect_list(F.struct(F.col("exon_start").alias("start"), F.col("exon_end").alias("end"))))
+    size = lambda i: F.get("e", F.lit(i))["end"] - F.get("e", F.lit(i))["start"] + 1
+    return exons.groupBy("var_id").agg(rows.alias("e")).select("var_id", F.get("e", F.lit(0))["end"].alias("first_end"), size(0).alias("one"), size(1).alias("two"))
+
+
+def _spanning(rows: DataFrame, exons: DataFrame, rname: Column, begin: Column, end: Column, clip: int) -> DataFrame:
+    """Adds ``ref_type`` and ``read_ref`` from names like exon_inclusion_x, and ``spans``: both outer exons entered by more than ``clip`` bases."""
+    words = F.split(rname, "_", 3)
+    rows = rows.withColumn("ref_type", F.concat_ws("_", F.get(words, F.lit(0)), F.get(words, F.lit(1)))).withColumn("read_ref", F.get(words, F.lit(2)))
+    rows = rows.join(exon_spans(exons).withColumnRenamed("var_id", "read_ref"), "read_ref", "left")
+    inside = F.col("one") + F.when(F.col("ref_type") == "exon_inclusion", F.col("two")).otherwise(0)
+    return rows.withColumn("spans", F.coalesce((F.col("first_end") - begin > clip) & (end - inside > clip), F.lit(False))).drop("first_end", "one", "two")
 
 
-def aligned_single(alignments: DataFrame, lengths: DataFrame, up: str, down: str, template: str, clip: int = 5) -> DataFrame:
-    """Reads aligned across their exon reference: ``kept`` if both outer exons are entered by more than ``clip`` bases.
+def aligned_single(alignments: DataFrame, exons: DataFrame, up: Column | str, down: Column | str, template: Column | str, clip: int = 5) -> DataFrame:
+    """Reads aligned to exon references with ``spans`` (else mapped wrongly) and ``kept`` (and a barcode that fits its template, taken as read).
 
-    ``lengths`` gives each reference's exon lengths in order.  The barcode is checked
-    against the template but kept as read.
+    ``exons`` are positions by ``var_id``, the reference's name behind its kind.
     """
-    rows = alignments.join(lengths, alignments["rname"] == lengths["reference"], "left").drop("reference")
-    rows = with_barcode(rows, up, down, template, correct=False)
-    first, inner = F.get("lengths", F.lit(0)), F.aggregate(F.slice("lengths", F.lit(1), F.greatest(F.size("lengths") - 1, F.lit(0))), F.lit(0), lambda a, x: a + x)
-    spans = (first - F.col("pos") > clip) & (F.col("pos_end") - inner > clip)
-    kind = F.concat_ws("_", F.get(F.split("rname", "_", 3), F.lit(0)), F.get(F.split("rname", "_", 3), F.lit(1)))
-    return rows.withColumn("ref_type", kind).withColumn("kept", F.coalesce(spans & F.col("barcode").isNotNull(), F.lit(False)))
+    rows = _spanning(alignments, exons, F.col("rname"), F.col("pos"), F.col("pos_end"), clip)
+    rows = with_barcode(rows, up, down, template, retry=False, correct=False)
+    return rows.withColumn("kept", F.col("spans") & F.col("barcode").isNotNull()).drop("oriented", "flipped")
+
+
+def aligned_pairs(pairs: DataFrame, exons: DataFrame, up: Column | str, down: Column | str, template: Column | str, clip: int = 5) -> DataFrame:
+    """Mates (structs ``first`` and ``second``) with ``spans`` and ``kept``; the barcode lies in read 2 turned back."""
+    first, second = F.col("first"), F.col("second")
+    rows = _spanning(pairs, exons, first["rname"], first["pos"], second["pos_end"], clip)
+    rows = rows.withColumn("spans", F.col("spans") & F.coalesce(proper_pair(first, second, clip), F.lit(False)))
+    rows = with_barcode(rows, up, down, template, seq=S.revcomp(second["seq"]), retry=False, correct=False)
+    return rows.withColumn("kept", F.col("spans") & F.col("barcode").isNotNull()).drop("oriented", "flipped")
+
+
+def aligned_counts(filtered: DataFrame, barcodes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Reads by reference, variant, barcode and event of aligned reads; a barcode listed for several variants counts for each."""
+    reads = filtered.where("kept").groupBy(*by, "read_ref", "barcode", "ref_type").agg(F.count(F.lit(1)).alias("count"))
+    known = barcodes.select(*by, "barcode", "var_id")
+    return reads.join(known, [*by, "barcode"], "left").groupBy(*by, "read_ref", "var_id", "barcode", "ref_type").agg(F.sum("count").alias("count"))
 
 
 def proper_pair(first: Column, second: Column, clip: int = 5) -> Column:
@@ -143,31 +192,58 @@ def proper_pair(first: Column, second: Column, clip: int = 5) -> Column:
     )
 
 
-def spliced_product(seq: Column, begin: Column, cigar: Column, least: int = SPLICED) -> Column:
-    """The read before its barcode's flank if the alignment has a gap of ``least`` bases, else ``unavail``."""
-    gap = F.exists(S.cigar_ops(cigar), lambda o: (o["op"] == "N") & (o["n"] >= least))
-    return F.when(gap, F.substring(seq, F.lit(1), begin)).otherwise("unavail")
+def has_gap(cigar: Column, least: int = SPLICED) -> Column:
+    return F.exists(S.cigar_ops(cigar), lambda o: (o["op"] == "N") & (o["n"] >= least))
+
+
+def spliced_product(seq: Column, down_at: Column, barcode: Column, gap: Column, first: Column | None = None) -> Column:
+    """The read up to its barcode, counted back from the leftmost downstream flank, behind the first mate if there is one.
 
+    ``unavail`` without a barcode, without a gap, or if nothing lies before the barcode.
+    The upstream flank belongs to the product.
+    """
+    behind = down_at - F.length(barcode)
+    product = F.substring(seq, F.lit(1), behind)
+    whole = product if first is None else F.concat(first, F.lit(PAIR_GAP), product)
+    return F.when((down_at >= 0) & (behind > 0) & gap, whole).otherwise("unavail")
+
+
+def _rescued(rows: DataFrame, barcodes: DataFrame, seq: Column, up, down, template, by: Sequence[str]) -> DataFrame:
+    """Adds barcode, variant and ``__down``, the leftmost downstream flank in the whole read, which is taken as stored."""
+    known = last_by_barcode(barcodes, by=by).select(*by, "barcode", "var_id")
+    found = with_barcode(rows, up, down, template, seq=seq, retry=False)
+    found = found.withColumn("__down", S.locate(F.when(F.col("barcode").isNotNull(), seq), _value(down), FLANK)).drop("oriented", "flipped")
+    return found.join(known, [*by, "barcode"], "left")
 
-def novel_single(alignments: DataFrame, barcodes: DataFrame, up: str, down: str, template: str) -> DataFrame:
+
+def novel_single(alignments: DataFrame, barcodes: DataFrame, up: Column | str, down: Column | str, template: Column | str, by: Sequence[str] = ()) -> DataFrame:
     """Spliced alignments with the barcode and variant of their read, taken as stored; ``rname`` becomes the variant for known ones."""
-    known = last_by_barcode(barcodes).select("barcode", "var_id")
-    found = alignments.withColumn("__f", S.extract(F.col("seq"), F.lit(up), F.lit(down), FLANK))
-    barcode = S.check_barcode(F.when(F.col("__f.status") == "ok", F.col("__f.value")), F.lit(template.upper()), BARCODE)
-    rows = found.withColumn("barcode", barcode).withColumn("spliced_sequence", F.when(F.col("__f.status") == "ok", spliced_product(F.col("seq"), F.col("__f.begin"), F.col("cigar"))))
-    rows = rows.drop("__f").join(known, "barcode", "left")
-    return rows.withColumn("read_ref", F.col("rname")).withColumn("rname", F.coalesce("var_id", "rname"))
+    rows = _rescued(alignments, barcodes, F.col("seq"), up, down, template, by)
+    product = spliced_product(F.col("seq"), F.col("__down"), F.col("barcode"), has_gap(F.col("cigar")))
+    return rows.withColumn("spliced_sequence", product).withColumn("read_ref", F.col("rname")).withColumn("rname", F.coalesce("var_id", "rname")).drop("__down")
+
+
+def novel_pairs(pairs: DataFrame, barcodes: DataFrame, up: Column | str, down: Column | str, template: Column | str, by: Sequence[str] = ()) -> DataFrame:
+    """Mates (structs ``first`` and ``second``) with the barcode and variant of read 2; both take the variant's name as ``rname``."""
+    first, second = F.col("first"), F.col("second")
+    rows = _rescued(pairs, barcodes, second["seq"], up, down, template, by)
+    gap = has_gap(first["cigar"]) | has_gap(second["cigar"])
+    rows = rows.withColumn("spliced_sequence", spliced_product(second["seq"], F.col("__down"), F.col("barcode"), gap, first["seq"]))
+    rows = rows.withColumn("read_ref", first["rname"])
+    for mate in ("first", "second"):
+        rows = rows.withColumn(mate, F.col(mate).withField("rname", F.coalesce(F.col("var_id"), F.col(f"{mate}.rname"))))
+    return rows.drop("__down")
 
 
-def novel_counts(rescued: DataFrame, products: bool = False) -> DataFrame:
+def novel_counts(rescued: DataFrame, products: bool = False, by: Sequence[str] = ()) -> DataFrame:
     """Reads by reference, variant and barcode (null variants are a group), with the spliced sequence if asked for."""
-    keys = ["read_ref", "var_id", "barcode", *(["spliced_sequence"] if products else [])]
+    keys = [*by, "read_ref", "var_id", "barcode", *(["spliced_sequence"] if products else [])]
     return rescued.where("barcode is not null").groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
 
 
 def contigs(reference: DataFrame, barcodes: DataFrame, default: int = 1000) -> DataFrame:
-    """Header lines of rewritten alignments: references, and variants as long as their base sequence."""
+    """Header lines of rewritten alignments: references, and other variants as long as the reference named before their ``/``."""
     own = reference.select(F.col("id").alias("name"), F.length("seq").alias("length"))
-    base = F.regexp_replace(F.regexp_replace("var_id", "/.*$", ""), "_[^_]*$", "")
-    variants = barcodes.select("var_id", base.alias("base")).distinct().join(own.withColumnRenamed("name", "base"), "base", "left")
-    return own.unionByName(variants.select(F.col("var_id").alias("name"), F.coalesce("length", F.lit(default)).alias("length"))).distinct()
+    variants = barcodes.select(F.col("var_id").alias("name"), F.regexp_replace("var_id", "/.*$", "").alias("base")).distinct().join(own.select("name"), "name", "left_anti")
+    sized = variants.join(own.withColumnRenamed("name", "base"), "base", "left")
+    return own.unionByName(sized.select("name", F.coalesce("length", F.lit(default)).alias("length"))).distinct()

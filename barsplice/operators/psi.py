@@ -159,25 +159,29 @@ def fit_variances(counts: DataFrame, replicates: Sequence[str], mode: str = "can
     return {r: float(math.exp(a)) for r, a in zip(replicates, best, strict=True)}
 
 
-def estimates(counts: DataFrame, variances: dict[str, float], mode: str = "can") -> DataFrame:
+def estimates(counts: DataFrame, variances: dict, mode: str = "can", by: Sequence[str] = ()) -> DataFrame:
     """One row per variant: psi, ratio and reads by replicate, the combined and the shrunk estimate with its interval.
 
     Replicates are numbered 1.. in lexical order.  Variants without reads in the mode's
-    counts have no estimate and no row.
+    counts have no estimate and no row.  ``variances`` are keyed by replicate.  With ``by``
+    (such as the sample) every group is estimated on its own and shrunk to its own mean;
+    keys are then tuples of the group and the replicate.
     """
-    reps = sorted(variances)
-    added = F.create_map(*itertools.chain.from_iterable((F.lit(r), F.lit(float(variances[r]))) for r in reps))
-    obs = observations(raw_columns(counts), mode).where(F.col("rep").isin(reps)).withColumn("v", F.col("s2") + added[F.col("rep")])
+    keyed = {k if isinstance(k, tuple) else (k,): float(v) for k, v in variances.items()}
+    reps = sorted({k[-1] for k in keyed})
+    added = F.create_map(*itertools.chain.from_iterable((F.lit("\n".join(k)), F.lit(v)) for k, v in keyed.items()))
+    obs = observations(raw_columns(counts), mode).withColumn("v", F.col("s2") + added[F.concat_ws("\n", *by, "rep")]).where("v is not null")
     pick = lambda c, r: F.max(F.when(F.col("rep") == r, F.col(c)))
     by_rep = [pick(c, r).alias(f"{name}{i}") for name, c in (("psi", "raw_psi"), ("ratio", "ratio"), ("n_total", "n_total")) for i, r in enumerate(reps, 1)]
-    one = obs.groupBy("var_id").agg(
+    one = obs.groupBy(*by, "var_id").agg(
         *by_rep, (F.sum(F.col("y") / F.col("v")) / F.sum(1 / F.col("v"))).alias("theta"), (1 / F.sum(1 / F.col("v"))).alias("var_theta")
     )
+    overall = one.groupBy(*by).agg(F.avg("theta").alias("mu"), F.var_samp("theta").alias("tau2"))
+    joined = one.join(overall, list(by)) if by else one.crossJoin(F.broadcast(overall))
     logistic = lambda c: 1 / (1 + F.exp(-c))
-    overall = one.agg(F.avg("theta").alias("mu"), F.var_samp("theta").alias("tau2"))
     theta, var = F.col("theta_shrunk"), F.col("var_theta_shrunk")
     return (
-        one.crossJoin(F.broadcast(overall))
+        joined
         .withColumn("psi_est", logistic(F.col("theta")))
         .withColumn("shrinkage", F.try_divide(F.col("tau2"), F.col("tau2") + F.col("var_theta")))
         .withColumn("theta_shrunk", F.col("shrinkage") * F.col("theta") + (1 - F.col("shrinkage")) * F.col("mu"))

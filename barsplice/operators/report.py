@@ -115,6 +115,73 @@ def rescale(junctions: DataFrame, targets: DataFrame, template: DataFrame) -> Da
     return joined.groupBy(*keys).agg(F.min(moved("donor")).cast("bigint").alias("donor_scaled"), F.min(moved("acceptor")).cast("bigint").alias("acceptor_scaled"))
 
 
+def complete_rows(table: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows without a null (or NaN) in any of the columns."""
+    return table.dropna("any", subset=list(columns))
+
+
+def any_value(table: DataFrame) -> DataFrame:
+    """Rows with at least one value."""
+    return table.dropna("all")
+
+
+def of_exon(table: DataFrame, exon: str, whole: bool = False) -> DataFrame:
+    """Rows whose ``var_id`` starts with an exon's id; with ``whole`` only if the id ends there, so that e1 is not e10."""
+    name = F.col("var_id")
+    return table.where((name == exon) | name.startswith(f"{exon}_") if whole else name.startswith(exon))
+
+
+def exon_ids(exons: DataFrame) -> DataFrame:
+    """Distinct first two words of ``var_id``; the common skipping reference has none."""
+    return exons.where("var_id <> 'elib'").select(F.substring_index("var_id", "_", 2).alias("exon_id")).distinct()
+
+
+def within(table: DataFrame, column: str, low: float | None = None, high: float | None = None) -> DataFrame:
+    """Rows whose value lies in a range, bounds included; nulls go if a bound is given."""
+    for bound, keep in ((low, F.col(column) >= F.lit(low)), (high, F.col(column) <= F.lit(high))):
+        table = table if bound is None else table.where(keep)
+    return table
+
+
+def linear_fit(table: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
+    """Slope, intercept and R squared of ``y`` on ``x`` over rows where neither is zero or null."""
+    rows = table.where((F.col(x) != 0) & (F.col(y) != 0))
+    return rows.groupBy(*by).agg(
+        F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.regr_r2(y, x).alias("r2"), F.count(F.lit(1)).alias("n")
+    )
+
+
+def histogram(table: DataFrame, column: str, breaks: Sequence[float]) -> DataFrame:
+    """``(low, high, n, height)`` of every bin, bounded below but for the first and above, and its share of the fullest; values outside are an error.
+
+    Bins are as many as ``breaks`` say; empty ones have no row.
+    """
+    edges = [float(b) for b in breaks]
+    value = F.col(column).cast("double")
+    bins = [((value >= lo if i == 0 else value > lo) & (value <= hi), F.struct(F.lit(lo).alias("low"), F.lit(hi).alias("high"))) for i, (lo, hi) in enumerate(itertools.pairwise(edges))]
+    place = F.coalesce(*(F.when(inside, b) for inside, b in bins), F.when(F.raise_error(F.concat(F.lit("outside of all bins: "), value.cast("string"))).isNull(), bins[0][1]))
+    counted = table.where(value.isNotNull()).groupBy(place.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("b.*", "n", (F.col("n") / F.max("n").over(Window.partitionBy())).alias("height"))
+
+
+def natural_key(name: Column) -> Column:
+    """Sort key by which r2 comes before r10: runs of digits count as numbers, other runs as text.  For numbers of up to 18 digits."""
+    parts = F.regexp_extract_all(name, F.lit(r"(\d+|\D+)"), F.lit(1))
+    return F.transform(parts, lambda p: F.struct((~p.rlike("^\\d")).alias("text"), F.coalesce(p.try_cast("bigint"), F.lit(0)).alias("number"), p.alias("part")))
+
+
+def sample_replicates(sheet: DataFrame) -> DataFrame:
+    """One row per sample with its replicates in natural order."""
+    rows = F.sort_array(F.collect_list(F.struct(natural_key(F.col("replicate")).alias("k"), "replicate", "sample_id")))
+    return sheet.groupBy("sample").agg(rows.alias("r")).select("sample", F.col("r.replicate").alias("replicates"), F.col("r.sample_id").alias("sample_ids"))
+
+
+def reference_totals(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Reads on all inclusion and on all skipping references, told by their names."""
+    total = lambda word: F.coalesce(F.sum(F.when(F.contains("rname", F.lit(word)), F.col("mapped"))), F.lit(0)).cast("bigint")
+    return counts.groupBy(*by).agg(total("_inclusion").alias("inclusion_reads"), total("_skipping").alias("skipping_reads"))
+
+
 def abbreviate(n: Column) -> Column:
     """1234 as 1.2K and so on to T."""
     steps = ((1e12, "T"), (1e9, "B"), (1e6, "M"), (1e3, "K"))

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import gzip
+import datetime
+import functools
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from .. import schema
 
@@ -17,63 +17,47 @@ REFERENCE_SUFFIXES = (".fa", ".fasta")
 BARCODE_HEADER = ("barcode", "variant", "var_id", "count")
 
 
-def _open(path: str):
-    return gzip.open(path, "rt") if path.endswith(".gz") else open(path)
+def _lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``file, line, value``: lines numbered from 0 in each file.
 
-
-def _records(path: str) -> Iterator[tuple[str, str, str]]:
-    with _open(path) as f:
-        while True:
-            header = f.readline()
-            if not header:
-                return
-            seq, plus, qual = f.readline(), f.readline(), f.readline()
-            if not qual:
-                raise ValueError(f"Truncated FASTQ record in {path}")
-            yield header.rstrip("\n")[1:], seq.rstrip("\n"), qual.rstrip("\n")
-
-
-class FastqSource(DataSource):
-    """``fastq``: option ``paths`` (comma-separated), and ``mates`` for read pairs.
-
-    One partition a file: a compressed file cannot be split, so repartition after reading.
-    Pairs are zipped by position and end with the shorter file.  A truncated record is an error.
+    Files are split like any text.  A first pass counts the lines of every split; their
+    running sums number the lines of the second one, whose splits are the same.
     """
+    rows = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")
+    )
+    splits = rows.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = splits.select("file", "block", (before - F.col("first")).alias("shift"))
+    return rows.join(starts, ["file", "block"]).select("file", (F.col("at") + F.col("shift")).alias("line"), "value")
 
-    @classmethod
-    def name(cls) -> str:
-        return "fastq"
-
-    def schema(self) -> str:
-        return schema.READ_PAIRS if self.options.get("mates") else schema.READS
-
-    def reader(self, schema) -> DataSourceReader:
-        return _FastqReader(self.options)
 
+def _records(lines: DataFrame, keys: Sequence[str], suffix: str = "") -> DataFrame:
+    """Four lines make a record; its key also spreads the records of a compressed file over all tasks."""
+    part = lambda i: F.max(F.when(F.col("line") % 4 == i, F.col("value")))
+    rows = lines.groupBy(*keys, F.floor(F.col("line") / 4).alias("record")).agg(part(0).alias("h"), part(1).alias("s"), part(3).alias("q"))
+    whole = F.when(F.col("q").isNotNull(), F.col("h")).otherwise(F.raise_error(F.concat(F.lit("Truncated FASTQ record in "), F.col(keys[0]).cast("string"))))
+    return rows.select(*keys, "record", F.substring(whole, F.lit(2), F.length("h")).alias(f"h{suffix}"), F.col("s").alias(f"s{suffix}"), F.col("q").alias(f"q{suffix}"))
 
-class _FastqReader(DataSourceReader):
-    def __init__(self, options):
-        split = lambda name: [p for p in (options.get(name) or "").split(",") if p]
-        self.paths, self.mates = split("paths"), split("mates")
-        if self.mates and len(self.mates) != len(self.paths):
-            raise ValueError("as many mates as paths are needed")
 
-    def partitions(self) -> Sequence[InputPartition]:
-        return [InputPartition(i) for i in range(len(self.paths))]
+def read_fastq(spark: SparkSession, paths: Sequence[str], mates: Sequence[str] = ()) -> DataFrame:
+    """Reads, or read pairs if there are ``mates``, from any file system that Spark reads.
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        i = partition.value
-        if not self.mates:
-            yield from _records(self.paths[i])
-        else:
-            for a, b in zip(_records(self.paths[i]), _records(self.mates[i]), strict=False):
-                yield (*a, *b)
+    Plain files are split; a compressed one is unpacked by one task and its records are
+    then spread.  Pairs are zipped by position and end with the shorter file.  A truncated
+    record is an error.  Rows have no order.
+    """
+    if not mates:
+        rows = _records(_lines(spark, list(paths)), ["file"])
+        return rows.select(F.col("h").alias("header"), F.col("s").alias("seq"), F.col("q").alias("qual"))
+    if len(mates) != len(paths):
+        raise ValueError("as many mates as paths are needed")
 
+    def side(names: Sequence[str], suffix: str) -> DataFrame:
+        numbered = [_lines(spark, p).withColumn("run", F.lit(i)) for i, p in enumerate(names)]
+        return _records(functools.reduce(DataFrame.unionByName, numbered), ["run"], suffix)
 
-def read_fastq(spark: SparkSession, paths: Sequence[str], mates: Sequence[str] = ()) -> DataFrame:
-    spark.dataSource.register(FastqSource)
-    reader = spark.read.format("fastq").option("paths", ",".join(paths))
-    return (reader.option("mates", ",".join(mates)) if mates else reader).load()
+    return side(paths, "1").join(side(mates, "2"), ["run", "record"]).select("h1", "s1", "q1", "h2", "s2", "q2")
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
@@ -162,6 +146,60 @@ def aligner_statistics(lines: DataFrame) -> DataFrame:
     return named.groupBy("name").agg(F.sum("value").alias("value"))
 
 
+_TOTALS = {
+    "Total": r"Total (reads|pairs):",
+    "Aligned 0 time": r"Aligned (concordantly or discordantly |concordantly )?0 times?:",
+    "Aligned 1 time": r"Aligned (concordantly )?1 time:",
+    "Aligned >1 times": r"Aligned (concordantly )?>1 times:",
+}
+
+
+def aligner_totals(lines: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``(name, value)`` summed over the summaries of all exons, and the overall rate in whole per cent (null without reads)."""
+    name = F.coalesce(*(F.when(F.regexp_like(F.col("value"), F.lit(p)), F.lit(n)) for n, p in _TOTALS.items()))
+    named = lines.select(*by, name.alias("name"), F.regexp_extract("value", r":\s*(\d+)", 1).try_cast("bigint").alias("value")).where("name is not null")
+    cells = [F.coalesce(F.sum(F.when(F.col("name") == n, F.col("value"))), F.lit(0)).cast("bigint").alias(n) for n in _TOTALS]
+    one = named.groupBy(*by).agg(*cells)
+    rate = F.expr("CASE WHEN `Total` > 0 THEN (`Aligned 1 time` + `Aligned >1 times`) * 100 div `Total` END")
+    return one.withColumn("Overall alignment rate", rate).unpivot(list(by), [*_TOTALS, "Overall alignment rate"], "name", "value")
+
+
+def read_idxstats(spark: SparkSession, path: str) -> DataFrame:
+    """``rname, mapped`` of an index statistics file; the row of reads without a reference is left out."""
+    rows = read_tsv(spark, path, "rname string, length bigint, mapped bigint, unmapped bigint", header=False)
+    return rows.where("rname <> '*'").select("rname", "mapped")
+
+
+def missing_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Paths that do not exist on the file system they name."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    return [p for p in paths if not path(p).getFileSystem(conf).exists(path(p))]
+
+
+def run_metadata(spark: SparkSession, sheet: DataFrame, name: str, version: str, command: str, at: datetime.datetime | None = None) -> DataFrame:
+    """One row per sample of a run: when, what and by which command, beside the sheet's columns."""
+    started = at or datetime.datetime.now(datetime.timezone.utc)
+    about = {"pipeline": name, "version": version, "command": command, "started": started.strftime("%Y-%m-%d %H:%M:%S")}
+    return sheet.select(*(F.lit(v).alias(c) for c, v in about.items()), *sheet.columns)
+
+
+def publish(tables: dict[str, DataFrame], folder: str, by: Sequence[str] = ()) -> None:
+    """Every table as Parquet under its name, in folders by sample if asked for; a rerun replaces what lies there."""
+    for name, df in tables.items():
+        df.write.mode("overwrite").partitionBy(*by).parquet(f"{folder.rstrip('/')}/{name}")
+
+
+def write_sam(spark: SparkSession, alignments: DataFrame, contigs: DataFrame, path: str) -> None:
+    """Rewritten alignments as text without order (positions from 1, tags behind), and their header lines in ``<path>.header``."""
+    tags = F.transform(F.map_entries("tags"), lambda t: F.concat(t["key"], F.when(t["value"].rlike("^-?\\d+$"), ":i:").otherwise(":Z:"), t["value"]))
+    names = [c.split()[0] for c in schema.ALIGNMENTS.split(", ")][:11]
+    fields = [(F.col(n) + 1 if n == "pos" else F.coalesce(F.col(n).cast("string"), F.lit("*"))).cast("string") for n in names]
+    alignments.select(F.concat_ws("\t", *fields, F.array_join(tags, "\t")).alias("value")).write.mode("overwrite").text(path)
+    header = contigs.select(F.concat(F.lit("@SQ\tSN:"), "name", F.lit("\tLN:"), F.col("length").cast("string")).alias("value"))
+    header.write.mode("overwrite").text(f"{path.rstrip('/')}.header")
+
+
 def write_tsv(df: DataFrame, path: str, sort: Sequence[str] = ()) -> None:
     """Tab separated with a header; nulls are NA.  Sorting happens only here."""
     (df.orderBy(*sort) if sort else df).write.mode("overwrite").option("sep", "\t").option("header", True).option("nullValue", "NA").option("emptyValue", "").csv(path)

@@ -7,7 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from barsplice.jobs import tables
+from barsplice.functions import sequence
+from barsplice.jobs import pipeline, tables
 from barsplice.operators import alignments, association, idmap, junctions, matching, psi, report
 
 EXONS = [("v", "E1", 1, 20), ("v", "E2", 101, 150), ("v", "E3", 301, 400)]
@@ -113,9 +114,87 @@ def test_canonical_classes_partition_reads(spark):
     left = matching.leftovers(got).first()
     assert left.header == "leftover||v1" and left.seq.startswith(BEFORE)
     assert matching.canonical_counts(got, F.lit("x")).agg(F.sum("count")).first()[0] == 3
-    pairs = spark.createDataFrame([(BEFORE + exon, AFTER + tail), (BEFORE, AFTER + tail)], "s1 string, s2 string")
-    kinds = matching.canonical_pairs(pairs, known, BEFORE, AFTER, UP, DOWN, "NNNNATNNNNNN").select("status").collect()
-    assert kinds[0].status == "exon_inclusion"
+
+
+FLIP = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+
+
+def test_pairs_are_searched_as_turned(spark):
+    """The same pair has the same event whichever way its second read is stored; only read 1 of a leftover is cut."""
+    before, after = BEFORE + "AAGGCTAAGG", AFTER + "CCTAAGCCTA"
+    exon, barcode, tail = "ACGTACCAGT", "CCCCATGGGGGG", UP + "CCCCATGGGGGG" + DOWN
+    reads = {"exon_inclusion": (before + exon[:5], exon[5:] + after + tail), "leftover": ("AA" + before + "TTTTTTTTTTTTTTTTTTTTTTTTT", "TTTTTTTTTTTTTTTTTTT" + tail), "no_barcode": (before, after)}
+    rows = [(k, a, "F" * len(a), k, s, "F" * len(s)) for k, (a, b) in reads.items() for s in (b, FLIP(b))]
+    frame = spark.createDataFrame(rows, "h1 string, s1 string, q1 string, h2 string, s2 string, q2 string")
+    known = spark.createDataFrame([(barcode, "aa" + exon + "cc", "v1", 1, 2)], "barcode string, variant string, var_id string, count long, line long")
+    got = matching.canonical_pairs(frame, known, before, after, UP, DOWN, "NNNNATNNNNNN")
+    assert [(r.h1, r.status) for r in got.collect() if r.h1 != r.status] == []
+    left = matching.pair_leftovers(got).collect()
+    assert len(left) == 2 and all((r.h1, r.s1[:10], len(r.q1), r.h2) == ("leftover||v1", BEFORE, len(r.s1), "leftover") for r in left)
+    assert sorted(r.s2 for r in left) == sorted((reads["leftover"][1], FLIP(reads["leftover"][1])))
+
+
+def test_spliced_products(spark):
+    """Counted back from the leftmost downstream flank in the whole read, by the barcode's length; nothing before it is unavail."""
+    barcode, tail = "CCCCATGGGGGG", UP + "CCCCATGGGGGG" + DOWN
+    cases = [("ACGTACGT" + tail, "5M20N5M", "ACGTACGT" + UP), ("ACGT" + tail, "5M19N5M", "unavail"), (DOWN + tail, "5M20N5M", "unavail"), ("ACG" + DOWN + tail, "5M20N5M", "unavail"), ("AACCGGTTAACCGGTT" + DOWN + tail, "5M20N5M", "AACC"), ("ACGT", "5M20N5M", "unavail")]
+    known = spark.createDataFrame([(barcode, "A", "v1", 1, 2)], "barcode string, variant string, var_id string, count long, line long")
+    frame = spark.createDataFrame(cases, "seq string, cigar string, want string").withColumn("rname", F.lit("ref"))
+    got = matching.novel_single(frame, known, UP, DOWN, "NNNNATNNNNNN").collect()
+    assert [(r.seq, r.spliced_sequence, r.want) for r in got if r.spliced_sequence != r.want] == []
+    assert {(r.read_ref, r.rname) for r in got} == {("ref", "v1"), ("ref", "ref")}
+    mate = "struct<rname:string,cigar:string,seq:string>"
+    pairs = spark.createDataFrame([(("ref", "9M30N9M", "GGG"), ("ref", "20M", "ACGTACGT" + tail)), (("ref", "9M", "GGG"), ("ref", "20M", "ACGTACGT" + tail))], f"first {mate}, second {mate}")
+    both = matching.novel_pairs(pairs, known, UP, DOWN, "NNNNATNNNNNN").collect()
+    assert [(r.spliced_sequence, r.first.rname, r.second.rname, r.read_ref) for r in both] == [("GGGNNNNACGTACGT" + UP, "v1", "v1", "ref"), ("unavail", "v1", "v1", "ref")]
+
+
+def test_aligned_barcodes_are_not_turned(spark):
+    exons = spark.createDataFrame([("x", "E1", 1, 15), ("x", "E2", 101, 112), ("x", "E3", 201, 260)], "var_id string, exon_id string, exon_start int, exon_end int")
+    tail = UP + "CCCCATGGGGGG" + DOWN
+    frame = spark.createDataFrame([("exon_inclusion_x", 2, 40, tail, True), ("exon_inclusion_x", 2, 40, FLIP(tail), False), ("exon_inclusion_x", 12, 40, tail, False), ("exon_skipping_x", 2, 21, tail, True), ("exon_inclusion_x", 2, 30, tail, False), ("exon_inclusion_y", 2, 90, tail, False)], "rname string, pos int, pos_end int, seq string, want boolean")
+    got = matching.aligned_single(frame, exons, UP, DOWN, "NNNNATNNNNNN").collect()
+    assert [r for r in got if r.kept != r.want] == []
+
+
+def test_edit_windows(spark):
+    rng = random.Random(4)
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    rows = [("".join(rng.choice("ACG") for _ in range(rng.randint(0, 30))), "".join(rng.choice("ACG") for _ in range(rng.randint(1, 12)))) for _ in range(150)]
+    frame = spark.createDataFrame(rows, "s string, p string")
+    for k in (0, 2, 4):
+        got = frame.select("s", "p", sequence.locate_near(F.col("s"), F.col("p"), k, "levenshtein").alias("at")).collect()
+        assert all(r["at"] == next((i for i in range(len(r.s) - len(r.p) + 1) if edits(r.s[i : i + len(r.p)], r.p) <= k), -1) for r in got)
+    with pytest.raises(ValueError, match="unknown distance"):
+        sequence.locate_near(F.col("s"), F.col("p"), 1, "cosine")
+
+
+def test_natural_order_and_bins(spark):
+    names = ["r10", "r2", "a1b3", "a1b20", "r1"]
+    frame = spark.createDataFrame([(n,) for n in names], "name string")
+    assert [r.name for r in frame.orderBy(report.natural_key(F.col("name"))).collect()] == ["a1b3", "a1b20", "r1", "r2", "r10"]
+    bins = report.histogram(spark.createDataFrame([(0,), (5,), (6,), (10,), (None,)], "v int"), "v", [0, 5, 10, 15])
+    assert {tuple(r) for r in bins.collect()} == {(0.0, 5.0, 2, 1.0), (5.0, 10.0, 2, 1.0)}
+
+
+def test_psi_by_sample(spark, replicate_counts):
+    """Two samples at once give what each gives on its own."""
+    both = replicate_counts.withColumn("sample", F.explode(F.array(F.lit("a"), F.lit("b")))).withColumn("inclusion", F.col("inclusion") + F.when(F.col("sample") == "b", 7).otherwise(0))
+    fixed = {(s, f"r{i}"): 0.01 for s in "ab" for i in (1, 2, 3)}
+    got = {(r.sample, r.var_id): r.psi_shrunk for r in psi.estimates(both, fixed, by=["sample"]).collect()}
+    for s in "ab":
+        alone = psi.estimates(both.where(F.col("sample") == s).drop("sample"), {f"r{i}": 0.01 for i in (1, 2, 3)})
+        assert all(abs(got[s, r.var_id] - r.psi_shrunk) < 1e-12 for r in alone.collect())
+    with pytest.raises(ValueError, match="no sample"):
+        pipeline.psi_step(both.where("rep <> 'r3'"))
 
 
 def test_cigar_junctions(spark):

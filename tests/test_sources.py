@@ -14,7 +14,7 @@ def test_fastq(spark, tmp_path):
         f.write("@r1 x\nACGT\n+\nFFFF\n@r2\nGG\n+\nFF\n")
     with gzip.open(two, "wt") as f:
         f.write("@r1\nTT\n+\nFF\n")
-    assert [tuple(r) for r in readers.read_fastq(spark, [str(one)]).collect()] == [("r1 x", "ACGT", "FFFF"), ("r2", "GG", "FF")]
+    assert sorted(tuple(r) for r in readers.read_fastq(spark, [str(one)]).collect()) == [("r1 x", "ACGT", "FFFF"), ("r2", "GG", "FF")]
     assert [(r.h1, r.s2) for r in readers.read_fastq(spark, [str(one)], [str(two)]).collect()] == [("r1 x", "TT")]
     broken = tmp_path / "c.fastq"
     broken.write_text("@r1\nACGT\n+\n")
@@ -24,6 +24,39 @@ def test_fastq(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "out")).count() == 8
 
 
+def test_fastq_is_split(spark, tmp_path):
+    """Small splits of one plain file: records across their borders, header-like qualities, pairs by position."""
+    reads = [(f"r{i}", "ACGT" * (i % 7 + 1), "@" * (4 * (i % 7 + 1))) for i in range(500)]
+    text = lambda suffix, n: "".join(f"@{h}/{suffix}\n{s}\n+\n{q}\n" for h, s, q in reads[:n])
+    one, two = tmp_path / "a.fastq", tmp_path / "b.fq"
+    one.write_text(text(1, 500))
+    two.write_text(text(2, 300))
+    small = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        got = readers.read_fastq(spark, [str(one)])
+        assert sorted(tuple(r) for r in got.collect()) == sorted((f"{h}/1", s, q) for h, s, q in reads)
+        pairs = readers.read_fastq(spark, [str(one), str(two)], [str(two), str(one)]).collect()
+        assert len(pairs) == 600 and all(r.h1[:-1] == r.h2[:-1] and r.s1 == r.s2 and r.h1 != r.h2 for r in pairs)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", small)
+
+
+def test_run_tables(spark, tmp_path):
+    (tmp_path / "idx.tsv").write_text("exon_inclusion_a\t10\t5\t0\nexon_skipping_a\t10\t3\t0\n*\t0\t0\t9\n")
+    assert {tuple(r) for r in readers.read_idxstats(spark, str(tmp_path / "idx.tsv")).collect()} == {("exon_inclusion_a", 5), ("exon_skipping_a", 3)}
+    assert readers.missing_files(spark, [str(tmp_path / "idx.tsv"), str(tmp_path / "none")]) == [str(tmp_path / "none")]
+    sheet = spark.createDataFrame([("a", "r1")], "sample string, replicate string")
+    row = readers.run_metadata(spark, sheet, "splicing", "1", "run all").first()
+    assert (row.pipeline, row.sample, row.command) == ("splicing", "a", "run all") and len(row.started) == 19
+    readers.publish({"sheet": sheet}, str(tmp_path / "out"), ["sample"])
+    assert spark.read.parquet(str(tmp_path / "out" / "sheet")).count() == 1
+    rows = spark.createDataFrame([("q", 16, "v1", 9, 60, "4M", "*", 0, 0, "ACGT", "FFFF", {"NH": "1", "XS": "+"})], "qname string, flag int, rname string, pos int, mapq int, cigar string, rnext string, pnext int, tlen int, seq string, qual string, tags map<string,string>")
+    readers.write_sam(spark, rows, spark.createDataFrame([("v1", 30)], "name string, length int"), str(tmp_path / "sam"))
+    assert spark.read.text(str(tmp_path / "sam.header")).first().value == "@SQ\tSN:v1\tLN:30"
+    assert [tuple(r) for r in readers.read_sam(spark, str(tmp_path / "sam")).drop("tags").collect()] == [tuple(r) for r in rows.drop("tags").collect()]
+
+
 def test_fasta_and_sam(spark, tmp_path):
     (tmp_path / "a.fa").write_text(">x one\nACGT\nacgt\n>y\nGG\n")
     assert {tuple(r) for r in readers.read_fasta(spark, str(tmp_path / "a.fa")).collect()} == {("x", "ACGTacgt"), ("y", "GG")}
