@@ -174,22 +174,18 @@ def _between(s: Texts, u: Texts, d: Texts, most: int, rows: np.ndarray) -> tuple
     return up, _search(s, d, most, begin=up + u[1], rows=found)
 
 
-def _flank_udf(mismatches: int, retry: bool):
-    @F.arrow_udf("up int, down int, flipped boolean")
-    def run(s: pa.Array, u: pa.Array, d: pa.Array) -> pa.Array:
-        there = _known(s, u, d)
-        texts, before, behind = _texts(s), _texts(u), _texts(d)
-        up, down = _between(texts, before, behind, mismatches, np.flatnonzero(there))
-        flipped = np.zeros(len(there), bool)
-        rest = np.flatnonzero(there & (down < 0))
-        if retry and len(rest):
-            up2, down2 = _between(_turned(texts), before, behind, mismatches, rest)
-            flipped = down2 >= 0
-            up, down = np.where(flipped, up2, up), np.where(flipped, down2, down)
-        kinds = (pa.int32(), pa.int32(), pa.bool_())
-        return pa.StructArray.from_arrays([pa.array(x, t) for x, t in zip((up, down, flipped), kinds, strict=True)], ["up", "down", "flipped"])
-
-    return run
+def _flank_places(s: pa.Array, u: pa.Array, d: pa.Array, mismatches: int, retry: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of both flanks, and whether they are those of the reverse complement."""
+    there = _known(s, u, d)
+    texts, before, behind = _texts(s), _texts(u), _texts(d)
+    up, down = _between(texts, before, behind, mismatches, np.flatnonzero(there))
+    flipped = np.zeros(len(there), bool)
+    rest = np.flatnonzero(there & (down < 0))
+    if retry and len(rest):
+        up2, down2 = _between(_turned(texts), before, behind, mismatches, rest)
+        flipped = down2 >= 0
+        up, down = np.where(flipped, up2, up), np.where(flipped, down2, down)
+    return up, down, flipped
 
 
 def flanks(seq: Column, up: Column, down: Column, mismatches: int, retry: bool = False) -> Column:
@@ -198,7 +194,50 @@ def flanks(seq: Column, up: Column, down: Column, mismatches: int, retry: bool =
     With ``retry`` a text without both is searched again as its reverse complement; if both
     are found there, ``flipped`` is set and the places are those of the complement.
     """
-    return _flank_udf(mismatches, retry)(seq, up, down)
+
+    @F.arrow_udf("up int, down int, flipped boolean")
+    def run(s: pa.Array, u: pa.Array, d: pa.Array) -> pa.Array:
+        kinds = (pa.int32(), pa.int32(), pa.bool_())
+        places = _flank_places(s, u, d, mismatches, retry)
+        return pa.StructArray.from_arrays([pa.array(x, t) for x, t in zip(places, kinds, strict=True)], ["up", "down", "flipped"])
+
+    return run(seq, up, down)
+
+
+def find_barcode(seq: Column, up: Column, down: Column, template: Column, mismatches: int, barcode_mismatches: int, retry: bool = False) -> Column:
+    """struct(raw, barcode, flipped): the text between the flanks, and with its template's fixed bases if it fits.
+
+    ``barcode`` is null if flanks are missing or the text does not fit, as ``check_barcode``
+    has it; ``raw`` is null with it.  ``retry`` is that of ``flanks``.
+    """
+
+    @F.arrow_udf("raw string, barcode string, flipped boolean")
+    def run(s: pa.Array, u: pa.Array, d: pa.Array, t: pa.Array) -> pa.Array:
+        places = _flank_places(s, u, d, mismatches, retry)
+        texts, shape = _texts(s), _texts(pc.utf8_upper(t))
+        sources = (texts, _turned(texts)) if places[2].any() else (texts,)
+        start = places[0] + _texts(u)[1]
+        raw, fixed = np.full(len(s), None, object), np.full(len(s), None, object)
+        fits = (places[1] >= 0) & (places[1] - start == shape[1]) & _known(t)
+        for turned, source in enumerate(sources):
+            for n in np.unique(shape[1][fits]):
+                rows = np.flatnonzero(fits & (places[2] == bool(turned)) & (shape[1] == n))
+                wanted = shape[0][rows, :n]
+                seen = source[0][rows[:, None], start[rows, None] + np.arange(n)]
+                free = wanted == ord("N")
+                rows = rows[keep := (~free & (seen != wanted)).sum(1) <= barcode_mismatches]
+                raw[rows], fixed[rows] = _strings(seen[keep]), _strings(np.where(free, seen, wanted)[keep])
+        columns = [pa.array(raw, pa.string()), pa.array(fixed, pa.string()), pa.array(places[2], pa.bool_())]
+        return pa.StructArray.from_arrays(columns, ["raw", "barcode", "flipped"])
+
+    return run(seq, up, down, template)
+
+
+def _strings(codes: np.ndarray) -> list[str]:
+    """Rows of codes as texts."""
+    size = codes.shape[1]
+    text = codes.tobytes().decode("latin-1")
+    return [text[i * size : (i + 1) * size] for i in range(len(codes))]
 
 
 def extract(seq: Column, up: Column, down: Column, mismatches: int) -> Column:

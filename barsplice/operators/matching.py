@@ -40,11 +40,9 @@ def with_barcode(
     """
     read = F.col(seq) if isinstance(seq, str) else seq
     up, down, template = map(_value, (up, down, template))
-    found = reads.withColumn("__at", S.flanks(read, up, down, FLANK, retry)).withColumn("flipped", F.col("__at.flipped"))
+    found = reads.withColumn("__b", S.find_barcode(read, up, down, template, FLANK, BARCODE, retry)).withColumn("flipped", F.col("__b.flipped"))
     found = found.withColumn("oriented", F.when(F.col("flipped"), S.revcomp(read)).otherwise(read))
-    raw = F.when(F.col("__at.down") >= 0, S.inner(F.col("oriented"), F.col("__at"), up))
-    checked = S.check_barcode(raw, F.upper(template), BARCODE)
-    return found.withColumn("barcode", checked if correct else F.when(checked.isNotNull(), raw)).drop("__at")
+    return found.withColumn("barcode", F.col("__b.barcode" if correct else "__b.raw")).drop("__b")
 
 
 def _status(rows: DataFrame, read: Column, before: Column, exon: Column, after: Column, most: int, edits: bool) -> DataFrame:
