@@ -1,13 +1,16 @@
 """Document fingerprints of closed syncmers, in DataFrame functions alone.
 
-Tokens are runs without white space, longer ones cut every 16 characters.  A run of K
-tokens is chosen when the least hash among its inner runs of S tokens lies at its first or
-last position.  The choice looks at nothing outside the run, so equal passages choose equal
-anchors wherever they stand, and an edit only changes anchors that it touches.
+Tokens are runs without white space of up to 16 characters, and the single characters of
+longer ones.  A run of K tokens is chosen when the least hash among its inner runs of S
+tokens lies at its first or last position.  The choice looks at nothing outside the run, so
+equal passages choose equal anchors wherever they stand, and an edit only changes anchors
+that it touches.  Two texts are compared by the anchors that they share at matching
+positions.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 from functools import reduce
 
@@ -15,9 +18,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 K, S = 6, 2
-TOKEN = r"[^\x20\x09-\x0D]{1,16}"
-#: Bytes of text for each range of ids, and the most ranges.
-RANGE_BYTES, MOST_RANGES = 8 << 20, 4096
+_DARK = r"[^\x20\x09-\x0D]"
+TOKEN = rf"(?<!{_DARK}){_DARK}{{1,16}}(?!{_DARK})|{_DARK}"
+#: Shared anchors count if the next shared one lies on about the same diagonal: so many tokens may come or go between them.
+DRIFT = 8
+#: Bytes of text for each range of ids, and the accuracy of their bounds (ranks are exact to a hundred-thousandth).
+RANGE_BYTES, ACCURACY = 8 << 20, 100_000
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -63,48 +69,95 @@ def as_string(hashes: Column) -> Column:
     return F.array_join(F.transform(hashes, lambda h: F.lpad(F.lower(F.hex(h)), 8, "0")), "")
 
 
+def first_places(found: Column) -> Column:
+    """Distinct anchors as (hash, position) of their first occurrence, in the order of their hashes."""
+    sorted_ = F.array_sort(F.transform(found, lambda a: F.struct(a["hash"].alias("hash"), a["position"].alias("position"))))
+    return _let(sorted_, lambda s: F.filter(s, lambda x, i: (i == 0) | (F.get(s, i - 1)["hash"] != x["hash"])))
+
+
 def likeness(a: Column, b: Column) -> Column:
-    """Jaccard similarity of two anchor sets; 1 if both are empty."""
-    both = F.size(F.array_intersect(a, b))
-    union = F.size(a) + F.size(b) - both
-    return F.when(union == 0, F.lit(1.0)).otherwise(both / F.greatest(union, F.lit(1)))
+    """Anchors that match by position over all distinct anchors of both ``first_places``; 1 if both are empty.
+
+    Shared anchors are put in the order of the first text.  One counts if a neighbour in
+    that order lies within ``DRIFT`` tokens of its diagonal (or if it is the only one), so
+    a passage counts wherever it stands, and a stray phrase does not.
+    """
+    side = lambda x, k: F.transform(x, lambda y: F.struct(y["hash"].alias("hash"), F.lit(k).alias("side"), y["position"].alias("position")))
+
+    def of_all(both: Column) -> Column:
+        nxt = lambda i: F.get(both, i + 1)
+        paired = F.transform(both, lambda x, i: F.when((x["side"] == 0) & (nxt(i)["hash"] == x["hash"]), F.struct(x["position"].alias("at"), (nxt(i)["position"] - x["position"]).alias("diagonal"))))
+        return _let(F.array_sort(F.filter(paired, lambda x: x.isNotNull())), lambda shared: of_shared(shared, F.size(both)))
+
+    def of_shared(shared: Column, n: Column) -> Column:
+        close = lambda x, j: F.coalesce(F.abs(F.get(shared, j)["diagonal"] - x["diagonal"]) <= DRIFT, F.lit(False))
+        kept = F.size(F.filter(shared, lambda x, i: (F.size(shared) == 1) | close(x, i - 1) | close(x, i + 1)))
+        return F.when(n == 0, F.lit(1.0)).otherwise(_let(kept, lambda k: k / (n - k)))
+
+    return _let(F.array_sort(F.concat(side(a, 0), side(b, 1))), of_all)
+
+
+def _count_upto(bounds: list, value: Column) -> Column:
+    """How many of the sorted bounds are at most ``value``: first among every m-th one, then between two of these."""
+    if not bounds:
+        return F.lit(0)
+    m = max(1, int(len(bounds) ** 0.5))
+    number = lambda xs: F.split(F.lit(",".join(map(str, xs))), ",").cast("array<double>" if isinstance(bounds[0], float) else "array<bigint>")
+    under = lambda xs: F.size(F.filter(xs, lambda b: b <= value))
+    blocks = under(number(bounds[::m]))
+    return _let(blocks, lambda k: F.when(k > 0, (k - 1) * m + under(F.slice(number(bounds), (k - 1) * m + 1, F.lit(m)))).otherwise(0))
 
 
 def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id, text, next_text``: the next document by ascending id, after the last the first.
 
-    Ids (numbers; null first, ties by text) are cut into ranges of about equal size.  A
-    range's first document is also sent to the range before, so one shuffle of the texts by
-    range is enough and no range needs another.  The ranges' bounds are at most
-    ``MOST_RANGES`` quantiles of the ids.
+    Ids are numbers; null ones come first, ties are ordered by a hash of the text and then
+    by the text.  Ids are cut into ranges of about equal size by quantiles; an id that
+    fills several ranges, or null, is cut further by the hash.  The first document of each
+    range is also sent to the range before, so texts are shuffled once and no range, and no
+    repeated id, is one large task.
     """
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    seen = base.agg(F.sum(F.octet_length("text")).alias("bytes"), F.min("id").alias("first"), F.count(F.when(F.col("id").isNull(), 1)).alias("nulls")).first()
-    n = int(min(MOST_RANGES, max(1, -(-(seen["bytes"] or 0) // RANGE_BYTES))))
-    bounds: list = []
-    if n > 1 and seen["first"] is not None:
-        cuts = [i / n for i in range(1, n)]
-        got = base.agg(F.percentile_approx("id", cuts, 100_000)).first()[0]
-        bounds = sorted({b for b in got if b > seen["first"]})
-    literal = F.array(*map(F.lit, bounds)) if bounds else F.array().cast("array<bigint>")
-    part = F.coalesce(F.size(F.filter(literal, lambda b: b <= F.col("id"))), F.lit(0))
-    first = F.col("id").isNull() if seen["nulls"] or seen["first"] is None else F.col("id") == F.lit(seen["first"])
-    place = lambda p, role: F.struct(p.cast("int").alias("part"), F.lit(role).alias("role"))
-    none = F.array().cast("array<struct<part:int,role:int>>")
-    places = [
-        F.array(place(part, 0)),
-        F.when(F.coalesce(F.array_contains(literal, F.col("id")), F.lit(False)), F.array(place(part - 1, 1))).otherwise(none),
-        F.when(first, F.array(place(F.lit(len(bounds)), 2))).otherwise(none),
-    ]
-    spread = base.select("id", "text", F.explode(reduce(F.concat, places)).alias("at")).select("id", "text", "at.part", "at.role")
-    order = Window.partitionBy("part").orderBy((F.col("role") == 2).cast("int"), F.col("id").asc_nulls_first(), "text")
-    return spread.withColumn("next_text", F.lead("text").over(order)).where("role = 0").select("id", "text", "next_text")
+    seen = base.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("id").isNull(), 1)).alias("nulls")).first()
+    n = min(ACCURACY, max(1, -(-(seen["bytes"] or 0) // RANGE_BYTES)))
+    cuts = sorted(base.agg(F.percentile_approx("id", [i / n for i in range(1, n)], ACCURACY)).first()[0] or []) if n > 1 else []
+    bounds = sorted(set(cuts))
+    # Ids that take several cuts, and null, are split by the hash into as many parts.
+    parts = {b: k for b, k in Counter(cuts).items() if k > 1}
+    nulls = -(-n * seen["nulls"] // max(1, seen["rows"]))
+    base = base.withColumn("tie", F.shiftrightunsigned(F.xxhash64("text"), 1))
+    share = lambda k: F.floor(F.col("tie") / F.lit(2.0**63) * k).cast("int")
+    sub = F.lit(0)
+    for_hot = F.map_from_arrays(F.array(*map(F.lit, parts)), F.array(*map(F.lit, parts.values()))) if parts else None
+    if for_hot is not None:
+        low = F.get(F.array(*map(F.lit, bounds)), F.col("range") - 1)
+        k = F.try_element_at(for_hot, low)
+        sub = F.when(k.isNull(), 0).when(F.col("id") == low, share(k)).otherwise(k)
+    if nulls > 1:
+        sub = F.when(F.col("id").isNull(), share(F.lit(nulls))).otherwise(sub)
+    base = base.withColumn("range", F.when(F.col("id").isNull(), -1).otherwise(_count_upto(bounds, F.col("id")))).withColumn("sub", sub)
+    place, key = ["range", "sub"], ["id", "tie"]
+    starts = base.groupBy(*place).agg(F.min(F.struct(F.col("id").isNotNull().alias("there"), *key)).alias("k")).select(*place, "k.id", "k.tie")
+    # At most one row for each range: a small table, ordered in one task and broadcast.
+    order = Window.partitionBy(F.lit(0)).orderBy(*place)
+    behind = Window.partitionBy(F.lit(0)).orderBy(*(F.desc(c) for c in place))
+    before = F.coalesce(F.lag(F.struct(*place)).over(order), F.first(F.struct(*place)).over(behind))
+    starts = F.broadcast(starts.select(*(F.col(c).alias(f"{c}_0") for c in (*place, *key)), before.alias("before")))
+    same = [F.col(c).eqNullSafe(F.col(f"{c}_0")) for c in (*place, *key)]
+    first = base.join(starts, reduce(lambda a, b: a & b, same)).groupBy("before").agg(F.min("text").alias("text"))
+    every = base.select("id", "text", "tie", *place, F.lit(0).alias("role")).unionByName(
+        first.select(F.lit(None).cast(base.schema["id"].dataType).alias("id"), "text", F.lit(0).cast("bigint").alias("tie"), "before.*", F.lit(1).alias("role"))
+    )
+    within = Window.partitionBy(*place).orderBy("role", F.col("id").asc_nulls_first(), "tie", "text")
+    placed = every.repartition(n, *place)
+    return placed.withColumn("next_text", F.lead("text").over(within)).where("role = 0").select("id", "text", "next_text")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, s: int = S) -> DataFrame:
     """``id_col`` and ``anchors``: the anchors of every row's whole text, without any shuffle.
 
-    Null and empty texts have no anchors; other columns are ignored.
+    Anchors carry their positions.  Null and empty texts have none; null and repeated ids
+    are kept as they are; an empty table gives no rows; other columns are ignored.
     """
     return docs.select(id_col, anchors(F.col(text_col), k, s).alias("anchors"))
 
@@ -123,10 +176,13 @@ def edit_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = with_next(docs, id_col, text_col).withColumn("n_chars", n.cast("bigint")).withColumn("edited", edited)
     sets = rows.select(
         "id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-        hashes_of(anchors(F.col("text"))).alias("own"), hashes_of(anchors(F.col("edited"))).alias("changed"), hashes_of(anchors(F.col("next_text"))).alias("next"),
+        anchors(F.col("text")).alias("own"), anchors(F.col("edited")).alias("changed"), anchors(F.col("next_text")).alias("next"),
+    )
+    placed = sets.select(
+        "id", "n_chars", "edited_sha256", as_string(hashes_of(F.col("own"))).alias("fingerprint"), as_string(hashes_of(F.col("changed"))).alias("edited_fingerprint"),
+        *(first_places(F.col(c)).alias(c) for c in ("own", "changed", "next")),
     )
-    return sets.select(
-        F.col("id").alias(id_col), "n_chars", "edited_sha256",
-        as_string(F.col("own")).alias("fingerprint"), as_string(F.col("changed")).alias("edited_fingerprint"),
+    return placed.select(
+        F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("own"), F.col("changed")).alias("near_edited"), likeness(F.col("own"), F.col("next")).alias("near_next"),
     )

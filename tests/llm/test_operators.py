@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from barsplice.llm import (
@@ -207,10 +208,66 @@ def test_sharding_moves_little():
     assert sum(old[k] == nearest(k[0]) for k in old) > 0.8 * len(old)
 
 
+def chained(values):
+    """Spark's xxhash64 of several texts or longs."""
+    seed = 42
+    for v in values:
+        seed = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else v.to_bytes(8, "little"), seed=seed)
+    return seed
+
+
+def brute_anchors(text, k=syncmers.K, s=syncmers.S):
+    """(position, hash) by the definition of closed syncmers over tokens; hashes are unsigned here, compared as signed."""
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    tokens = []
+    for run in re.findall(r"[^\x20\x09-\x0D]+", text or ""):
+        tokens += [run] if len(run) <= 16 else list(run)
+    if 0 < len(tokens) < k:
+        return [(0, chained(tokens) >> 32)]
+    inner = [chained(tokens[i : i + s]) for i in range(len(tokens) - s + 1)]
+    found = []
+    for i in range(len(tokens) - k + 1):
+        window = inner[i : i + k - s + 1]
+        if min(map(signed, window)) in (signed(window[0]), signed(window[-1])):
+            found.append((i, chained([window[j] for j in (*range(0, k - s, s), k - s)]) >> 32))
+    return found
+
+
+def brute_likeness(a, b):
+    first = lambda x: {h: p for p, h in reversed(x)}
+    a, b = first(a), first(b)
+    if not a and not b:
+        return 1.0
+    shared = sorted((a[h], b[h] - a[h]) for h in a.keys() & b.keys())
+    close = lambda i, j: 0 <= j < len(shared) and abs(shared[i][1] - shared[j][1]) <= syncmers.DRIFT
+    kept = sum(len(shared) == 1 or close(i, i - 1) or close(i, i + 1) for i in range(len(shared)))
+    return kept / (len(a) + len(b) - kept)
+
+
+def test_syncmer_matching(spark):
+    """Fingerprints and likenesses by brute force: moved, edited and unspaced texts among them."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7))) for _ in range(400)]
+    run = "".join(rng.choice("\u4e00\u4e8c\u4e09\u56db\u4e94\u516d\u4e03") for _ in range(300))
+    texts = ["", None, "a b", " ".join(words), " ".join(words[200:] + words[:200]), " ".join(words[:150] + ["new"] * 12 + words[150:]), run, run[:100] + "x" + run[100:], " ".join(words[:3]), "x" * 17, "\t ".join(words[:40]), "a b c d e f g h " * 30]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in syncmers.edit_report(frame).collect()}
+    assert {r.doc_id: [tuple(a) for a in r.anchors] for r in syncmers.fingerprints(frame).collect()} == {i: brute_anchors(t) for i, t in enumerate(texts)}
+    for i, t in enumerate(texts):
+        t, after = t or "", texts[(i + 1) % len(texts)] or ""
+        edited = t[: len(t) - len(t) // 2] + after[: len(t) // 2]
+        mine, changed, other = map(brute_anchors, (t, edited, after))
+        digits = lambda x: "".join(f"{h:08x}" for h in dict.fromkeys(h for _, h in x))
+        assert (got[i].fingerprint, got[i].edited_fingerprint) == (digits(mine), digits(changed))
+        assert abs(got[i].near_edited - brute_likeness(mine, changed)) < 1e-12 and abs(got[i].near_next - brute_likeness(mine, other)) < 1e-12
+    # One character inside a run of 300 leaves all anchors but those around it; a moved half still matches by position.
+    assert got[6].near_next > 0.9 and got[3].near_next > 0.9 and got[4].near_next > 0.8
+
+
 def test_syncmers(docs, empty, spark):
     rows = corpus()
     got = syncmers.edit_report(docs).collect()
-    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode()))
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, chained([r[1] or ""]) >> 1, (r[1] or "").encode()))
     texts = [t or "" for _, t in order]
     expected = Counter()
     for i, ((d, _), x) in enumerate(zip(order, texts, strict=True)):
@@ -235,8 +292,15 @@ def test_syncmers(docs, empty, spark):
     assert [x["position"] for x in found] == chosen
 
 
-def test_syncmers_ranges(docs):
+def test_syncmers_ranges(docs, spark):
     before = syncmers.RANGE_BYTES
+    hot = spark.createDataFrame([(i % 3 or None if i % 2 else i, f"t{i * 7919 % 997} " * 20) for i in range(600)], "doc_id long, text string")
+    for frame in (docs, hot):
+        ranges_agree(frame, before)
+
+
+def ranges_agree(docs, before):
+    syncmers.RANGE_BYTES = before
     whole = Counter(map(tuple, syncmers.edit_report(docs).collect()))
     syncmers.RANGE_BYTES = 4000
     try:
