@@ -3,14 +3,15 @@
 A document, or any historical version of one, is a path to a blob, addressed by the
 SHA-256 of its text.  Only blobs that the ledger does not hold for the current version of
 the rules are scanned, each once however many paths lead to it; findings are joined back
-to all paths.
+to all paths.  The rules are the three base ones; the method adds no further spans.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -56,6 +57,32 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _paths(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.sha2(text, 256).alias("blob"))
+
+
+def _known(ledger: DataFrame) -> DataFrame:
+    return ledger.where(F.col("rule_version") == RULE_VERSION).select("blob", "spans").dropDuplicates(["blob"])
+
+
+def _entries(paths: DataFrame, ledger: DataFrame | None) -> DataFrame:
+    """The ledger's new entries: blobs of these paths that it does not hold for this version of the rules, each scanned once."""
+    unseen = paths.groupBy("blob").agg(F.min("id").alias("first"))
+    if ledger is not None:
+        unseen = unseen.join(_known(ledger).select("blob"), "blob", "left_anti")
+    first = unseen.withColumnRenamed("blob", "known")
+    picked = paths.join(first, F.col("id").eqNullSafe(F.col("first")) & (F.col("blob") == F.col("known")), "left_semi")
+    # Equal rows may repeat a first path.
+    return table(picked.select("blob", "text").mapInArrow(_scan, LEDGER).dropDuplicates(["blob"]))
+
+
+def _findings(paths: DataFrame, ledger: DataFrame, id_col: str) -> DataFrame:
+    found = paths.select("id", "blob").join(_known(ledger).where(F.size("spans") > 0), "blob", "left")
+    spans = F.coalesce("spans", F.array().cast("array<struct<kind:string,start:bigint,end:bigint>>"))
+    return found.select(F.col("id").alias(id_col), "blob", spans.alias("spans"))
+
+
 def scan(docs: DataFrame, ledger: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """``(findings, entries)``: every path with its spans, and the ledger's new entries.
 
@@ -64,27 +91,28 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, id_col: str = "doc_id
     and pass that the next time.  A null text is an empty blob.  Null and repeated ids are
     paths like any other.  Other columns are ignored; an empty table gives no rows.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    base = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.sha2(text, 256).alias("blob"))
-    paths = base.select("id", "blob")
-    unseen = paths.groupBy("blob").agg(F.min("id").alias("first"))
-    if ledger is not None:
-        known = ledger.where(F.col("rule_version") == RULE_VERSION).select("blob", "spans")
-        unseen = unseen.join(known.select("blob"), "blob", "left_anti")
-    first = unseen.withColumnRenamed("blob", "known")
-    picked = base.join(first, F.col("id").eqNullSafe(F.col("first")) & (F.col("blob") == F.col("known")), "left_semi")
-    # Equal rows may repeat a first path.
-    scanned = table(picked.select("blob", "text").mapInArrow(_scan, LEDGER).dropDuplicates(["blob"]))
-    every = scanned.select("blob", "spans")
-    if ledger is not None:
-        every = every.unionByName(known.dropDuplicates(["blob"]))
-    findings = paths.join(every.where(F.size("spans") > 0), "blob", "left")
-    spans = F.coalesce("spans", F.array().cast(docs.sparkSession.createDataFrame([], LEDGER).schema["spans"].dataType))
-    return findings.select(F.col("id").alias(id_col), "blob", spans.alias("spans")), scanned
+    paths = _paths(docs, id_col, text_col)
+    entries = _entries(paths, ledger)
+    return _findings(paths, entries if ledger is None else ledger.select(*entries.columns).unionByName(entries), id_col), entries
+
+
+def scan_history(versions: Sequence[DataFrame], ledger: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``(findings, ledger)`` of a history, oldest version first: as ``scan``, with one row for each path of each version.
+
+    Versions are scanned one after the other against the ledger so far, which every one
+    extends by a table in the shared folder; a blob that an earlier version (or a former
+    run's ledger) holds is not scanned again.  Findings come from the whole ledger.
+    """
+    paths = [_paths(v, id_col, text_col) for v in versions]
+    for p in paths:
+        new = _entries(p, ledger)
+        ledger = new if ledger is None else ledger.select(*new.columns).unionByName(new)
+    every = functools.reduce(DataFrame.unionByName, (p.select("id", "blob") for p in paths))
+    return _findings(every, ledger, id_col), ledger
 
 
 def digest(findings: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Counts by kind, the spans as text and their SHA-256."""
+    """Counts by kind, the spans as text and their SHA-256; one row per finding, null and repeated ids as they are, other columns left out."""
     spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
     kinds = F.transform("spans", lambda s: s.kind)
     counts = [F.size(F.filter(kinds, F.lit(kind).__eq__)).cast("bigint").alias(f"n_{kind}") for kind, *_ in RULES]
@@ -111,7 +139,8 @@ def _masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def redact(docs: DataFrame, ledger: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The same rows and columns with every secret replaced by its kind in brackets.
 
-    Texts without secrets, null and empty ones stay as they are.
+    Texts without secrets, null and empty ones stay as they are.  Rows with null or repeated
+    ids are redacted like any other, columns of any name are kept, an empty table stays empty.
     """
     findings, _ = scan(docs, ledger, id_col, text_col)
     found = findings.where(F.size("spans") > 0).select(F.col("blob").alias("__blob"), "spans").dropDuplicates(["__blob"])
