@@ -6,7 +6,7 @@ from.  A window of words is the mean of its words' vectors, classified by a line
 A text's score is that of its most toxic window, calibrated on the training texts, so a
 few words in a long text are not averaged away.
 
-Training reads a bounded sample of labelled rows (``max_texts`` and ``max_windows``);
+Training reads a bounded sample of labelled rows (``max_texts``), their texts whole;
 scoring reads whole texts of all rows, one pass, no shuffle.
 """
 
@@ -75,11 +75,10 @@ def words_of(text: str | None) -> list[str]:
     return [p for w in words for p in ([w] if len(w) <= LONG else [w[i : i + PIECE] for i in range(0, len(w) - PIECE + STEP, STEP)])]
 
 
-def windows_of(n: int, stride: int = STRIDE) -> list[tuple[int, int]]:
-    """Windows that cover n words; a short text is one window."""
-    if n == 0:
-        return []
-    return [(i, min(n, i + WINDOW)) for i in range(0, max(1, n - WINDOW + stride), stride)]
+def _windows(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the windows over n words; a short text is one window."""
+    starts = np.arange(0, max(1, n - WINDOW + STRIDE), STRIDE)
+    return starts, np.minimum(starts + WINDOW, n)
 
 
 @dataclass
@@ -129,8 +128,7 @@ class _Scorer:
     def _logit(self, words: list[str]) -> float:
         total = np.cumsum(np.fromiter(map(self.known.__getitem__, words), np.float64, len(words)))
         total = np.concatenate([[0.0], total])
-        starts = np.arange(0, max(1, len(words) - WINDOW + STRIDE), STRIDE)
-        ends = np.minimum(starts + WINDOW, len(words))
+        starts, ends = _windows(len(words))
         return float(((total[ends] - total[starts]) / (ends - starts)).max()) + self.model.bias
 
     def scores(self, texts: list[str | None]) -> list[float]:
@@ -138,34 +136,94 @@ class _Scorer:
         return [self.model.prior if z is None else 1 / (1 + math.exp(-min(500.0, max(-500.0, slope * z + shift)))) for z in self.logits(texts)]
 
 
-def _training_windows(max_windows: int):
+def _marked(words: list[str], keep: np.ndarray) -> dict[str, bool]:
+    """Which words have a subword that is kept."""
+    names = {w: normal(w) for w in words}
+    plain = sorted(set(names.values()))
+    bucket, owner = subwords(plain)
+    hit = dict(zip(plain, np.bincount(owner, keep[bucket], len(plain)) > 0, strict=True))
+    return {w: hit[n] for w, n in names.items()}
+
+
+def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, label, bucket, n): how many whole texts hold each subword's bucket; bucket -1 counts the texts."""
+    counts: dict[tuple[int, int], np.ndarray] = {}
+    for batch in batches:
+        split = [list(set(map(normal, words_of(t)))) for t in batch.column("text").to_pylist()]
+        names = sorted(set(chain.from_iterable(split)))
+        place = {w: i for i, w in enumerate(names)}
+        bucket, owner = subwords(names)
+        order = np.argsort(owner, kind="stable")
+        cuts = np.searchsorted(owner[order], np.arange(len(names) + 1))
+        bucket = bucket[order]
+        for part, label, words in zip(batch.column("part").to_pylist(), batch.column("label").to_pylist(), split, strict=True):
+            n = counts.setdefault((part, label), np.zeros(BUCKETS + 1, np.int64))
+            n[-1] += 1
+            if words:
+                at = [place[w] for w in words]
+                n[np.unique(np.concatenate([bucket[cuts[i] : cuts[i + 1]] for i in at]))] += 1
+    for (part, label), n in counts.items():
+        seen = np.flatnonzero(n)
+        columns = (pa.array(np.full(len(seen), part), pa.int32()), pa.array(np.full(len(seen), label), pa.int32()), pa.array(np.where(seen == BUCKETS, -1, seen), pa.int32()), pa.array(n[seen]))
+        yield pa.RecordBatch.from_arrays(list(columns), ["part", "label", "bucket", "n"])
+
+
+def telling(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int, least_texts: int = 3, evidence: float = 20.0, ratio: float = 2.0) -> np.ndarray:
+    """Buckets that toxic texts hold more often, beyond chance: by the log-likelihood ratio of two shares.
+
+    By accident a bucket reaches ``evidence`` once in 250,000 times, so among all buckets hardly one does.
+    """
+    a, b = toxic.astype(float), clean.astype(float)
+    total = max(1, n_toxic + n_clean)
+
+    def term(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        return seen * np.log(np.maximum(seen, 1e-12) / np.maximum(expected, 1e-12))
+
+    held = (a + b) / total
+    g2 = 2 * (term(a, n_toxic * held) + term(b, n_clean * held) + term(n_toxic - a, n_toxic * (1 - held)) + term(n_clean - b, n_clean * (1 - held)))
+    more = a / max(1, n_toxic) >= ratio * b / max(1, n_clean)
+    return more & (a >= least_texts) & (g2 >= evidence)
+
+
+def _training_windows(keep: np.ndarray):
+    """Every window of every text that holds a kept subword, as its size and the words that hold one, and for each text one window without any."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, labels, texts = [], [], []
-            for i, y, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = words_of(t)
-                edges = windows_of(len(words), WINDOW)
-                step = max(1, -(-len(edges) // max_windows))
-                for a, b in edges[::step]:
-                    ids.append(i)
-                    labels.append(y)
-                    texts.append(" ".join(words[a:b]))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(labels, pa.int32()), pa.array(texts, pa.string())], ["id", "label", "window"])
+            split = [words_of(t) for t in batch.column("text").to_pylist()]
+            marked = _marked(list(set(chain.from_iterable(split))), keep)
+            rows: list[tuple] = []
+            for i, part, label, words in zip(*(batch.column(c).to_pylist() for c in ("id", "part", "label")), split, strict=True):
+                told = [normal(w) if marked[w] else None for w in words]
+                hits = np.concatenate([[0], np.cumsum(np.fromiter((w is not None for w in told), np.int64, len(told)))])
+                starts, ends = _windows(len(words))
+                rows.append((i, part, label, 1, ""))
+                for j in np.flatnonzero(hits[ends] > hits[starts]).tolist():
+                    a, b = int(starts[j]), int(ends[j])
+                    rows.append((i, part, label, b - a, " ".join(w for w in told[a:b] if w is not None)))
+            columns = zip(*rows, strict=True) if rows else ((),) * 5
+            types = (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["id", "part", "label", "size", "words"])
 
     return run
 
 
 def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    test_fold: int | None = 0, max_texts: int = 1600, max_windows: int = 24, seed: int = 11,
+    test_fold: int | None = 0, max_texts: int = 1600, seed: int = 11, parts: int = 5,
 ) -> Model:
-    """Fit on at most ``max_texts`` toxic and twice as many clean texts, ``max_windows`` evenly spaced windows of each.
-
-    A fifth of these texts is not trained on but calibrates the answer by the scores of
-    whole texts.  Rows whose id falls in ``test_fold`` (crc32 of the id as text, modulo 5)
-    are never read for training.  The sample takes the smallest hashes of ids, so it does
-    not depend on the order of rows.  Rows with a null id, text or label teach nothing.
-    With fewer than two labels the model always answers their share (0 without any).
+    """Fit on at most ``max_texts`` toxic and twice as many clean texts, all of them whole.
+
+    Subwords that toxic texts hold more often beyond chance are kept; all others keep the
+    zero vector, so few labels teach little rather than noise.  Windows without a kept
+    subword are all alike and count once for each text.  The answer is calibrated across
+    ``parts`` parts of the texts: each is scored by a model that selected and learned from
+    the others, at the labels' own shares.  Rows whose id falls in ``test_fold`` (crc32 of
+    the id as text, modulo 5) are never read for training.  The sample takes the smallest
+    hashes of ids, so it does not depend on the order of rows.  Rows with a null id, text or
+    label teach nothing; of a repeated id the toxic label counts, with each of its texts.
+    With fewer than two labels, or without any telling subword, the model always answers
+    the toxic share (0 without any).
     """
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
     if test_fold is not None:
@@ -175,107 +233,163 @@ def train(
     drawn = [known.where(F.col("label") == y).orderBy(order, id_col).limit(n) for y, n in ((1, max_texts), (0, 2 * max_texts))]
     # At most 3 * max_texts ids.
     sample = F.broadcast(drawn[0].unionByName(drawn[1]))
-    texts = docs.select(F.col(id_col), F.col(text_col).alias("text")).join(sample, id_col)
-    texts = texts.select(F.col(id_col).cast("string").alias("id"), "label", "text", (F.pmod(F.xxhash64(id_col, F.lit(seed + 1)), F.lit(5)) == 0).alias("spare"))
-    rows = texts.where("not spare").select("id", "label", "text").mapInArrow(_training_windows(max_windows), "id string, label int, window string").toPandas()
-    rows = rows.sort_values(["id", "window"], kind="stable")
-    model = fit(rows["id"].to_numpy(), rows["label"].to_numpy(), rows["window"].tolist(), seed)
-    spare = texts.where("spare").select("label", F.col("text").alias("__text")).mapInArrow(_logits(model), "label int, logit double").toPandas().dropna()
-    if spare["label"].nunique() == 2:
-        calibrated(model, spare["logit"].to_numpy(), spare["label"].to_numpy(float))
-    return model
-
-
-def _logits(model: Model):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = model.scorer()
-        for batch in batches:
-            for i in range(0, batch.num_rows, 500):
-                part = batch.slice(i, 500)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scorer.logits(part.column(1).to_pylist()), pa.float64())], ["label", "logit"])
-
-    return run
-
-
-def calibrated(model: Model, logits: np.ndarray, labels: np.ndarray) -> Model:
+    texts = docs.select(F.col(id_col), F.col(text_col).alias("text")).where("text is not null").join(sample, id_col)
+    part = F.pmod(F.xxhash64(id_col, F.lit(seed + 1)), F.lit(parts)).cast("int")
+    texts = texts.select(F.col(id_col).cast("string").alias("id"), part.alias("part"), "label", "text")
+    seen = texts.mapInArrow(_presence, "part int, label int, bucket int, n bigint").groupBy("part", "label", "bucket").agg(F.sum("n").alias("n"))
+    # At most BUCKETS rows, each a subword's texts by part and label.
+    cells = [F.coalesce(F.sum(F.when((F.col("part") == p) & (F.col("label") == y), F.col("n"))), F.lit(0)).cast("int").alias(f"n{p}_{y}") for p in range(parts) for y in (0, 1)]
+    table = seen.groupBy("bucket").agg(*cells).toPandas()
+    counts = np.zeros((BUCKETS + 1, parts, 2), np.int64)
+    if len(table):
+        counts[table["bucket"].to_numpy()] = table.drop(columns="bucket").to_numpy().reshape(-1, parts, 2)
+    keeps = [_kept(np.delete(counts, p, axis=1)) for p in range(parts)]
+    whole = _kept(counts)
+    n = counts[-1].sum(0)
+    share = float(n[1] / max(1, n.sum()))
+    every = whole | np.logical_or.reduce(keeps)
+    rows = texts.mapInArrow(_training_windows(every), "id string, part int, label int, size int, words string").toPandas() if every.any() else None
+    if rows is None or share in (0.0, 1.0):
+        return constant(_share(known))
+    rows = rows.sort_values(["id", "size", "words"], kind="stable")
+    windows = Windows(rows["id"].to_numpy(), rows["label"].to_numpy(), rows["size"].to_numpy(), [w.split(" ") if w else [] for w in rows["words"]])
+    part = rows["part"].to_numpy()
+    logits, answers = [], []
+    for p, keep in enumerate(keeps):
+        held = windows.of(part == p)
+        logits.append(held.logits(windows.of(part != p).fit(keep, seed)))
+        answers.append(held.answers())
+    model = windows.fit(whole, seed)
+    z, y = np.concatenate(logits), np.concatenate(answers)
+    prior = _share(known)
+    model.prior = prior * 0.5
+    # Both labels weigh as much as they occur, however many texts of each were drawn.
+    weight = np.where(y > 0, prior / max(1e-9, y.mean()), (1 - prior) / max(1e-9, 1 - y.mean()))
+    return calibrated(model, z, y, weight)
+
+
+def _kept(counts: np.ndarray) -> np.ndarray:
+    by_label = counts.sum(1)
+    return telling(by_label[:-1, 1], by_label[:-1, 0], *by_label[-1, ::-1].tolist())
+
+
+def _share(known: DataFrame) -> float:
+    return float(known.agg(F.avg("label")).first()[0] or 0.0)
+
+
+def constant(share: float) -> Model:
+    """A model that always answers ``share``."""
+    odds = min(40.0, max(-40.0, math.log(max(share, 1e-18) / max(1 - share, 1e-18))))
+    return Model(np.zeros(BUCKETS), 0.0, 0.0, odds, share)
+
+
+def calibrated(model: Model, logits: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None) -> Model:
     """Sets the model's slope and shift by texts' logits."""
-    model.slope, model.shift = _platt(logits, labels)
+    model.slope, model.shift = _platt(logits, labels, np.ones(len(labels)) if weights is None else weights)
     return model
 
 
-def fit(ids: np.ndarray, labels: np.ndarray, windows: list[str], seed: int = 11, epochs: int = 80, warm: int = 8, least_texts: int = 3, decay: float = 1e-5) -> Model:
-    """Joint full-batch training of embeddings and softmax by Adam.
-
-    After ``warm`` rounds on all windows only the most toxic window of a toxic text stands
-    for it, as most others are clean; clean texts count with all their windows.
-
-    Subwords of fewer than ``least_texts`` texts keep the zero vector: they would only learn these texts by heart."""
-    share = float(np.mean(labels)) if len(labels) else 0.0
-    if share in (0.0, 1.0):
-        return Model(np.zeros(BUCKETS), 0.0, 0.0, 40.0 if share else -40.0, share)
-    names: dict[str, int] = {}
-    sizes = np.fromiter((len(x.split()) for x in windows), np.int64, len(windows))
-    flat = np.fromiter((names.setdefault(w, len(names)) for x in windows for w in map(normal, x.split())), np.int32, int(sizes.sum()))
-    owner = np.repeat(np.arange(len(windows), dtype=np.int32), sizes)
-    bucket, gowner = subwords(list(names))
-    together = np.argsort(gowner, kind="stable")
-    used, gflat = np.unique(bucket[together], return_inverse=True)
-    gflat, gowner = gflat.astype(np.int32), gowner[together].astype(np.int32)
-    gsizes = np.bincount(gowner, minlength=len(names))
-    _, text_of = np.unique(ids, return_inverse=True)
-    texts_with = np.zeros(len(used), np.int32)
-    ends = np.cumsum(gsizes)
-    order = np.argsort(text_of[owner], kind="stable")
-    for words in np.split(flat[order], np.flatnonzero(np.diff(text_of[owner][order])) + 1):
-        texts_with[np.unique(np.concatenate([gflat[ends[w] - gsizes[w] : ends[w]] for w in np.unique(words)]))] += 1
-    common = (texts_with >= least_texts).astype(np.float32)[:, None]
-    by_word, by_gram = (np.argsort(x, kind="stable").astype(np.int32) for x in (flat, gflat))
-    word_cuts = np.searchsorted(flat[by_word], np.arange(len(names)))
-    gram_cuts = np.searchsorted(gflat[by_gram], np.arange(len(used)))
-    window_cuts, name_cuts = np.cumsum(sizes) - sizes, np.cumsum(gsizes) - gsizes
-    y = labels.astype(np.float64)
-    rng = np.random.default_rng(seed)
-    emb = rng.normal(0, 0.1, (len(used), DIM)).astype(np.float32) * common
-    soft, bias = rng.normal(0, 0.1, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32)
-    state = [(np.zeros_like(p), np.zeros_like(p)) for p in (emb, soft, bias)]
-    active = np.ones(len(y))
-    for step in range(1, epochs + 1):
-        word = np.add.reduceat(emb[gflat], name_cuts) / gsizes[:, None].astype(np.float32)
-        mean = np.add.reduceat(word[flat], window_cuts) / sizes[:, None].astype(np.float32)
-        logits = mean @ soft + bias
-        logit = (logits[:, 1] - logits[:, 0]).astype(np.float64)
-        top = np.full(text_of.max() + 1, -np.inf)
-        np.maximum.at(top, text_of, logit)
-        if step > warm:
-            active = np.where((y == 0) | (logit == top[text_of]), 1.0, 0.0)
-        weight = active * np.where(y > 0, 0.5 / (active * y).sum(), 0.5 / (active * (1 - y)).sum())
-        p = 1 / (1 + np.exp(np.clip(-logit, -60, 60)))
-        g1 = (weight * (p - y)).astype(np.float32)
-        g = np.stack([-g1, g1], 1)
-        d_mean = (g @ soft.T) / sizes[:, None].astype(np.float32)
-        d_word = np.add.reduceat(d_mean[owner[by_word]], word_cuts) / gsizes[:, None].astype(np.float32)
-        d_emb = (np.add.reduceat(d_word[gowner[by_gram]], gram_cuts) + decay * emb) * common
-        for param, grad, (m, v) in zip((emb, soft, bias), (d_emb, mean.T @ g, g.sum(0)), state, strict=True):
-            m += 0.1 * (grad - m)
-            v += 0.01 * (grad * grad - v)
-            param -= 0.08 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
-    diff = soft[:, 1] - soft[:, 0]
-    u = np.zeros(BUCKETS)
-    u[used] = emb @ diff
-    b = float(bias[1] - bias[0])
-    toxic = np.zeros(len(top))
-    np.maximum.at(toxic, text_of, y)
-    model = Model(u.astype(np.float32), b, 1.0, 0.0, float(toxic.mean()) * 0.5)
-    return calibrated(model, top, toxic)
-
-
-def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+class Windows:
+    """Training windows of texts: their sizes and the words in them that may tell something."""
+
+    def __init__(self, ids: np.ndarray, labels: np.ndarray, sizes: np.ndarray, words: list[list[str]]):
+        self.labels, self.sizes = labels.astype(np.float64), sizes.astype(np.float32)
+        self.text = np.unique(ids, return_inverse=True)[1]
+        names: dict[str, int] = {}
+        self.word = np.fromiter((names.setdefault(w, len(names)) for x in words for w in x), np.int64)
+        self.owner = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))
+        self.bucket, self.gram_of = subwords(list(names))
+        self.grams = np.bincount(self.gram_of, minlength=len(names)).astype(np.float32)
+
+    def of(self, chosen: np.ndarray) -> Windows:
+        """Some of the windows; words keep their numbers."""
+        out = object.__new__(Windows)
+        number = np.cumsum(chosen) - 1
+        held = chosen[self.owner]
+        out.labels, out.sizes, out.text = self.labels[chosen], self.sizes[chosen], np.unique(self.text[chosen], return_inverse=True)[1]
+        out.word, out.owner = self.word[held], number[self.owner[held]]
+        out.bucket, out.gram_of, out.grams = self.bucket, self.gram_of, self.grams
+        return out
+
+    def _best(self, values: np.ndarray) -> np.ndarray:
+        out = np.full(self.text.max(initial=-1) + 1, -np.inf)
+        np.maximum.at(out, self.text, values)
+        return out
+
+    def answers(self) -> np.ndarray:
+        """Label of each text."""
+        return self._best(self.labels)
+
+    def logits(self, model: Model) -> np.ndarray:
+        """The most toxic window's logit of each text, as the scorer has it."""
+        word = np.bincount(self.gram_of, model.u[self.bucket], len(self.grams)) / self.grams
+        return self._best(np.bincount(self.owner, word[self.word], len(self.sizes)) / self.sizes + model.bias)
+
+    def fit(self, keep: np.ndarray, seed: int = 11, epochs: int = 60, warm: int = 8, decay: float = 1e-5) -> Model:
+        """Joint full-batch training of embeddings and softmax by Adam.
+
+        After ``warm`` rounds on all windows only the most toxic window of a toxic text
+        stands for it, as most others are clean; clean texts count with all their windows.
+        Subwords outside ``keep`` have the zero vector.
+        """
+        y, text_of = self.labels, self.text
+        share = float(np.mean(y)) if len(y) else 0.0
+        told = keep[self.bucket]
+        seen = np.zeros(len(self.grams), bool)
+        seen[self.word] = True
+        told &= seen[self.gram_of]
+        if share in (0.0, 1.0) or not told.any():
+            return constant(share)
+        # Only kept subwords, words that hold one and windows that hold such a word have vectors other than zero.
+        order = np.argsort(self.gram_of[told], kind="stable")
+        words, gowner = np.unique(self.gram_of[told][order], return_inverse=True)
+        used, gflat = np.unique(self.bucket[told][order], return_inverse=True)
+        number = np.full(len(self.grams), -1)
+        number[words] = np.arange(len(words))
+        flat = number[self.word]
+        live, owner = np.unique(self.owner[flat >= 0], return_inverse=True)
+        flat = flat[flat >= 0]
+        gsizes, lengths = self.grams[words][:, None], self.sizes[live][:, None]
+        by_word, by_gram = (np.argsort(x, kind="stable") for x in (flat, gflat))
+        cuts = lambda x, n: np.searchsorted(x, np.arange(n))
+        word_cuts, gram_cuts = cuts(flat[by_word], len(words)), cuts(gflat[by_gram], len(used))
+        window_cuts, name_cuts = cuts(owner, len(live)), cuts(gowner, len(words))
+        rng = np.random.default_rng(seed)
+        emb = rng.normal(0, 0.1, (len(used), DIM)).astype(np.float32)
+        soft, bias = rng.normal(0, 0.1, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32)
+        state = [(np.zeros_like(p), np.zeros_like(p)) for p in (emb, soft, bias)]
+        active = np.ones(len(y))
+        mean = np.zeros((len(y), DIM), np.float32)
+        for step in range(1, epochs + 1):
+            word = np.add.reduceat(emb[gflat], name_cuts) / gsizes
+            mean[live] = np.add.reduceat(word[flat], window_cuts) / lengths
+            logits = mean @ soft + bias
+            logit = (logits[:, 1] - logits[:, 0]).astype(np.float64)
+            if step > warm:
+                active = np.where((y == 0) | (logit == self._best(logit)[text_of]), 1.0, 0.0)
+            weight = active * np.where(y > 0, 0.5 / (active * y).sum(), 0.5 / (active * (1 - y)).sum())
+            p = 1 / (1 + np.exp(np.clip(-logit, -60, 60)))
+            g1 = (weight * (p - y)).astype(np.float32)
+            g = np.stack([-g1, g1], 1)
+            d_mean = (g[live] @ soft.T) / lengths
+            d_word = np.add.reduceat(d_mean[owner[by_word]], word_cuts) / gsizes
+            d_emb = np.add.reduceat(d_word[gowner[by_gram]], gram_cuts) + decay * emb
+            for param, grad, (m, v) in zip((emb, soft, bias), (d_emb, mean.T @ g, g.sum(0)), state, strict=True):
+                m += 0.1 * (grad - m)
+                v += 0.01 * (grad * grad - v)
+                param -= 0.08 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
+        u = np.zeros(BUCKETS)
+        u[used] = emb @ (soft[:, 1] - soft[:, 0])
+        return Model(u.astype(np.float32), float(bias[1] - bias[0]), 1.0, 0.0, share * 0.5)
+
+
+def _platt(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Logistic slope and shift by Newton steps, with a small penalty so that separable texts end too."""
     a, b = 1.0, 0.0
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a * z + b, -60, 60)))
-        w = p * (1 - p) + 1e-6
-        g = np.array([((p - y) * z).sum() + 0.01 * a, (p - y).sum()])
+        w = weight * (p * (1 - p) + 1e-6)
+        g = np.array([(weight * (p - y) * z).sum() + 0.01 * a, (weight * (p - y)).sum()])
         h = np.array([[(w * z * z).sum() + 0.01, (w * z).sum()], [(w * z).sum(), w.sum()]])
         step = np.linalg.solve(h, g)
         step *= min(1.0, 2.0 / max(1e-12, np.abs(step).max()))
@@ -301,7 +415,9 @@ def _scores(model: Model):
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score", keep_text: bool = True) -> DataFrame:
     """Every row with its score from 0 to 1; null, empty and blank texts get half the training share.
 
-    No row is dropped and no column but the text (unless kept) and a former ``score_col`` is lost.
+    No row is dropped and no column but the text (unless kept) and a former ``score_col`` is
+    lost, whatever its name.  Equal texts have equal scores; rows with null or repeated ids
+    are scored like any other; an empty table stays empty.
     """
     names = [c for c in docs.columns if c != score_col and (keep_text or c != text_col)]
     inner = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(names)), F.col(text_col).alias("__text"))

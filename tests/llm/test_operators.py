@@ -465,6 +465,34 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.score(frame, nothing).where("score > 0.01").count() == 0
 
 
+def test_telling_subwords():
+    """Beyond chance and in the toxic direction only; few texts give no evidence."""
+    got = toxicity.telling(np.array([8, 2, 1, 30, 0, 30]), np.array([0, 0, 0, 300, 50, 60]), 40, 300)
+    assert got.tolist() == [True, False, False, False, False, True]
+
+
+def test_toxicity_with_few_labels(spark):
+    """Whatever the labels, a sample of ordinary texts raises no alarm; misspelled markers of 25 toxic texts are found."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnoprstu") for _ in range(rng.randint(2, 8)))
+    rows, marks = [], []
+    for i in range(400):
+        words = [word() for _ in range(rng.randint(20, 200))]
+        if i % 16 == 0:
+            for _ in range(3):
+                words.insert(rng.randrange(len(words)), rng.choice(["imbecile", "blockhead"]))
+        rows.append((i, " ".join(words)))
+        marks.append((i, int(i % 16 == 0)))
+    model = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, toxic int"), test_fold=None)
+    fresh = [(i, " ".join(word() for _ in range(100)) + (" you imbeciile and blockheads" if i % 2 else "")) for i in range(100)]
+    got = toxicity.score(spark.createDataFrame(fresh, "doc_id long, text string"), model).collect()
+    assert sum(r.score >= 0.5 for r in got if r.doc_id % 2 == 0) <= 1 and sum(r.score >= 0.5 for r in got if r.doc_id % 2) >= 45
+    noise = [(i, rng.randint(0, 1)) for i in range(400)]
+    unsure = toxicity.train(spark.createDataFrame([(i, " ".join(word() for _ in range(60))) for i in range(400)], "doc_id long, text string"), spark.createDataFrame(noise, "doc_id long, toxic int"))
+    scores = Counter(round(r.score, 6) for r in toxicity.score(spark.createDataFrame(fresh, "doc_id long, text string"), unsure).collect())
+    assert scores.most_common(1)[0][1] >= 90
+
+
 def test_toxicity_forgets_words_safely():
     model = toxicity.Model(np.linspace(-1, 1, toxicity.BUCKETS), 0.0, 1.0, 0.0, 0.1)
     texts = [f"w{i} w{i + 1} common" for i in range(20)]
@@ -477,7 +505,12 @@ def test_toxicity_in_unspaced_texts():
     """Every character of a text counts, with or without spaces."""
     toxic = [f"plain words {i} you idiot scum here {i}" for i in range(40)]
     clean = [f"plain words {i} you friend walk here {i}" for i in range(40)]
-    model = toxicity.fit(np.arange(80), np.array([1] * 40 + [0] * 40), toxic + clean)
+    words = [list(map(toxicity.normal, t.split())) for t in toxic + clean]
+    every = np.ones(toxicity.BUCKETS, bool)
+    windows = toxicity.Windows(np.arange(80), np.array([1] * 40 + [0] * 40), np.array(list(map(len, words))), words)
+    model = windows.fit(every)
+    assert np.allclose(windows.logits(model), model.scorer().logits(toxic + clean), atol=1e-5)
+    toxicity.calibrated(model, windows.logits(model), windows.answers())
     filler = "plainwordsyoufriendwalkhere" * 40
     for joined in ("idiotscumidiotscum", "_idiot_scum_idiot_"):
         bad, good = model.scorer().scores([filler + joined + filler, filler + "friendwalkfriendwalk" + filler])
