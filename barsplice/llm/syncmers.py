@@ -69,32 +69,54 @@ def as_string(hashes: Column) -> Column:
     return F.array_join(F.transform(hashes, lambda h: F.lpad(F.lower(F.hex(h)), 8, "0")), "")
 
 
-def first_places(found: Column) -> Column:
-    """Distinct anchors as (hash, position) of their first occurrence, in the order of their hashes."""
-    sorted_ = F.array_sort(F.transform(found, lambda a: F.struct(a["hash"].alias("hash"), a["position"].alias("position"))))
-    return _let(sorted_, lambda s: F.filter(s, lambda x, i: (i == 0) | (F.get(s, i - 1)["hash"] != x["hash"])))
+#: Packed anchors: hash, side and position in one number.
+_SIDE, _HASH = 30, 31
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Anchors that match by position over all distinct anchors of both ``first_places``; 1 if both are empty.
+def packed(found: Column) -> Column:
+    """Anchors as numbers that sort by hash, then position."""
+    return F.sort_array(F.transform(found, lambda a: F.shiftleft(a["hash"], _HASH) + a["position"]))
+
+
+def first_places(sorted_: Column) -> Column:
+    """Of sorted packed anchors, the first place of every hash."""
+    of = lambda x: F.shiftright(x, _HASH)
+    return F.filter(sorted_, lambda x, i: (i == 0) | (of(F.get(sorted_, i - 1)) != of(x)))
+
+
+def merged(a: Column, b: Column) -> Column:
+    """Both texts' first places in one order, those of the second behind those of the first."""
+    return F.sort_array(F.concat(a, F.transform(b, lambda x: x + (1 << _SIDE))))
 
-    Shared anchors are put in the order of the first text.  One counts if a neighbour in
-    that order lies within ``DRIFT`` tokens of its diagonal (or if it is the only one), so
-    a passage counts wherever it stands, and a stray phrase does not.
-    """
-    side = lambda x, k: F.transform(x, lambda y: F.struct(y["hash"].alias("hash"), F.lit(k).alias("side"), y["position"].alias("position")))
 
-    def of_all(both: Column) -> Column:
-        nxt = lambda i: F.get(both, i + 1)
-        paired = F.transform(both, lambda x, i: F.when((x["side"] == 0) & (nxt(i)["hash"] == x["hash"]), F.struct(x["position"].alias("at"), (nxt(i)["position"] - x["position"]).alias("diagonal"))))
-        return _let(F.array_sort(F.filter(paired, lambda x: x.isNotNull())), lambda shared: of_shared(shared, F.size(both)))
+def shared_places(both: Column) -> Column:
+    """Sorted numbers, one for each shared hash: its place in the first text, then its diagonal."""
+    of = lambda x: F.shiftright(x, _SIDE)
+    place = lambda x: x.bitwiseAND((1 << _SIDE) - 1)
+    pair = lambda x, y: F.when(of(x) + 1 == F.when(of(y) % 2 == 1, of(y)), F.shiftleft(place(x), _HASH) + (place(y) - place(x) + (1 << _SIDE)))
+    pairs = F.transform(both, lambda x, i: pair(x, F.get(both, i + 1)))
+    return F.sort_array(F.array_compact(pairs))
 
-    def of_shared(shared: Column, n: Column) -> Column:
-        close = lambda x, j: F.coalesce(F.abs(F.get(shared, j)["diagonal"] - x["diagonal"]) <= DRIFT, F.lit(False))
-        kept = F.size(F.filter(shared, lambda x, i: (F.size(shared) == 1) | close(x, i - 1) | close(x, i + 1)))
-        return F.when(n == 0, F.lit(1.0)).otherwise(_let(kept, lambda k: k / (n - k)))
 
-    return _let(F.array_sort(F.concat(side(a, 0), side(b, 1))), of_all)
+def matching(shared: Column) -> Column:
+    """How many shared anchors have a neighbour within ``DRIFT`` tokens of their diagonal; a single one counts."""
+    diagonal = lambda x: x.bitwiseAND((1 << _HASH) - 1)
+    close = lambda x, j: F.coalesce(F.abs(diagonal(F.get(shared, j)) - diagonal(x)) <= DRIFT, F.lit(False))
+    return F.size(F.filter(shared, lambda x, i: (F.size(shared) == 1) | close(x, i - 1) | close(x, i + 1)))
+
+
+def with_likeness(rows: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
+    """Adds each named likeness of two columns of ``first_places``: anchors that match by position over all distinct ones; 1 if both are empty.
+
+    Shared anchors are put in the order of the first text.  One counts if a neighbour in
+    that order lies on about its diagonal, so a passage counts wherever it stands, and a
+    stray phrase does not.
+    """
+    rows = rows.withColumns({f"__m_{n}": merged(F.col(a), F.col(b)) for n, (a, b) in pairs.items()})
+    rows = rows.withColumns({f"__s_{n}": shared_places(F.col(f"__m_{n}")) for n in pairs})
+    rows = rows.withColumns({f"__k_{n}": matching(F.col(f"__s_{n}")) for n in pairs})
+    share = lambda n: F.when(F.size(f"__m_{n}") == 0, F.lit(1.0)).otherwise(F.col(f"__k_{n}") / (F.size(f"__m_{n}") - F.col(f"__k_{n}")))
+    return rows.withColumns({n: share(n) for n in pairs}).drop(*(f"__{x}_{n}" for x in "msk" for n in pairs))
 
 
 def _count_upto(bounds: list, value: Column) -> Column:
@@ -178,11 +200,10 @@ def edit_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
         anchors(F.col("text")).alias("own"), anchors(F.col("edited")).alias("changed"), anchors(F.col("next_text")).alias("next"),
     )
+    texts = ("own", "changed", "next")
     placed = sets.select(
         "id", "n_chars", "edited_sha256", as_string(hashes_of(F.col("own"))).alias("fingerprint"), as_string(hashes_of(F.col("changed"))).alias("edited_fingerprint"),
-        *(first_places(F.col(c)).alias(c) for c in ("own", "changed", "next")),
-    )
-    return placed.select(
-        F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        likeness(F.col("own"), F.col("changed")).alias("near_edited"), likeness(F.col("own"), F.col("next")).alias("near_next"),
+        *(packed(F.col(c)).alias(c) for c in texts),
     )
+    placed = with_likeness(placed.withColumns({c: first_places(F.col(c)) for c in texts}), {"near_edited": ("own", "changed"), "near_next": ("own", "next")})
+    return placed.select(F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
