@@ -2,36 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import cut, shared_folder, table
 
-def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only where none is set (local tests)."""
-    sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = sc.getCheckpointDir()
-        if not folder:
-            folder = tempfile.mkdtemp(prefix="spark-")
-            sc.setCheckpointDir(folder)
-    return folder
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise a small frame in the shared folder and cut its lineage."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
-def table(df: DataFrame) -> DataFrame:
-    """Materialise a large frame as compressed Parquet in the shared folder and reread it."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/barsplice-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["cut", "fold", "read", "shared_folder", "table"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import table
 from .minhash import WordHashes, words_of
 
-BLOCK_BYTES, MOST_PARTS = 12 << 20, 1 << 17
+BLOCK_BYTES = 12 << 20
 FOLDS, TEST_FOLD, WEIGHT_FOLD = 5, 1, 0
 #: Context-frequency buckets: unseen, then one for each power of two.
 BUCKETS = 24
@@ -240,7 +240,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     text = F.coalesce(F.col(text_col), F.lit(""))
     size = docs.agg(F.sum(F.octet_length(text)).alias("bytes"), F.count(F.lit(1)).alias("n")).first()
     blocks = max(1, -(-((size["bytes"] or 0) + 16 * size["n"]) // BLOCK_BYTES))
-    bits = min(MOST_PARTS.bit_length() - 1, int(blocks - 1).bit_length())
+    bits = min(31, int(blocks - 1).bit_length())
     base = docs.select(
         F.col(id_col).alias("id"), F.col(id_col).cast("string").alias("fold_id"), text.alias("text"),
         F.pmod(F.xxhash64(id_col, text), F.lit(blocks)).cast("int").alias("block"),
