@@ -15,7 +15,12 @@ from barsplice.llm.common import cut, read, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose score is below 0.5, all columns as they were."""
+    """Documents whose score is below 0.5, all columns as they were.
+
+    Every row is judged by its own text: rows with null or repeated ids, null and very long
+    texts too.  Texts without words are scored half the toxic share and stay.  An empty
+    table stays empty.
+    """
     model = toxicity.train(docs, read(spark, sf_dir, "labels"), test_fold=None)
     return toxicity.score(docs, model, score_col="__toxic").where(F.col("__toxic") < 0.5).select(*docs.columns)
 
@@ -24,7 +29,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One row of each group linked at a similarity of 0.8: that of the smallest id, then of the smallest text hash.
 
     Rows are told apart by id and text, so a row is not lost for another one of its id; of
-    rows that repeat both one stays.  Rows without an id or without words all stay.
+    rows that repeat both one stays.  Rows without an id or without words all stay.  Other
+    columns are kept, nulls included; of rows that differ only there the first in JSON order
+    stays.  An empty table stays empty.
     """
     key = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.xxhash64("text").alias("text_hash")))
     keyed = docs.withColumn("__row", key)
@@ -41,7 +48,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The same documents with secrets replaced by their kind; ``n_chars`` follows the text."""
+    """The same documents with secrets replaced by their kind; ``n_chars`` follows the text.
+
+    Rows with null or repeated ids count like any other, null texts stay null.
+    """
     clean = secrets.redact(docs)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -49,7 +59,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of 1024 ids."""
+    """Pieces of the documents in sequences of 1024 ids; a null or empty text is its end id alone."""
     return packing.pack(docs)
 
 
