@@ -331,6 +331,55 @@ def test_language_model(docs, empty):
     assert language_model.score(empty).count() == 0
 
 
+def interpolated(rows, fold):
+    """Deleted interpolation by its definition: exact estimates, one mixture for each power of two of the context's count."""
+    tokens = [(t or "").encode().lower().split() + [b""] for _, t in rows]
+    folds = [fold(d) for d, _ in rows]
+
+    def counted(chosen):
+        uni, bi, texts = Counter(), Counter(), 0
+        for w, f in zip(tokens, folds, strict=True):
+            if chosen(f):
+                texts += 1
+                uni.update(w)
+                bi.update(zip([None, *w[:-1]], w, strict=True))
+        uni[None] = texts
+        return uni, bi, sum(uni.values()) - texts, len(uni) - 1
+
+    def estimates(model, w):
+        uni, bi, n, v = model
+        for a, b in zip([None, *w[:-1]], w, strict=True):
+            yield (uni[a].bit_length(), (bi[a, b] / max(1, uni[a]), uni[b] / n, 1 / (v + 1)))
+
+    rest, whole = counted(lambda f: f not in (0, 1)), counted(lambda f: f != 1)
+    seen = {}
+    for w, f in zip(tokens, folds, strict=True):
+        if f == 0:
+            for bucket, e in estimates(rest, w):
+                seen.setdefault(bucket, []).append(e)
+
+    def mixture(e, start):
+        e, m = np.array(e), np.array(start)
+        for _ in range(400):
+            share = e * m
+            m = (share / share.sum(1, keepdims=True)).mean(0)
+        return m
+
+    every = mixture([e for es in seen.values() for e in es], (1 / 3, 1 / 3, 1 / 3))
+    mixed = {b: mixture(es, (1 / 3, 1 / 3, 1 / 3) if b else (0, 1 / 2, 1 / 2)) for b, es in seen.items()}
+    return [sum(math.log10(mixed.get(bucket, every) @ e) for bucket, e in estimates(whole, w)) for w in tokens]
+
+
+def test_language_model_score(docs):
+    """The score against the definition; counts of held-out tokens are rounded to quarter powers of two, which moves scores by less than a hundredth."""
+    rows = corpus()
+    fold = lambda d: None if d is None else zlib.crc32(str(d).encode()) % 5
+    got = sorted((r.n_tokens, r.score) for r in language_model.score(docs).collect())
+    expected = sorted((len((t or "").encode().split()) + 1, s) for (_, t), s in zip(rows, interpolated(rows, fold), strict=True))
+    assert [n for n, _ in got] == [n for n, _ in expected]
+    assert np.allclose([s for _, s in got], [s for _, s in expected], rtol=0.01, atol=0.01)
+
+
 def test_interpolation_weights():
     """Expectation-maximisation finds the mixture that made the counts."""
     level = lambda ratio: int(language_model._level(np.array([ratio]))[0])
