@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, language_model, licenses, minhash, packing, secrets, sentencepiece, sharding, syncmers, toxicity
+from . import divergence, embeddings, language_model, licenses, minhash, packing, secrets, sentencepiece, sharding, syncmers, toxicity
 from .common import fold, read
 
 
@@ -59,6 +59,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(findings)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_syncmer_fingerprints,
         op9_packing,
         op10_secret_scan,
+        op11_source_divergence,
     )
 }
 
@@ -109,6 +114,19 @@ _SHINGLES = f"""
     {_COMPONENTS}
     SELECT id AS doc_id, coalesce(k, 0) AS n_shingles, component_id, id = component_id AS kept FROM c LEFT JOIN k USING (id)"""
 
+_DIVERGENCE = r"""
+    WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+    c AS (SELECT lang, source, doc, w AS term, count(*) AS n FROM (SELECT lang, source, doc, unnest(w) AS w FROM d) GROUP BY ALL),
+    k AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL HAVING count(*) >= 3),
+    l AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang),
+    g AS (SELECT DISTINCT lang, source FROM d),
+    x AS (SELECT g.lang, g.source, k.term, coalesce(s.n, 0) AS n, k.n AS whole FROM g JOIN k USING (lang) LEFT JOIN (SELECT lang, source, term, sum(n) AS n FROM c GROUP BY ALL) s ON s.lang = g.lang AND s.source = g.source AND s.term = k.term),
+    p AS (SELECT x.*, cast(1 + cast(1000000000 AS hugeint) * (x.n + 1) // (sum(x.n) OVER (PARTITION BY x.lang, x.source) + l.v) AS hugeint) AS p, cast(1 + cast(1000000000 AS hugeint) * (whole + 1) // (l.n + l.v) AS hugeint) AS q FROM x JOIN l USING (lang)),
+    o AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(o.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN o ON o.lang = a.lang AND o.source = a.source AND o.item = b.source
+          UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q)
+    SELECT lang, source, part, item, cast(value AS bigint) AS value, cast(rank AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r) WHERE part = 'pair' OR rank <= 200"""
+
 #: DuckDB SQL for the operators that it can express on whole tables.  The others rest on
 #: hashes, models or tokenizers that it lacks and are tested by brute force.
-ORACLE_SQL: dict[str, str] = {"op2_embedding_near_dedup": _COSINES, "op3_minhash_near_dedup": _SHINGLES, "op10_secret_scan": _SECRETS}
+ORACLE_SQL: dict[str, str] = {"op2_embedding_near_dedup": _COSINES, "op3_minhash_near_dedup": _SHINGLES, "op10_secret_scan": _SECRETS, "op11_source_divergence": _DIVERGENCE}
