@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import divergence, embeddings, language_model, licenses, minhash, packing, secrets, sentencepiece, sharding, syncmers, toxicity
+from . import divergence, embeddings, language_model, licenses, minhash, packing, secrets, sentencepiece, sharding, syncmers, toxicity, whitening
 from .common import fold, read
 
 
@@ -63,6 +63,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read(spark, sf_dir, "documents"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_packing,
         op10_secret_scan,
         op11_source_divergence,
+        op13_embedding_whitening,
     )
 }
 
