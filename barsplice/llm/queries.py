@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import divergence, embeddings, language_model, licenses, minhash, packing, secrets, sentencepiece, sharding, syncmers, toxicity, whitening
+from . import divergence, embeddings, language_model, licenses, minhash, packing, quality, secrets, sentencepiece, sharding, syncmers, toxicity, whitening
 from .common import fold, read
 
 
@@ -63,6 +63,14 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read(spark, sf_dir, "documents"))
 
 
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality.train(docs, read(spark, sf_dir, "labels")), keep_text=False)
+    return scored.select(
+        "doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read(spark, sf_dir, "embeddings"))
 
@@ -81,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_packing,
         op10_secret_scan,
         op11_source_divergence,
+        op12_quality_classifier,
         op13_embedding_whitening,
     )
 }
