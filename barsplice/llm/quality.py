@@ -262,7 +262,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
     ``max_texts`` vectors.
     """
     names = [c for c in docs.columns if c != score_col and (keep_text or c != text_col)]
-    inner = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(names)), F.col(text_col).alias("__text"))
+    quoted = lambda c: "`" + c.replace("`", "``") + "`"
+    inner = docs.select(*(docs[quoted(c)].alias(f"c{i}") for i, c in enumerate(names)), F.col(text_col).alias("__text"))
     schema = ", ".join(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(names)) + ", __score double"
     shared = docs.sparkSession.sparkContext.broadcast(model)
     scored = inner.mapInArrow(_scores(shared), schema)

@@ -145,7 +145,7 @@ def redact(docs: DataFrame, ledger: DataFrame | None = None, id_col: str = "doc_
     findings, _ = scan(docs, ledger, id_col, text_col)
     found = findings.where(F.size("spans") > 0).select(F.col("blob").alias("__blob"), "spans").dropDuplicates(["__blob"])
     names = docs.columns
-    keyed = docs.select(*(F.col(c).alias("text" if c == text_col else f"c{i}") for i, c in enumerate(names)))
+    keyed = docs.select(*(docs["`" + c.replace("`", "``") + "`"].alias("text" if c == text_col else f"c{i}") for i, c in enumerate(names)))
     keyed = keyed.withColumn("__blob", F.sha2("text", 256))
     joined = keyed.join(found, "__blob", "left").drop("__blob")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema if f.name != "spans")

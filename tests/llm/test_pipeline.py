@@ -64,3 +64,23 @@ def test_near_duplicates_stage_by_rows(spark):
     assert got.columns == docs.columns
     key = lambda r: (r[0] is None, r[0] or 0, r[1])
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=key) == [(1, edited()), (3, far), (4, alone), (5, twice), (6, ""), (6, ""), (None, twice), (None, twice)]
+
+
+def test_stages_keep_columns_of_any_name(spark, folder):
+    """Names that stages use, names with a dot, and a text of a million words."""
+    path, _ = folder
+    extra = ["kept", "__row", "row", "key", "__toxic", "toxic_score", "n", "spans", "c0", "__blob", "__text", "a.b", "component_id", "n_shingles"]
+    base = spark.read.parquet(f"{path}/documents.parquet").where("doc_id < 30 or doc_id in (100, 101)")
+    long_text = " ".join(f"w{i % 9973}v{i // 9973}" for i in range(1_000_000)) + ' password = "Abc123def456ghi"'
+    base = base.unionByName(spark.createDataFrame([(500, long_text, "en", "s", None)], DDL))
+    docs = base.select("*", *(F.concat(F.lit(f"{c} "), "doc_id").alias(c) for c in extra))
+    docs = docs.unionByName(docs.where("doc_id = 7"))  # a repeated row
+    out = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, out, path)
+        assert out.columns == docs.columns and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema], name
+    rows = {r[0]: r for r in out.collect()}
+    assert sorted(rows) == [*range(30), 101, 500] and out.count() == len(rows)
+    assert all(r[5 + i] == f"{c} {k}" for k, r in rows.items() for i, c in enumerate(extra))
+    assert rows[500][1] == long_text[: long_text.rindex("password")] + '[ASSIGN]"' and rows[500][4] == len(rows[500][1])
+    assert {r.doc_id for r in corpus_pipeline.pack(spark, out, path).select("doc_id").distinct().collect()} == set(rows)
