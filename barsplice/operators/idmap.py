@@ -1,13 +1,16 @@
 """Fuzzy mapping of sequences to known ids.
 
 Queries are made distinct first; exact and reverse-complement matches are equi-joins, so
-only the rest is compared by edit distance.  That comparison is blocked by segments: of
-2k + 1 equal segments of a known sequence, at least one is untouched by k' <= 2k edits and
-appears in the query shifted by at most k' places, which makes it an equi-join too.
+only the rest is compared by edit distance.  That comparison is an equi-join too: of k + r
+segments of a known sequence, k edits leave r untouched, which appear in the query at places
+that the same edits allow.  All r together are the key, and r is chosen by the number of
+known sequences, so that keys stay selective however many there are.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,40 +22,92 @@ def known_sequences(ids: DataFrame, order: str = "line") -> DataFrame:
     return ids.groupBy(F.upper("seq").alias("seq")).agg(F.max_by("id", order).alias("id"), F.min(order).alias("ord"))
 
 
-def _segments(seq: Column, pieces: int) -> Column:
-    """array<struct(no, at, text)> of nearly equal segments."""
+#: Keys of known sequences that a partition hashes.
+HASHED = 1_000_000
+
+
+@functools.cache
+def signatures(distance: int, kept: int) -> tuple[tuple[int, tuple[int, ...], tuple[int, ...]], ...]:
+    """(difference of lengths, segments, shifts) that any two sequences within ``distance`` edits share one of.
+
+    A known sequence is cut into ``distance + kept`` segments.  Each edit touches one of
+    them (an insertion between two touches the left one, one at the start the first), so
+    ``kept`` are untouched.  Those are the first untouched ones: every segment skipped
+    before the last of them holds an edit, shifts change only across skipped segments, and
+    what is left of the difference of lengths lies behind the last one.
+    """
+    pieces = distance + kept
+    found = []
+
+    def extend(segments: tuple[int, ...], shifts: tuple[int, ...], edits: int) -> None:
+        last, shift = (segments[-1], shifts[-1]) if segments else (-1, 0)
+        if len(segments) == kept:
+            rest = distance - edits if last < pieces - 1 else 0
+            found.extend((shift + d, segments, shifts) for d in range(-rest, rest + 1))
+            return
+        for skipped in range(min(distance - edits, pieces - last - 2) + 1):
+            most = distance - edits if skipped else 0
+            for d in range(-most, most + 1):
+                extend((*segments, last + 1 + skipped), (*shifts, shift + d), edits + max(skipped, abs(d)))
+
+    extend((), (), 0)
+    return tuple(found)
+
+
+def kept_segments(known: int, length: float, distance: int, candidate: float = 30.0, most: int = 5) -> int:
+    """Number of untouched segments that costs least: keys of a query, and ``candidate`` times as much for each
+    random sequence of four letters that shares one."""
+    def cost(kept: int) -> float:
+        chance = 4.0 ** -min(500.0, kept * length / (distance + kept))
+        return len(signatures(distance, kept)) * (1 + candidate * known * chance)
+
+    return min(range(1, most + 1), key=cost)
+
+
+def _keyed(seq: str, length: str, kept: int) -> Column:
+    """Hash of the signature (columns ``segments``, ``shifts``) in ``seq`` for a known sequence of ``length``; null if it does not fit in."""
     n = F.length(seq)
-    edge = lambda i: F.floor(n * i / pieces).cast("int")
-    every = F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)), lambda i: F.struct(i.alias("no"), edge(i).alias("at"), F.substring(seq, edge(i) + 1, edge(i + 1) - edge(i)).alias("text")))
-    return every
+    texts, fits = [], F.lit(True)
+    for t in range(kept):
+        shift = F.get("shifts", F.lit(t))
+        begin, end = (F.expr(f"cast({length} * (segments[{t}] + {e}) div pieces as int)") for e in (0, 1))
+        texts.append(F.substring(seq, begin + shift + 1, end - begin))
+        fits = fits & (begin + shift >= 0) & (end + shift <= n)
+    return F.when(fits, F.xxhash64(F.col(length), "segments", *texts))
+
+
+def candidates(queries: DataFrame, known: DataFrame, distance: int) -> DataFrame:
+    """``seq, known_seq, id, ord`` of queries and known sequences that share a signature; a pair may come more than once."""
+    size = known.agg(F.count(F.lit(1)).alias("n"), F.avg(F.length("seq")).alias("length")).first()
+    kept = kept_segments(size["n"], size["length"] or 0.0, distance)
+    ddl = "difference int, segments array<int>, shifts array<int>"
+    # A table of the distance alone, some hundred rows.
+    every = known.sparkSession.createDataFrame([(d, list(i), list(s)) for d, i, s in signatures(distance, kept)], ddl).withColumn("pieces", F.lit(distance + kept))
+    still = every.select("segments", "pieces", F.transform("segments", lambda _: F.lit(0)).alias("shifts")).distinct()
+    parts = known.select(F.col("seq").alias("known_seq"), "id", "ord", F.length("seq").alias("m")).crossJoin(F.broadcast(still))
+    parts = parts.select(_keyed("known_seq", "m", kept).alias("key"), "known_seq", "id", "ord")
+    lengths = known.select(F.length("seq").alias("m")).distinct()
+    # A query becomes hundreds of rows, so even few queries are dealt to all tasks.
+    session = queries.sparkSession
+    parallel = max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)
+    near = queries.select("seq", F.length("seq").alias("n")).repartition(parallel, "seq", "n").join(F.broadcast(lengths), F.abs(F.col("n") - F.col("m")) <= distance)
+    asked = near.withColumn("difference", F.col("n") - F.col("m")).join(F.broadcast(every), "difference")
+    asked = asked.select("seq", _keyed("seq", "m", kept).alias("key")).where("key is not null")
+    # Where the known side's keys are few for every partition, hashing them saves sorting the many keys of the queries.
+    if size["n"] * len({i for _, i, _ in signatures(distance, kept)}) <= HASHED * parallel:
+        parts = parts.hint("shuffle_hash")
+    return asked.join(parts, "key").select("seq", "known_seq", "id", "ord")
 
 
 def within(queries: DataFrame, known: DataFrame, distance: int) -> DataFrame:
     """``seq, id, ord, distance`` for all pairs of distinct queries and known sequences within an edit distance.
 
-    Known sequences shorter than the number of segments have an empty segment, which meets
-    every query of a fitting length; they are compared with all of these.
+    Known sequences shorter than the number of segments have empty ones, which are in every
+    query of a fitting length.
     """
-    pieces = distance + 1
-    parts = known.select(F.col("seq").alias("known_seq"), "id", "ord", F.length("seq").alias("m"), F.explode(_segments(F.col("seq"), pieces)).alias("s"))
-    parts = parts.select("known_seq", "id", "ord", "m", "s.no", "s.at", F.col("s.text").alias("text"))
-    lengths = known.select(F.length("seq").alias("m")).distinct()
-    shifts = F.transform(F.sequence(F.lit(-distance), F.lit(distance)), lambda d: d)
-    # Query windows at every segment's place, for each known length in reach.
-    n = F.length("seq")
-    near = queries.select("seq", n.alias("n")).join(F.broadcast(lengths), F.abs(F.col("n") - F.col("m")) <= distance)
-    edge = lambda i: F.floor(F.col("m") * i / pieces).cast("int")
-    windows = F.flatten(
-        F.transform(
-            F.sequence(F.lit(0), F.lit(pieces - 1)),
-            lambda i: F.transform(F.filter(shifts, lambda d: (edge(i) + d >= 0) & (edge(i + 1) + d <= F.col("n"))), lambda d: F.struct(i.alias("no"), F.substring("seq", edge(i) + d + 1, edge(i + 1) - edge(i)).alias("text"))),
-        )
-    )
-    asked = near.select("seq", "m", F.explode(F.array_distinct(windows)).alias("w")).select("seq", "m", "w.no", "w.text")
-    pairs = asked.join(parts, ["m", "no", "text"]).select("seq", "known_seq", "id", "ord")
     d = F.levenshtein("seq", "known_seq", distance)
-    # Most pairs that share a segment are far apart, so only close ones are shuffled.
-    return pairs.withColumn("distance", d).where("distance >= 0").select("seq", "id", "ord", "distance").distinct()
+    # Only close pairs are shuffled.
+    return candidates(queries, known, distance).withColumn("distance", d).where("distance >= 0").select("seq", "id", "ord", "distance").distinct()
 
 
 def _measured(queries: DataFrame, known: DataFrame, mismatches: int, slack: int) -> DataFrame:
