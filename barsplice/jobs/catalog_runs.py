@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,12 +16,27 @@ from ..operators import matching as M
 from ..operators import psi as P
 from ..operators import report as R
 from ..schema import EVENTS
-from ..sources import readers
+from ..sources import bam, readers
+from ..sources.shared import shared_folder
 from . import catalog, pipeline
 from .catalog import ORACLE_SQL, query
 from .catalog_reads import _checked, _extracted, loc
 from .tables import DOWN, PAIR_AFTER, PAIR_BEFORE, TARGET, TEMPLATE, UP, VHH, rc, table
 
+
+
+@query("SELECT qname, flag, rname, pos, cigar, nh, 'v' || cast(pos AS string) AS tag FROM {tagged}")
+def bam_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Derived alignments written as binary files and scanned again in small splits."""
+    rows = table(spark, sf_dir, "tagged")
+    missing = [F.lit(None).cast(t).alias(c) for c, t in (("mapq", "int"), ("rnext", "string"), ("pnext", "int"), ("tlen", "int"), ("seq", "string"), ("qual", "string"))]
+    tags = F.create_map(F.lit("NH"), "nh", F.lit("XV"), F.concat(F.lit("v"), "pos")).alias("tags")
+    contigs = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.concat(F.lit("c"), "s_suppkey").alias("name"), F.lit(100_000).alias("length"))
+    folder = f"{shared_folder(spark).rstrip('/')}/bam-{uuid.uuid4().hex}"
+    bam.write_bam(rows.select("qname", "flag", "rname", "pos", "cigar", *missing, tags), contigs, folder)
+    return bam.read_bam(spark, folder, 1 << 16).select("qname", "flag", "rname", "pos", "cigar", F.col("tags")["NH"].alias("nh"), F.col("tags")["XV"].alias("tag"))
+
+
 _near = lambda text, pattern: f"len(list_filter(range(0, length({text}) - length({pattern}) + 1), lambda i: levenshtein(substr({text}, cast(i as int) + 1, length({pattern})), {pattern}) <= 8)) > 0"
 
 _PAIRS = f"""

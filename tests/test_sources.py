@@ -101,3 +101,54 @@ def test_stream_equals_batch(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert [(r.var_id, r.ref_type, r["count"]) for r in spark.table("canonical_stream").collect()] == [("v1", "exon_inclusion", 5)]
+
+
+def test_bam_round_trip(spark, tmp_path):
+    """Records through BAM are those through SAM text, from whole files and from many splits of one file."""
+    from barsplice.sources import bam
+
+    lines = [
+        f"r{i}\t{(0, 16, 4, 99)[i % 4]}\t{'*' if i % 4 == 2 else ('c1', 'chr_2')[i % 2]}\t{0 if i % 4 == 2 else 1 + i % 700}\t{i % 61}\t{('*', '5M', '3S10M25N7M', '2M1I3M2D4M')[i % 4]}\t{('*', '=', ('chr_2', 'c1')[i % 2])[i % 3] if i % 4 != 2 else '*'}\t{i % 50}\t{i % 7 - 3}"
+        f"\t{'ACGTNACGTAC'[: i % 11] or '*'}\t{'IIFF#,:IIFF'[: i % 11] or '*'}\tNH:i:{i % 3}\tXA:Z:t{i % 13},x{'' if i % 5 else chr(9) + f'MD:Z:{i}'}"
+        for i in range(5000)
+    ]
+    (tmp_path / "a.sam").write_text("@SQ\tSN:c1\tLN:1000\n" + "\n".join(lines) + "\n")
+    want = readers.read_sam(spark, f"{tmp_path}/a.sam")
+    contigs = spark.createDataFrame([("c1", 1000), ("chr_2", 2000)], "name string, length int")
+    bam.write_bam(want.coalesce(1), contigs, f"{tmp_path}/one")
+    bam.write_bam(want.repartition(3), contigs, f"{tmp_path}/one")  # replaces
+    bam.write_bam(want.coalesce(1), contigs, f"{tmp_path}/single")
+    rows = lambda df: sorted((tuple(r)[:-1], sorted(r.tags.items())) for r in df.collect())
+    expected = rows(want)
+    assert rows(bam.read_bam(spark, f"{tmp_path}/one")) == expected
+    for size in (1000, 7000, 1 << 20):
+        got = bam.read_bam(spark, f"{tmp_path}/single", size)
+        assert rows(got) == expected
+        assert size > 7000 or got.rdd.getNumPartitions() > 3
+    assert rows(bam.read_bam(spark, f"{tmp_path}/single", 7000).where("flag = 16").limit(0)) == []
+
+
+def test_bam_tag_kinds_and_long_records():
+    """All kinds of tags, records longer than a block, and splits inside of them."""
+    import io
+    import struct
+
+    import pyarrow as pa
+
+    from barsplice.sources import bam
+
+    tags = b"AAAx" + b"ABc" + struct.pack("<b", -5) + b"ACC\xff" + b"ADs" + struct.pack("<h", -300) + b"AES" + struct.pack("<H", 65000) + b"AFI" + struct.pack("<I", 1 << 31) + b"AGf" + struct.pack("<f", 0.5) + b"AHH1A\0" + b"AIBs" + struct.pack("<ihh", 2, -1, 7)
+    base = {"flag": 0, "rname": "c1", "pos": 4, "mapq": 9, "cigar": "4M", "rnext": "*", "pnext": 0, "tlen": 0, "seq": "ACGT", "qual": "IIII", "tags": []}
+    plain = bam.encode(base | {"qname": "r"}, {"c1": 0})
+    tagged = struct.pack("<i", len(plain) - 4 + len(tags)) + plain[4:] + tags
+    long = [bam.encode(base | {"qname": f"long{i}", "seq": "ACGT" * 40_000, "qual": "*", "cigar": "160000M"}, {"c1": 0}) for i in range(5)]
+    raw = bam.encode_header([("c1", 200_000)]) + tagged + b"".join(long) + plain
+    packed = b"".join(bam.pack_block(raw[i : i + bam.BLOCK]) for i in range(0, len(raw), bam.BLOCK)) + bam.pack_block(b"")
+    file = pa.PythonFile(io.BytesIO(packed), "r")
+    names = []
+    for begin in range(0, len(packed), 400):
+        for batch in bam._records(file, begin, min(len(packed), begin + 400), len(packed)):
+            names += batch.column("qname").to_pylist()
+            if begin == 0:
+                assert dict(batch.column("tags")[0].as_py()) == {"AA": "x", "AB": "-5", "AC": "255", "AD": "-300", "AE": "65000", "AF": str(1 << 31), "AG": "0.5", "AH": "1A", "AI": "s,-1,7"}
+    assert sorted(names) == ["long0", "long1", "long2", "long3", "long4", "r", "r"]
