@@ -288,3 +288,9 @@ def run_psi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sheet to corrected PSI of all samples with three replicates, with a fixed additive variance."""
     runs = table(spark, sf_dir, "sheet").select("sample", "replicate").collect()
     return P.round_all(pipeline.psi_step(_run_counts(spark, sf_dir), variances={tuple(r): P.START_VARIANCE for r in runs}))
+
+
+@query(None)
+def run_psi_fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sheet to corrected PSI of all samples with three replicates, with variances fitted for all samples together."""
+    return P.round_all(pipeline.psi_step(_run_counts(spark, sf_dir)))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sequence as S
 from ..operators import counts, junctions, matching, psi, report
+from ..sources import shared
 
 BY = ["sample_id"]
 
@@ -66,19 +67,19 @@ def counts_step(sheet: DataFrame, variants: DataFrame, canonical: DataFrame, bed
 def psi_step(table: DataFrame, replicates: int = 3, mode: str = "can", variances: dict | None = None) -> DataFrame:
     """Corrected PSI of every sample that has exactly so many replicates.
 
-    The error model is fitted sample by sample (a few numbers each) unless ``variances``
-    gives them by sample and replicate; everything else is one plan over all samples.
+    The error model is fitted for all samples together unless ``variances`` gives its
+    variances by sample and replicate.  A fit reads the counts many times, so they are
+    written once before it; everything else is one plan over all samples.
     """
+    if variances is None:
+        table = shared.table(table.select("sample", "var_id", "rep", "inclusion", "skipping", "others"))
     runs = sorted(tuple(r) for r in table.select("sample", "rep").distinct().collect())
     whole = {s: sorted(r for t, r in runs if t == s) for s, _ in runs}
     whole = {s: reps for s, reps in whole.items() if len(reps) == replicates}
     if not whole:
         raise ValueError(f"no sample has {replicates} replicates")
     if variances is None:
-        variances = {}
-        for sample, reps in whole.items():
-            fitted = psi.fit_variances(table.where(F.col("sample") == sample), reps, mode)
-            variances |= {(sample, r): v for r, v in fitted.items()}
+        variances = psi.fit_all(table, whole, mode=mode)
     kept = table.where(F.col("sample").isin(*whole)).select("sample", "var_id", "rep", "inclusion", "skipping", "others")
     return psi.estimates(kept, {k: v for k, v in variances.items() if k[0] in whole}, mode, by=["sample"])
 

@@ -10,13 +10,15 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Generator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import table
+
 PSEUDO = 0.5
 START_VARIANCE = 0.01
 Z95 = 1.96
@@ -49,10 +51,10 @@ def raw_columns(counts: DataFrame) -> DataFrame:
     return counts.withColumn("raw_psi", share("inclusion")).withColumn("ratio", ratio).withColumn("n_total", total.cast("bigint"))
 
 
-def wide(obs: DataFrame, replicates: Sequence[str]) -> DataFrame:
-    """One row per variant with y1.., s1.. in the order of ``replicates``."""
+def wide(obs: DataFrame, replicates: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """One row per variant (and group) with y1.., s1.. in the order of ``replicates``."""
     pick = lambda c, r: F.max(F.when(F.col("rep") == r, F.col(c)))
-    return obs.groupBy("var_id").agg(*(pick(c, r).alias(f"{a}{i}") for i, r in enumerate(replicates, 1) for c, a in (("y", "y"), ("s2", "s"))))
+    return obs.groupBy(*by, "var_id").agg(*(pick(c, r).alias(f"{a}{i}") for i, r in enumerate(replicates, 1) for c, a in (("y", "y"), ("s2", "s"))))
 
 
 def subsets(n: int) -> list[tuple[int, ...]]:
@@ -60,15 +62,17 @@ def subsets(n: int) -> list[tuple[int, ...]]:
     return [c for k in range(2, n + 1) for c in itertools.combinations(range(1, n + 1), k)]
 
 
-def joint_nll(wide_obs: DataFrame, points: DataFrame, n: int) -> DataFrame:
+def joint_nll(wide_obs: DataFrame, points: DataFrame, n: int, by: Sequence[str] = ()) -> DataFrame:
     """``(point, nll)``: the negative log likelihood over all subsets at every row of ``points`` (point, a1..an).
 
     ``points`` are the few parameter vectors of one optimiser step; they are data, not
-    literals, so the plan is compiled once.
+    literals, so the plan is compiled once.  With ``by`` every group (such as a sample) has
+    points of its own.
     """
     there = {i: F.col(f"y{i}").isNotNull() for i in range(1, n + 1)}
     total = lambda members, term: sum(F.when(there[i], term(i)).otherwise(0.0) for i in members)
-    rows = wide_obs.crossJoin(F.broadcast(points)).withColumns({f"v{i}": F.col(f"s{i}") + F.exp(F.col(f"a{i}")) for i in there})
+    placed = wide_obs.join(points, list(by)) if by else wide_obs.crossJoin(F.broadcast(points))
+    rows = placed.withColumns({f"v{i}": F.col(f"s{i}") + F.exp(F.col(f"a{i}")) for i in there})
     rows = rows.withColumns({f"w{i}": 1 / F.col(f"v{i}") for i in there})
     thetas = {
         f"t{k}": F.try_divide(total(s, lambda i: F.col(f"y{i}") * F.col(f"w{i}")), total(s, lambda i: F.col(f"w{i}"))) for k, s in enumerate(subsets(n))
@@ -77,30 +81,48 @@ def joint_nll(wide_obs: DataFrame, points: DataFrame, n: int) -> DataFrame:
     # A replicate's log variance counts once for each subset that holds it.
     squares = sum(total(s, lambda i, k=k: F.pow(F.col(f"y{i}") - F.col(f"t{k}"), 2) * F.col(f"w{i}")) for k, s in enumerate(subsets(n)))
     logs = total(there, lambda i: F.log(F.col(f"v{i}")) * sum(i in s for s in subsets(n)))
-    return rows.groupBy("point").agg(F.sum(0.5 * (logs + squares)).alias("nll"))
+    return rows.groupBy(*by, "point").agg(F.sum(0.5 * (logs + squares)).alias("nll"))
 
 
-def spark_objective(wide_obs: DataFrame, n: int) -> Callable[[np.ndarray], np.ndarray]:
+def spark_objective(wide_obs: DataFrame, n: int, by: str | None = None) -> Callable[[dict], dict]:
+    """Values at the points of every group, from one job; without ``by`` the only group is None."""
     spark = wide_obs.sparkSession
 
-    def at(points: np.ndarray) -> np.ndarray:
-        out = np.full(len(points), np.inf)
-        fine = [i for i, p in enumerate(points) if (np.abs(p) < 700).all()]
-        if fine:
-            frame = spark.createDataFrame(pa.table({"point": pa.array(fine, pa.int32()), **{f"a{i + 1}": pa.array(points[fine, i]) for i in range(n)}}))
-            for r in joint_nll(wide_obs, frame, n).collect():
-                out[r["point"]] = r["nll"] if r["nll"] is not None and math.isfinite(r["nll"]) else np.inf
+    def at(points: dict) -> dict:
+        out = {k: np.full(len(p), np.inf) for k, p in points.items()}
+        rows = [(k, i, *p) for k, ps in points.items() for i, p in enumerate(ps.tolist()) if max(map(abs, p)) < 700]
+        if rows:
+            columns = list(zip(*rows, strict=True))
+            keys = {by: pa.array(columns[0], pa.string())} if by else {}
+            frame = spark.createDataFrame(pa.table({**keys, "point": pa.array(columns[1], pa.int32()), **{f"a{i + 1}": pa.array(columns[2 + i]) for i in range(n)}}))
+            for r in joint_nll(wide_obs, frame, n, [by] if by else []).collect():
+                out[r[by] if by else None][r["point"]] = r["nll"] if r["nll"] is not None and math.isfinite(r["nll"]) else np.inf
         return out
 
     return at
 
 
-def minimise(objective: Callable[[np.ndarray], np.ndarray], start: np.ndarray, rounds: int = 100, tolerance: float = 1e-8, width: float = 1e-3) -> np.ndarray:
-    """BFGS with central differences.
+def minimise(objective: Callable[[dict], dict], starts: dict, **options) -> dict:
+    """Minima of all groups, whose searches advance together: one call of ``objective`` is a step of each that still runs."""
+    searches = {k: _search(x, **options) for k, x in starts.items()}
+    asked = {k: next(search) for k, search in searches.items()}
+    found = {}
+    while asked:
+        for k, values in objective(asked).items():
+            try:
+                asked[k] = searches[k].send(values)
+            except StopIteration as end:
+                found[k] = end.value
+                del asked[k]
+    return found
+
+
+def _search(start: np.ndarray, rounds: int = 100, tolerance: float = 1e-8, width: float = 1e-3) -> Generator[np.ndarray, np.ndarray, np.ndarray]:
+    """BFGS with central differences, which yields points and is sent their values.
 
     The first inverse Hessian comes from one batch of second differences.  A step's
     lengths and the gradient at its full length are evaluated together, so most steps
-    cost one call of ``objective``.
+    cost one batch.
     """
     n = len(start)
     eye = np.eye(n)
@@ -113,7 +135,7 @@ def minimise(objective: Callable[[np.ndarray], np.ndarray], start: np.ndarray, r
     x = start.astype(float)
     wide_step = 20 * width
     corners = [wide_step * (a * eye[i] + b * eye[j]) for i in range(n) for j in range(n) for a in (1, -1) for b in (1, -1)]
-    f = objective(np.concatenate([x[None], x + offsets, x + np.array(corners)]))
+    f = yield np.concatenate([x[None], x + offsets, x + np.array(corners)])
     value, g = f[0], slope(f[1 : 1 + 2 * n])
     second = (f[1 + 2 * n :].reshape(n, n, 4) * [1, -1, -1, 1]).sum(2) / (4 * wide_step**2)
     h = eye
@@ -125,7 +147,7 @@ def minimise(objective: Callable[[np.ndarray], np.ndarray], start: np.ndarray, r
         if direction @ g >= 0:
             h, direction = eye, -g
         direction *= min(1.0, 4.0 / max(1e-12, np.abs(direction).max()))
-        f = objective(np.concatenate([x + lengths[:, None] * direction, x + direction + offsets]))
+        f = yield np.concatenate([x + lengths[:, None] * direction, x + direction + offsets])
         tried = f[: len(lengths)]
         enough = np.flatnonzero(tried <= value + 1e-4 * lengths * (direction @ g))
         if not len(enough):
@@ -138,7 +160,7 @@ def minimise(objective: Callable[[np.ndarray], np.ndarray], start: np.ndarray, r
         x, value, old = x + step, tried[enough[0]], g
         if done:
             break
-        g = slope(f[len(lengths) :]) if enough[0] == 0 else slope(objective(x + offsets))
+        g = slope(f[len(lengths) :]) if enough[0] == 0 else slope((yield x + offsets))
         change = g - old
         curve = step @ change
         if curve > 0:
@@ -153,12 +175,33 @@ def fit_variances(counts: DataFrame, replicates: Sequence[str], mode: str = "can
         return dict.fromkeys(replicates, START_VARIANCE)
     frame = wide(observations(counts, mode), replicates).cache()
     try:
-        best = minimise(spark_objective(frame, len(replicates)), np.full(len(replicates), math.log(START_VARIANCE)))
+        best = minimise(spark_objective(frame, len(replicates)), {None: np.full(len(replicates), math.log(START_VARIANCE))})[None]
     finally:
         frame.unpersist()
     return {r: float(math.exp(a)) for r, a in zip(replicates, best, strict=True)}
 
 
+def fit_all(counts: DataFrame, replicates: dict[str, Sequence[str]], by: str = "sample", mode: str = "can") -> dict[tuple[str, str], float]:
+    """``fit_variances`` of every sample at once, keyed by sample and replicate.
+
+    ``replicates`` lists each sample's, as many in all samples.  The number of jobs is that
+    of the longest search, whatever the number of samples; observations are worked out once
+    and lie in the shared folder.
+    """
+    n = {len(r) for r in replicates.values()}
+    if len(n) != 1:
+        raise ValueError("samples need equal numbers of replicates")
+    (n,) = n
+    if n < 2:
+        return {(s, r): START_VARIANCE for s, reps in replicates.items() for r in reps}
+    numbers = [(s, r, str(i)) for s, reps in replicates.items() for i, r in enumerate(reps, 1)]
+    named = counts.sparkSession.createDataFrame(numbers, f"{by} string, rep string, number string")
+    placed = observations(counts, mode).join(F.broadcast(named), [by, "rep"]).drop("rep").withColumnRenamed("number", "rep")
+    frame = table(wide(placed, [str(i) for i in range(1, n + 1)], [by]))
+    best = minimise(spark_objective(frame, n, by), {s: np.full(n, math.log(START_VARIANCE)) for s in replicates})
+    return {(s, r): float(math.exp(a)) for s, reps in replicates.items() for r, a in zip(reps, best[s], strict=True)}
+
+
 def estimates(counts: DataFrame, variances: dict, mode: str = "can", by: Sequence[str] = ()) -> DataFrame:
     """One row per variant: psi, ratio and reads by replicate, the combined and the shrunk estimate with its interval.
 

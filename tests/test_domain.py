@@ -1,9 +1,11 @@
 """Domain operators on hand cases."""
 
 import itertools
+import math
 import os
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,7 +89,8 @@ def test_fit_reaches_a_minimum(spark, replicate_counts):
     import numpy as np
 
     objective = lambda p: ((p - [1.0, -2.0]) ** 2 * [1, 10]).sum(1) + ((p - [1.0, -2.0]) ** 4).sum(1)
-    assert np.allclose(psi.minimise(objective, np.array([4.0, 4.0])), [1, -2], atol=1e-3)
+    found = psi.minimise(lambda points: {k: objective(p) for k, p in points.items()}, {"a": np.array([4.0, 4.0]), "b": np.array([-1.0, 0.5])})
+    assert set(found) == {"a", "b"} and all(np.allclose(x, [1, -2], atol=1e-3) for x in found.values())
     fitted = psi.fit_variances(replicate_counts, ["r1", "r2", "r3"])
     assert set(fitted) == {"r1", "r2", "r3"} and all(v >= 0 for v in fitted.values())
 
@@ -311,3 +314,76 @@ def test_id_maps_by_brute_force(spark):
     asked = spark.createDataFrame([(q,) for q in queries], "seq string")
     assert {r.seq: r.id for r in idmap.map_first(asked, ids).collect()} == {q: first(q) for q in queries}
     assert {r.seq: r.id for r in idmap.map_staged(asked, ids).collect()} == {q: staged(q) for q in queries}
+
+
+def test_fit_of_all_samples_together(spark, monkeypatch):
+    """As one fit for each sample, with as many jobs however many samples there are."""
+    from barsplice.jobs import pipeline
+
+    rng = np.random.default_rng(3)
+    rows = []
+    for s, noise in (("s1", 0.3), ("s2", 0.8), ("s3", 0.5), ("two", 0.4)):
+        for v in range(40):
+            theta = rng.normal()
+            for rep in ("rA", "rB", "rC")[: 2 if s == "two" else 3]:
+                n = int(rng.integers(20, 400))
+                k = rng.binomial(n, 1 / (1 + math.exp(-theta - noise * rng.normal())))
+                rows.append((s, f"v{v}", rep, int(k), int(n - k), int(rng.integers(0, 5))))
+    counts = spark.createDataFrame(rows, "sample string, var_id string, rep string, inclusion long, skipping long, others long")
+    reps = ["rA", "rB", "rC"]
+    jobs = spark.sparkContext.statusTracker()
+
+    def measured(samples):
+        spark.sparkContext.setJobGroup(f"fit {samples}", "")
+        out = psi.fit_all(counts, dict.fromkeys(samples, reps))
+        n = len(jobs.getJobIdsForGroup(f"fit {samples}"))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return out, n
+
+    together, n_all = measured(["s1", "s2", "s3"])
+    one = psi.fit_variances(counts.where("sample = 's2'"), reps)
+    assert all(abs(together["s2", r] - one[r]) <= 1e-4 * max(1, one[r]) for r in reps)
+    alone, n_one = measured(["s1"])
+    assert all(abs(together["s1", r] - alone["s1", r]) <= 1e-4 * max(1, alone["s1", r]) for r in reps)
+    assert n_all <= 2 * n_one
+    with pytest.raises(ValueError):
+        psi.fit_all(counts, {"s1": reps, "two": ["rA", "rB"]})
+    monkeypatch.setattr(psi, "fit_all", lambda _, samples, mode: {k: together[k] for k in [(s, r) for s in samples for r in reps]})
+    got = pipeline.psi_step(counts)
+    assert {r[0] for r in got.select("sample").distinct().collect()} == {"s1", "s2", "s3"} and got.count() == 120
+
+
+def test_fuzzy_pairs_are_complete(spark):
+    """All pairs within a distance, for short and long sequences, and few others for many random ones."""
+    from barsplice.operators import idmap
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            corner, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                corner, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, corner + (x != y))
+        return row[-1]
+
+    rng = np.random.default_rng(5)
+    word = lambda n: "".join(rng.choice(list("ACGT"), n))
+    known = list(dict.fromkeys([word(int(n)) for n in rng.integers(1, 26, 60)]))
+    asked = set()
+    for k in known:
+        for _ in range(3):
+            q = list(k)
+            for _ in range(int(rng.integers(0, 5))):
+                i = int(rng.integers(0, len(q) + 1))
+                q[i : i + int(rng.integers(0, 2))] = list(word(int(rng.integers(0, 2))))
+            asked.add("".join(q))
+    asked.discard("")
+    frame = spark.createDataFrame([(k, f"id{i}", i) for i, k in enumerate(known)], "seq string, id string, ord int")
+    queries = spark.createDataFrame([(q,) for q in sorted(asked)], "seq string")
+    for distance in (1, 4):
+        got = {(r.seq, r.id): r.distance for r in idmap.within(queries, frame, distance).collect()}
+        want = {(q, f"id{i}"): d for q in asked for i, k in enumerate(known) if (d := edits(q, k)) <= distance}
+        assert got == want
+    # More segments must agree where more sequences are known.
+    kept = [idmap.kept_segments(n, 25.0, 4) for n in (100, 10_000, 1_000_000, 100_000_000)]
+    assert kept == sorted(kept) and kept[0] < kept[-1]
+    assert idmap.within(queries.limit(0), frame, 2).count() == 0 and idmap.within(queries, frame.limit(0), 2).count() == 0
