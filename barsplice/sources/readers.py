@@ -3,61 +3,43 @@
 from __future__ import annotations
 
 import datetime
-import functools
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema
+from . import fastq
 
-READ_SUFFIXES = (".fq", ".fastq", ".fq.gz", ".fastq.gz")
+READ_SUFFIXES = fastq.SUFFIXES
 REFERENCE_SUFFIXES = (".fa", ".fasta")
 BARCODE_HEADER = ("barcode", "variant", "var_id", "count")
 
 
-def _lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """``file, line, value``: lines numbered from 0 in each file.
+def _bytes(size: str) -> int:
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", size.lower()).groups()
+    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
 
-    Files are split like any text.  A first pass counts the lines of every split; their
-    running sums number the lines of the second one, whose splits are the same.
-    """
-    rows = spark.read.text(paths).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")
-    )
-    splits = rows.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = splits.select("file", "block", (before - F.col("first")).alias("shift"))
-    return rows.join(starts, ["file", "block"]).select("file", (F.col("at") + F.col("shift")).alias("line"), "value")
-
-
-def _records(lines: DataFrame, keys: Sequence[str], suffix: str = "") -> DataFrame:
-    """Four lines make a record; its key also spreads the records of a compressed file over all tasks."""
-    part = lambda i: F.max(F.when(F.col("line") % 4 == i, F.col("value")))
-    rows = lines.groupBy(*keys, F.floor(F.col("line") / 4).alias("record")).agg(part(0).alias("h"), part(1).alias("s"), part(3).alias("q"))
-    whole = F.when(F.col("q").isNotNull(), F.col("h")).otherwise(F.raise_error(F.concat(F.lit("Truncated FASTQ record in "), F.col(keys[0]).cast("string"))))
-    return rows.select(*keys, "record", F.substring(whole, F.lit(2), F.length("h")).alias(f"h{suffix}"), F.col("s").alias(f"s{suffix}"), F.col("q").alias(f"q{suffix}"))
 
+def read_fastq(spark: SparkSession, paths: Sequence[str], mates: Sequence[str] = (), split_bytes: int | None = None) -> DataFrame:
+    """Reads, or read pairs if there are ``mates``, from any file system that Arrow opens.
 
-def read_fastq(spark: SparkSession, paths: Sequence[str], mates: Sequence[str] = ()) -> DataFrame:
-    """Reads, or read pairs if there are ``mates``, from any file system that Spark reads.
-
-    Plain files are split; a compressed one is unpacked by one task and its records are
-    then spread.  Pairs are zipped by position and end with the shorter file.  A truncated
-    record is an error.  Rows have no order.
+    Plain files are split (by ``spark.sql.files.maxPartitionBytes`` unless ``split_bytes`` is
+    given) and read record by record without a shuffle.  A compressed file is unpacked by one
+    task; if there are fewer tasks than cores, its records are then dealt to all.  Pairs are
+    zipped by position, which shuffles each side once, and end with the shorter file.  A
+    truncated record is an error.  A path given twice is read twice.  Rows have no order.
     """
+    size = split_bytes or _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
     if not mates:
-        rows = _records(_lines(spark, list(paths)), ["file"])
-        return rows.select(F.col("h").alias("header"), F.col("s").alias("seq"), F.col("q").alias("qual"))
+        rows = fastq.scan(spark, paths, size).select("header", "seq", "qual")
+        parts, cores = fastq.splits(paths, size), spark.sparkContext.defaultParallelism
+        return rows.repartition(cores) if len(parts) < cores and any(p.compressed for p in parts) else rows
     if len(mates) != len(paths):
         raise ValueError("as many mates as paths are needed")
-
-    def side(names: Sequence[str], suffix: str) -> DataFrame:
-        numbered = [_lines(spark, p).withColumn("run", F.lit(i)) for i, p in enumerate(names)]
-        return _records(functools.reduce(DataFrame.unionByName, numbered), ["run"], suffix)
-
-    return side(paths, "1").join(side(mates, "2"), ["run", "record"]).select("h1", "s1", "q1", "h2", "s2", "q2")
+    side = lambda names, i: fastq.numbered(spark, names, size).select("source", "record", *(F.col(c).alias(f"{c[0]}{i}") for c in ("header", "seq", "qual")))
+    return side(paths, 1).join(side(mates, 2), ["source", "record"]).select("h1", "s1", "q1", "h2", "s2", "q2")
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:

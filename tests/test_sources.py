@@ -4,7 +4,7 @@ import gzip
 
 import pytest
 
-from barsplice.sources import readers
+from barsplice.sources import fastq, readers
 from barsplice.streaming import canonical
 
 
@@ -42,6 +42,56 @@ def test_fastq_is_split(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", small)
 
 
+def test_fastq_splits_at_any_byte(tmp_path):
+    """Every record once and in one split, for all borders; a truncated end is an error whatever split it lies in."""
+
+    def read(path, size):
+        out = []
+        for part in fastq.splits([str(path)], size):
+            with open(path, "rb") as file:
+                begin = fastq.first_record(file, part.begin, part.size, part.path)
+                file.seek(begin)
+                for raw, ends in fastq.records(file, begin, part.end, part.path):
+                    out += zip(*(c.to_pylist() for c in fastq._columns(raw, ends)), strict=True)
+        return out
+
+    reads = [("a b", "ACGT", "@+@+"), ("@c", "", ""), ("+", "G", "@"), ("d", "ACGTACGTAC", "@@@@@@@@@@"), ("e", "T", "+"), ("f", "CC", "@@")]
+    path = tmp_path / "a.fastq"
+    for end, last in (("\n", "\n"), ("\r\n", "\r\n"), ("\n", "")):
+        text = end.join(f"@{h}{end}{s}{end}+{end}{q}" for h, s, q in reads) + last
+        path.write_bytes(text.encode())
+        for size in range(1, len(text) + 1):
+            assert read(path, size) == reads, size
+    whole = "".join(f"@{h}\n{s}\n+\n{q}\n" for h, s, q in reads)
+    for cut in ("@g\nAC\n+\n", "@g\nAC\n", "@g\n"):
+        path.write_text(whole + cut)
+        for size in range(1, len(whole + cut) + 1):
+            with pytest.raises(ValueError, match="Truncated FASTQ"):
+                read(path, size)
+    path.write_text("")
+    assert read(path, 5) == []
+    path.write_text("no reads\n" * 20)
+    with pytest.raises(ValueError, match="no FASTQ record"):
+        read(path, 50)
+
+
+def test_fastq_plan(spark, tmp_path):
+    """Single reads are not shuffled, pairs once a side; paths may be folders, patterns or repeated, compressed files may have members."""
+    text = lambda a, b: "".join(f"@r{i}\nAC{'GT' * (i % 5)}\n+\nFF{'FF' * (i % 5)}\n" for i in range(a, b))
+    (tmp_path / "a_1.fastq").write_text(text(0, 300))
+    (tmp_path / "b_1.fq.gz").write_bytes(gzip.compress(text(300, 350).encode()) + gzip.compress(text(350, 400).encode()))
+    one = readers.read_fastq(spark, [str(tmp_path / "a_1.fastq")], split_bytes=500)
+    assert one.rdd.getNumPartitions() > 10 and "Exchange" not in one._jdf.queryExecution().executedPlan().toString()
+    assert {r.header for r in readers.read_fastq(spark, [str(tmp_path)], split_bytes=700).collect()} == {f"r{i}" for i in range(400)}
+    assert readers.read_fastq(spark, [str(tmp_path / "*_1.fastq")] * 2).count() == 600
+    with pytest.raises(Exception, match="none"):
+        readers.read_fastq(spark, [str(tmp_path / "none.fq")])
+    pairs = readers.read_fastq(spark, [str(tmp_path)], [str(tmp_path)], split_bytes=700)
+    assert pairs._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    rows = pairs.collect()
+    assert len(rows) == 400 and all(r.h1 == r.h2 and r.s1 == r.s2 for r in rows)
+
+
 def test_run_tables(spark, tmp_path):
     (tmp_path / "idx.tsv").write_text("exon_inclusion_a\t10\t5\t0\nexon_skipping_a\t10\t3\t0\n*\t0\t0\t9\n")
     assert {tuple(r) for r in readers.read_idxstats(spark, str(tmp_path / "idx.tsv")).collect()} == {("exon_inclusion_a", 5), ("exon_skipping_a", 3)}
