@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
-from ..operators import counts, junctions, matching, psi, report
+from ..operators import counts, fragments, junctions, matching, psi, report
 from ..sources import shared
 
 BY = ["sample_id"]
@@ -31,6 +31,22 @@ def _classified(match, reads: DataFrame, layout: DataFrame, barcodes: DataFrame,
     return match(rows, barcodes, **{c: F.col(c) for c in _LAYOUT}, middle=F.col("middle") if intron_library else None, by=BY)
 
 
+def reads_step(pairs: DataFrame, cut_mean_quality: int = 20, min_overlap: int = 10, min_overlap_outie: int = 20, max_overlap: int = 250, max_mismatch_density: float = 0.25) -> dict[str, DataFrame]:
+    """From raw pairs of all samples (``sample_id, h1, s1, q1, h2, s2, q2``) to merged reads and pairs left apart.
+
+    ``trimming`` and ``merging`` count them by sample.  All four are plans over the raw pairs;
+    a caller that uses several writes the first two.
+    """
+    trimmed = fragments.trim_pairs(pairs, cut_mean_quality)
+    merged = fragments.merge_pairs(fragments.passed(trimmed), min_overlap, min_overlap_outie, max_overlap, max_mismatch_density)
+    return {
+        "reads": fragments.extended(merged),
+        "pairs": fragments.not_combined(merged),
+        "trimming": fragments.trim_counts(trimmed, BY),
+        "merging": fragments.merge_counts(merged, BY),
+    }
+
+
 def canonical_step(layout: DataFrame, barcodes: DataFrame, reads: DataFrame, pairs: DataFrame | None = None, intron_library: bool = False) -> dict[str, DataFrame]:
     """Canonical barcodes, unknown reads, totals and leftovers of all samples; merged reads and pairs count together."""
     single = _classified(matching.canonical_single, reads, layout, barcodes, intron_library)

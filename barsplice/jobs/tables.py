@@ -114,6 +114,15 @@ TABLES = {
     "read_pairs": f"""
         SELECT k, concat('p', cast(k as string), '/1') AS h1, s1, translate(s1, 'ACGT', 'FFGG') AS q1, concat('p', cast(k as string), '/2') AS h2, s2, translate(s2, 'ACGT', 'FFGG') AS q2
         FROM (SELECT k, CASE WHEN k % 7 = 0 THEN concat(substr(s1, 1, 8), substr(s1, 10, 100)) ELSE s1 END AS s1, CASE WHEN k % 2 = 1 THEN {rc('s2')} ELSE s2 END AS s2 FROM {{plain_pairs}} x) y""",
+    # Mates of 50 bases from fragments of 30 to 96, so that short ones run into adapters; bad tails, poor pairs, a lost call, a wrong base.
+    "raw_pairs": f"""
+        SELECT k, concat('p', cast(k as string), '/1') AS h1, s1, CASE WHEN k % 4 = 0 THEN concat(substr(q1, 1, 38), repeat('#', 12)) ELSE q1 END AS q1,
+               concat('p', cast(k as string), '/2') AS h2, s2, CASE WHEN k % 29 = 0 THEN repeat('#', 50) WHEN k % 6 = 1 THEN concat(substr(q2, 1, 45), repeat('#', 5)) ELSE q2 END AS q2
+        FROM (SELECT k, s1, translate(s1, 'ACGTN', 'F8:C#') AS q1, s2, translate(s2, 'ACGT', '9GB6') AS q2 FROM (
+            SELECT k, CASE WHEN k % 5 = 0 THEN concat(substr(s1, 1, 39), 'N', substr(s1, 41, 10)) WHEN k % 31 = 3 THEN concat(substr(s1, 1, 20), 'NNNNNN', substr(s1, 27, 24)) ELSE s1 END AS s1,
+                   CASE WHEN k % 3 = 0 THEN concat(substr(s2, 1, 10), 'A', substr(s2, 12, 39)) ELSE s2 END AS s2
+            FROM (SELECT k, substr(concat(f, {dna('a1', 'k % 7')}), 1, 50) AS s1, substr(concat({rc('f')}, {dna('a2', 'k % 7')}), 1, 50) AS s2
+                  FROM (SELECT o_orderkey AS k, substr(concat({dna('u', 'o_orderkey')}, {dna('w', 'o_custkey')}, {dna('y', 'o_orderkey')}), 1, cast(30 + o_custkey % 67 as int)) AS f FROM {{orders}}) q) w) v) u""",
     "aligned_mates": """
         SELECT k, qname, flag, rname, pos, cigar, seq FROM (
             SELECT k, concat('p', cast(k as string)) AS qname, 99 AS flag, CASE WHEN k % 3 = 0 THEN 'exon_skipping_x' ELSE 'exon_inclusion_x' END AS rname,
@@ -175,7 +184,7 @@ def sql(name: str, quote: str = '"') -> str:
 
 
 #: Tables whose rows go through the sequence kernel.
-READS = ("reads", "pairs", "spliced_reads", "read_pairs", "long_reads", "aligned_mates", "sample_reads")
+READS = ("reads", "pairs", "spliced_reads", "read_pairs", "long_reads", "aligned_mates", "sample_reads", "raw_pairs")
 
 
 def _spread(scan: DataFrame) -> DataFrame:
