@@ -272,6 +272,17 @@ class _Scan:
             number.alias("paragraph"), at["first"].alias("first_line"), at["lines"].alias("n_lines"), family.alias("family"), (1 / odds).alias("probability"), overlap.alias("overlap")
         )
 
+    @staticmethod
+    def settled(units: Column) -> Column:
+        """The unit that fits best of each family of one paragraph, in the order of the units."""
+        special = lambda us: F.exists(us, lambda a: a["family"].isin(*sorted(GNU - {"GPL"})))
+        sure = F.filter(units, lambda a: a["overlap"].isNotNull())
+        kept = _let(sure, lambda us: _let(special(us), lambda gnu: F.filter(us, lambda a: ~(gnu & (a["family"] == "GPL")))))
+        rank = lambda a, i: F.struct(a["family"].alias("family"), -a["overlap"], a["n_lines"], a["first_line"], i.alias("i"), a.alias("unit"))
+        first = lambda rs: F.filter(rs, lambda r, i: (i == 0) | (F.get(rs, i - 1)["family"] != r["family"]))
+        best = _let(F.array_sort(F.transform(kept, rank)), first)
+        return F.transform(F.array_sort(F.transform(best, lambda r: F.struct(r["i"], r["unit"]))), lambda r: r["unit"])
+
     @staticmethod
     def overlap(ids: Column, template: Column, size: Column) -> Column:
         """The larger share of the two, null if neither is enough; only notices may hold a unit, which counts a little less."""
@@ -295,17 +306,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     text = F.replace(F.lower(F.col(text_col)), F.lit("licence"), F.lit("license"))
     blocks = F.when(F.coalesce(F.length(text), F.lit(0)) > 0, F.split(text, r"\n[^\S\n]*(?:\n[^\S\n]*)+", -1)).otherwise(F.array().cast("array<string>"))
     rows = docs.select(F.col(id_col).alias("id"), blocks.alias("blocks"))
-    units = F.flatten(F.filter(F.transform("blocks", model.block), lambda u: u.isNotNull()))
-    rows = rows.select("id", F.size("blocks").cast("bigint").alias("n_paragraphs"), units.alias("units"))
-    confirmed = F.filter("units", lambda a: a["overlap"].isNotNull())
-    rows = rows.select("id", "n_paragraphs", F.size("units").cast("bigint").alias("n_candidates"), confirmed.alias("all"))
-    special = lambda a: a["family"].isin(*sorted(GNU - {"GPL"}))
-    part = lambda a: (a["family"] == "GPL") & F.exists("all", lambda b: (a["paragraph"] == b["paragraph"]) & special(b))
-    rows = rows.select("id", "n_paragraphs", "n_candidates", F.filter("all", lambda a: ~part(a)).alias("sure"))
-    rank = lambda a: F.struct(-a["overlap"], a["n_lines"], a["first_line"])
-    same = lambda a, b: (a["paragraph"] == b["paragraph"]) & (a["family"] == b["family"])
-    best = F.filter("sure", lambda a: ~F.exists("sure", lambda b: same(a, b) & (rank(b) < rank(a))))
+    found = F.filter(F.transform("blocks", model.block), lambda u: u.isNotNull())
+    rows = rows.select("id", F.size("blocks").cast("bigint").alias("n_paragraphs"), F.transform(found, lambda u: F.struct(F.size(u).alias("n"), model.settled(u).alias("best"))).alias("found"))
+    rows = rows.select("id", "n_paragraphs", F.aggregate("found", F.lit(0).cast("bigint"), lambda a, p: a + p["n"]).alias("n_candidates"), F.flatten(F.transform("found", lambda p: p["best"])).alias("licenses"))
     return rows.select(
-        F.col("id").alias(id_col), "n_paragraphs", "n_candidates", best.alias("licenses"),
-        F.array_join(F.array_sort(F.array_distinct(F.transform("sure", lambda a: a["family"]))), ",").alias("families"),
+        F.col("id").alias(id_col), "n_paragraphs", "n_candidates", "licenses",
+        F.array_join(F.array_sort(F.array_distinct(F.transform("licenses", lambda a: a["family"]))), ",").alias("families"),
     )

@@ -583,3 +583,16 @@ def test_packing_added_tokens(spark):
         ids = [*tokenizer.encode(text, add_special_tokens=False).ids, packing.END]
         assert (rows[i].doc_tokens, rows[i].ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
     assert packing.encoder(packing.default_vocabulary())(texts[0]) == [64, 220, 50256, 275]
+
+
+def test_licences_of_a_long_text(spark):
+    """Thousands of notices in one text: one answer for each family of each paragraph, the tightest unit."""
+    lines = ["Licensed under the MIT License.", "Released under the GPL v3 license.", "Apache License, Version 2.0"]
+    apart, together = "\n\n".join(lines * 1000), "\n".join(lines * 1000)
+    docs = spark.createDataFrame([(1, apart), (2, together), (3, "no notice\n\n" + lines[0])], "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    alone = {x.family: x for i, line in enumerate(lines) for x in licenses.scan(spark.createDataFrame([(i, line)], "doc_id long, text string")).first().licenses}
+    assert len(alone) == 3 and got[1].families == got[2].families == ",".join(sorted(alone))
+    assert [(x.paragraph, x.first_line, x.n_lines, x.family) for x in got[1].licenses] == [(i, 0, 1, list(alone)[i % 3]) for i in range(3000)]
+    assert len(got[2].licenses) == 3 and all(x.overlap >= alone[x.family].overlap for x in got[2].licenses)
+    assert [(x.paragraph, x.family) for x in got[3].licenses] == [(1, list(alone)[0])]
