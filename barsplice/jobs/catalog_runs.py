@@ -213,6 +213,19 @@ def linear_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fit.select("rep", F.round("slope", 6).alias("slope"), F.round("intercept", 4).alias("intercept"), F.round("r2", 6).alias("r2"), "n")
 
 
+@query("""WITH r AS (SELECT rep, cast(inclusion AS double) AS x, cast(skipping AS double) AS y FROM {counts} WHERE inclusion <> 0 AND skipping <> 0),
+    n AS (SELECT rep, min(x) AS low, max(x) AS high, floor(0.5 * count(*) + 0.00001) AS q FROM r GROUP BY rep),
+    g AS (SELECT *, low + i * (high - low) / cast(19 AS double) AS g FROM n CROSS JOIN (SELECT unnest(range(20)) AS i)),
+    d AS (SELECT g.*, x, y, row_number() OVER (PARTITION BY g.rep, i ORDER BY abs(x - g)) AS place FROM g JOIN r ON r.rep = g.rep),
+    h AS (SELECT *, max(CASE WHEN place = q THEN abs(x - g) END) OVER (PARTITION BY rep, i) AS h FROM d),
+    w AS (SELECT *, (x - g) / h AS u, pow(greatest(0, 1 - pow(abs(x - g) / h, 3)), 3) AS w FROM h),
+    m AS (SELECT rep, i, any_value(g) AS g, sum(w) AS s0, sum(w * u) AS s1, sum(w * u * u) AS s2, sum(w * u * u * u) AS s3, sum(w * u * u * u * u) AS s4, sum(w * y) AS t0, sum(w * u * y) AS t1, sum(w * u * u * y) AS t2 FROM w GROUP BY rep, i)
+    SELECT rep, round(g, 4) AS x, round((t0 * (s2 * s4 - s3 * s3) - s1 * (t1 * s4 - s3 * t2) + s2 * (t1 * s3 - s2 * t2)) / (s0 * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s3 * s2) + s2 * (s1 * s3 - s2 * s2)), 3) AS fit FROM m""")
+def local_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fit = R.local_regression(table(spark, sf_dir, "counts"), "inclusion", "skipping", ["rep"], points=20, bins=1 << 16)
+    return fit.select("rep", F.round("x", 4).alias("x"), F.round("fit", 3).alias("fit"))
+
+
 @query("""WITH b AS (SELECT CASE WHEN v <= 5 THEN 0 ELSE ceil(v / 5.0) * 5 - 5 END AS low, count(*) AS n FROM (SELECT l_quantity AS v FROM lineitem) GROUP BY 1)
     SELECT cast(low as double) AS low, cast(low + 5 as double) AS high, n, round(n / max(n) OVER (), 6) AS height FROM b""")
 def coverage_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -151,6 +154,62 @@ def linear_fit(table: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> Data
     )
 
 
+def local_regression(table: DataFrame, x: str, y: str, by: Sequence[str] = (), span: float = 0.5, degree: int = 2, points: int = 80, bins: int = 4096) -> DataFrame:
+    """``(x, fit)`` at evenly spaced places of each group's range: local polynomials with tricube weights.
+
+    Rows where either value is zero or null are left out.  The nearest ``span`` of the rows
+    count at each place.  Rows are gathered into moments of equal ``bins`` of the range, so
+    that a group is fitted from at most ``bins`` rows however large it is: exact if no bin holds
+    two different values, else off by about the square of a bin's share of the range.  A group
+    whose values are all the same has one place.
+    """
+    if not (0 < span <= 1 and degree in (0, 1, 2) and points > 1 and bins > 0):
+        raise ValueError("span lies in (0, 1], degree is 0, 1 or 2, and there are at least two points and one bin")
+    keys = [F.col(c).alias(f"k{i}") for i, c in enumerate(by)]
+    names = [f"k{i}" for i in range(len(by))]
+    rows = table.select(*keys, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).where((F.col("x") != 0) & (F.col("y") != 0))
+    other = [f"r{i}" for i in range(len(by))]
+    ranges = rows.groupBy(*names).agg(F.min("x").alias("low"), F.max("x").alias("high")).withColumnsRenamed(dict(zip(names, other, strict=True)))
+    # Without groups the other side is a single row.
+    placed = rows.join(ranges, [F.equal_null(F.col(k), F.col(r)) for k, r in zip(names, other, strict=True)]) if by else rows.crossJoin(ranges)
+    u = F.when(F.col("high") > F.col("low"), (F.col("x") - F.col("low")) / (F.col("high") - F.col("low"))).otherwise(0.0)
+    placed = placed.select(*names, "low", "high", "y", u.alias("u"), F.least(F.floor(u * bins), F.lit(bins - 1)).alias("bin"))
+    power = lambda k: F.pow("u", F.lit(k)) if k else F.lit(1.0)
+    sums = [F.sum(power(k)).alias(f"s{k}") for k in range(2 * degree + 1)] + [F.sum(power(k) * F.col("y")).alias(f"t{k}") for k in range(degree + 1)]
+    moments = placed.groupBy(*names, "low", "high", "bin").agg(F.avg("u").alias("u"), *sums)
+    types = {f.name: f.dataType.simpleString() for f in moments.schema if f.name in names}
+
+    def fit(group: pd.DataFrame) -> pd.DataFrame:
+        low, high = float(group["low"].iloc[0]), float(group["high"].iloc[0])
+        at = np.linspace(0, 1, points) if high > low else np.zeros(1)
+        values = smooth(at, group["u"].to_numpy(), group[[f"s{k}" for k in range(2 * degree + 1)]].to_numpy(), group[[f"t{k}" for k in range(degree + 1)]].to_numpy(), span)
+        return pd.DataFrame({**{c: [group[c].iloc[0]] * len(at) for c in names}, "x": low + at * (high - low), "fit": values})
+
+    shape = ", ".join([*(f"{c} {t}" for c, t in types.items()), "x double", "fit double"])
+    fitted = moments.groupBy(*names).applyInPandas(fit, shape)
+    return fitted.select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(by)), "x", "fit")
+
+
+def smooth(at: np.ndarray, u: np.ndarray, s: np.ndarray, t: np.ndarray, span: float) -> np.ndarray:
+    """Local polynomial fits at places ``at`` from moments of ``u`` (``s``) and of the value (``t``) of bins around ``u``."""
+    far = np.abs(u - at[:, None])
+    order = np.argsort(far, 1, kind="stable")
+    reached = np.cumsum(s[order, 0], 1)
+    # Moments are sums of doubles, so the rank is compared with half a row to spare.
+    wanted = max(1.0, np.floor(span * s[:, 0].sum() + 1e-5))
+    width = np.take_along_axis(far, order, 1)[np.arange(len(at)), (reached > wanted - 0.5).argmax(1)]
+    w = np.where(width[:, None] > 0, np.clip(1 - (far / np.where(width > 0, width, 1)[:, None]) ** 3, 0, None) ** 3, far == 0)
+    degree = t.shape[1] - 1
+    # Shifted to each place, where the polynomial's constant is the fit.
+    shifted = lambda m, k: sum(math.comb(k, j) * m[:, j] * (-at[:, None]) ** (k - j) for j in range(k + 1))
+    a = np.stack([(w * shifted(s, k)).sum(1) for k in range(2 * degree + 1)], 1)
+    b = np.stack([(w * shifted(t, k)).sum(1) for k in range(degree + 1)], 1)
+    scale = np.where(width > 0, width, 1)[:, None]
+    a, b = a / scale ** np.arange(2 * degree + 1), b / scale ** np.arange(degree + 1)
+    normal = a[:, np.add.outer(np.arange(degree + 1), np.arange(degree + 1))]
+    return (np.linalg.pinv(normal, rcond=1e-12) @ b[:, :, None])[:, 0, 0]
+
+
 def histogram(table: DataFrame, column: str, breaks: Sequence[float]) -> DataFrame:
     """``(low, high, n, height)`` of every bin, bounded below but for the first and above, and its share of the fullest; values outside are an error.
 

@@ -387,3 +387,33 @@ def test_fuzzy_pairs_are_complete(spark):
     kept = [idmap.kept_segments(n, 25.0, 4) for n in (100, 10_000, 1_000_000, 100_000_000)]
     assert kept == sorted(kept) and kept[0] < kept[-1]
     assert idmap.within(queries.limit(0), frame, 2).count() == 0 and idmap.within(queries, frame.limit(0), 2).count() == 0
+
+
+def test_local_regression(spark):
+    """Against weighted least squares on all rows, place by place; whole numbers exactly, continuous values nearly."""
+    import numpy as np
+    from barsplice.operators import report
+
+    rng = np.random.default_rng(3)
+
+    def plain(x, y, at, span, degree):
+        out = []
+        for g in at:
+            far = np.abs(x - g)
+            h = np.sort(far)[int(span * len(x) + 1e-5) - 1]
+            w = np.sqrt(np.clip(1 - (far / h) ** 3, 0, None) ** 3)
+            out.append(np.linalg.lstsq(np.vander(x - g, degree + 1, increasing=True) * w[:, None], y * w, rcond=None)[0][0])
+        return np.array(out)
+
+    whole, some = rng.integers(1, 300, 800).astype(float), rng.uniform(5, 9, 900)
+    groups = {"whole": (whole, np.sin(whole / 40) + 2 + rng.normal(0, 0.1, 800)), "some": (some, some**2 + rng.normal(0, 1, 900))}
+    rows = [(k, float(a), float(b)) for k, (x, y) in groups.items() for a, b in zip(x, y)] + [("whole", 0.0, 5.0), ("some", 7.0, None), (None, 4.0, 2.0), (None, 4.0, 3.0)]
+    table = spark.createDataFrame(rows, "fit string, x double, k0 double")
+    for span, degree, limit in ((0.75, 2, 1e-9), (0.3, 1, 1e-9), (0.5, 0, 1e-9)):
+        got = report.local_regression(table.withColumnRenamed("fit", "g"), "x", "k0", ["g"], span, degree, 30).toPandas()
+        for name, (x, y) in groups.items():
+            part = got[got["g"] == name].sort_values("x")
+            want = plain(x, y, np.linspace(x.min(), x.max(), 30), span, degree)
+            assert np.abs(part["fit"].to_numpy() - want).max() < (limit if name == "whole" else 5e-3) * np.abs(want).max()
+        assert got[got["g"].isna()][["x", "fit"]].values.tolist() == [[4.0, 2.5]]
+    assert report.local_regression(table.limit(0), "x", "k0").count() == 0 and report.local_regression(table, "x", "k0").count() == 80 and report.local_regression(table.where("fit is null"), "x", "k0").first().fit == 2.5
