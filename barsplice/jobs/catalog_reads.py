@@ -12,6 +12,8 @@ from ..operators import idmap as I
 from ..operators import matching as M
 from ..operators import psi as P
 from ..operators import report as R
+from ..sources import shared
+from ..streaming import canonical
 from .catalog import REPS, query
 from .tables import AFTER, BEFORE, DOWN, TEMPLATE, UP, dna, rc, table
 
@@ -96,6 +98,18 @@ def canonical_se(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.canonical_counts(_classified(spark, sf_dir), F.col("var_id"))
 
 
+@query(_CLASSIFIED + " SELECT 'reads' AS read_ref, var_id, barcode, status AS ref_type, count(*) AS count FROM c WHERE status IN ('exon_inclusion', 'exon_skipping') GROUP BY ALL")
+def canonical_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reads as a stream of files, counted batch by batch into a table."""
+    folder = shared.new_folder(spark)
+    table(spark, sf_dir, "reads").write.parquet(f"{folder}/reads")
+    stream = spark.readStream.schema("header string, seq string, qual string").option("maxFilesPerTrigger", 4).parquet(f"{folder}/reads")
+    run = canonical.start_table(stream, table(spark, sf_dir, "barcode_map"), f"{folder}/counts", f"{folder}/checkpoint", {"availableNow": True}, **LAYOUT)
+    run.awaitTermination()
+    canonical.compact(spark, f"{folder}/counts")
+    return canonical.current(spark, f"{folder}/counts")
+
+
 @query(_CLASSIFIED + " SELECT count(*) FILTER (status = 'no_barcode') AS reads_without_barcodes, count(*) FILTER (status = 'no_variant') AS reads_without_variants FROM c")
 def canonical_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.unknown_counts(_classified(spark, sf_dir))

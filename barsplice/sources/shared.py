@@ -26,8 +26,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A name in the shared folder that nothing has yet."""
+    return f"{shared_folder(spark).rstrip('/')}/barsplice-{uuid.uuid4().hex}"
+
+
 def table(df: DataFrame) -> DataFrame:
     """Materialise a large frame as compressed Parquet in the shared folder and reread it."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/barsplice-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -153,6 +153,41 @@ def test_stream_equals_batch(spark, tmp_path):
     assert [(r.var_id, r.ref_type, r["count"]) for r in spark.table("canonical_stream").collect()] == [("v1", "exon_inclusion", 5)]
 
 
+def test_stream_into_a_table(spark, tmp_path):
+    """Batches count once, also when the last one is run again; folding changes nothing."""
+    before, after, up, down = "TTGACCGATC", "GGATCATTCG", "GCAGTCCATGAC", "CTACGGTTAGCA"
+    read = lambda exon, barcode: before + exon + after + up + barcode + down
+    known = spark.createDataFrame([("CCCCATGGGGGG", "acACCAGTca", "v1", 1, 1)], "barcode string, variant string, var_id string, count long, line long")
+    layout = {"before": before, "after": after, "up": up, "down": down, "template": "NNNNATNNNNNN"}
+    path, ck = str(tmp_path / "counts"), str(tmp_path / "ck")
+    assert canonical.current(spark, path).count() == 0 and canonical.compact(spark, path) == -1
+
+    def add(*exons):
+        rows = [(f"r{i}", read(e, "CCCCATGGGGGG"), "") for i, e in enumerate(exons)]
+        spark.createDataFrame(rows, "header string, seq string, qual string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def run():
+        stream = spark.readStream.schema("header string, seq string, qual string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        canonical.start_table(stream, known, path, ck, {"availableNow": True}, **layout).awaitTermination()
+        return {(r.var_id, r.ref_type): r["count"] for r in canonical.current(spark, path).collect()}
+
+    add("ACCAGT", "ACCAGT", "")
+    add("ACCAGT")
+    assert run() == {("v1", "exon_inclusion"): 3, ("v1", "exon_skipping"): 1}
+    # The commit of the last batch is lost after its write: it is run again.
+    last = max(p for p in (tmp_path / "ck" / "commits").iterdir() if p.name.isdigit())
+    last.unlink()
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    assert run() == {("v1", "exon_inclusion"): 3, ("v1", "exon_skipping"): 1}
+    assert canonical.compact(spark, path) == 0 and run() == {("v1", "exon_inclusion"): 3, ("v1", "exon_skipping"): 1}
+    add("", "")
+    assert run() == {("v1", "exon_inclusion"): 3, ("v1", "exon_skipping"): 3}
+    assert canonical.compact(spark, path) == 1 and canonical.compact(spark, path) == 1
+    # A part that was never finished does not count.
+    (tmp_path / "counts" / "totals" / "through=2").mkdir()
+    assert run() == {("v1", "exon_inclusion"): 3, ("v1", "exon_skipping"): 3}
+
+
 def test_bam_round_trip(spark, tmp_path):
     """Records through BAM are those through SAM text, from whole files and from many splits of one file."""
     from barsplice.sources import bam
