@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
-from ..operators import counts, fragments, junctions, matching, psi, report
+from ..operators import aligning, alignments, counts, fragments, junctions, matching, psi, report
 from ..sources import shared
 
 BY = ["sample_id"]
@@ -62,6 +62,30 @@ def canonical_step(layout: DataFrame, barcodes: DataFrame, reads: DataFrame, pai
     return out | {"canonical": found, "unknown": unknown, "totals": matching.event_totals(found, BY)}
 
 
+def aligned_step(layout: DataFrame, products: DataFrame, exons: DataFrame, barcodes: DataFrame, reads: DataFrame, clip: int = 5) -> dict[str, DataFrame]:
+    """Canonical barcodes by alignment to the exon references of each sample (``sample_id, rname, seq``), and the reads that fit none.
+
+    ``records`` are all alignment records.  Both results are plans over them.
+    """
+    records = aligning.align_single(reads, products, BY)
+    mapped = alignments.with_end(alignments.primary_mapped(records)).join(layout.select("sample_id", "up", "down", "template"), "sample_id")
+    filtered = matching.aligned_single(mapped, exons, F.col("up"), F.col("down"), F.col("template"), clip)
+    rest = alignments.unmapped(records).select(*BY, F.col("qname").alias("header"), "seq", "qual")
+    return {"records": records, "canonical": matching.aligned_counts(filtered, barcodes, BY), "leftovers": rest}
+
+
+def spliced_step(genes: DataFrame, leftovers: DataFrame, per_exon: bool = False) -> DataFrame:
+    """Spliced alignments, placed once, of leftovers on the unspliced sequences of their sample (``sample_id, rname, seq``).
+
+    With ``per_exon`` a read is aligned only to the sequences of the exon that its header
+    names (column ``exon_id`` of ``genes``), as for libraries of many variants.
+    """
+    by = BY
+    if per_exon:
+        leftovers, by = alignments.split_by_exon(leftovers, genes), [*BY, "exon_id"]
+    return alignments.unique_spliced(aligning.align_single(leftovers, genes, by, aligning.SPLICED))
+
+
 def novel_step(layout: DataFrame, barcodes: DataFrame, alignments: DataFrame, products: bool = False) -> dict[str, DataFrame]:
     """Barcodes and junctions of spliced alignments, renamed to the variants of their barcodes."""
     rows = alignments.join(layout, "sample_id")

@@ -32,6 +32,7 @@ _BARCODE_OF_ORDER = _barcode("o_custkey % 1500")
 _EXON_OF_ORDER = f"substr({dna('x', 'o_custkey % 1500')}, 1, 12)"
 _NOISE = dna("n", "o_orderkey")
 _OTHER = dna("m", "o_orderkey")
+_dna_of_line = dna("n", "l_orderkey"), dna("m", "l_orderkey")
 VHH, TARGET = ("GGTTGCATCA", "TAGGATCCTA"), ("ACACGTGTAC", "TGAGCTCATT")
 
 LABELS = ("intron_retention_I1", "intron_retension_5p_I2", "exon_splicing_3p_E1", "exon_splicing_5p_E2", "exon_skipping_E2", "out_of_range", "exon_splicing_3p_E3")
@@ -130,6 +131,28 @@ TABLES = {
             UNION ALL
             SELECT k, concat('p', cast(k as string)), 147, CASE WHEN k % 17 = 0 THEN 'exon_inclusion_y' WHEN k % 3 = 0 THEN 'exon_skipping_x' ELSE 'exon_inclusion_x' END,
                    cast(8 + k % 19 as int), CASE WHEN k % 4 = 0 THEN '7M22N8M' WHEN k % 4 = 1 THEN '7M12N8M' ELSE concat(cast(k % 7 as string), 'S15M') END, s2 FROM {read_pairs}) m""",
+    # Genes of three exons of 64 bases, with introns of 68; reads of whole products, of products and of unspliced genes, some turned, some with another base.
+    "genes": f"""
+        SELECT concat('g', cast(s_suppkey as string)) AS gene, concat({dna('g1', 's_suppkey')}, {dna('g2', 's_suppkey')}) AS e1, concat({dna('g3', 's_suppkey')}, {dna('g4', 's_suppkey')}) AS e2, concat({dna('g5', 's_suppkey')}, {dna('g6', 's_suppkey')}) AS e3,
+               concat('GT', {dna('g7', 's_suppkey')}, {dna('g8', 's_suppkey')}, 'AG') AS i1, concat('GT', {dna('g9', 's_suppkey')}, {dna('g0', 's_suppkey')}, 'AG') AS i2 FROM {{supplier}}""",
+    "exon_references": "SELECT gene, concat('exon_inclusion_', gene) AS rname, concat(e1, e2, e3) AS seq FROM {genes} UNION ALL SELECT gene, concat('exon_skipping_', gene), concat(e1, e3) FROM {genes}",
+    "minigenes": "SELECT gene, gene AS rname, concat(e1, lower(i1), e2, lower(i2), e3) AS seq FROM {genes}",
+    "plain_exon_reads": f"""
+        SELECT k, n, gene, kind, place, truth, CASE WHEN n = 2 THEN concat(substr(truth, 1, cast(20 + k % 10 as int)), 'A', substr(truth, cast(22 + k % 10 as int), 50)) ELSE truth END AS seq FROM (
+            SELECT l_orderkey AS k, l_linenumber AS n, gene, kind, place, CASE kind WHEN 'random' THEN substr(concat({_dna_of_line[0]}, {_dna_of_line[1]}), 1, 50) WHEN 'inclusion' THEN substr(concat(e1, e2, e3), place + 1, 50) ELSE substr(concat(e1, e3), place + 1, 50) END AS truth
+            FROM (SELECT *, cast(CASE WHEN l_partkey % 3 > 0 THEN l_orderkey % 143 WHEN l_orderkey % 2 = 0 THEN l_partkey % 15 ELSE 22 + l_partkey % 35 END as int) AS place, CASE WHEN l_linenumber = 7 THEN 'random' WHEN l_partkey % 3 > 0 THEN 'inclusion' ELSE 'skipping' END AS kind
+                  FROM {{lineitem}} JOIN {{genes}} ON gene = concat('g', cast(l_suppkey as string))) a) b""",
+    "exon_reads": f"SELECT gene, header, CASE WHEN n % 2 = 0 THEN {rc('seq')} ELSE seq END AS seq, translate(seq, 'ACGT', 'FFGG') AS qual FROM (SELECT gene, n, concat('r', cast(k as string), '_', cast(n as string)) AS header, seq FROM {{plain_exon_reads}}) q",
+    "plain_gene_reads": """
+        SELECT k, n, gene, kind, place, CASE kind WHEN 'skipping' THEN substr(concat(e1, e3), place + 1, 60) WHEN 'first' THEN substr(concat(e1, e2), place + 1, 60) WHEN 'second' THEN substr(concat(e2, e3), place + 1, 60) ELSE substr(concat(e1, i1, e2, i2, e3), place + 1, 60) END AS seq
+        FROM (SELECT *, l_orderkey AS k, l_linenumber AS n, CASE l_partkey % 4 WHEN 0 THEN 'skipping' WHEN 1 THEN 'first' WHEN 2 THEN 'second' ELSE 'whole' END AS kind, cast(CASE WHEN l_partkey % 4 = 3 THEN l_orderkey % 269 ELSE 16 + l_orderkey % 33 END as int) AS place
+              FROM {lineitem} JOIN {genes} ON gene = concat('g', cast(l_suppkey as string))) a""",
+    "gene_reads": f"SELECT gene, header, CASE WHEN n % 2 = 0 THEN {rc('seq')} ELSE seq END AS seq, translate(seq, 'ACGT', 'FFGG') AS qual FROM (SELECT gene, n, concat('r', cast(k as string), '_', cast(n as string)) AS header, seq FROM {{plain_gene_reads}}) q",
+    # Mates of 50 bases at both ends of products of 128 or 192 bases.
+    "exon_pairs": f"""
+        SELECT gene, concat('p', cast(k as string), '/1') AS h1, substr(f, 1, 50) AS s1, repeat('F', 50) AS q1, concat('p', cast(k as string), '/2') AS h2, substr({rc('f')}, 1, 50) AS s2, repeat('G', 50) AS q2
+        FROM (SELECT gene, o_orderkey AS k, substr(CASE WHEN o_orderkey % 3 = 0 THEN concat(e1, e3) ELSE concat(e1, e2, e3) END, cast(30 + o_orderkey % 4 as int), 94) AS f
+              FROM {{orders}} JOIN {{supplier}} ON s_suppkey = o_custkey % 10 + 1 JOIN {{genes}} ON gene = concat('g', cast(s_suppkey as string))) q""",
     "aligned_exons": "SELECT * FROM (VALUES ('x', 'E1', 1, 15), ('x', 'E2', 101, 112), ('x', 'E3', 201, 260), ('y', 'E1', 1, 15), ('y', 'E2', 101, 112), ('y', 'E3', 201, 260)) AS t(var_id, exon_id, exon_start, exon_end)",
     # Some reads hold a downstream flank before their barcode.
     "spliced_reads": f"""
@@ -184,7 +207,7 @@ def sql(name: str, quote: str = '"') -> str:
 
 
 #: Tables whose rows go through the sequence kernel.
-READS = ("reads", "pairs", "spliced_reads", "read_pairs", "long_reads", "aligned_mates", "sample_reads", "raw_pairs")
+READS = ("reads", "pairs", "spliced_reads", "read_pairs", "long_reads", "aligned_mates", "sample_reads", "raw_pairs", "exon_reads", "gene_reads", "exon_pairs")
 
 
 def _spread(scan: DataFrame) -> DataFrame:

@@ -190,3 +190,14 @@ def write_tsv(df: DataFrame, path: str, sort: Sequence[str] = ()) -> None:
 def write_fastq(reads: DataFrame, path: str) -> None:
     text = F.concat_ws("\n", F.concat(F.lit("@"), "header"), "seq", F.lit("+"), "qual")
     reads.select(text.alias("value")).write.mode("overwrite").option("compression", "gzip").text(path)
+
+
+def write_by_exon(reads: DataFrame, path: str, fasta: bool = False) -> None:
+    """Reads with an ``exon_id`` in a folder of each exon, ``exon_id=<id>``, as compressed FASTQ or FASTA.
+
+    Reads are brought together by exon, and exons of many reads are dealt over several tasks
+    and files, so that no task holds a whole one.  Reads without an exon id are left out.
+    """
+    lines = [F.concat(F.lit(">" if fasta else "@"), "header"), F.col("seq"), *([] if fasta else [F.lit("+"), F.col("qual")])]
+    rows = reads.where("exon_id is not null").select("exon_id", F.concat_ws("\n", *lines).alias("value"))
+    rows.hint("rebalance", "exon_id").write.mode("overwrite").partitionBy("exon_id").option("compression", "gzip").text(path)

@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from barsplice.jobs import catalog, catalog_fragments, catalog_reads, catalog_runs  # noqa: F401
+from barsplice.jobs import catalog, catalog_aligning, catalog_fragments, catalog_reads, catalog_runs  # noqa: F401
 
 FOLDER = "/root/testdata/sf0.001"
 
