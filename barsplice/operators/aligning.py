@@ -52,9 +52,9 @@ def _words(seq: Column, by: Sequence[str], k: int, stride: int) -> Column:
     return F.transform(called, lambda w: F.struct(w["at"].alias("at"), F.xxhash64(*by, w["text"]).alias("word")))
 
 
-def _end(place: Column) -> Column:
-    spans = F.transform(F.regexp_extract_all(place["cigar"], F.lit(r"(\d+)[MDN]"), F.lit(1)), lambda n: n.cast("int"))
-    return place["pos"] + F.aggregate(spans, F.lit(0), lambda a, n: a + n)
+def _end(pos: Column, cigar: Column) -> Column:
+    spans = F.transform(F.regexp_extract_all(cigar, F.lit(r"(\d+)[MDN]"), F.lit(1)), lambda n: n.cast("int"))
+    return pos + F.aggregate(spans, F.lit(0), lambda a, n: a + n)
 
 
 def placements(texts: DataFrame, references: DataFrame, by: Sequence[str] = (), scoring: Scoring = EXON, seeding: Seeding = Seeding()) -> DataFrame:
@@ -84,9 +84,10 @@ def placements(texts: DataFrame, references: DataFrame, by: Sequence[str] = (),
         tail = F.length("text") - F.col("last") - seeding.k
         low = F.when(F.col("head") >= seeding.anchor, F.greatest(F.least(low, -F.col("head")), low - seeding.reach)).otherwise(low)
         high = F.when(tail >= seeding.anchor, F.least(F.greatest(high, F.length("reference") - F.length("text") + tail), high + seeding.reach)).otherwise(high)
-    found = near.withColumn("place", placed(read, F.col("reference"), low, high, scoring))
-    found = found.where(F.col("place.score") >= seeding.least)
-    place = F.struct((-F.col("place.value")).alias("cost"), "rname", "turned", "place.pos", _end(F.col("place")).alias("pos_end"), "place.cigar", "place.score", "place.differences")
+    # As a generator's rows: a filter on them is not pushed below the kernel, which would run it twice.
+    found = near.select(*by, "text", "turned", "rname", F.inline(F.array(placed(read, F.col("reference"), low, high, scoring))))
+    found = found.where(F.col("score") >= seeding.least)
+    place = F.struct((-F.col("value")).alias("cost"), "rname", "turned", "pos", _end(F.col("pos"), F.col("cigar")).alias("pos_end"), "cigar", "score", "differences")
     return found.groupBy(*by, "text").agg(F.sort_array(F.collect_list(place)).alias("places"))
 
 
