@@ -65,7 +65,8 @@ def placements(texts: DataFrame, references: DataFrame, by: Sequence[str] = (),
     """
     refs = references.select(*by, "rname", F.upper("seq").alias("reference")).where("rname is not null and reference is not null")
     size = refs.agg(F.coalesce(F.sum(F.length("reference")), F.lit(0))).first()[0]
-    sent = F.broadcast if size <= SENT else lambda df: df
+    # Words are many times larger than the references' files, by whose size Spark would send them all the same.
+    sent = F.broadcast if size <= SENT else lambda df: df.hint("merge")
     index = refs.select(*by, "rname", F.inline(_words(F.col("reference"), by, seeding.k, 1)))
     index = index.select(*by, "rname", F.col("at").alias("place"), "word")
     distinct = texts.select(*by, "text").where("text is not null").distinct()

@@ -128,6 +128,14 @@ def test_shuffled_index_gives_the_same(spark, exons, products, monkeypatch):
     assert sorted(map(str, A.align_single(df, products).collect())) == sent
 
 
+def test_large_references_are_not_sent(spark, products, monkeypatch):
+    """Also where Spark takes them for small, which it tells by the size of their files."""
+    plan = lambda: A.placements(spark.createDataFrame([("ACGT",)], "text string"), products)._jdf.queryExecution().executedPlan().toString()
+    assert plan().count("BroadcastHashJoin") == 2
+    monkeypatch.setattr(A, "SENT", 0)
+    assert "BroadcastHashJoin" not in plan() and plan().count("SortMergeJoin") == 2
+
+
 def test_groups_see_their_own_references(spark, exons):
     one, two, three = exons
     refs = spark.createDataFrame([("p", "r", one), ("q", "r", two)], "lane string, rname string, seq string")
