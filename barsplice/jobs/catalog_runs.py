@@ -21,14 +21,14 @@ from ..sources.shared import shared_folder
 from . import catalog, pipeline
 from .catalog import ORACLE_SQL, query
 from .catalog_reads import _checked, _extracted, loc
-from .tables import DOWN, PAIR_AFTER, PAIR_BEFORE, TARGET, TEMPLATE, UP, VHH, rc, table
+from .tables import DOWN, PAIR_AFTER, PAIR_BEFORE, TARGET, TEMPLATE, UP, VHH, rc, spread, table
 
 
 
 @query("SELECT qname, flag, rname, pos, cigar, nh, 'v' || cast(pos AS string) AS tag FROM {tagged}")
 def bam_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Derived alignments written as binary files and scanned again in small splits."""
-    rows = table(spark, sf_dir, "tagged")
+    rows = spread(table(spark, sf_dir, "tagged"))
     missing = [F.lit(None).cast(t).alias(c) for c, t in (("mapq", "int"), ("rnext", "string"), ("pnext", "int"), ("tlen", "int"), ("seq", "string"), ("qual", "string"))]
     tags = F.create_map(F.lit("NH"), "nh", F.lit("XV"), F.concat(F.lit("v"), "pos")).alias("tags")
     contigs = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.concat(F.lit("c"), "s_suppkey").alias("name"), F.lit(100_000).alias("length"))

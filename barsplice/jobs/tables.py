@@ -210,8 +210,8 @@ def sql(name: str, quote: str = '"') -> str:
 READS = ("reads", "pairs", "spliced_reads", "read_pairs", "long_reads", "aligned_mates", "sample_reads", "raw_pairs", "exon_reads", "gene_reads", "exon_pairs")
 
 
-def _spread(scan: DataFrame) -> DataFrame:
-    """A scan of few unsplittable parts is dealt to all cores before the kernel; a scan of many parts stays as it is."""
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan of few unsplittable parts is dealt to all cores before the kernel or a sink; a scan of many parts stays as it is."""
     cores = scan.sparkSession.sparkContext.defaultParallelism
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
 
@@ -220,7 +220,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = sql(name, "`")
     used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in set(re.findall(r"\{(\w+)\}", text))}
     if name in READS:
-        used = {t: _spread(scan) for t, scan in used.items()}
+        used = {t: spread(scan) for t, scan in used.items()}
     return spark.sql(text, **used)
 
 

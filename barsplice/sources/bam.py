@@ -12,6 +12,7 @@ opened by Arrow's file systems (local, HDFS, S3, GCS).
 
 from __future__ import annotations
 
+import functools
 import re
 import struct
 import uuid
@@ -86,14 +87,16 @@ def _first_block(file, at: int, size: int) -> int | None:
     return None
 
 
-def _header(blocks: Iterator[tuple[int, bytes]]) -> tuple[list[str], int]:
-    """Names of the references, and the header's unpacked length."""
-    data = b""
+def _header(blocks: Iterator[tuple[int, bytes]]) -> tuple[list[str], int, int]:
+    """Names of the references, the place of the block in which the first record starts or the header ends, and how far in it."""
+    data, last, before = bytearray(), 0, 0
 
     def need(n: int) -> None:
-        nonlocal data
+        nonlocal last, before
         while len(data) < n:
-            data += next(blocks)[1]
+            before = len(data)
+            last, block = next(blocks)
+            data.extend(block)
 
     need(12)
     if data[:4] != b"BAM\1":
@@ -108,7 +111,15 @@ def _header(blocks: Iterator[tuple[int, bytes]]) -> tuple[list[str], int]:
         need(at + 8 + n)
         names.append(data[at + 4 : at + 3 + n].decode())
         at += 8 + n
-    return names, at
+    return names, last, at - before
+
+
+@functools.lru_cache(8)
+def _header_of(path: str, size: int, changed: int | None) -> tuple[list[str], int, int]:
+    """The header of a file, read once by a worker for many of the file's splits."""
+    fs, name = _open(path)
+    with fs.open_input_file(name) as file:
+        return _header(_blocks(file, 0))
 
 
 def _int32(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -166,10 +177,12 @@ def _behind(raw: bytes, at: int) -> int | None:
 def first_record(raw: bytes, references: int, run: int = 8) -> int | None:
     """Place of the first record in unpacked bytes that may start inside of one: the first with ``run`` records in a row, or the longest row to the end."""
     data = np.frombuffer(raw, np.uint8)
-    every = np.arange(max(0, len(data) - FIXED + 1))
+    last = max(0, len(data) - FIXED + 1)
     best: tuple[bool, int] = (False, 0)
     place = None
-    for start in every[_plausible(data, every, references)].tolist():
+    # A few at a time, as the first record is mostly near.
+    parts = (np.arange(a, min(last, a + 4096)) for a in range(0, last, 4096))
+    for start in (s for part in parts for s in part[_plausible(data, part, references)].tolist()):
         at, count = start, 0
         while at is not None and count < run and at + FIXED <= len(data) and _plausible(data, np.array([at]), references)[0]:
             at, count = _behind(raw, at), count + 1
@@ -273,13 +286,13 @@ def decode(raw: bytes, at: np.ndarray, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([columns[n] for n in _ARROW.names], schema=_ARROW)
 
 
-def _records(file, begin: int, end: int, size: int) -> Iterator[pa.RecordBatch]:
-    """Batches of the records whose block starts in the range."""
-    names, skip = _header(_blocks(file, 0))
-    place = 0 if begin == 0 else _first_block(file, begin, size)
+def _records(file, begin: int, end: int, size: int, header: tuple[list[str], int, int] | None = None) -> Iterator[pa.RecordBatch]:
+    """Batches of the records whose block starts in the range; a header may span many ranges, which have none."""
+    names, first, skip = header or _header(_blocks(file, 0))
+    place = first if begin <= first else _first_block(file, begin, size)
     if place is None or place >= end:
         return
-    held, passed, limit, synchronised = bytearray(), 0, None, begin == 0
+    held, passed, limit, synchronised = bytearray(), 0, None, begin <= first
     blocks = _blocks(file, place)
     while True:
         block = next(blocks, None)
@@ -292,12 +305,12 @@ def _records(file, begin: int, end: int, size: int) -> Iterator[pa.RecordBatch]:
             if not synchronised and len(held) < SEARCHED:
                 continue
         if not synchronised:
-            first = first_record(bytes(held), len(names))
-            if first is None:
+            record = first_record(bytes(held), len(names))
+            if record is None:
                 if block is None:
                     return
                 raise ValueError(f"no record found behind byte {place}")
-            skip, synchronised = first, True
+            skip, synchronised = record, True
         at, places = skip, []
         while at + 4 <= len(held) and (limit is None or passed + at < limit):
             behind = at + 4 + struct.unpack_from("<i", held, at)[0]
@@ -324,6 +337,7 @@ class _Range(InputPartition):
     begin: int
     end: int
     size: int
+    changed: int | None
 
 
 class _Reader(DataSourceReader):
@@ -337,12 +351,12 @@ class _Reader(DataSourceReader):
             raise FileNotFoundError(self.path)
         files = [info] if info.is_file else [f for f in fs.get_file_info(pafs.FileSelector(path)) if f.path.endswith(".bam")]
         prefix = self.path[: len(self.path) - len(path)] if self.path.endswith(path) else ""
-        return [_Range(prefix + f.path, a, min(f.size, a + self.split), f.size) for f in files for a in range(0, f.size, self.split)]
+        return [_Range(prefix + f.path, a, min(f.size, a + self.split), f.size, f.mtime_ns) for f in files for a in range(0, f.size, self.split)]
 
     def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
         fs, path = _open(partition.path)
         with fs.open_input_file(path) as file:
-            yield from _records(file, partition.begin, partition.end, partition.size)
+            yield from _records(file, partition.begin, partition.end, partition.size, _header_of(partition.path, partition.size, partition.changed))
 
 
 def pack_block(raw: bytes) -> bytes:

@@ -213,6 +213,26 @@ def test_bam_round_trip(spark, tmp_path):
     assert rows(bam.read_bam(spark, f"{tmp_path}/single", 7000).where("flag = 16").limit(0)) == []
 
 
+def test_bam_header_longer_than_splits():
+    """Splits that lie inside of the header have no records; the header ends anywhere in a block or with it."""
+    import io
+
+    import pyarrow as pa
+
+    from barsplice.sources import bam
+
+    row = {"flag": 0, "rname": "c7", "pos": 4, "mapq": 9, "cigar": "4M", "rnext": "*", "pnext": 0, "tlen": 0, "seq": "ACGT", "qual": "IIII", "tags": []}
+    header = bam.encode_header([(f"c{i}", 100_000) for i in range(30_000)])
+    records = b"".join(bam.encode(row | {"qname": f"r{i}"}, {"c7": 7}) for i in range(3000))
+    for blocks in ([header + records], [header, records]):
+        packed = b"".join(bam.pack_block(raw[i : i + bam.BLOCK]) for raw in blocks for i in range(0, len(raw), bam.BLOCK)) + bam.pack_block(b"")
+        file = pa.PythonFile(io.BytesIO(packed), "r")
+        for split in (20_000, 1 << 20):
+            found = [b for begin in range(0, len(packed), split) for b in bam._records(file, begin, min(len(packed), begin + split), len(packed))]
+            assert [n for b in found for n in b.column("qname").to_pylist()] == [f"r{i}" for i in range(3000)]
+            assert {r for b in found for r in b.column("rname").to_pylist()} == {"c7"}
+
+
 def test_bam_tag_kinds_and_long_records():
     """All kinds of tags, records longer than a block, and splits inside of them."""
     import io
