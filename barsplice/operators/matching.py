@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -20,9 +21,13 @@ def _value(x: Column | str) -> Column:
 
 def last_by_barcode(barcodes: DataFrame, order: str = "line", by: Sequence[str] = ()) -> DataFrame:
     """One row per barcode (and ``by``, such as the sample): that of the last line."""
-    keep = [c for c in barcodes.columns if c not in ("barcode", order, *by)]
-    last = F.max_by(F.struct(*keep), F.col(order)).alias("v")
-    return barcodes.groupBy(*by, "barcode").agg(last).select(*by, "barcode", "v.*")
+    keys, keep = [*by, "barcode"], [c for c in barcodes.columns if c not in ("barcode", order, *by)]
+    # The largest number of a key is hashed; texts in an aggregate would sort all lines first, so only the last ones go there.
+    most = barcodes.groupBy(*keys).agg(F.max(order).alias("__most"))
+    most = most.select(*(F.col(k).alias(f"__{k}") for k in keys), "__most")
+    same = functools.reduce(Column.__and__, [*(F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys), F.col(order).eqNullSafe(F.col("__most"))])
+    last = barcodes.join(most, same).groupBy(*keys).agg(F.max_by(F.struct(*keep), F.col(order)).alias("v"))
+    return last.select(*keys, "v.*")
 
 
 def _known(barcodes: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -233,6 +233,16 @@ def test_long_read_association(spark):
     assert steps["barcode_up"] == 1 and steps["accepted"] == 2
 
 
+def test_last_barcodes_are_hashed(spark):
+    """The last line of every key, nulls and ties included, without sorting all lines."""
+    from barsplice.operators import matching
+
+    lines = [("s", "A", "v1", 1), ("s", "A", "v2", 3), ("s", "A", "v3", 2), ("t", "A", "v4", 1), ("s", None, "v5", 1), ("s", None, "v6", 2), ("t", "C", "v7", None), (None, "C", "v8", 5), (None, "C", "v8", 5)]
+    last = matching.last_by_barcode(spark.createDataFrame(lines, "sample_id string, barcode string, var_id string, line long"), by=["sample_id"])
+    assert {tuple(r) for r in last.collect()} == {("s", "A", "v2"), ("t", "A", "v4"), ("s", None, "v6"), ("t", "C", None), (None, "C", "v8")} and last.count() == 5
+    assert "HashAggregate" in last._jdf.queryExecution().executedPlan().toString()
+
+
 def test_id_maps(spark):
     rng = random.Random(8)
     known = ["".join(rng.choice("ACGT") for _ in range(20)) for _ in range(40)]
