@@ -54,7 +54,7 @@ def signatures(distance: int, kept: int) -> tuple[tuple[int, tuple[int, ...], tu
     return tuple(found)
 
 
-def kept_segments(known: int, length: float, distance: int, candidate: float = 30.0, most: int = 5) -> int:
+def kept_segments(known: int, length: float, distance: int, candidate: float = 2.0, most: int = 5) -> int:
     """Number of untouched segments that costs least: keys of a query, and ``candidate`` times as much for each
     random sequence of four letters that shares one."""
     def cost(kept: int) -> float:
@@ -64,8 +64,8 @@ def kept_segments(known: int, length: float, distance: int, candidate: float = 3
     return min(range(1, most + 1), key=cost)
 
 
-def _keyed(seq: str, length: str, kept: int) -> Column:
-    """Hash of the signature (columns ``segments``, ``shifts``) in ``seq`` for a known sequence of ``length``; null if it does not fit in."""
+def _keyed(seq: str, length: str, kept: int) -> tuple[Column, Column]:
+    """Hash of the signature (columns ``segments``, ``shifts``) in ``seq`` for a known sequence of ``length``, and whether it fits in."""
     n = F.length(seq)
     texts, fits = [], F.lit(True)
     for t in range(kept):
@@ -73,7 +73,7 @@ def _keyed(seq: str, length: str, kept: int) -> Column:
         begin, end = (F.expr(f"cast({length} * (segments[{t}] + {e}) div pieces as int)") for e in (0, 1))
         texts.append(F.substring(seq, begin + shift + 1, end - begin))
         fits = fits & (begin + shift >= 0) & (end + shift <= n)
-    return F.when(fits, F.xxhash64(F.col(length), "segments", *texts))
+    return F.xxhash64(F.col(length), "segments", *texts), fits
 
 
 def candidates(queries: DataFrame, known: DataFrame, distance: int) -> DataFrame:
@@ -85,14 +85,16 @@ def candidates(queries: DataFrame, known: DataFrame, distance: int) -> DataFrame
     every = known.sparkSession.createDataFrame([(d, list(i), list(s)) for d, i, s in signatures(distance, kept)], ddl).withColumn("pieces", F.lit(distance + kept))
     still = every.select("segments", "pieces", F.transform("segments", lambda _: F.lit(0)).alias("shifts")).distinct()
     parts = known.select(F.col("seq").alias("known_seq"), "id", "ord", F.length("seq").alias("m")).crossJoin(F.broadcast(still))
-    parts = parts.select(_keyed("known_seq", "m", kept).alias("key"), "known_seq", "id", "ord")
+    parts = parts.select(_keyed("known_seq", "m", kept)[0].alias("key"), "known_seq", "id", "ord")
     lengths = known.select(F.length("seq").alias("m")).distinct()
     # A query becomes hundreds of rows, so even few queries are dealt to all tasks.
     session = queries.sparkSession
     parallel = max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)
     near = queries.select("seq", F.length("seq").alias("n")).repartition(parallel, "seq", "n").join(F.broadcast(lengths), F.abs(F.col("n") - F.col("m")) <= distance)
     asked = near.withColumn("difference", F.col("n") - F.col("m")).join(F.broadcast(every), "difference")
-    asked = asked.select("seq", _keyed("seq", "m", kept).alias("key")).where("key is not null")
+    # Told by the places alone, as a filter on the key would compute it twice.
+    key, fits = _keyed("seq", "m", kept)
+    asked = asked.where(fits).select("seq", key.alias("key"))
     # Where the known side's keys are few for every partition, hashing them saves sorting the many keys of the queries.
     if size["n"] * len({i for _, i, _ in signatures(distance, kept)}) <= HASHED * parallel:
         parts = parts.hint("shuffle_hash")
@@ -117,6 +119,12 @@ def _measured(queries: DataFrame, known: DataFrame, mismatches: int, slack: int)
     return rows.where(F.length("seq").between(F.col("lo") - slack, F.col("hi") + slack)).select("seq")
 
 
+def _both_strands(known: DataFrame) -> DataFrame:
+    """Known sequences as they are and turned (``rc`` 1): a query has many more keys than these, so it is asked on one strand only."""
+    strands = F.array(F.struct(F.lit(0).alias("rc"), F.col("seq").alias("seq")), F.struct(F.lit(1).alias("rc"), revcomp(F.col("seq")).alias("seq")))
+    return known.select("id", "ord", F.inline(strands))
+
+
 def map_first(queries: DataFrame, ids: DataFrame, mismatches: int = 2, missing: str = "not_found") -> DataFrame:
     """``seq, id`` for each distinct query: exact, else reverse complement exact, else the first known
     sequence in file order within 2 * mismatches edits of either strand."""
@@ -127,9 +135,8 @@ def map_first(queries: DataFrame, ids: DataFrame, mismatches: int = 2, missing:
     turned = turned.select("seq", F.struct(F.lit(1).alias("stage"), F.col("ord").alias("ord"), "id").alias("hit"))
     done = exact.unionByName(turned)
     rest = fit.join(done.select("seq").distinct(), "seq", "left_anti")
-    strands = rest.select("seq", F.explode(F.array(F.col("seq"), revcomp(F.col("seq")))).alias("strand"))
-    close = within(strands.select(F.col("strand").alias("seq")).distinct(), known, 2 * mismatches)
-    fuzzy = strands.join(close.withColumnRenamed("seq", "strand"), "strand").select("seq", F.struct(F.lit(2).alias("stage"), F.col("ord").alias("ord"), "id").alias("hit"))
+    close = within(rest, _both_strands(known).select("seq", "id", "ord"), 2 * mismatches)
+    fuzzy = close.select("seq", F.struct(F.lit(2).alias("stage"), F.col("ord").alias("ord"), "id").alias("hit"))
     best = done.unionByName(fuzzy).groupBy("seq").agg(F.min("hit").alias("hit"))
     every = queries.select(F.upper("seq").alias("seq")).distinct()
     return every.join(best, "seq", "left").select("seq", F.coalesce("hit.id", F.lit(missing)).alias("id"))
@@ -140,12 +147,10 @@ def map_staged(queries: DataFrame, ids: DataFrame, mismatches: int = 2) -> DataF
     the closest edit distance; empty if none.  Queries may be ``mismatches`` longer or shorter than known ones."""
     known = known_sequences(ids)
     fit = _measured(queries, known, mismatches, mismatches)
-    strands = fit.select("seq", F.explode(F.array(F.struct(F.lit(0).alias("rc"), F.col("seq").alias("strand")), F.struct(F.lit(1).alias("rc"), revcomp(F.col("seq")).alias("strand")))).alias("s")).select("seq", "s.*")
-    close = within(strands.select(F.col("strand").alias("seq")).distinct(), known, 2 * mismatches)
-    texts = known.select("id", "ord", F.col("seq").alias("known_seq"))
-    rows = strands.join(close.withColumnRenamed("seq", "strand"), "strand").join(texts, ["id", "ord"])
+    strands = _both_strands(known).select("seq", "ord", F.struct("id", "rc", F.col("seq").alias("known_seq")).alias("id"))
+    rows = within(fit, strands, 2 * mismatches).select("seq", "ord", "distance", "id.*")
     chars = lambda c: F.filter(F.split(c, ""), lambda x: x != "")
-    hamming = F.when(F.length("strand") == F.length("known_seq"), F.size(F.filter(F.zip_with(chars("strand"), chars("known_seq"), lambda a, b: a != b), lambda x: x)))
+    hamming = F.when(F.length("seq") == F.length("known_seq"), F.size(F.filter(F.zip_with(chars("seq"), chars("known_seq"), lambda a, b: a != b), lambda x: x)))
     stage = F.when(F.col("distance") == 0, F.col("rc")).when(hamming <= mismatches, 2 + F.col("rc")).otherwise(F.lit(4))
     rows = rows.withColumn("hit", F.struct(stage.alias("stage"), F.when(stage == 4, F.col("distance")).otherwise(0).alias("d"), "ord", "rc", "id"))
     best = rows.groupBy("seq").agg(F.min("hit").alias("hit"))

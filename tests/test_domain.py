@@ -277,6 +277,17 @@ def test_id_map_tables_are_whole(spark):
     assert tables.table(spark, folder, "ids").select("seq").distinct().count() >= 0.94 * read("part").count()
 
 
+def test_id_map_queries_are_keyed_on_one_strand(spark, monkeypatch):
+    """The few keys of known sequences stand for both strands, not the many of a query."""
+    asked = []
+    whole = idmap.candidates
+    monkeypatch.setattr(idmap, "candidates", lambda queries, known, distance: (asked.append((queries.count(), known.count())), whole(queries, known, distance))[1])
+    ids = spark.createDataFrame([("i1", "ACGTTGCAACCGGTACGTTA", 1), ("i2", "TTGACCAGATTACAGGCATC", 2)], "id string, seq string, line long")
+    queries = spark.createDataFrame([("TAACGTACCGGTTGCAACG",), ("TTGACCAGATTACAGGCAT",)], "seq string")
+    assert {r.id for r in idmap.map_first(queries, ids).collect()} == {r.id for r in idmap.map_staged(queries, ids).collect()} == {"i1", "i2"}
+    assert asked == [(2, 4), (2, 4)]
+
+
 def test_id_maps_by_brute_force(spark):
     """All pairs on a small fixture, with repeated known sequences and both strands."""
     rng = random.Random(12)
