@@ -30,8 +30,8 @@ class Seeding:
     """Words of ``k`` bases, every ``stride``-th of a read; a reference needs ``share`` of the most words that any has.
 
     Bands reach ``pad`` diagonals past those of the seeds, with introns also as far as one of
-    ``reach`` bases at an end where at least ``anchor`` bases have no seed; alignments score
-    at least ``least``.
+    ``reach`` bases at an end where at least ``anchor`` bases have no seed, or at both if the
+    alignment leaves room for one; alignments score at least ``least``.
     """
 
     k: int = 13
@@ -81,12 +81,15 @@ def placements(texts: DataFrame, references: DataFrame, by: Sequence[str] = (),
     near = near.join(sent(refs), [*by, "rname"])
     read = F.when(F.col("turned"), revcomp(F.col("text"))).otherwise(F.col("text"))
     low, high = F.col("low") - seeding.pad, F.col("high") + seeding.pad
+    far = None
     if scoring.intron is not None:
         tail = F.length("text") - F.col("last") - seeding.k
-        low = F.when(F.col("head") >= seeding.anchor, F.greatest(F.least(low, -F.col("head")), low - seeding.reach)).otherwise(low)
-        high = F.when(tail >= seeding.anchor, F.least(F.greatest(high, F.length("reference") - F.length("text") + tail), high + seeding.reach)).otherwise(high)
+        # A seed may reach past an exon by chance, so that less than an anchor seems to be left.
+        far = F.greatest(F.least(low, -F.col("head")), low - seeding.reach), F.least(F.greatest(high, F.length("reference") - F.length("text") + tail), high + seeding.reach)
+        low = F.when(F.col("head") >= seeding.anchor, far[0]).otherwise(low)
+        high = F.when(tail >= seeding.anchor, far[1]).otherwise(high)
     # As a generator's rows: a filter on them is not pushed below the kernel, which would run it twice.
-    found = near.select(*by, "text", "turned", "rname", F.inline(F.array(placed(read, F.col("reference"), low, high, scoring))))
+    found = near.select(*by, "text", "turned", "rname", F.inline(F.array(placed(read, F.col("reference"), low, high, scoring, far))))
     found = found.where(F.col("score") >= seeding.least)
     place = F.struct((-F.col("value")).alias("cost"), "rname", "turned", "pos", _end(F.col("pos"), F.col("cigar")).alias("pos_end"), "cigar", "score", "differences")
     return found.groupBy(*by, "text").agg(F.sort_array(F.collect_list(place)).alias("places"))

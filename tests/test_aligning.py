@@ -136,6 +136,21 @@ def test_large_references_are_not_sent(spark, products, monkeypatch):
     assert "BroadcastHashJoin" not in plan() and plan().count("SortMergeJoin") == 2
 
 
+@pytest.mark.parametrize("turn", [False, True])
+def test_introns_behind_seeds_by_chance(spark, turn):
+    """The next exon's first bases are the intron's too, or the last exon's last ones, so that seeds reach past the exon."""
+    one, other = "ACCTGAACGTTCAGCCATTGCAGGCTTAACGATCCTGATTCGACAAGCTTACCGGATACGTCC", "GATCCGTTAGGCAACTTCGGTACCATGAACCTGTCAGGACTTACGCTAGATCGACTTGCAACA"
+    within = "GTAAGCTTTCAGATTTACCCAAATGGTTTTCCCTATATCGCGTTTAAACCCTTTGGAATTTTATAG"
+    for first, intron, last, read, cigar in (
+        (one, within, within[:8] + "CCTTG" + other, 48, f"48M{len(within)}N12M"), (one + "CAGTT" + within[-8:], within, other, 13, f"13M{len(within)}N47M"),
+    ):
+        text = first[-read:] + last[: 60 - read]
+        df = spark.createDataFrame([("a", turned(text) if turn else text, "F" * 60)], READ)
+        refs = spark.createDataFrame([("g", first + intron.lower() + last)], "rname string, seq string")
+        (r,) = A.align_single(df, refs, (), A.SPLICED).collect()
+        assert (r.flag, r.pos, r.cigar, r.tags["AS"]) == (16 * turn, len(first) - read, cigar, "56")
+
+
 def test_groups_see_their_own_references(spark, exons):
     one, two, three = exons
     refs = spark.createDataFrame([("p", "r", one), ("q", "r", two)], "lane string, rname string, seq string")
