@@ -292,12 +292,12 @@ _ALIGNED = f"""WITH a AS (SELECT seq, length(header) % 13 AS pos, length(header)
     b AS (SELECT substr(rname, 1, length(rname) - 2) AS ref_type, 'x' AS read_ref, raw AS barcode, 15 - pos > 5 AND pos_end - CASE WHEN rname = 'exon_inclusion_x' THEN 27 ELSE 15 END > 5 AS spans, {_checked()} IS NOT NULL AS fits FROM {_extracted('a')})"""
 
 
-def _aligned(spark, sf_dir):
+def _aligned(spark, sf_dir, spanning=False):
     n = F.length("header")
     rows = table(spark, sf_dir, "reads").select(
         "seq", (n % 13).alias("pos"), (n % 13 + F.length("seq")).alias("pos_end"), F.when(n % 2 == 0, "exon_inclusion_x").otherwise("exon_skipping_x").alias("rname")
     )
-    return M.aligned_single(rows, table(spark, sf_dir, "aligned_exons"), UP, DOWN, TEMPLATE)
+    return M.aligned_single(rows, table(spark, sf_dir, "aligned_exons"), UP, DOWN, TEMPLATE, spanning=spanning)
 
 
 @query(_ALIGNED + " SELECT ref_type, spans, barcode, count(*) AS count FROM (SELECT ref_type, spans, CASE WHEN fits THEN barcode END AS barcode FROM b) GROUP BY ALL")
@@ -308,7 +308,7 @@ def canonical_align_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_ALIGNED + """, c AS (SELECT read_ref, barcode, ref_type, count(*) AS count FROM b WHERE spans AND fits GROUP BY ALL)
     SELECT read_ref, m.var_id, c.barcode, ref_type, cast(sum(c.count) as bigint) AS count FROM c LEFT JOIN {barcode_map} m ON c.barcode = m.barcode GROUP BY ALL""")
 def canonical_align_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.aligned_counts(_aligned(spark, sf_dir), table(spark, sf_dir, "barcode_map"))
+    return M.aligned_counts(_aligned(spark, sf_dir, spanning=True), table(spark, sf_dir, "barcode_map"))
 
 
 @query(f"""WITH k AS (SELECT upper(seq) AS seq, max_by(id, line) AS id, min(line) AS ord FROM {{ids}} GROUP BY upper(seq)),

@@ -91,8 +91,8 @@ _PE_ALIGNED = f"""WITH t AS (SELECT *, {rc('s2')} AS back, p1 + 9 AS e1, p2 + CA
           FROM {_extracted('t', 'back')})"""
 
 
-def _aligned_pairs(spark, sf_dir):
-    return M.aligned_pairs(_mates(spark, sf_dir), table(spark, sf_dir, "aligned_exons"), UP, DOWN, TEMPLATE)
+def _aligned_pairs(spark, sf_dir, spanning=False):
+    return M.aligned_pairs(_mates(spark, sf_dir), table(spark, sf_dir, "aligned_exons"), UP, DOWN, TEMPLATE, spanning=spanning)
 
 
 @query(_PE_ALIGNED + " SELECT ref_type, spans, CASE WHEN fits THEN raw END AS barcode, count(*) AS count FROM b GROUP BY ALL")
@@ -103,7 +103,7 @@ def canonical_pe_align_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_PE_ALIGNED + """, c AS (SELECT raw AS barcode, ref_type, count(*) AS count FROM b WHERE spans AND fits GROUP BY ALL)
     SELECT 'x' AS read_ref, m.var_id, c.barcode, ref_type, cast(sum(c.count) as bigint) AS count FROM c LEFT JOIN {barcode_map} m ON c.barcode = m.barcode GROUP BY ALL""")
 def canonical_pe_align_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.aligned_counts(_aligned_pairs(spark, sf_dir), table(spark, sf_dir, "barcode_map"))
+    return M.aligned_counts(_aligned_pairs(spark, sf_dir, spanning=True), table(spark, sf_dir, "barcode_map"))
 
 
 @query("""SELECT qname AS header, CASE WHEN flag & 16 <> 0 THEN """ + rc("seq") + """ ELSE seq END AS seq, source FROM (

@@ -69,7 +69,7 @@ def aligned_step(layout: DataFrame, products: DataFrame, exons: DataFrame, barco
     """
     records = aligning.align_single(reads, products, BY)
     mapped = alignments.with_end(alignments.primary_mapped(records)).join(layout.select("sample_id", "up", "down", "template"), "sample_id")
-    filtered = matching.aligned_single(mapped, exons, F.col("up"), F.col("down"), F.col("template"), clip)
+    filtered = matching.aligned_single(mapped, exons, F.col("up"), F.col("down"), F.col("template"), clip, spanning=True)
     rest = alignments.unmapped(records).select(*BY, F.col("qname").alias("header"), "seq", "qual")
     return {"records": records, "canonical": matching.aligned_counts(filtered, barcodes, BY), "leftovers": rest}
 

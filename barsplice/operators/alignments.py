@@ -47,7 +47,8 @@ def with_end(df: DataFrame) -> DataFrame:
 
 def pair_up(df: DataFrame) -> DataFrame:
     """``qname, first, second``: mates as structs; an error if a name does not have exactly one of each."""
-    rows = df.withColumn("__r", F.struct(*df.columns))
+    # Mates are brought together before they are sorted: an aggregate of structs would first sort each part of the input as a whole.
+    rows = df.withColumn("__r", F.struct(*df.columns)).repartition("qname")
     side = lambda m: F.max(F.when(has(F.col("flag"), m), F.col("__r")))
     pairs = rows.groupBy("qname").agg(side(FIRST).alias("first"), side(LAST).alias("second"), F.count(F.lit(1)).alias("n"))
     whole = (F.col("n") == 2) & F.col("first").isNotNull() & F.col("second").isNotNull()

@@ -159,21 +159,24 @@ def _spanning(rows: DataFrame, exons: DataFrame, rname: Column, begin: Column, e
     return rows.withColumn("spans", F.coalesce((F.col("first_end") - begin > clip) & (end - inside > clip), F.lit(False))).drop("first_end", "one", "two")
 
 
-def aligned_single(alignments: DataFrame, exons: DataFrame, up: Column | str, down: Column | str, template: Column | str, clip: int = 5) -> DataFrame:
+def aligned_single(alignments: DataFrame, exons: DataFrame, up: Column | str, down: Column | str, template: Column | str, clip: int = 5, spanning: bool = False) -> DataFrame:
     """Reads aligned to exon references with ``spans`` (else mapped wrongly) and ``kept`` (and a barcode that fits its template, taken as read).
 
-    ``exons`` are positions by ``var_id``, the reference's name behind its kind.
+    ``exons`` are positions by ``var_id``, the reference's name behind its kind.  With
+    ``spanning`` only rows that span come back, and no barcodes are searched in others.
     """
     rows = _spanning(alignments, exons, F.col("rname"), F.col("pos"), F.col("pos_end"), clip)
+    rows = rows.where("spans") if spanning else rows
     rows = with_barcode(rows, up, down, template, retry=False, correct=False)
     return rows.withColumn("kept", F.col("spans") & F.col("barcode").isNotNull()).drop("oriented", "flipped")
 
 
-def aligned_pairs(pairs: DataFrame, exons: DataFrame, up: Column | str, down: Column | str, template: Column | str, clip: int = 5) -> DataFrame:
-    """Mates (structs ``first`` and ``second``) with ``spans`` and ``kept``; the barcode lies in read 2 turned back."""
+def aligned_pairs(pairs: DataFrame, exons: DataFrame, up: Column | str, down: Column | str, template: Column | str, clip: int = 5, spanning: bool = False) -> DataFrame:
+    """Mates (structs ``first`` and ``second``) with ``spans`` and ``kept``, as ``aligned_single``; the barcode lies in read 2 turned back."""
     first, second = F.col("first"), F.col("second")
     rows = _spanning(pairs, exons, first["rname"], first["pos"], second["pos_end"], clip)
     rows = rows.withColumn("spans", F.col("spans") & F.coalesce(proper_pair(first, second, clip), F.lit(False)))
+    rows = rows.where("spans") if spanning else rows
     rows = with_barcode(rows, up, down, template, seq=S.revcomp(second["seq"]), retry=False, correct=False)
     return rows.withColumn("kept", F.col("spans") & F.col("barcode").isNotNull()).drop("oriented", "flipped")
 
@@ -181,8 +184,10 @@ def aligned_pairs(pairs: DataFrame, exons: DataFrame, up: Column | str, down: Co
 def aligned_counts(filtered: DataFrame, barcodes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Reads by reference, variant, barcode and event of aligned reads; a barcode listed for several variants counts for each."""
     reads = filtered.where("kept").groupBy(*by, "read_ref", "barcode", "ref_type").agg(F.count(F.lit(1)).alias("count"))
-    known = barcodes.select(*by, "barcode", "var_id")
-    return reads.join(known, [*by, "barcode"], "left").groupBy(*by, "read_ref", "var_id", "barcode", "ref_type").agg(F.sum("count").alias("count"))
+    # Every line of a barcode counts. Both sides hold their keys once, so the joined rows are the groups and no task has to hold them.
+    known = barcodes.groupBy(*by, "barcode", "var_id").agg(F.count(F.lit(1)).alias("__lines"))
+    rows = reads.join(known, [*by, "barcode"], "left").withColumn("count", F.col("count") * F.coalesce("__lines", F.lit(1)))
+    return rows.select(*by, "read_ref", "var_id", "barcode", "ref_type", "count")
 
 
 def proper_pair(first: Column, second: Column, clip: int = 5) -> Column:
