@@ -3,7 +3,8 @@
 ``offset`` is where the reverse complement of the second read starts in the first one; it is
 negative if the reads run past each other's beginnings.  Places where a read is not A, C, G or T are not
 compared.  All offsets of many pairs are counted at once, in blocks of
-bounded size.
+bounded size.  Both kernels are declared not deterministic, so that a filter on their results is
+not moved below them, which would run them twice.
 """
 
 from __future__ import annotations
@@ -143,7 +144,7 @@ def merged(s1: Column, q1: Column, s2: Column, q2: Column, least: int, least_out
         numbers = [pa.array(v, pa.int32(), mask=none) for v in (offset, length, wrong)]
         return pa.StructArray.from_arrays([_write(codes, size, none), _write(quality, size, none), *numbers], ["seq", "qual", "offset", "overlap", "mismatches"])
 
-    return run(s1, q1, s2, q2)
+    return run.asNondeterministic()(s1, q1, s2, q2)
 
 
 def kept_lengths(s1: Column, q1: Column, s2: Column, q2: Column, window: int, quality: int, least: int, most_wrong: int, share: float) -> Column:
@@ -180,4 +181,4 @@ def kept_lengths(s1: Column, q1: Column, s2: Column, q2: Column, window: int, qu
         overlap = np.minimum(n1, n2 + offset)
         return pa.StructArray.from_arrays([pa.array(np.where(past, overlap, n), pa.int32(), mask=~there) for n in (n1, n2)], ["n1", "n2"])
 
-    return run(s1, q1, s2, q2)
+    return run.asNondeterministic()(s1, q1, s2, q2)
