@@ -2,7 +2,8 @@
 
 Searches take the first window within the allowed distance, not the best one.  They run as
 Arrow UDFs that compare all windows of many rows at once, each row with its own pattern;
-everything else is built-in functions.
+everything else is built-in functions.  ``first_of`` and ``find_barcode`` are declared not
+deterministic, so that a filter on what they find is not moved below them, which would run them twice.
 """
 
 from __future__ import annotations
@@ -87,6 +88,37 @@ def _edits(table: np.ndarray, patterns: np.ndarray, most: int) -> np.ndarray:
     return row[size] <= most
 
 
+def _may_edit(table: np.ndarray, patterns: np.ndarray, most: int) -> np.ndarray:
+    """Which rows hold any text within ``most`` edits of their pattern; no others have a window that ``_edits`` finds.
+
+    A column of the edit table is two words of bits (what a step down adds and takes), a row of
+    the text turns it into the next.
+    """
+    size = patterns.shape[1]
+    if not 0 < size <= 64:
+        return np.ones(len(table), bool)
+    bits = np.left_shift(np.uint64(1), np.arange(size, dtype=np.uint64))
+    letters = np.flatnonzero(np.bincount(patterns.ravel(), minlength=256))
+    number = np.full(256, len(letters), np.intp)
+    number[letters] = np.arange(len(letters))
+    places = np.zeros((len(letters) + 1, len(table)), np.uint64)
+    for j in range(size):
+        places[number[patterns[:, j]], np.arange(len(table))] |= bits[j]
+    texts, rows, one, last = number[table], np.arange(len(table)), np.uint64(1), np.uint64(size - 1)
+    plus, minus = np.full(len(table), ~np.uint64(0)), np.zeros(len(table), np.uint64)
+    score, least = np.full(len(table), size, np.int32), np.full(len(table), size, np.int32)
+    for i in range(table.shape[1]):
+        same = places[texts[:, i], rows]
+        down = (((same & plus) + plus) ^ plus) | same | minus
+        more, less = minus | ~(down | plus), plus & down
+        score += ((more >> last) & one).astype(np.int32) - ((less >> last) & one).astype(np.int32)
+        np.minimum(least, score, out=least)
+        more, less = more << one, less << one
+        same |= minus
+        plus, minus = less | ~(same | more), more & same
+    return least <= most
+
+
 def _search(texts: Texts, patterns: Texts, most: int, begin: np.ndarray | None = None, rows: np.ndarray | None = None, near: Near = _hamming) -> np.ndarray:
     """Leftmost 0-based window of each row at or after ``begin`` near the row's pattern; -1 if none, or for rows not asked for."""
     (table, sizes), (wanted, lengths) = texts, patterns
@@ -96,6 +128,8 @@ def _search(texts: Texts, patterns: Texts, most: int, begin: np.ndarray | None =
         group = rows[lengths[rows] == n]
         width = int(sizes[group].max())
         step = max(1, _CELLS // max(1, width))
+        if near is _edits:
+            group = np.concatenate([p[_may_edit(table[p, :width], wanted[p, :n], most)] for p in (group[i : i + step] for i in range(0, len(group), step))])
         for part in (group[i : i + step] for i in range(0, len(group), step)):
             ok = near(table[part, :width], wanted[part, :n], most)
             at = np.arange(width - n + 1)
@@ -164,7 +198,7 @@ def first_of(seq: Column, patterns: Sequence[Column], most: int, edits: bool = F
                 out[_search(texts, pattern, most, rows=rest, near=near) >= 0] = i
         return pa.array(out, pa.int32(), mask=~there)
 
-    return run(seq, *patterns)
+    return run.asNondeterministic()(seq, *patterns)
 
 
 def _between(s: Texts, u: Texts, d: Texts, most: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -182,9 +216,10 @@ def _flank_places(s: pa.Array, u: pa.Array, d: pa.Array, mismatches: int, retry:
     flipped = np.zeros(len(there), bool)
     rest = np.flatnonzero(there & (down < 0))
     if retry and len(rest):
-        up2, down2 = _between(_turned(texts), before, behind, mismatches, rest)
-        flipped = down2 >= 0
-        up, down = np.where(flipped, up2, up), np.where(flipped, down2, down)
+        some = lambda x: (x[0][rest], x[1][rest])
+        up2, down2 = _between(_turned(some(texts)), some(before), some(behind), mismatches, np.arange(len(rest)))
+        flipped[rest] = down2 >= 0
+        up[flipped], down[flipped] = up2[down2 >= 0], down2[down2 >= 0]
     return up, down, flipped
 
 
@@ -215,22 +250,23 @@ def find_barcode(seq: Column, up: Column, down: Column, template: Column, mismat
     def run(s: pa.Array, u: pa.Array, d: pa.Array, t: pa.Array) -> pa.Array:
         places = _flank_places(s, u, d, mismatches, retry)
         texts, shape = _texts(s), _texts(pc.utf8_upper(t))
-        sources = (texts, _turned(texts)) if places[2].any() else (texts,)
         start = places[0] + _texts(u)[1]
         raw, fixed = np.full(len(s), None, object), np.full(len(s), None, object)
         fits = (places[1] >= 0) & (places[1] - start == shape[1]) & _known(t)
-        for turned, source in enumerate(sources):
+        for turned in (False, True):
             for n in np.unique(shape[1][fits]):
-                rows = np.flatnonzero(fits & (places[2] == bool(turned)) & (shape[1] == n))
+                rows = np.flatnonzero(fits & (places[2] == turned) & (shape[1] == n))
                 wanted = shape[0][rows, :n]
-                seen = source[0][rows[:, None], start[rows, None] + np.arange(n)]
+                at = start[rows, None] + np.arange(n)
+                # A place of the complement is one of the text, counted from its end.
+                seen = _COMPLEMENT[texts[0][rows[:, None], texts[1][rows, None] - 1 - at]] if turned else texts[0][rows[:, None], at]
                 free = wanted == ord("N")
                 rows = rows[keep := (~free & (seen != wanted)).sum(1) <= barcode_mismatches]
                 raw[rows], fixed[rows] = _strings(seen[keep]), _strings(np.where(free, seen, wanted)[keep])
         columns = [pa.array(raw, pa.string()), pa.array(fixed, pa.string()), pa.array(places[2], pa.bool_())]
         return pa.StructArray.from_arrays(columns, ["raw", "barcode", "flipped"])
 
-    return run(seq, up, down, template)
+    return run.asNondeterministic()(seq, up, down, template)
 
 
 def _strings(codes: np.ndarray) -> list[str]:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
+from ..sources import shared
 
 #: Mismatches in flanks and in a barcode's fixed bases, and the shortest spliced gap.
 FLANK, BARCODE, SPLICED = 2, 1, 20
@@ -30,8 +31,12 @@ def last_by_barcode(barcodes: DataFrame, order: str = "line", by: Sequence[str]
     return last.select(*keys, "v.*")
 
 
-def _known(barcodes: DataFrame, by: Sequence[str]) -> DataFrame:
-    return last_by_barcode(barcodes, by=by).select(*by, "barcode", "var_id", S.upper_only(F.col("variant")).alias("__exon"))
+def known_barcodes(barcodes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The last variant of each barcode and its exon, written once to the shared folder.
+
+    Its size is known then, so Spark sends small maps to the reads; large ones are joined by a shuffle of both.
+    """
+    return shared.table(last_by_barcode(barcodes, by=by).select(*by, "barcode", "var_id", S.upper_only(F.col("variant")).alias("__exon")))
 
 
 def with_barcode(
@@ -75,8 +80,16 @@ def canonical_single(
     Columns named by ``by`` (the sample) belong to the barcode's key; the layout may be
     columns of the reads.
     """
+    return classified_single(reads, known_barcodes(barcodes, by), before, after, up, down, template, middle, by)
+
+
+def classified_single(
+    reads: DataFrame, known: DataFrame, before: Column | str, after: Column | str, up: Column | str, down: Column | str,
+    template: Column | str, middle: Column | str | None = None, by: Sequence[str] = (),
+) -> DataFrame:
+    """``canonical_single`` with ``known_barcodes``, for several sets of reads."""
     before, after = _value(before), _value(after)
-    rows = with_barcode(reads, up, down, template).join(_known(barcodes, by), [*by, "barcode"], "left")
+    rows = with_barcode(reads, up, down, template).join(known, [*by, "barcode"], "left")
     rows = _status(rows, F.col("oriented"), before, F.col("__exon") if middle is None else _value(middle), after, FLANK, False)
     return rows.withColumn("cut", S.locate(F.when(F.col("status") == "leftover", F.col("oriented")), before, FLANK))
 
@@ -92,7 +105,7 @@ def canonical_pairs(
     exon before in read 1 of a leftover pair.
     """
     before, after = _value(before), _value(after)
-    rows = with_barcode(pairs, up, down, template, seq="s2").join(_known(barcodes, by), [*by, "barcode"], "left")
+    rows = with_barcode(pairs, up, down, template, seq="s2").join(known_barcodes(barcodes, by), [*by, "barcode"], "left")
     both = F.concat("s1", "oriented")
     rows = _status(rows, both, before, F.col("__exon") if middle is None else _value(middle), after, 4 * FLANK, True)
     return rows.withColumn("cut", S.locate(F.when(F.col("status") == "leftover", F.col("s1")), before, FLANK))
