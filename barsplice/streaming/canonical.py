@@ -29,12 +29,13 @@ def start_table(reads: DataFrame, barcodes: DataFrame, path: str, checkpoint: st
 
     A batch that is run again, after a lost driver or by a restart, replaces what it wrote,
     so the sums never count a read twice.  No state is held between batches and nothing goes through the
-    driver.  One stream writes to one path; ``trigger`` is that of the writer, such as
+    driver.  The last variants of the barcodes are found once, at the start.  One stream writes to one path; ``trigger`` is that of the writer, such as
     ``{"availableNow": True}``.  Read the sums with ``current``, fold old batches with ``compact``.
     """
+    known = matching.known_barcodes(barcodes)
 
     def write(batch: DataFrame, number: int) -> None:
-        classified = matching.canonical_single(batch, barcodes, **layout)
+        classified = matching.classified_single(batch, known, **layout)
         matching.canonical_counts(classified, F.lit("reads")).write.mode("overwrite").parquet(f"{path}/batches/batch={number}")
 
     stream = reads.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from barsplice.functions import sequence
 from barsplice.jobs import pipeline, tables
 from barsplice.operators import alignments, association, idmap, junctions, matching, psi, report
+from barsplice.streaming import canonical
 
 EXONS = [("v", "E1", 1, 20), ("v", "E2", 101, 150), ("v", "E3", 301, 400)]
 ANNOTATED = [
@@ -252,6 +253,19 @@ def test_kernels_of_reads_run_once(spark):
         assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
+def test_stream_finds_known_barcodes_once(spark, tmp_path, monkeypatch):
+    calls, last = [], matching.last_by_barcode
+    monkeypatch.setattr(matching, "last_by_barcode", lambda *a, **k: calls.append(1) or last(*a, **k))
+    seq = "TTGACCGATC" + "GGGG" + "GGATCATTCG" + "GCAGTCCATGAC" + "ACGT" + "CTACGGTTAGCA"
+    for _ in range(3):
+        spark.createDataFrame([("r", seq, "F")], "header string, seq string, qual string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/reads")
+    stream = spark.readStream.schema("header string, seq string, qual string").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/reads")
+    run = canonical.start_table(stream, _lines(spark), f"{tmp_path}/counts", f"{tmp_path}/checkpoint", {"availableNow": True}, **_FLANKS)
+    run.awaitTermination()
+    assert len(run.recentProgress) >= 3 and len(calls) == 1
+    assert [tuple(r) for r in canonical.current(spark, f"{tmp_path}/counts").collect()] == [("reads", "v1", "ACGT", "exon_inclusion", 3)]
+
+
 @pytest.mark.parametrize("size", [1, 7, 36, 63, 64, 65])
 def test_edits_of_far_texts_are_not_tabled(monkeypatch, size):
     """A cheap bound leaves out rows that hold nothing within the distance, and no others."""
