@@ -3,10 +3,11 @@
 Unit vectors lie within a Euclidean distance of sqrt(2 - 2 * cosine).  Pivots split them
 into cells; by the triangle inequality a vector can have a partner in a cell only if its
 distance to the cell's pivot is at most the cell's radius plus the range, and at most its
-distance to its own pivot plus twice the range, so it is replicated to those cells alone.
-Cells are joined independently, in tiles of bounded size, so a dense cell spreads over many
-tasks.  Equal vectors are one point with a weight.  A tile counts links and emits a spanning
-forest of what it links, never the pairs themselves.
+distance to its own pivot plus twice the range, so it is compared with those cells alone.
+Cells are cut into blocks of bounded size, a row each, and blocks in range of each other are
+compared in pairs that are read from one table, so a dense cell spreads over many tasks and
+disk grows with the vectors, not with their pairs.  Equal vectors are one point with a weight.
+A pair of blocks counts links and emits a spanning forest of them, never the links themselves.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from .common import cut, table
 from .components import connected_components
 
-#: Vectors for each pivot, most pivots, and rows of either side of a tile.
-PER_PIVOT, MOST_PIVOTS, TILE = 4096, 2048, 4096
+#: Vectors for each pivot, most pivots, and about the rows of a block; bytes of a point's name.
+PER_PIVOT, MOST_PIVOTS, TILE, NAME = 4096, 2048, 4096, 16
 _SLACK = 1e-6
 
 
@@ -46,46 +46,28 @@ def _homes(pivots: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                d = _distances(_unit(_matrix(batch.column(1))), pivots)
+                d = _distances(_unit(_matrix(batch.column("vector"))), pivots)
                 home = d.argmin(axis=1)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(home, pa.int32()), pa.array(d[np.arange(len(home)), home])], ["point", "home", "reach"])
+                columns = [*batch.columns, pa.array(home, pa.int32()), pa.array(d[np.arange(len(home)), home])]
+                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "home", "reach"])
 
     return run
 
 
-def _members(pivots: np.ndarray, radii: np.ndarray, natives: np.ndarray, members: np.ndarray, reach: float):
-    """One row per tile that a point belongs to, as a native of its home or as a member of a cell in range."""
-    rows, cols = -(-natives // TILE), -(-members // TILE)
+def _block(pivots: np.ndarray, radii: np.ndarray, reach: float):
+    """One row of a cell's part: the cells that some of its points have in range, and names, vectors and weights as bytes."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(0, batch.num_rows, 2000):
-                part = batch.slice(i, 2000)
-                if not part.num_rows:
-                    continue
-                d = _distances(_unit(_matrix(part.column(1))), pivots)
-                home = d.argmin(axis=1)
-                near = _near(d, home, radii, reach) & (natives > 0)
-                spread = part.column(3).to_numpy().astype(np.uint64)
-                out = []
-                for cell in np.flatnonzero(near.any(axis=0)):
-                    who = np.flatnonzero(near[:, cell])
-                    col = (spread[who] >> np.uint64(20)) % np.uint64(max(1, cols[cell]))
-                    for row in range(rows[cell]):
-                        out.append((who, np.full(len(who), cell), np.full(len(who), row), col, np.zeros(len(who), bool)))
-                    who = np.flatnonzero(home == cell)
-                    row = spread[who] % np.uint64(max(1, rows[cell]))
-                    for col_ in range(cols[cell]):
-                        out.append((who, np.full(len(who), cell), row, np.full(len(who), col_), np.ones(len(who), bool)))
-                who, cell, row, col, native = (np.concatenate([o[j] for o in out]) for j in range(5))
-                took = pa.array(who, pa.int64())
-                for j in range(0, len(who), 20_000):
-                    s = slice(j, j + 20_000)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(cell[s].astype(np.int32)), pa.array(row[s].astype(np.int32)), pa.array(col[s].astype(np.int32)), pa.array(native[s]),
-                         part.column(0).take(took[s]), part.column(1).take(took[s]), part.column(2).take(took[s])],
-                        ["cell", "row", "col", "native", "point", "vector", "weight"],
-                    )
+    def run(part: pa.Table) -> pa.Table:
+        vectors = _matrix(part["vector"].combine_chunks())
+        d = _distances(_unit(vectors), pivots)
+        home = np.full(len(d), part["home"][0].as_py())
+        near = np.flatnonzero(_near(d, home, radii, reach).any(axis=0))
+        flat = part["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        columns = {
+            "block": pa.array([int(home[0]) << 32 | part["part"][0].as_py()], pa.int64()), "cell": pa.array(home[:1], pa.int32()), "near": pa.array([near], pa.list_(pa.int32())),
+            "points": pa.array([b"".join(part["point"].to_pylist())]), "vectors": pa.array([flat.tobytes()]), "weights": pa.array([part["weight"].to_numpy().tobytes()]),
+        }
+        return pa.table(columns)
 
     return run
 
@@ -95,36 +77,59 @@ def _near(d: np.ndarray, home: np.ndarray, radii: np.ndarray, reach: float) -> n
     return (d <= radii[None, :] + reach) & (d <= own + 2 * reach)
 
 
-def _tile_links(least: float):
-    """Weighted link counts of a tile's members among its natives, and a spanning forest of the links."""
-
-    def run(pdf):
-        natives, members = pdf[pdf["native"]], pdf[~pdf["native"]]
-        empty = pd.DataFrame({"point": pd.Series(dtype=object), "links": pd.Series(dtype="int64"), "other": pd.Series(dtype=object)})
-        if not len(natives) or not len(members):
-            return empty
-        x, y = (_unit(np.stack(side["vector"].to_numpy()).astype(np.float64)) for side in (members, natives))
-        weight = natives["weight"].to_numpy()
-        names = np.concatenate([members["point"].to_numpy(), natives["point"].to_numpy()])
-        node = pd.factorize(names, sort=True)[0]
-        a_of, b_of = node[: len(x)], node[len(x) :]
-        label = np.arange(node.max() + 1)
-        counts = np.zeros(len(x), np.int64)
+def _pair_links(pivots: np.ndarray, radii: np.ndarray, reach: float, least: float, kind: str):
+    """Weighted link counts of the points of two blocks, from either side, and a spanning forest of the links."""
+
+    def side(row: dict, s: str) -> tuple:
+        names = np.frombuffer(row[f"points_{s}"], f"V{NAME}")
+        x = _unit(np.frombuffer(row[f"vectors_{s}"], kind).astype(np.float64).reshape(len(names), -1))
+        return names, x, np.frombuffer(row[f"weights_{s}"], np.int64)
+
+    def toward(x: np.ndarray, home: int, cell: int) -> np.ndarray:
+        """Points that may have a partner in a cell."""
+        if home == cell:
+            return np.arange(len(x))
+        d = _distances(x, pivots[[home, cell]])
+        return np.flatnonzero(_near(d, np.zeros(len(x), int), radii[[home, cell]], reach)[:, 1])
+
+    def linked(one: tuple, other: tuple, same: bool) -> pa.RecordBatch | None:
+        (names_a, x, weight_a), (names_b, y, weight_b) = one, other
+        n = len(x)
+        label, counts = np.arange(n + (0 if same else len(y))), np.zeros(n + (0 if same else len(y)), np.int64)
         y32 = y.astype(np.float32).T.copy()
-        for i in range(0, len(x), 1024):
-            rough = x[i : i + 1024].astype(np.float32) @ y32
-            a, b = np.nonzero(rough >= least - 1e-4)
+        for i in range(0, n, 1024):
+            a, b = np.nonzero(x[i : i + 1024].astype(np.float32) @ y32 >= least - 1e-4)
             a += i
             for j in range(0, len(a), 200_000):
                 p, q = a[j : j + 200_000], b[j : j + 200_000]
-                ok = (np.einsum("ij,ij->i", x[p], y[q]) >= least) & (a_of[p] != b_of[q])
+                ok = np.einsum("ij,ij->i", x[p], y[q]) >= least
+                if same:
+                    ok &= p != q
                 p, q = p[ok], q[ok]
-                np.add.at(counts, p, weight[q])
-                label = _merge(label, a_of[p], b_of[q])
-        order = np.sort(pd.unique(names))
-        linked = np.flatnonzero(counts)
-        root = order[label[a_of[linked]]] if len(linked) else np.empty(0, object)
-        return pd.DataFrame({"point": names[linked], "links": counts[linked], "other": root})
+                np.add.at(counts, p, weight_b[q])
+                if not same:
+                    np.add.at(counts, n + q, weight_a[p])
+                label = _merge(label, p, q if same else n + q)
+        found = np.flatnonzero(counts)
+        if not len(found):
+            return None
+        names = names_a if same else np.concatenate([names_a, names_b])
+        binary = lambda v: pa.array(v.tolist(), pa.binary())
+        return pa.RecordBatch.from_arrays([binary(names[found]), pa.array(counts[found]), binary(names[label[found]])], ["point", "links", "other"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, one = None, None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                if row["block_a"] != held:
+                    held, one = row["block_a"], side(row, "a")
+                same, cells = row["block_a"] == row["block_b"], (row["cell_a"], row["cell_b"])
+                other = one if same else side(row, "b")
+                kept = [tuple(v[toward(points[1], *c)] for v in points) for points, c in ((one, cells), (other, cells[::-1]))]
+                out = linked(*kept, same) if all(len(k[0]) for k in kept) else None
+                if out is not None:
+                    yield out
 
     return run
 
@@ -153,13 +158,16 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     """
     v = F.col("vector")
     fit = (F.size(v) > 0) & ~F.exists(v, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf"))) & F.exists(v, lambda e: e != 0)
-    base = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector")).withColumn("good", F.coalesce(F.col("id").isNotNull() & fit, F.lit(False)))
+    # Single precision is kept where the table has it, as half the bytes.
+    single = dict(vectors.dtypes)[vector_col] == "array<float>"
+    base = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<float>" if single else "array<double>").alias("vector"))
+    base = base.withColumn("good", F.coalesce(F.col("id").isNotNull() & fit, F.lit(False)))
     key = F.sha2(F.concat_ws(",", F.col("vector").cast("array<string>")), 256)
-    base = base.withColumn("point", F.when(F.col("good"), F.unhex(F.substring(key, 1, 32))))
-    rows = table(base.select("id", "point", F.when(F.col("good"), F.col("vector")).alias("vector")))
+    base = base.withColumn("point", F.when(F.col("good"), F.unhex(F.substring(key, 1, 2 * NAME))))
+    rows = table(base.select("id", "point"))
     counted = rows.where("point is not null").groupBy("point").agg(F.count(F.lit(1)).alias("weight"), F.min("id").alias("id"))
-    firsts = rows.where("point is not null").join(counted, ["point", "id"]).select("point", "vector", "weight", F.xxhash64("point").alias("spread"))
-    points = table(firsts.dropDuplicates(["point"]))
+    firsts = base.where("point is not null").groupBy("point").agg(F.count(F.lit(1)).alias("weight"), F.first("vector").alias("vector"))
+    points = table(firsts.select("point", "vector", "weight", F.xxhash64("point").alias("spread")))
     reach = float(np.sqrt(max(0.0, 2 - 2 * cosine))) + _SLACK
     links = None
     # Vectors of different lengths are compared only among themselves.
@@ -167,14 +175,14 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     if len(lengths) > 1000:
         raise ValueError("more than 1000 vector lengths")
     for length in lengths:
-        some = _links(points.where(F.size("vector") == length), reach, cosine)
+        some = _links(points.where(F.size("vector") == length), reach, cosine, "f4" if single else "f8")
         links = some if links is None else links.unionByName(some)
     if links is None:
         found = rows.select("point", F.lit(0).cast("bigint").alias("links"), F.col("point").alias("component")).limit(0)
         degrees = found.select("point", "links")
         components = found.select("point", "component")
     else:
-        links = cut(links)
+        links = table(links.groupBy("point", "other").agg(F.sum("links").alias("links")))
         degrees = links.groupBy("point").agg(F.sum("links").alias("links"))
         components = connected_components(links.select(F.col("point").alias("a"), F.col("other").alias("b"))).select(F.col("node").alias("point"), "component")
     named = counted.join(degrees, "point", "left").join(components, "point", "left").select("point", "id", "weight", "links", F.coalesce("component", "point").alias("component"))
@@ -190,32 +198,23 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     )
 
 
-def _links(points: DataFrame, reach: float, cosine: float) -> DataFrame:
+def _links(points: DataFrame, reach: float, cosine: float, kind: str) -> DataFrame:
     total = points.count()
     k = int(min(MOST_PIVOTS, max(1, -(-total // PER_PIVOT))))
     # At most MOST_PIVOTS vectors, those with the smallest hashes.
     drawn = points.orderBy("spread", "point").limit(k).select("vector").collect()
     pivots = _unit(np.array([r[0] for r in drawn], np.float64))
-    homes = points.select("point", "vector").mapInArrow(_homes(pivots), "point binary, home int, reach double")
+    homes = points.select("vector").mapInArrow(_homes(pivots), f"vector {dict(points.dtypes)['vector']}, home int, reach double")
     radii, natives = np.zeros(k), np.zeros(k, np.int64)
     for r in homes.groupBy("home").agg(F.max("reach"), F.count(F.lit(1))).collect():
         radii[r[0]], natives[r[0]] = r[1], r[2]
-    sizes = points.select("point", "vector").mapInArrow(_cell_sizes(pivots, radii, reach), "cell int, n bigint")
-    members = np.zeros(k, np.int64)
-    for r in sizes.groupBy("cell").agg(F.sum("n")).collect():
-        members[r[0]] = r[1]
-    schema = "cell int, row int, col int, native boolean, point binary, vector array<double>, weight bigint"
-    tiles = points.select("point", "vector", "weight", "spread").mapInArrow(_members(pivots, radii, natives, members, reach), schema)
-    return tiles.groupBy("cell", "row", "col").applyInPandas(_tile_links(cosine), "point binary, links bigint, other binary")
-
-
-def _cell_sizes(pivots: np.ndarray, radii: np.ndarray, reach: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(len(pivots), np.int64)
-        for batch in batches:
-            if batch.num_rows:
-                d = _distances(_unit(_matrix(batch.column(1))), pivots)
-                n += _near(d, d.argmin(axis=1), radii, reach).sum(axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(pivots)), pa.int32()), pa.array(n)], ["cell", "n"])
-
-    return run
+    parts = F.element_at(F.lit([max(1, -(-int(n) // TILE)) for n in natives]), F.col("home") + 1)
+    placed = points.mapInArrow(_homes(pivots), ", ".join(f"{c} {t}" for c, t in points.dtypes) + ", home int, reach double")
+    placed = placed.select("point", "vector", "weight", "home", F.pmod(F.shiftrightunsigned("spread", 20), parts).cast("int").alias("part"))
+    schema = "block bigint, cell int, near array<int>, points binary, vectors binary, weights binary"
+    blocks = table(placed.groupBy("home", "part").applyInArrow(_block(pivots, radii, reach), schema))
+    a, b = (blocks.select(*(F.col(c).alias(f"{c}_{s}") for c in blocks.columns)) for s in "ab")
+    in_range = F.array_contains("near_a", F.col("cell_b")) & F.array_contains("near_b", F.col("cell_a"))
+    # Every task reads its part of the blocks from the table: no vector is shuffled once for every cell in its range.
+    pairs = a.hint("shuffle_replicate_nl").join(b, (F.col("block_a") <= F.col("block_b")) & in_range).drop("near_a", "near_b")
+    return pairs.mapInArrow(_pair_links(pivots, radii, reach, cosine, kind), "point binary, links bigint, other binary")

@@ -132,6 +132,19 @@ def test_embeddings(spark):
     assert embeddings.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_embeddings_are_not_shuffled_to_cells(spark, monkeypatch):
+    """Unstructured vectors are in range of every cell; their blocks are read where they lie, not sent once a cell."""
+    monkeypatch.setattr(embeddings, "PER_PIVOT", 10)
+    rng = np.random.default_rng(4)
+    frame = spark.createDataFrame([(i, rng.normal(size=64).tolist()) for i in range(200)], "vec_id long, embedding array<float>")
+    seen = []
+    whole = embeddings._links
+    monkeypatch.setattr(embeddings, "_links", lambda *args: seen.append(whole(*args)) or seen[-1])
+    assert {r.n_links for r in embeddings.near_duplicates(frame).collect()} == {0}
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert len(seen) == 1 and "CartesianProduct" in plan and "Exchange" not in plan
+
+
 def test_packing(docs, empty):
     import public_tokenizers
     from tokenizers import Tokenizer
