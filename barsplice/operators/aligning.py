@@ -1,6 +1,7 @@
 """Alignment of reads and pairs to exon references and, with introns, to minigenes.
 
-Reads share short words (seeds) with the references they are aligned to: an equi-join, then
+Reads share short words (seeds) with the references they are aligned to: an equi-join, or for
+large references lookups of blocks of texts in chunks of references, then
 one kernel for all pairs of a text and a reference, in the band of diagonals that its seeds
 span.  Equal reads are aligned once.  The references of a reads' group are found by ``by``,
 such as the sample or the exon that a leftover's header names.
@@ -15,13 +16,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aligning import Scoring, placed
+from ..functions.seeding import COUNTS, packed, seeded
 from ..functions.sequence import revcomp
 
 #: Costs of mismatches, gaps and clipped ends on exon references.
 EXON = Scoring(match=1, mismatch=4, open=10, extend=5, clip=1)
 SPLICED = Scoring(match=1, mismatch=3, open=5, extend=3, clip=3, intron=4, site=5, least_intron=20)
-#: Bases of all references up to which their words are sent to all executors; more are shuffled.
+#: Bases of all references up to which their words are sent to all executors; more are looked up in chunks.
 SENT = 2_000_000
+#: Bases of a chunk of references, texts and bytes of a block, and texts that meet the same copy of the references.
+CHUNK, BLOCK, BLOCK_BYTES, TOGETHER = 4_000_000, 50_000, 4 << 20, 1_000_000
 _PLACE = "array<struct<cost:int,rname:string,turned:boolean,pos:int,pos_end:int,cigar:string,score:int,differences:int>>"
 
 
@@ -57,6 +61,38 @@ def _end(pos: Column, cigar: Column) -> Column:
     return pos + F.aggregate(spans, F.lit(0), lambda a, n: a + n)
 
 
+def _hits(texts: DataFrame, refs: DataFrame, size: int, by: Sequence[str], seeding: Seeding) -> DataFrame:
+    """Hits of distinct texts on references of their group, in parts: groups are dealt to some, the texts of each to several.
+
+    Texts and references are shuffled, never their words; a part's chunks of references meet its blocks of texts one by one.
+    """
+    session = texts.sparkSession
+    parallel = max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)
+    number = texts.count()
+    groups = max(1, min(10_000, -(-size // CHUNK))) if by else 1
+    each = max(1, -(-number // (groups * TOGETHER)), min(-(-parallel // groups), -(-number // (groups * BLOCK))))
+    group = F.xxhash64(*by) if by else F.lit(0).cast("bigint")
+    bucket = F.pmod(F.col("group"), F.lit(groups)).cast("int") * each
+    whole = " and ".join(f"`{c}` is not null" for c in by) or "true"
+    kinds, partitions = dict(texts.dtypes), max(parallel, groups * each)
+    text = "struct<group:bigint," + "".join(f"`{c}`:{kinds[c]}," for c in by) + "text:string>"
+    reference = "struct<group:bigint,rname:string,reference:string>"
+    asked = texts.where("text is not null").where(whole).withColumn("group", group)
+    asked = asked.withColumn("part", (bucket + F.pmod(F.xxhash64("text"), F.lit(each))).cast("int"))
+    # Repeated by the part, so that texts are not shuffled once more to become distinct.
+    asked = asked.repartition(partitions, "part").dropDuplicates(["part", *by, "text"])
+    blocks = asked.select("part", F.struct("group", *by, "text").alias("item")).mapInArrow(packed(BLOCK, BLOCK_BYTES), f"part int, items array<{text}>")
+    blocks = blocks.select("part", F.monotonically_increasing_id().alias("block"), F.col("items").alias("texts")).repartition(partitions, "part")
+    known = refs.where(whole).withColumn("group", group).select(bucket.alias("part"), F.struct("group", "rname", "reference").alias("item"))
+    known = known.repartition(parallel, "part", F.pmod(F.xxhash64("item.rname"), F.lit(max(1, -(-size // (groups * CHUNK))))))
+    chunks = known.mapInArrow(packed(CHUNK, CHUNK), f"part int, items array<{reference}>")
+    chunks = chunks.select("part", F.monotonically_increasing_id().alias("chunk"), F.col("items").alias("references"))
+    chunks = chunks.withColumn("part", F.explode(F.sequence("part", F.col("part") + each - 1))).repartition(partitions, "part")
+    pairs = chunks.hint("merge").join(blocks, "part").select("part", "chunk", "references", "block", "texts")
+    schema = "".join(f"`{c}` {kinds[c]}, " for c in by) + "text string, turned boolean, rname string, " + ", ".join(f"{c} int" for c in COUNTS)
+    return pairs.mapInArrow(seeded(seeding.k, seeding.stride, seeding.share), schema)
+
+
 def placements(texts: DataFrame, references: DataFrame, by: Sequence[str] = (), scoring: Scoring = EXON, seeding: Seeding = Seeding()) -> DataFrame:
     """``text, places`` (and ``by``) of distinct texts with at least one place, best first; ties by reference name, then forward first.
 
@@ -67,17 +103,20 @@ def placements(texts: DataFrame, references: DataFrame, by: Sequence[str] = (),
     size = refs.agg(F.coalesce(F.sum(F.length("reference")), F.lit(0))).first()[0]
     # Words are many times larger than the references' files, by whose size Spark would send them all the same.
     sent = F.broadcast if size <= SENT else lambda df: df.hint("merge")
-    index = refs.select(*by, "rname", F.inline(_words(F.col("reference"), by, seeding.k, 1)))
-    index = index.select(*by, "rname", F.col("at").alias("place"), "word")
-    distinct = texts.select(*by, "text").where("text is not null").distinct()
-    strands = F.array(*(F.struct(F.lit(t).alias("turned"), s.alias("read")) for t, s in ((False, F.col("text")), (True, revcomp(F.col("text"))))))
-    reads = distinct.select(*by, "text", F.inline(strands))
-    words = reads.select(*by, "text", "turned", F.inline(_words(F.col("read"), by, seeding.k, seeding.stride)))
-    shift = F.col("place") - F.col("at")
-    hits = words.join(sent(index), [*by, "word"]).groupBy(*by, "text", "turned", "rname")
-    hits = hits.agg(F.size(F.collect_set("at")).alias("seeds"), F.min(shift).alias("low"), F.max(shift).alias("high"), F.min("at").alias("head"), F.max("at").alias("last"))
-    most = hits.groupBy(*by, "text").agg(F.max("seeds").alias("most"), F.collect_list(F.struct("turned", "rname", "seeds", "low", "high", "head", "last")).alias("hits"))
-    near = most.select(*by, "text", F.inline(F.filter("hits", lambda h: h["seeds"] >= seeding.share * F.col("most"))))
+    if size > SENT:
+        near = _hits(texts.select(*by, "text"), refs, size, by, seeding)
+    else:
+        index = refs.select(*by, "rname", F.inline(_words(F.col("reference"), by, seeding.k, 1)))
+        index = index.select(*by, "rname", F.col("at").alias("place"), "word")
+        distinct = texts.select(*by, "text").where("text is not null").distinct()
+        strands = F.array(*(F.struct(F.lit(t).alias("turned"), s.alias("read")) for t, s in ((False, F.col("text")), (True, revcomp(F.col("text"))))))
+        reads = distinct.select(*by, "text", F.inline(strands))
+        words = reads.select(*by, "text", "turned", F.inline(_words(F.col("read"), by, seeding.k, seeding.stride)))
+        shift = F.col("place") - F.col("at")
+        hits = words.join(sent(index), [*by, "word"]).groupBy(*by, "text", "turned", "rname")
+        hits = hits.agg(F.size(F.collect_set("at")).alias("seeds"), F.min(shift).alias("low"), F.max(shift).alias("high"), F.min("at").alias("head"), F.max("at").alias("last"))
+        most = hits.groupBy(*by, "text").agg(F.max("seeds").alias("most"), F.collect_list(F.struct("turned", "rname", "seeds", "low", "high", "head", "last")).alias("hits"))
+        near = most.select(*by, "text", F.inline(F.filter("hits", lambda h: h["seeds"] >= seeding.share * F.col("most"))))
     near = near.join(sent(refs), [*by, "rname"])
     read = F.when(F.col("turned"), revcomp(F.col("text"))).otherwise(F.col("text"))
     low, high = F.col("low") - seeding.pad, F.col("high") + seeding.pad

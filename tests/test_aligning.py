@@ -7,6 +7,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
+
+from barsplice.functions import seeding
 from barsplice.functions.aligning import Scoring, align
 from barsplice.jobs import pipeline
 from barsplice.operators import aligning as A
@@ -158,6 +161,59 @@ def test_groups_see_their_own_references(spark, exons):
     assert {(r.lane, r.qname): r.flag for r in A.align_single(reads, refs, ["lane"]).collect()} == {("p", "a"): 0, ("q", "a"): 4, ("q", "b"): 0, (None, "c"): 4}
 
 
+@pytest.mark.parametrize("by", [[], ["lane"]])
+def test_chunks_of_references_meet_blocks_of_texts(spark, monkeypatch, by):
+    """Small chunks and blocks give what one broadcast gives, and no word of a text is a row of a shuffle."""
+    rows = [(lane, f"r{i}", dna(150).lower() if i % 2 else dna(90)) for lane in ("p", "q", None) for i in range(8)]
+    rows += [("p", "copy", rows[0][2]), ("q", "copy", rows[0][2][:70] + rows[1][2][:70]), ("p", "tiny", "ACG"), ("p", None, dna(60)), ("p", "null", None)]
+    reads = []
+    for n, (lane, _, ref) in enumerate(r for r in rows if r[2]):
+        for at in range(0, max(1, len(ref) - 40), 23):
+            read = ref[at : at + 40].upper()
+            read = read[:17] + "N" + read[18:] if at % 2 else read
+            reads += [(lane, f"{n}_{at}", turned(read) if n % 3 == 0 else read, "F" * len(read)), (None if n % 4 else "q", f"x{n}_{at}", read, "F" * len(read))]
+    reads += [("p", "odd", "ACG\u00e9" + rows[0][2][:45], "F" * 49), ("p", "short", "ACGT", "FFFF")]
+    refs = spark.createDataFrame(rows if by else [r for i, r in enumerate(rows) if r[0] != "q"], "lane string, rname string, seq string")
+    refs = refs if by else refs.selectExpr("concat(coalesce(lane, ''), rname) as rname", "seq")
+    df = spark.createDataFrame(reads, "lane string, " + READ)
+    got = lambda: sorted(map(str, A.align_single(df, refs, by).collect()))
+    sent = got()
+    for name, value in (("SENT", 0), ("CHUNK", 300), ("BLOCK", 7), ("BLOCK_BYTES", 200), ("TOGETHER", 20)):
+        monkeypatch.setattr(A, name, value)
+    assert got() == sent and sum("flag=4," not in r for r in sent) > 60
+    assert "word#" not in A.placements(df.select(*by, F.col("seq").alias("text")), refs, by)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_seeds_by_brute_force():
+    rnd = random.Random(17)
+    texts = ["".join(rnd.choice("ACGTN" if i % 4 else "AC") for _ in range(rnd.randint(0, 30))) for i in range(40)]
+    refs = [rnd.choice(texts) + dna(5) + turned(rnd.choice(texts)) + "AC" * rnd.randint(0, 6) for _ in range(15)]
+    side = lambda n: np.array([rnd.choice([5, -7]) for _ in range(n)])
+    a, b = side(len(texts)), side(len(refs))
+    for k, stride in ((3, 2), (6, 1), (5, 3)):
+        want = {}
+        for i, text in enumerate(texts):
+            for turn, read in ((False, text), (True, turned(text))):
+                for j, ref in enumerate(refs):
+                    words = [(at, place) for at in range(0, len(read) - k + 1, stride) for place in range(len(ref) - k + 1) if read[at : at + k] == ref[place : place + k] and "N" not in read[at : at + k]]
+                    if words and a[i] == b[j]:
+                        at, shift = [w[0] for w in words], [w[1] - w[0] for w in words]
+                        want[i, turn, j] = (len(set(at)), min(shift), max(shift), min(at), max(at))
+        found = seeding.Index(pa.array(refs), b, k).hits(pa.array(texts), a, stride)
+        assert dict(zip(zip(*(found[n].tolist() for n in ("text", "turned", "reference")), strict=True), zip(*(found[n].tolist() for n in seeding.COUNTS), strict=True), strict=True)) == want
+
+
+def test_equal_reads_are_not_aligned_by_the_kernel(monkeypatch):
+    from barsplice.functions import aligning
+
+    ref = dna(50) + "ACGTACGTAC" * 4
+    reads, low = [ref[i : i + 30] for i in range(0, 60, 7)], list(range(-9, 51, 7))
+    want = align(pa.array([*reads, ref[:10] + "N" + ref[11:30]]), pa.array([ref] * 10), np.array([*low, -9]), np.array([n + 24 for n in [*low, -9]]), A.SPLICED)
+    monkeypatch.setattr(aligning, "_Block", None)
+    got = align(pa.array(reads), pa.array([ref] * 9), np.array(low), np.array([n + 24 for n in low]), A.SPLICED)
+    assert got == {n: v[:9] for n, v in want.items()} and got["cigar"] == ["30M"] * 9 and [ref[p : p + 30] for p in got["pos"]] == reads
+
+
 def test_pairs(spark, exons, products):
     one, two, three = exons
     q = "F" * 40
