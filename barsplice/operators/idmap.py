@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.fuzzy import shared
+from ..functions.seeding import packed
 from ..functions.sequence import revcomp
 
 
@@ -22,8 +24,8 @@ def known_sequences(ids: DataFrame, order: str = "line") -> DataFrame:
     return ids.groupBy(F.upper("seq").alias("seq")).agg(F.max_by("id", order).alias("id"), F.min(order).alias("ord"))
 
 
-#: Keys of known sequences that a partition hashes.
-HASHED = 1_000_000
+#: Known sequences of a chunk, queries of a block, bytes of either, queries that meet the same copy of the known ones, and least queries of a part.
+CHUNK, BLOCK, BYTES, TOGETHER, LEAST = 200_000, 50_000, 4 << 20, 1_000_000, 4_000
 
 
 @functools.cache
@@ -64,41 +66,29 @@ def kept_segments(known: int, length: float, distance: int, candidate: float = 2
     return min(range(1, most + 1), key=cost)
 
 
-def _keyed(seq: str, length: str, kept: int) -> tuple[Column, Column]:
-    """Hash of the signature (columns ``segments``, ``shifts``) in ``seq`` for a known sequence of ``length``, and whether it fits in."""
-    n = F.length(seq)
-    texts, fits = [], F.lit(True)
-    for t in range(kept):
-        shift = F.get("shifts", F.lit(t))
-        begin, end = (F.expr(f"cast({length} * (segments[{t}] + {e}) div pieces as int)") for e in (0, 1))
-        texts.append(F.substring(seq, begin + shift + 1, end - begin))
-        fits = fits & (begin + shift >= 0) & (end + shift <= n)
-    return F.xxhash64(F.col(length), "segments", *texts), fits
-
-
 def candidates(queries: DataFrame, known: DataFrame, distance: int) -> DataFrame:
-    """``seq, known_seq, id, ord`` of queries and known sequences that share a signature; a pair may come more than once."""
+    """``seq, known_seq`` of queries and known sequences that share a signature; a pair may come more than once.
+
+    A query has hundreds of keys, so none becomes a row: queries are dealt to parts in blocks,
+    which meet all chunks of known sequences and look their keys up there.
+    """
     size = known.agg(F.count(F.lit(1)).alias("n"), F.avg(F.length("seq")).alias("length")).first()
     kept = kept_segments(size["n"], size["length"] or 0.0, distance)
-    ddl = "difference int, segments array<int>, shifts array<int>"
-    # A table of the distance alone, some hundred rows.
-    every = known.sparkSession.createDataFrame([(d, list(i), list(s)) for d, i, s in signatures(distance, kept)], ddl).withColumn("pieces", F.lit(distance + kept))
-    still = every.select("segments", "pieces", F.transform("segments", lambda _: F.lit(0)).alias("shifts")).distinct()
-    parts = known.select(F.col("seq").alias("known_seq"), "id", "ord", F.length("seq").alias("m")).crossJoin(F.broadcast(still))
-    parts = parts.select(_keyed("known_seq", "m", kept)[0].alias("key"), "known_seq", "id", "ord")
-    lengths = known.select(F.length("seq").alias("m")).distinct()
-    # A query becomes hundreds of rows, so even few queries are dealt to all tasks.
     session = queries.sparkSession
-    parallel = max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)
-    near = queries.select("seq", F.length("seq").alias("n")).repartition(parallel, "seq", "n").join(F.broadcast(lengths), F.abs(F.col("n") - F.col("m")) <= distance)
-    asked = near.withColumn("difference", F.col("n") - F.col("m")).join(F.broadcast(every), "difference")
-    # Told by the places alone, as a filter on the key would compute it twice.
-    key, fits = _keyed("seq", "m", kept)
-    asked = asked.where(fits).select("seq", key.alias("key"))
-    # Where the known side's keys are few for every partition, hashing them saves sorting the many keys of the queries.
-    if size["n"] * len({i for _, i, _ in signatures(distance, kept)}) <= HASHED * parallel:
-        parts = parts.hint("shuffle_hash")
-    return asked.join(parts, "key").select("seq", "known_seq", "id", "ord")
+    cores = session.sparkContext.defaultParallelism
+    parallel = max(int(session.conf.get("spark.sql.shuffle.partitions")), cores)
+    number = queries.count()
+    parts = max(1, -(-number // TOGETHER), min(2 * cores, -(-number // LEAST)))
+    item = F.struct("seq").alias("item")
+    dealt = queries.where("seq is not null").select(F.pmod(F.xxhash64("seq"), F.lit(parts)).cast("int").alias("part"), item).repartition(parallel, "part")
+    blocks = dealt.mapInArrow(packed(BLOCK, BYTES), "part int, items array<struct<seq:string>>")
+    blocks = blocks.select("part", F.col("items").alias("queries")).repartition(parallel, "part")
+    each = known.where("seq is not null").select("seq").distinct().select(F.lit(0).alias("part"), item)
+    chunks = each.repartition(max(1, -(-size["n"] // CHUNK)), F.xxhash64("item.seq")).mapInArrow(packed(CHUNK, BYTES), "part int, items array<struct<seq:string>>")
+    chunks = chunks.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.monotonically_increasing_id().alias("chunk"), F.col("items").alias("known"))
+    # Streams the chunks, so that each is prepared once for all blocks of a part.
+    pairs = chunks.repartition(parallel, "part").hint("merge").join(blocks, "part").select("chunk", "known", "queries")
+    return pairs.mapInArrow(shared(signatures(distance, kept), distance + kept), "seq string, known_seq string")
 
 
 def within(queries: DataFrame, known: DataFrame, distance: int) -> DataFrame:
@@ -109,7 +99,9 @@ def within(queries: DataFrame, known: DataFrame, distance: int) -> DataFrame:
     """
     d = F.levenshtein("seq", "known_seq", distance)
     # Only close pairs are shuffled.
-    return candidates(queries, known, distance).withColumn("distance", d).where("distance >= 0").select("seq", "id", "ord", "distance").distinct()
+    close = candidates(queries, known, distance).withColumn("distance", d).where("distance >= 0").distinct()
+    named = known.select(F.col("seq").alias("known_seq"), "id", "ord")
+    return close.join(named, "known_seq").select("seq", "id", "ord", "distance").distinct()
 
 
 def _measured(queries: DataFrame, known: DataFrame, mismatches: int, slack: int) -> DataFrame:

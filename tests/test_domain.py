@@ -363,6 +363,21 @@ def test_id_map_queries_are_keyed_on_one_strand(spark, monkeypatch):
     assert asked == [(2, 4), (2, 4)]
 
 
+def test_id_map_keys_are_not_shuffled(spark, monkeypatch):
+    """Small chunks and blocks find the same pairs, and no key of a query is a row of a shuffle."""
+    rng = random.Random(21)
+    known = ["".join(rng.choice("ACGT") for _ in range(rng.choice([0, 3, 19, 20, 21]))) for _ in range(40)] + ["ACG\u00e9T" * 4]
+    ids = spark.createDataFrame([(k, f"i{n}", n) for n, k in enumerate([*known, known[4]])] + [(None, "none", 99)], "seq string, id string, ord int")
+    asked = [k[:5] + rng.choice(["A", "", "CG"]) + k[6:] for k in known if k] + [known[4][:18] + "\u00e9", "ACG\u00e9T" * 3 + "ACG\u00e9"]
+    queries = spark.createDataFrame([(q,) for q in [*dict.fromkeys(asked), None]], "seq string")
+    pairs = lambda: sorted(map(tuple, idmap.within(queries, ids, 4).collect()))
+    whole = pairs()
+    for name, value in (("CHUNK", 7), ("BLOCK", 5), ("LEAST", 3), ("BYTES", 200)):
+        monkeypatch.setattr(idmap, name, value)
+    assert pairs() == whole and len({q for q, *_ in whole}) == len(set(asked)) and {"i4", "i41"} <= {i for _, i, *_ in whole}
+    assert "key#" not in idmap.candidates(queries, ids, 4)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_id_maps_by_brute_force(spark):
     """All pairs on a small fixture, with repeated known sequences and both strands."""
     rng = random.Random(12)
