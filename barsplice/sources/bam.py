@@ -35,6 +35,8 @@ NUMBERS = {"c": "<i1", "C": "<u1", "s": "<i2", "S": "<u2", "i": "<i4", "I": "<u4
 FIXED = 36
 #: Compressed bytes of a split, unpacked bytes that are decoded together or searched for a record, unpacked bytes of a written block.
 SPLIT, TOGETHER, SEARCHED, BLOCK = 32 << 20, 4 << 20, 1 << 19, 65_280
+#: Tasks up to which every split is one; more splits are dealt to tasks of up to ``SPLIT`` bytes.
+TASKS = 64
 _ARROW = pa.schema(
     [(c.split()[0], pa.int32() if c.split()[1] == "int" else pa.string()) for c in schema.ALIGNMENTS.split(", ")[:11]] + [("tags", pa.map_(pa.string(), pa.string()))]
 )
@@ -332,7 +334,7 @@ def _records(file, begin: int, end: int, size: int, header: tuple[list[str], int
 
 
 @dataclass
-class _Range(InputPartition):
+class _Range:
     path: str
     begin: int
     end: int
@@ -340,23 +342,34 @@ class _Range(InputPartition):
     changed: int | None
 
 
+@dataclass
+class _Ranges(InputPartition):
+    """Splits of one task, each of which finds its own first record."""
+
+    ranges: list[_Range]
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options):
         self.path, self.split = options["path"], int(options.get("splitbytes", SPLIT))
 
-    def partitions(self) -> list[_Range]:
+    def partitions(self) -> list[_Ranges]:
         fs, path = _open(self.path)
         info = fs.get_file_info(path)
         if info.type == pafs.FileType.NotFound:
             raise FileNotFoundError(self.path)
         files = [info] if info.is_file else [f for f in fs.get_file_info(pafs.FileSelector(path)) if f.path.endswith(".bam")]
         prefix = self.path[: len(self.path) - len(path)] if self.path.endswith(path) else ""
-        return [_Range(prefix + f.path, a, min(f.size, a + self.split), f.size, f.mtime_ns) for f in files for a in range(0, f.size, self.split)]
+        ranges = [_Range(prefix + f.path, a, min(f.size, a + self.split), f.size, f.mtime_ns) for f in files for a in range(0, f.size, self.split)]
+        # A task costs many times what a small split does.
+        each = max(1, min(SPLIT // self.split, len(ranges) // TASKS))
+        return [_Ranges(ranges[i : i + each]) for i in range(0, len(ranges), each)]
 
-    def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
-        fs, path = _open(partition.path)
-        with fs.open_input_file(path) as file:
-            yield from _records(file, partition.begin, partition.end, partition.size, _header_of(partition.path, partition.size, partition.changed))
+    def read(self, partition: _Ranges) -> Iterator[pa.RecordBatch]:
+        for part in partition.ranges:
+            fs, path = _open(part.path)
+            with fs.open_input_file(path) as file:
+                yield from _records(file, part.begin, part.end, part.size, _header_of(part.path, part.size, part.changed))
 
 
 def pack_block(raw: bytes) -> bytes:
@@ -384,26 +397,70 @@ _NIBBLES = bytes(BASES.find(chr(c).upper()) if chr(c).upper() in BASES else 15 f
 _SCORES = bytes(max(0, c - 33) for c in range(256))
 
 
-def encode(row: dict, number: dict[str, int]) -> bytes:
-    """One record; a name that is not among the contigs is an error, missing fields are the format's."""
-    ops = [(int(n), OPERATIONS.index(o)) for n, o in re.findall(r"(\d+)([MIDNSHP=X])", row["cigar"] or "")]
-    seq = "" if row["seq"] in (None, "*") else row["seq"]
+def _operations(cigar: str | None) -> tuple[bytes, int, int]:
+    """Packed operations, their number and the reference bases that they cover."""
+    ops = [(int(n), OPERATIONS.index(o)) for n, o in re.findall(r"(\d+)([MIDNSHP=X])", cigar or "")]
+    return b"".join(struct.pack("<I", n << 4 | o) for n, o in ops), len(ops), sum(n for n, o in ops if OPERATIONS[o] in "MDN=X")
+
+
+def _tag(key: str, value: str | None) -> bytes:
+    whole = re.fullmatch(r"-?\d{1,10}", value or "") and -(1 << 31) <= int(value) < 1 << 31 and str(int(value)) == value
+    return key.encode() + (b"i" + struct.pack("<i", int(value)) if whole else b"Z" + (value or "").encode() + b"\0")
+
+
+def _bases(seq: str | None, qual: str | None) -> tuple[bytes, int]:
+    """Packed bases with their scores, and their number."""
+    seq = "" if seq in (None, "*") else seq
     codes = np.frombuffer(seq.encode("ascii", "replace").translate(_NIBBLES) + b"\0" * (len(seq) % 2), np.uint8)
-    qual = row["qual"] or "*"
+    qual = qual or "*"
     scores = b"\xff" * len(seq) if qual == "*" and len(seq) != 1 or len(qual) != len(seq) else qual.encode("ascii", "replace").translate(_SCORES)
-    ref = -1 if row["rname"] in (None, "*") else number[row["rname"]]
-    mate = ref if row["rnext"] == "=" else -1 if row["rnext"] in (None, "*") else number[row["rnext"]]
-    pos = -1 if row["pos"] is None else row["pos"]
-    covered = sum(n for n, o in ops if OPERATIONS[o] in "MDN=X")
-    tags = b""
-    for key, value in row["tags"] or []:
-        whole = re.fullmatch(r"-?\d{1,10}", value or "") and -(1 << 31) <= int(value) < 1 << 31 and str(int(value)) == value
-        tags += key.encode() + (b"i" + struct.pack("<i", int(value)) if whole else b"Z" + (value or "").encode() + b"\0")
-    name = (row["qname"] or "*").encode()
-    number_of = lambda c: row[c] or 0
-    body = struct.pack("<iiBBHHHiiii", ref, pos, len(name) + 1, min(255, number_of("mapq")), _bin(max(0, pos), max(0, pos) + max(1, covered)), len(ops), number_of("flag"), len(seq), mate, number_of("pnext") - 1, number_of("tlen"))
-    body += name + b"\0" + b"".join(struct.pack("<I", n << 4 | o) for n, o in ops) + (codes[0::2] << 4 | codes[1::2]).tobytes() + scores + tags
-    return struct.pack("<i", len(body)) + body
+    return (codes[0::2] << 4 | codes[1::2]).tobytes() + scores, len(seq)
+
+
+_HEAD = struct.Struct("<iiiBBHHHiiii")
+
+
+def _coded(column: pa.Array) -> tuple[list, list]:
+    """Different values of a column, None too, and the number of each row's."""
+    coded = column.dictionary_encode(null_encoding="encode")
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy().tolist()
+
+
+def encode_all(batch: pa.RecordBatch, number: dict[str, int]) -> Iterator[bytes]:
+    """Records of a batch; a name that is not among the contigs is an error, missing fields are the format's. Equal names, CIGARs and tags are encoded once."""
+    column = dict(zip(batch.schema.names, batch.columns, strict=True))
+    ints = lambda c, missing=0: column[c].fill_null(missing).to_numpy().tolist()
+    coded = {c: _coded(column[c]) for c in ("rname", "rnext", "cigar")}
+    refs = [-1 if n in (None, "*") else number[n] for n in coded["rname"][0]]
+    mates = [None if n == "=" else -1 if n in (None, "*") else number[n] for n in coded["rnext"][0]]
+    ops = [_operations(c) for c in coded["cigar"][0]]
+    tags = column["tags"]
+    offsets, there = tags.offsets.to_numpy().tolist(), tags.is_valid().to_numpy(zero_copy_only=False).tolist()
+    first, last = (offsets[0], offsets[-1]) if len(tags) else (0, 0)
+    (keys, key_of), (values, value_of) = _coded(tags.keys.slice(first, last - first)), _coded(tags.items.slice(first, last - first))
+    texts: dict[tuple[int, int], bytes] = {}
+    pieces = []
+    for pair in zip(key_of, value_of, strict=True):
+        piece = texts.get(pair)
+        if piece is None:
+            piece = texts[pair] = _tag(keys[pair[0]], values[pair[1]])
+        pieces.append(piece)
+    bare = column["seq"].null_count == column["qual"].null_count == len(batch)
+    bases = None if bare else [_bases(q, r) for q, r in zip(column["seq"].to_pylist(), column["qual"].to_pylist(), strict=True)]
+    rows = zip(column["qname"].to_pylist(), coded["rname"][1], coded["rnext"][1], coded["cigar"][1], *(ints(c) for c in ("flag", "mapq", "pnext", "tlen")), ints("pos", -1), strict=True)
+    for i, (name, r, m, c, flag, mapq, pnext, tlen, pos) in enumerate(rows):
+        ref, mate, (packed, count, covered) = refs[r], mates[m], ops[c]
+        begin = max(0, pos)
+        letters, size = (b"", 0) if bare else bases[i]
+        name = (name or "*").encode()
+        own = b"".join(pieces[offsets[i] - first : offsets[i + 1] - first]) if there[i] else b""
+        body = b"".join((name, b"\0", packed, letters, own))
+        yield _HEAD.pack(32 + len(body), ref, pos, len(name) + 1, min(255, mapq), _bin(begin, begin + max(1, covered)), count, flag, size, ref if mate is None else mate, pnext - 1, tlen) + body
+
+
+def encode(row: dict, number: dict[str, int]) -> bytes:
+    """One record."""
+    return next(encode_all(pa.RecordBatch.from_pylist([row], schema=_ARROW), number))
 
 
 @dataclass
@@ -432,8 +489,8 @@ class _Writer(DataSourceArrowWriter):
                     del held[:BLOCK]
 
             for batch in batches:
-                for row in batch.to_pylist():
-                    held += encode(row, number)
+                for record in encode_all(batch, number):
+                    held += record
                     if len(held) > BLOCK:
                         flush(BLOCK)
             flush(0)

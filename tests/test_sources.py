@@ -2,6 +2,7 @@
 
 import gzip
 
+import pyarrow as pa
 import pytest
 
 from barsplice.sources import fastq, readers
@@ -233,6 +234,29 @@ def test_bam_header_longer_than_splits():
             assert {r for b in found for r in b.column("rname").to_pylist()} == {"c7"}
 
 
+def test_bam_small_splits_share_tasks(spark, tmp_path, monkeypatch):
+    """As many splits as asked for, but not a task for each of thousands; what repeats in a batch is encoded once."""
+    from barsplice.sources import bam
+
+    names = ["qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual", "tags"]
+    rows = [(f"r{i}", 16 * (i % 2), f"c{i % 3}", i % 900, i % 61, f"{3 + i % 4}M", "=" if i % 5 else "c1", i, -i, "ACGTACG"[: 3 + i % 4], "FFGGHHI"[: 3 + i % 4] if i % 2 else None, [("NH", str(i % 4)), ("XV", f"v{i % 7}")] if i % 11 else None) for i in range(3000)]
+    rows.append((None, None, None, None, None, None, None, None, None, None, None, [("XN", None)]))
+    batch = pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema=bam._ARROW)
+    number = {"c0": 0, "c1": 1, "c2": 2}
+    one_by_one = [bam.encode(dict(zip(names, r, strict=True)), number) for r in rows]
+    seen = []
+    monkeypatch.setattr(bam, "_operations", lambda cigar, whole=bam._operations: seen.append(cigar) or whole(cigar))
+    assert list(bam.encode_all(batch, number)) == one_by_one and list(bam.encode_all(batch.slice(1500), number)) == one_by_one[1500:]
+    assert len(seen) <= 2 * 5
+    raw = bam.encode_header([("c0", 1000), ("c1", 1000), ("c2", 1000)]) + b"".join(one_by_one)
+    (tmp_path / "a.bam").write_bytes(b"".join(bam.pack_block(raw[i : i + 500]) for i in range(0, len(raw), 500)) + bam.pack_block(b""))
+    reader = bam._Reader({"path": str(tmp_path / "a.bam"), "splitbytes": "200"})
+    parts = reader.partitions()
+    assert bam.TASKS <= len(parts) <= 2 * bam.TASKS and sum(len(p.ranges) for p in parts) == -(-(tmp_path / "a.bam").stat().st_size // 200)
+    got = [n for p in parts for b in reader.read(p) for n in b.column("qname").to_pylist()]
+    assert got == [r[0] or "*" for r in rows]
+
+
 def test_bam_tag_kinds_and_long_records():
     """All kinds of tags, records longer than a block, and splits inside of them."""
     import io
